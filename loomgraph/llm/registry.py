@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomgraph.llm import decontaminate
+from loomgraph.llm import decontaminate, mix, near
 
 
 def queries() -> dict:
     return {
+        "op2_mix": mix.op2_mix,
+        "op3_near_duplicates": near.op3_near_duplicates,
         "op7_decontaminate": decontaminate.op7_decontaminate,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op7_decontaminate": decontaminate.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    sql = {"op2_mix": mix.SQL, "op3_near_duplicates": near.SQL, "op7_decontaminate": decontaminate.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in sql.items() if v}
