@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomgraph.llm import decontaminate, mix, near
+from loomgraph.llm import decontaminate, mix, near, quality, toxicity
 
 
 def queries() -> dict:
     return {
         "op2_mix": mix.op2_mix,
         "op3_near_duplicates": near.op3_near_duplicates,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_decontaminate": decontaminate.op7_decontaminate,
+        "op8_quality": quality.op8_quality,
         "pipeline": corpus_pipeline.run,
     }
 
