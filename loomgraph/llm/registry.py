@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomgraph.llm import decontaminate, mix, near, quality, toxicity
+from loomgraph.llm import decontaminate, mix, near, pii, quality, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_decontaminate": decontaminate.op7_decontaminate,
         "op8_quality": quality.op8_quality,
+        "op9_pii": pii.op9_pii,
         "pipeline": corpus_pipeline.run,
     }
 
