@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomgraph.llm import decontaminate, mix, near, pii, quality, toxicity
+from loomgraph.llm import decontaminate, mix, near, pii, quality, topk, toxicity
 
 
 def queries() -> dict:
@@ -14,10 +14,11 @@ def queries() -> dict:
         "op7_decontaminate": decontaminate.op7_decontaminate,
         "op8_quality": quality.op8_quality,
         "op9_pii": pii.op9_pii,
+        "op10_top_k": topk.op10_top_k,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op2_mix": mix.SQL, "op3_near_duplicates": near.SQL, "op7_decontaminate": decontaminate.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    sql = {"op2_mix": mix.SQL, "op3_near_duplicates": near.SQL, "op7_decontaminate": decontaminate.SQL, "op10_top_k": topk.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in sql.items() if v}
