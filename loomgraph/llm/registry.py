@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomgraph.llm import decontaminate, mix, near, pii, quality, topk, toxicity
+from loomgraph.llm import decontaminate, licenses, mix, near, pii, quality, tokens, topk, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc": warc.op1_warc,
         "op2_mix": mix.op2_mix,
         "op3_near_duplicates": near.op3_near_duplicates,
+        "op4_licenses": licenses.op4_licenses,
+        "op5_tokens": tokens.op5_tokens,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_decontaminate": decontaminate.op7_decontaminate,
         "op8_quality": quality.op8_quality,
@@ -20,5 +23,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op2_mix": mix.SQL, "op3_near_duplicates": near.SQL, "op7_decontaminate": decontaminate.SQL, "op10_top_k": topk.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    sql = {"op1_warc": warc.SQL, "op2_mix": mix.SQL, "op3_near_duplicates": near.SQL, "op7_decontaminate": decontaminate.SQL, "op10_top_k": topk.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in sql.items() if v}
