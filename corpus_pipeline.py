@@ -1,16 +1,63 @@
-"""Stages that turn raw documents into a training mix."""
+"""Stages that turn raw documents into a training mix.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept: toxic documents go, one document of
+each group of near-duplicates stays, documents that hold benchmark passages go, personal data gets surrogates, and
+sources are mixed to their target weights. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomgraph.llm.common import stored, table
+from loomgraph.llm.decontaminate import decontaminate
+from loomgraph.llm.mix import mix
+from loomgraph.llm.near import near_duplicates
+from loomgraph.llm.pii import replace
+from loomgraph.llm.toxicity import toxicity
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+REST = COLUMNS[1:]
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    return toxicity(docs, table(spark, sf_dir, "labels"), carry=REST).where("predicted = 0").select(*COLUMNS)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of least doc_id, once; documents without doc_id all stay."""
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return once.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window with a benchmark item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=REST).where("not contaminated").select(*COLUMNS)
+
+
+def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for personal data and secrets."""
+    return replace(docs, carry=("lang", "source")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the words that the mix takes of each (0: none)."""
+    return mix(docs, carry=REST).select(*COLUMNS, "size", "source_size", "target", "taken")
+
 
-STAGES: list = []
+STAGES = [("toxicity", not_toxic), ("near-duplicates", distinct), ("decontamination", uncontaminated), ("pii", without_pii), ("mixing", mixed)]
 
+#: The first stage is a fitted classifier, which SQL cannot express; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs, name)
     return docs

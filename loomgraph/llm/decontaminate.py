@@ -127,7 +127,8 @@ def _digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-def _local(docs: DataFrame, index: Index) -> DataFrame:
+def _local(docs: DataFrame, index: Index, carry: tuple[str, ...]) -> DataFrame:
+    kept = {f"carried_{c}": docs.schema[c].dataType.simpleString() for c in carry}
     sent = docs.sparkSession.sparkContext.broadcast(index)
     none = _digest([])
 
@@ -145,14 +146,15 @@ def _local(docs: DataFrame, index: Index) -> DataFrame:
             n_hit = covered[w.first[1:]] - covered[w.first[:-1]]
             lists = [sorted(found.get(i, ())) for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.diff(w.first).astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in lists], pa.int64()), pa.array([_digest(x) if x else none for x in lists]), pa.array(n_hit > 0), pa.array(lists, pa.list_(pa.string()))],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
+                [b.column("doc_id"), pa.array(np.diff(w.first).astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in lists], pa.int64()), pa.array([_digest(x) if x else none for x in lists]), pa.array(n_hit > 0), pa.array(lists, pa.list_(pa.string())), *(b.column(c) for c in kept)],
+                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", *kept],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *(F.col(c).alias(f"carried_{c}") for c in carry))
+    return rows.mapInArrow(run, ", ".join([SCHEMA, *(f"`{k}` {t}" for k, t in kept.items())])).withColumnsRenamed({f"carried_{c}": c for c in carry})
 
 
-def _joined(docs: DataFrame, windows: DataFrame, window: int, gram: int) -> DataFrame:
+def _joined(docs: DataFrame, windows: DataFrame, window: int, gram: int, carry: tuple[str, ...]) -> DataFrame:
     """For a benchmark of any size: fingerprints meet in a shuffled join; rows of a document are known by its id and a hash of its text."""
     short = [r.n for r in windows.where(F.col("n") < window).select("n").distinct().collect()]  # fewer than window values
 
@@ -183,22 +185,27 @@ def _joined(docs: DataFrame, windows: DataFrame, window: int, gram: int) -> Data
     spans = hits.groupBy("doc_id", "mark", "start").agg(F.max(F.col("start") + F.col("n")).alias("end"))
     spans = spans.withColumn("reach", F.expr("coalesce(max(end) over (partition by doc_id, mark order by start rows between unbounded preceding and 1 preceding), 0)"))
     words_hit = spans.groupBy("doc_id", "mark").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "reach"))).alias("n_hit"))
-    both = items.join(words_hit, ["doc_id", "mark"]).withColumnsRenamed({"doc_id": "d", "mark": "m"})
+    keys = lambda a, b: F.col("doc_id").eqNullSafe(F.col(a)) & F.col("mark").eqNullSafe(F.col(b))
+    both = items.withColumnsRenamed({"doc_id": "d", "mark": "m"}).join(words_hit, keys("d", "m")).drop("doc_id", "mark")
     counted = marked.mapInArrow(count, "doc_id long, mark long, n_words long")
-    out = counted.join(both, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("mark").eqNullSafe(F.col("m")), "left")
+    out = counted.join(both, keys("d", "m"), "left").select("doc_id", "mark", "n_words", "n_hit", "items")
     none = F.array().cast("array<string>")
-    out = out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
-    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items")
+    if carry:
+        own = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_mark"), *(F.col(c).alias(f"carried_{c}") for c in carry))
+        out = own.join(out.dropDuplicates(["doc_id", "mark"]), keys("own_id", "own_mark"))
+    more = [F.col(f"carried_{c}").alias(c) for c in carry]
+    out = out.select("doc_id", *more, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", *carry)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, gram: int = GRAM, max_local: int = MAX_LOCAL) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items of every document."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, gram: int = GRAM, max_local: int = MAX_LOCAL, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items of every document, and the columns named in carry."""
     attach(docs.sparkSession)
     windows = benchmark_windows(benchmark, window, gram)
     rows = windows.limit(max_local + 1).collect() if max_local else []
     if max_local and len(rows) <= max_local:
-        return _local(docs, Index([tuple(r) for r in rows], window, gram))
-    return _joined(docs, windows, window, gram)
+        return _local(docs, Index([tuple(r) for r in rows], window, gram), carry)
+    return _joined(docs, windows, window, gram, carry)
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -48,18 +48,20 @@ def fit(train: DataFrame, f: Callable[[pa.Array, np.ndarray], object]) -> object
     return pickle.loads(train.select("doc_id", "y", "text").mapInArrow(run, "model binary").collect()[0].model)
 
 
-def scored(docs: DataFrame, model: object, f: Callable[[object, pa.Array], np.ndarray], threshold: float = 0.7, parts: int = 1, held: int = 0) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
+def scored(docs: DataFrame, model: object, f: Callable[[object, pa.Array], np.ndarray], threshold: float = 0.7, parts: int = 1, held: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, and the columns named in carry."""
     attach(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    kept = {f"carried_{c}": docs.schema[c].dataType.simpleString() for c in carry}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
             s = f(sent.value, b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(b.column(c) for c in kept)], ["doc_id", "held_out", "score", "predicted", *kept])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(part(parts) == held, F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(part(parts) == held, F.lit(False)).alias("held_out"), "text", *(F.col(c).alias(k) for k, c in zip(kept, carry, strict=True)))
+    schema = ", ".join(["doc_id long, held_out boolean, score double, predicted int", *(f"`{k}` {t}" for k, t in kept.items())])
+    return rows.mapInArrow(run, schema).withColumnsRenamed({f"carried_{c}": c for c in carry})
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

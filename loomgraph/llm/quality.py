@@ -100,11 +100,11 @@ def score(model: dict, col: pa.Array) -> np.ndarray:
     return sigmoid(model["bias"] + total / np.maximum(1, np.diff(w.first)))
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, rows: int = ROWS, longest: int = LONGEST, threshold: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document; learned from documents whose crc32 mod 4 is not 2."""
+def quality(docs: DataFrame, labels: DataFrame, *, rows: int = ROWS, longest: int = LONGEST, threshold: float = 0.7, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, and the columns in carry; learned from documents whose crc32 mod 4 is not 2."""
     attach(docs.sparkSession)
     model = fit(sample(docs, labels, "quality", 4, 2, rows, longest), train)
-    return scored(docs, model, score, threshold, 4, 2)
+    return scored(docs, model, score, threshold, 4, 2, carry)
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:

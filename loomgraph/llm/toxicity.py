@@ -113,11 +113,11 @@ def score(model: dict, col: pa.Array) -> np.ndarray:
     return sigmoid(model["bias"] + np.bincount(doc, weights=model["weight"][bucket], minlength=len(col)))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = 12_000, longest: int = LONGEST, threshold: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document; learned from documents whose crc32 mod 3 is not 1."""
+def toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = 12_000, longest: int = LONGEST, threshold: float = 0.7, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, and the columns in carry; learned from documents whose crc32 mod 3 is not 1."""
     attach(docs.sparkSession)
     model = fit(sample(docs, labels, "toxic", 3, 1, rows, longest), train)
-    return scored(docs, model, score, threshold, 3, 1)
+    return scored(docs, model, score, threshold, 3, 1, carry)
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
