@@ -1,4 +1,399 @@
-"""Named queries over the driver tables, and their SQL."""
+"""Named queries over the driver tables, and their SQL.
+
+The wiki pages are derived from ``documents`` by one query that both engines run as it stands: articles with infoboxes,
+links, anchors, images, categories, redirect chains (of 1 to 6 hops, loops and dangling ones), other namespaces, repeated
+titles and missing texts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomgraph.functions import text as T
+from loomgraph.functions.templates import infoboxes_of
+from loomgraph.operators import extract as E
+from loomgraph.operators import graph
+from loomgraph.operators.titles import classified, redirects, resolved_titles
+from loomgraph.sources.dump import ranges_of
+
+PAGES_SQL = """
+SELECT id AS pos, id,
+ CASE WHEN id % 62 = 0 THEN 'File:Doc ' || CAST(id AS STRING) WHEN id % 97 = 0 THEN 'Doc ' || CAST(id - 1 AS STRING) ELSE 'Doc ' || CAST(id AS STRING) END AS title,
+ CASE WHEN id % 23 = 0 THEN 14 WHEN id % 31 = 0 THEN NULL ELSE 0 END AS ns,
+ CASE WHEN id % 101 = 0 THEN 'Doc ' || CAST(id AS STRING) WHEN id % 103 = 0 THEN 'Nowhere' WHEN id % 11 = 0 AND id % 77 <> 0 THEN 'Doc ' || CAST(id + 11 AS STRING) END AS redirect_to,
+ CASE WHEN id % 7 = 0 THEN NULL ELSE '2024-01-' || CAST(10 + id % 20 AS STRING) || 'T00:00:00Z' END AS timestamp,
+ CASE WHEN id % 29 = 0 THEN NULL ELSE
+ '{{Infobox doc' || chr(10) || '| lang = ' || lang || chr(10) || '| n = {{nts|' || CAST(n_chars AS STRING) || '}}' || chr(10) || '}}' || chr(10)
+ || 'Lead of ' || lang || ' [[Doc ' || CAST((id * 7) % n AS STRING) || '|x]] and [[Doc ' || CAST((id * 13) % n AS STRING) || '#s]] and [[Missing ' || CAST(id % 3 AS STRING) || ']].' || chr(10)
+ || CASE WHEN id % 2 = 0 THEN 'Hub [[Doc ' || CAST(id % 8 + 1 AS STRING) || ']] [[Doc ' || CAST(id % 8 + 1 AS STRING) || ']] [[Help:Me]]' || chr(10) ELSE '' END
+ || CASE WHEN id % 3 = 0 THEN '[[File:Pic ' || CAST(id % 50 AS STRING) || '.png|thumb|a]] [[image:Pic ' || CAST(id % 50 AS STRING) || '.png]]' || chr(10) ELSE '' END
+ || CASE WHEN id % 13 = 0 THEN '{{disambig}}' || chr(10) ELSE '' END
+ || CASE WHEN id % 19 = 0 THEN 'Self [[Doc ' || CAST(id AS STRING) || ']]' || chr(10) ELSE '' END
+ || '== History ==' || chr(10) || '[https://' || source || '.example/' || CAST(id % 5 AS STRING) || ' src] [https://a.example]' || chr(10)
+ || CASE WHEN id % 4 = 0 THEN '' ELSE '== See also ==' || chr(10) || '* [[Doc ' || CAST((id * 3) % n AS STRING) || ']]' || chr(10) || '* [[Doc ' || CAST((id * 7) % n AS STRING) || ']]' || chr(10) END
+ || '=== Notes ===' || chr(10) || '[[Doc ' || CAST((id * 5) % n AS STRING) || ']]' || chr(10)
+ || '[[Category:' || source || '|' || lang || ']]' || CASE WHEN id % 5 = 0 THEN '[[Category:' || source || ']][[Category:All' || chr(10) || 'docs]]' ELSE '' END END AS text
+FROM (SELECT doc_id + 1 AS id, lang, source, n_chars FROM documents) d, (SELECT count(*) AS n FROM documents) c
+"""
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived pages. Texts are built from three narrow columns of documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    template = PAGES_SQL.replace("{", "{{").replace("}", "}}").replace("FROM documents", "FROM {docs}")
+    return spark.sql(template, docs=docs)
+
+
+def _arts(spark: SparkSession, d: str) -> DataFrame:
+    return E.articles(pages(spark, d))
+
+
+def wiki_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    p = pages(spark, d)
+    arts = E.articles(p)
+    return arts.select("id"), E.edges(arts, resolved_titles(p))
+
+
+def order_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers and parts of line items: a graph of larger degree."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select((F.col("l_suppkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"))
+    return lines.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), lines
+
+
+# --- SQL building blocks ---------------------------------------------------------------------------------------------
+
+_LINK = r"\[\[([^|\]]+?)(?:\|[^\]]+)?\]\]"
+_NS = "^(Category|File|Image|Template|Wikipedia|Help|Portal|Draft|User|Module|MediaWiki):"
+_TYPE = "CASE WHEN redirect_to IS NOT NULL THEN 'Redirect' WHEN ns = 0 THEN 'Article' WHEN ns IS NOT NULL OR starts_with(title, 'File:') OR starts_with(title, 'Category:') OR starts_with(title, 'Template:') THEN 'Special' ELSE 'Article' END"
+_P = f"p AS ({PAGES_SQL}), c AS (SELECT *, {_TYPE} AS page_type FROM p), a AS (SELECT * FROM c WHERE page_type = 'Article')"
+_R = (
+    _P
+    + """, art AS (SELECT title, arg_max(id, pos) AS id FROM a GROUP BY title), rd AS (SELECT title, arg_max(redirect_to, pos) AS target FROM c WHERE page_type = 'Redirect' GROUP BY title),
+walk AS (SELECT title, target AS here, 1 AS hops FROM rd UNION ALL SELECT walk.title, rd.target, hops + 1 FROM walk JOIN rd ON rd.title = walk.here
+         WHERE hops < 4 AND walk.here NOT IN (SELECT title FROM art)),
+res AS (SELECT title, id FROM art UNION ALL SELECT walk.title, art.id FROM walk JOIN art ON walk.here = art.title WHERE walk.title NOT IN (SELECT title FROM art))"""
+)
+_SEE = "strpos(text, '== See also ==')"
+_L = (
+    _R
+    + f""", raw AS (SELECT id, 'LINKS_TO' AS type, unnest(regexp_extract_all(CASE WHEN {_SEE} > 0 THEN substr(text, 1, {_SEE} - 1) ELSE text END, '{_LINK}', 1)) AS t FROM a
+ UNION ALL SELECT id, 'SEE_ALSO', unnest(regexp_extract_all(CASE WHEN {_SEE} > 0 THEN substr(text, {_SEE}) ELSE '' END, '{_LINK}', 1)) FROM a),
+l AS (SELECT id, type, split_part(t, '#', 1) AS target FROM raw WHERE split_part(t, '#', 1) <> '' AND NOT regexp_matches(split_part(t, '#', 1), '{_NS}')),
+e AS (SELECT DISTINCT l.id AS src, res.id AS dst, type FROM l JOIN res ON l.target = res.title)"""
+)
+_occ = lambda pattern: f"SELECT id, regexp_replace(trim(x), '\\s+', ' ', 'g') AS name FROM (SELECT id, unnest(regexp_extract_all(text, '{pattern}', 1)) AS x FROM a)"
+_CAT, _IMG, _EXT = _occ(r"\[\[Category:([^|\]]+?)(?:\|[^\]]+)?\]\]"), _occ(r"(?i)\[\[(?:File|Image):([^|\]]+?)(?:\|[^\]]*)*\]\]"), _occ(r"\[(https?://\S+?)(?:\s[^\]]+)?\]")
+_G = "lines AS (SELECT l_suppkey * 2 AS src, l_partkey * 2 + 1 AS dst FROM lineitem), v AS (SELECT DISTINCT id FROM (SELECT src AS id FROM lines UNION ALL SELECT dst FROM lines))"
+_DEG = "SELECT v.id, count(x.id) AS degree FROM v LEFT JOIN (SELECT src AS id FROM {e} UNION ALL SELECT dst FROM {e}) x ON x.id = v.id GROUP BY v.id"
+
+
+def _with(body: str, last: str) -> str:
+    return f"WITH RECURSIVE {body} {last}"
+
+
+def _ranks_sql(base: str, edges: str, k: int) -> str:
+    """k rounds, unrolled."""
+    parts = [base, f"m AS (SELECT src, dst, count(*) AS n FROM {edges} GROUP BY src, dst), o AS (SELECT src, sum(n) AS o FROM m GROUP BY src), w AS (SELECT m.src, m.dst, CAST(n AS DOUBLE) / CAST(o AS DOUBLE) AS w FROM m JOIN o ON m.src = o.src), nv AS (SELECT count(*) AS n FROM v)", "r0 AS (SELECT id, 1.0::DOUBLE / n AS r FROM v, nv)"]
+    for i in range(k):
+        parts.append(f"r{i + 1} AS (SELECT v.id, 0.15::DOUBLE / max(nv.n) + 0.85::DOUBLE * coalesce(sum(r{i}.r * w.w), 0) AS r FROM v CROSS JOIN nv LEFT JOIN w ON w.dst = v.id LEFT JOIN r{i} ON r{i}.id = w.src GROUP BY v.id)")
+    return ", ".join(parts)
+
+
+def _labels_sql(base: str, edges: str, k: int) -> str:
+    parts = [base, f"nb AS (SELECT src AS id, dst AS near FROM {edges} UNION ALL SELECT dst, src FROM {edges}), c0 AS (SELECT id, id AS community FROM v)"]
+    for i in range(k):
+        parts.append(
+            f"s{i} AS (SELECT nb.id, t.community, count(*) AS n, max(CASE WHEN t.community = o.community THEN 1 ELSE 0 END) AS own FROM nb JOIN c{i} t ON t.id = nb.near JOIN c{i} o ON o.id = nb.id GROUP BY nb.id, t.community), "
+            f"c{i + 1} AS (SELECT c{i}.id, coalesce(b.community, c{i}.community) AS community FROM c{i} LEFT JOIN (SELECT id, community FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, own DESC, community) AS k FROM s{i}) WHERE k = 1) b ON b.id = c{i}.id)"
+        )
+    return ", ".join(parts)
+
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@_query(_with(_P, "SELECT page_type, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM c GROUP BY page_type"))
+def page_classify(spark, d):
+    return classified(pages(spark, d)).groupBy("page_type").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+@_query(_with(_P, "SELECT id, CASE WHEN page_type = 'Redirect' THEN 'Redirect(' || redirect_to || ')' ELSE page_type END AS shown FROM c"))
+def page_type_display(spark, d):
+    return classified(pages(spark, d)).select("id", T.page_type_label(F.col("page_type"), F.col("redirect_to")).alias("shown"))
+
+
+@_query(_with(_R, "SELECT title, id FROM res"))
+def redirect_resolve(spark, d):
+    return resolved_titles(pages(spark, d))
+
+
+@_query(_with(_R, "SELECT title, target FROM rd"))
+def redirect_table(spark, d):
+    return redirects(pages(spark, d))
+
+
+@_query(_with(_L, "SELECT id, target, type FROM l"))
+def links_all(spark, d):
+    return E.link_targets(_arts(spark, d))
+
+
+@_query(_with(_L, "SELECT src, dst, type FROM e"))
+def links_typed_edges(spark, d):
+    p = pages(spark, d)
+    return E.edges(E.articles(p), resolved_titles(p))
+
+
+@_query(_with(_L, "SELECT count(*) AS invalid_links FROM l WHERE target NOT IN (SELECT title FROM res)"))
+def invalid_link_count(spark, d):
+    p = pages(spark, d)
+    return E.invalid_links(E.articles(p), resolved_titles(p))
+
+
+@_query(_with(_P, "SELECT id, title, 'Page' AS label FROM a"))
+def nodes(spark, d):
+    return _arts(spark, d).select("id", "title", F.lit("Page").alias("label"))
+
+
+def _entity(kind: str, sql: str):
+    def distinct(spark, d):
+        return E.entities(_arts(spark, d), kind).select("name", "first_id")
+
+    def each(spark, d):
+        return E.occurrences(_arts(spark, d), kind)
+
+    names = {"categories": ("categories", "article_categories"), "images": ("image_nodes", "article_images"), "external_links": ("external_link_nodes", "article_external_links")}[kind]
+    QUERIES[names[0]], QUERIES[names[1]] = distinct, each
+    SQL[names[0]] = _with(_P, f"SELECT name, min(id) AS first_id FROM ({sql}) GROUP BY name")
+    SQL[names[1]] = _with(_P, sql)
+
+
+_entity("categories", _CAT)
+_entity("images", _IMG)
+_entity("external_links", _EXT)
+
+
+@_query(_with(_P, r"SELECT id, unnest(regexp_extract_all(text, '(?m)^(={2,})\s*(.+?)\s*={2,}\s*$', 2)) AS section FROM a"))
+def sections(spark, d):
+    return _arts(spark, d).select("id", F.explode(T.sections(F.col("text"))).alias("section"))
+
+
+@_query(_with(_P, f"SELECT id, unnest(regexp_extract_all(split_part(split_part(text, '== See also ==', 2), '===', 1), '{_LINK}', 1)) AS target FROM a WHERE {_SEE} > 0"))
+def see_also_links(spark, d):
+    return _arts(spark, d).select("id", F.explode(T.see_also_links(F.col("text"))).alias("target"))
+
+
+@_query(_with(_P, "SELECT id FROM a WHERE contains(text, '{{disambig}}')"))
+def disambiguation(spark, d):
+    return _arts(spark, d).where(T.is_disambiguation(F.col("text"))).select("id")
+
+
+@_query(_with(_L, f"SELECT id, t AS target FROM raw WHERE regexp_matches(t, '{_NS}')"))
+def namespace_filter(spark, d):
+    one = _arts(spark, d).select("id", F.explode(T.links(F.col("text"))).alias("target"))
+    return one.where(T.is_namespace_link(F.col("target")))
+
+
+@_query(_with(_L, "SELECT id, t AS raw, split_part(t, '#', 1) AS target FROM raw WHERE contains(t, '#')"))
+def anchor_strip(spark, d):
+    one = _arts(spark, d).select("id", F.explode(T.links(F.col("text"))).alias("raw"))
+    return one.where(F.col("raw").contains("#")).select("id", "raw", T.without_anchor(F.col("raw")).alias("target"))
+
+
+_LEAD = r"trim(array_to_string([trim(x) FOR x IN string_split(regexp_replace(regexp_replace(split_part(text, '== History ==', 1), '\{\{nts\|[^{}]*\}\}', '', 'g'), '\{\{[^{}]*\}\}', '', 'g'), chr(10)) IF trim(x) <> ''], chr(10)))"
+
+
+@_query(_with(_P, f"SELECT id, {_LEAD} AS abstract_text FROM a WHERE text IS NOT NULL"))
+def abstract(spark, d):
+    return E.blobs(_arts(spark, d)).select("id", "abstract_text")
+
+
+@_query(
+    _with(
+        _P + ", f AS (SELECT a.id, d.lang, d.n_chars FROM a JOIN documents d ON a.id = d.doc_id + 1 WHERE a.text IS NOT NULL)",
+        "SELECT id, 'Infobox doc' AS infobox_type, 'lang' AS key, lang AS value FROM f UNION ALL SELECT id, 'Infobox doc', 'n', '{{nts|' || CAST(n_chars AS VARCHAR) || '}}' FROM f",
+    )
+)
+def infobox_fields(spark, d):
+    boxes = _arts(spark, d).select("id", F.explode(infoboxes_of(F.col("text"))).alias("b"))
+    return boxes.select("id", "b.infobox_type", F.explode("b.fields").alias("f")).select("id", "infobox_type", "f.key", "f.value")
+
+
+@_query(
+    _with(
+        _P,
+        f"SELECT id, title, {_LEAD} AS abstract_text, len(regexp_extract_all(text, '\\[\\[Category:')) AS n_categories, len(regexp_extract_all(text, '(?m)^==+ ')) AS n_sections, timestamp, contains(text, '{{{{disambig}}}}') AS is_disambiguation FROM a WHERE text IS NOT NULL",
+    )
+)
+def blob_rows(spark, d):
+    """Through JSON and back."""
+    r = E.read_blobs(E.blob_json(E.blobs(_arts(spark, d))))
+    return r.select("id", "title", "abstract_text", F.size("categories").cast("long").alias("n_categories"), F.size("sections").cast("long").alias("n_sections"), "timestamp", "is_disambiguation")
+
+
+@_query(
+    _with(
+        f"{_L}, cat AS ({_CAT}), img AS ({_IMG}), ext AS ({_EXT})",
+        """SELECT (SELECT count(*) FROM a) AS articles, (SELECT count(text) FROM a) AS blobs, (SELECT count(text) FROM a) AS infoboxes,
+        (SELECT count(*) FROM e WHERE type = 'LINKS_TO') AS edges, (SELECT count(*) FROM e WHERE type = 'SEE_ALSO') AS see_also_edges,
+        (SELECT count(*) FROM l WHERE target NOT IN (SELECT title FROM res)) AS invalid_links, (SELECT count(DISTINCT name) FROM cat) AS categories, (SELECT count(*) FROM cat) AS category_edges,
+        (SELECT count(DISTINCT name) FROM img) AS images, (SELECT count(*) FROM img) AS image_edges, (SELECT count(DISTINCT name) FROM ext) AS external_links, (SELECT count(*) FROM ext) AS external_link_edges""",
+    )
+)
+def extraction_stats(spark, d):
+    return E.stats(pages(spark, d))
+
+
+_V = _L + ", v AS (SELECT DISTINCT id FROM a)"
+
+
+@_query(_with(_V, _DEG.format(e="e")))
+def degree(spark, d):
+    return graph.degree(*wiki_graph(spark, d))
+
+
+@_query(_with(_V, _DEG.format(e="e") + " ORDER BY degree DESC, v.id LIMIT 10"))
+def degree_top10(spark, d):
+    return graph.degree(*wiki_graph(spark, d)).orderBy(F.col("degree").desc(), "id").limit(10)
+
+
+@_query(_with(_V, "SELECT v.id, count(e.dst) AS in_degree FROM v LEFT JOIN e ON e.dst = v.id GROUP BY v.id"))
+def in_degree(spark, d):
+    return graph.in_degree(*wiki_graph(spark, d))
+
+
+@_query(_with(_V, "SELECT v.id, count(e.src) AS out_degree FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id"))
+def out_degree(spark, d):
+    return graph.out_degree(*wiki_graph(spark, d))
+
+
+@_query(_with(_V, "SELECT src, dst FROM e WHERE src % 3 <> 0 AND dst % 3 <> 0"))
+def edge_semi_join(spark, d):
+    """Edges among the articles whose id is not a multiple of 3."""
+    v, e = wiki_graph(spark, d)
+    return graph.closed(v.where("id % 3 <> 0"), e)
+
+
+K_RANKS, K_LABELS = 5, 3
+
+
+@_query(_with(_ranks_sql(_V, "e", K_RANKS), f"SELECT id, round(r, 7) AS rank FROM r{K_RANKS}"))
+def pagerank_k(spark, d):
+    return graph.pagerank(*wiki_graph(spark, d), max_iterations=K_RANKS, epsilon=None).ranks.select("id", F.round("rank", 7).alias("rank"))
+
+
+@_query(_with(_ranks_sql(_G, "lines", K_RANKS), f"SELECT id, round(r, 7) AS rank FROM r{K_RANKS}"))
+def pagerank_orders(spark, d):
+    return graph.pagerank(*order_graph(spark, d), max_iterations=K_RANKS, epsilon=None).ranks.select("id", F.round("rank", 7).alias("rank"))
+
+
+@_query(_with(_ranks_sql(_V, "e", 20), "SELECT id, round(r, 6) AS rank FROM r20 ORDER BY r DESC, id LIMIT 10"))
+def pagerank_top10(spark, d):
+    top = graph.pagerank(*wiki_graph(spark, d), epsilon=None).ranks.orderBy(F.col("rank").desc(), "id").limit(10)
+    return top.select("id", F.round("rank", 6).alias("rank"))
+
+
+@_query(_with(_G, _DEG.format(e="lines")))
+def degree_orders(spark, d):
+    return graph.degree(*order_graph(spark, d))
+
+
+@_query(_with(_labels_sql(_V, "e", K_LABELS), f"SELECT id, community FROM c{K_LABELS}"))
+def lpa_sync_k(spark, d):
+    return graph.communities(*wiki_graph(spark, d), max_rounds=K_LABELS)
+
+
+@_query(_with(_labels_sql(_V, "e", K_LABELS), f"SELECT community, count(*) AS size FROM c{K_LABELS} GROUP BY community"))
+def community_sizes(spark, d):
+    return graph.community_sizes(graph.communities(*wiki_graph(spark, d), max_rounds=K_LABELS))
+
+
+@_query(_with(_P, "SELECT id, title FROM a WHERE title = 'Doc 5'"))
+def article_by_title(spark, d):
+    return _arts(spark, d).where(F.col("title") == "Doc 5").select("id", "title")
+
+
+@_query(_with(_V, "SELECT a.id, a.title FROM e JOIN a ON e.dst = a.id WHERE e.src = 2"))
+def neighbors_1hop(spark, d):
+    p = pages(spark, d)
+    arts = E.articles(p)
+    return graph.neighbours(E.edges(arts, resolved_titles(p)), arts.select("id", "title"), 2)
+
+
+@_query(_with(_P, "SELECT count(*) AS articles FROM a"))
+def article_count(spark, d):
+    return _arts(spark, d).agg(F.count(F.lit(1)).alias("articles"))
+
+
+@_query(_with(_P, "SELECT CAST(id % 8 AS INTEGER) AS shard, count(*) AS n FROM a GROUP BY 1"))
+def shard_counts(spark, d):
+    return _arts(spark, d).groupBy(T.shard(F.col("id"), 8).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query(_with(_L, "SELECT type, count(*) AS n, CAST(sum(src) AS BIGINT) AS srcs, CAST(sum(dst) AS BIGINT) AS dsts FROM e GROUP BY type"))
+def merge_concat(spark, d):
+    """Edges cut into shards and joined again."""
+    _, e = wiki_graph(spark, d)
+    parts = [e.where(T.shard(F.col("src"), 3) == i) for i in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("src").alias("srcs"), F.sum("dst").alias("dsts"))
+
+
+@_query(_with(f"{_P}, o AS ({_CAT})", "SELECT name, min(id % 3) AS shard FROM o GROUP BY name"))
+def merge_dedup(spark, d):
+    """Category rows of all shards, unique: each from the first shard that holds it."""
+    return E.occurrences(_arts(spark, d), "categories").groupBy("name").agg(F.min(T.shard(F.col("id"), 3)).alias("shard"))
+
+
+@_query(_with(_P, f"SELECT id, title FROM (SELECT * FROM (SELECT *, {_TYPE} AS t FROM p WHERE id > 20 ORDER BY pos LIMIT 50) WHERE t = 'Article')"))
+def limit_pages(spark, d):
+    """Articles among the first 50 pages after id 20."""
+    return E.articles(pages(spark, d), after=20, limit=50).select("id", "title")
+
+
+@_query("SELECT DISTINCT o AS start, coalesce(lead(o) OVER (ORDER BY o), (SELECT count(*) * 1000 FROM documents)) - o AS length FROM (SELECT DISTINCT CAST(doc_id // 100 * 5000 AS BIGINT) AS o FROM documents)")
+def multistream_ranges(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    lines = docs.select(F.concat_ws(":", (F.expr("doc_id div 100") * 5000).cast("string"), "doc_id", F.lit("A: b")).alias("value"))
+    return ranges_of(lines, docs.count() * 1000)
+
+
+@_query(_with(_ranks_sql(_V, "e", K_RANKS) + f", d AS ({_DEG.format(e='e')})", f"SELECT a.id, a.title, round(r.r, 7) AS pagerank, d.degree FROM a LEFT JOIN r{K_RANKS} r ON r.id = a.id LEFT JOIN d ON d.id = a.id"))
+def graph_store_join(spark, d):
+    """Articles with their metrics, as the store holds them."""
+    v, e = wiki_graph(spark, d)
+    ranks = graph.pagerank(v, e, max_iterations=K_RANKS, epsilon=None).ranks
+    arts = _arts(spark, d).select("id", "title")
+    return arts.join(ranks, "id", "left").join(graph.degree(v, e), "id", "left").select("id", "title", F.round("rank", 7).alias("pagerank"), "degree")
+
+
+@_query(_with(_P, "SELECT id, CASE WHEN n >= 1048576 THEN printf('%.1fM', n / 1048576.0) WHEN n >= 1024 THEN printf('%.1fK', n / 1024.0) ELSE CAST(n AS VARCHAR) || 'B' END AS shown FROM (SELECT id, id * id * 7 AS n FROM a)"))
+def format_sizes(spark, d):
+    return _arts(spark, d).select("id", T.format_size(F.col("id") * F.col("id") * 7).alias("shown"))
+
+
+@_query(_with(_P, "SELECT id, format('{:,}', id * 12345) AS shown FROM a"))
+def format_numbers(spark, d):
+    return _arts(spark, d).select("id", T.format_number(F.col("id") * 12345).alias("shown"))
+
+
+@_query(_with(_P, r"SELECT id, replace(replace(title || '''s \ x', '\', '\\'), '''', '\''') AS shown FROM a"))
+def escape_titles(spark, d):
+    return _arts(spark, d).select("id", T.escaped(F.concat("title", F.lit("'s \\ x"))).alias("shown"))
+
+
+@_query("SELECT name FROM (SELECT 'nodes_' || lpad(CAST(doc_id % 100 AS VARCHAR), CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 3 END, '0') || '.csv' AS name FROM documents) WHERE regexp_matches(name, '^.+_[0-9]{3}[.]csv$')")
+def shard_files(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    name = F.concat(F.lit("nodes_"), F.when(F.col("doc_id") % 3 == 0, F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0")).otherwise(F.lpad((F.col("doc_id") % 100).cast("string"), 3, "0")), F.lit(".csv"))
+    return docs.select(name.alias("name")).where(T.is_shard_file(F.col("name")))
