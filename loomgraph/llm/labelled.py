@@ -45,7 +45,8 @@ def fit(train: DataFrame, f: Callable[[pa.Array, np.ndarray], object]) -> object
         y = t.column("y").to_numpy() if t is not None else np.zeros(0, np.int32)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(f(text, y))], pa.binary())], ["model"])
 
-    return pickle.loads(train.select("doc_id", "y", "text").mapInArrow(run, "model binary").collect()[0].model)
+    made = train.select("doc_id", "y", "text").mapInArrow(run, "model binary").collect()  # one row; none if there is no task
+    return pickle.loads(made[0].model) if made else f(pa.array([], pa.string()), np.zeros(0, np.int32))
 
 
 def scored(docs: DataFrame, model: object, f: Callable[[object, pa.Array], np.ndarray], threshold: float = 0.7, parts: int = 1, held: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -1,0 +1,19 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, score string, items string, mark string"
+
+
+@pytest.fixture
+def make(spark):
+    """documents from (doc_id, text[, source]); with columns whose names clash with those that operators use."""
+
+    def f(items):
+        full = [(i[0], i[1], "en", i[2] if len(i) > 2 else "s", len(i[1] or ""), "x", "y", "z") for i in items]
+        return spark.createDataFrame(full, DOC).repartition(3)
+
+    return f
