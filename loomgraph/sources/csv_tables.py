@@ -123,7 +123,8 @@ def merged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     for base in TABLES:
         df = read(spark, path, base, shards)
         if base in UNIQUE:
-            df = df.groupBy("id").agg(F.min_by(F.struct("name", "label"), F.struct(F.input_file_name(), F.monotonically_increasing_id())).alias("r")).select("id", "r.*")
+            placed = df.withColumn("place", F.struct(F.input_file_name(), F.monotonically_increasing_id()))
+            df = placed.groupBy("id").agg(F.min_by(F.struct("name", "label"), "place").alias("r")).select("id", "r.*")
         out[base] = df.select(F.lit(0).alias("key"), "*")
     return out
 
