@@ -1,4 +1,4 @@
-"""Defaults of the whole program."""
+"""Defaults of the whole program (fixed values, so that runs compare)."""
 
 REDIRECT_HOPS = 4
 BLOB_SHARDS = 1000

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 U = "(?dU)"
+#: Patterns of the wikitext constructs (fixed values).
 LINK = U + r"\[\[([^|\]]+?)(?:\|[^\]]+)?\]\]"
 CATEGORY = U + r"\[\[Category:([^|\]]+?)(?:\|[^\]]+)?\]\]"
 IMAGE = r"(?dUiu)\[\[(?:File|Image):([^|\]]+?)(?:\|[^\]]*)?\]\]"
