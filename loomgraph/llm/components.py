@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating stars over DataFrames.
 
 Each round joins every node's neighbours to the least one; the edge table shrinks to stars in a few rounds.
-Nothing is collected; each round is written to the shared folder, which also cuts the lineage.
+Nothing is collected; each half of a round is written to the shared folder, which also cuts the lineage. Small tables
+are written by few tasks, so late rounds cost little.
 """
 
 from __future__ import annotations
@@ -12,9 +13,16 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import drop_stored, stored
 
 
+#: Rows that one task writes at least, where there are fewer than shuffle partitions would need.
+ROWS_A_TASK = 50_000
+
+
+def _written(df: DataFrame, rows: int) -> DataFrame:
+    return stored(df.coalesce(max(1, -(-rows // ROWS_A_TASK))), "edges")
+
+
 def _least(pairs: DataFrame) -> DataFrame:
-    """pairs(u, v) with the least of u's neighbours and itself."""
-    pairs = pairs.repartition("u")
+    """pairs(u, v) with the least v of each u. The least is pre-aggregated, and a hot u is split by the skewed join."""
     return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
 
 
@@ -23,15 +31,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     pick = lambda x, y: F.struct(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
     held = stored(edges.where("a <> b").select(pick("a", "b").alias("e")).select("e.*").distinct(), "edges")
     for _ in range(rounds):
+        rows = held.count()
+        if not rows:
+            break
         both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        large = _written(_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), rows)
         small = _least(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        new = stored(small, "edges")
+        new = _written(small, rows)
         drop_stored(held)
+        drop_stored(large)
         held = new
         # Done when every edge leads to a node that leads nowhere, and no node leads to two.
-        chained = held.select("u").join(held.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
-        if chained.isEmpty() and held.groupBy("u").count().where("count > 1").isEmpty():
+        ends = held.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("leads")), F.struct(F.col("v").alias("id"), F.lit(0).alias("leads")))).alias("e")).select("e.*")
+        if ends.groupBy("id").agg(F.sum("leads").alias("n"), F.min("leads").alias("least")).where("n > 1 or (n = 1 and least = 0)").isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")
