@@ -51,7 +51,8 @@ def _present(col: pa.Array, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         doc = np.searchsorted(lo, place, "right") - 1
         inside = place < hi[doc]
         pairs.append(doc[inside].astype(np.int64) << BITS | buckets[place[inside]])
-    once = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    every = np.sort(np.concatenate(pairs))
+    once = every[np.diff(every, prepend=-1) != 0]
     return once >> BITS, once & ((1 << BITS) - 1)
 
 
