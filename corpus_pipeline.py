@@ -19,6 +19,8 @@ from loomgraph.llm.toxicity import toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REST = COLUMNS[1:]
+#: Similarity in percent, of sets of five words, from which the pipeline takes documents as near-duplicates (op3 has its own, 85).
+NEAR_PERCENT = 80
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +29,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of least doc_id, once; documents without doc_id all stay."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    """Of each group of near-duplicates (at 0.8 or more) the document of least doc_id, once; documents without doc_id all stay."""
+    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
     return once.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 

@@ -1,12 +1,13 @@
-"""Near-duplicate documents: sets of 5-word shingles, linked at a Jaccard similarity of 0.85 or more.
+"""Near-duplicate documents: sets of 5-word shingles, linked at a Jaccard similarity of 0.85 (op3) or another threshold.
 
 1. One pass over the texts: each document's set, its size, a 128-bit digest, and a SetSketch of 224 registers.
    Documents with equal sets are one class, known by its least doc_id; a group of copies of any size is one class.
-2. Bands of 7 registers, 32 of them: two sets at 0.85 share no band with a probability of 5e-6. Each bucket is
+2. Bands of registers, their rows as many as the threshold allows (``banding``): two sets at 0.85 share none of 32 bands
+   of 7 with a probability of 5e-6, two at 0.80 none of 37 bands of 6 with 1.3e-5. Each bucket is
    aggregated to its least member, which every other member is tied to; no pairs are made within a bucket.
-   A tie that rests on buckets of two alone is dropped if the likelihood estimate is below 0.7 (five deviations).
+   A tie that rests on buckets of two alone is dropped if the likelihood estimate is 0.15 below the threshold (five deviations).
 3. Ties make clusters (components). A cluster above ``BLOCK`` members is refined: members of its buckets are
-   compared by likelihood in bounded blocks, which keep a spanning forest of pairs at 0.7 or more.
+   compared by likelihood in bounded blocks, which keep a spanning forest of pairs at that estimate or more.
 4. The texts of cluster members are read again, and all pairs within a cluster are verified on their full sets in
    bounded blocks, by one product of incidence matrices each; again only a spanning forest leaves a block.
 5. Components of the verified links, over classes, then documents.
@@ -31,9 +32,9 @@ from loomgraph.llm.components import components
 from loomgraph.llm.sketch import jaccard, registers
 from loomgraph.llm.words import NOT_SPACE, grams, mix, words
 
-SHINGLE, ROWS, BANDS = 5, 7, 32
-M = ROWS * BANDS
-#: Estimates below the threshold by this much are not verified: five deviations of the estimate at 0.85.
+#: M: registers of a sketch. MISS: two sets at the threshold share no band with this probability at most.
+SHINGLE, M, MISS = 5, 224, 2e-5
+#: Estimates below the threshold by this much are not verified: five deviations of the estimate at 0.80 and 0.85.
 SLACK = 0.15
 #: Members and shingles in a block at most (a member with more shingles is a block of its own with each other).
 BLOCK, BLOCK_SHINGLES = 1024, 1_500_000
@@ -75,6 +76,13 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, digest binary, sketch binary")
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Rows and bands of the sketch: the longest bands that miss a pair at the threshold with a probability of MISS at most."""
+    fits = [r for r in range(1, M + 1) if (1 - (percent / 100) ** r) ** (M // r) <= MISS]
+    rows = max(fits, default=1)
+    return rows, M // rows
+
+
 def _matrix(col: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), "<u2").reshape(-1, M)
 
@@ -183,9 +191,10 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:
     base = stored(sketches(docs), "sketches")
     keyed = base.where("n > 0 and doc_id is not null")
     classes = stored(keyed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    width = 2 * ROWS
+    rows, n_bands = banding(percent)
+    width = 2 * rows
     band = lambda i: F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width))
-    bands = classes.select("id", F.explode(F.array(*(band(i) for i in range(BANDS)))).alias("key"))
+    bands = classes.select("id", F.explode(F.array(*(band(i) for i in range(n_bands)))).alias("key"))
     sizes = bands.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("k")).where("k > 1")
     ties = bands.join(sizes, "key").where("id <> least").groupBy(F.col("id").alias("a"), F.col("least").alias("b")).agg(F.max("k").alias("k"))
     ties = stored(_estimated(ties, classes), "ties").where(f"k > 2 or est >= {at_least}")
