@@ -4,12 +4,14 @@ A multistream dump is read in parallel: its index gives the byte range of each b
 and parse their own. Any other dump goes through Spark's XML source, one task for each file; stage it to Parquet first.
 
 Deliberate choices: redirect targets are unescaped like titles; a malformed page is left out alone (and, in the XML
-source, kept in ``_corrupt``); a stream that fails gives no pages; the last revision's text and timestamp count.
+source, kept in ``_corrupt``); a stream whose bytes are no bz2 gives no pages, and
+a storage that fails to read them fails the task; the last revision's text and timestamp count.
 """
 
 from __future__ import annotations
 
 import bz2
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -32,35 +34,34 @@ def read_xml(spark: SparkSession, path: str, *, with_text: bool = True) -> DataF
     return rows.select(F.monotonically_increasing_id().alias("pos"), "id", "title", "ns", F.col("redirect._title").alias("redirect_to"), F.when(F.size("revision") > 0, last["timestamp"]).alias("timestamp"), F.when(F.size("revision") > 0, text).alias("text"))
 
 
+_START, _END = re.compile(rb"<page[\s>]"), re.compile(rb"</page\s*>")
+
+
+def _page_pieces(xml: bytes) -> Iterator[bytes]:
+    """Each page's bytes. Within a text the tags are escaped, so a tag always cuts; a page without an end is left out."""
+    starts = [m.start() for m in _START.finditer(xml)]
+    for at, following in zip(starts, [*starts[1:], len(xml)], strict=True):
+        if end := _END.search(xml, at, following):
+            yield xml[at : end.end()]
+
+
 def parse_pages(xml: bytes, *, with_text: bool = True) -> Iterator[tuple]:
-    """(id, title, ns, redirect_to, timestamp, text) of the pages in a piece of a dump without its root element."""
-    parser = ET.XMLPullParser(["start", "end"])
+    """(id, title, ns, redirect_to, timestamp, text) of the pages in a piece of a dump, with or without its root element."""
     local = lambda e: e.tag.rpartition("}")[2]
-    parser.feed(b"<mediawiki>")
-    body = xml
-    for tail in (b"</mediawiki>",):
-        body = body.replace(tail, b"") if body.rstrip().endswith(tail) else body
-    if (at := body.find(b"<page>")) > 0:  # a first stream may begin with the root's own start
-        body = body[at:]
-    root = None
-    try:
-        parser.feed(body)
-    except ET.ParseError:
-        return
-    for event, e in parser.read_events():
-        if root is None:
-            root = e
-        if event != "end" or local(e) != "page":
+    for piece in _page_pieces(xml):
+        try:
+            e = ET.fromstring(piece)
+        except ET.ParseError:
             continue
         kids = {local(k): k for k in reversed(list(e))}  # the first of each
         page_id, title = (kids["id"].text or "").strip() if "id" in kids else "", kids["title"].text if "title" in kids else None
+        ns = (kids["ns"].text or "").strip() if "ns" in kids else ""
+        ns = int(ns) if re.fullmatch(r"[+-]?[0-9]{1,9}", ns) else None
         revisions = [k for k in e if local(k) == "revision"]
         parts = {local(k): k for r in revisions for k in r}
         text = (parts["text"].text or "").strip() or None if "text" in parts and with_text else None
-        if page_id.isdigit() and int(page_id) < 2**32 and title:
-            ns = kids["ns"].text if "ns" in kids else None
-            yield int(page_id), title, int(ns) if ns else None, kids["redirect"].get("title") if "redirect" in kids else None, parts["timestamp"].text if "timestamp" in parts else None, text
-        root.clear()
+        if page_id.isdecimal() and int(page_id) < 2**32 and title:
+            yield int(page_id), title, ns, kids["redirect"].get("title") if "redirect" in kids else None, parts["timestamp"].text if "timestamp" in parts else None, text
 
 
 def index_path(dump: str, exists=None) -> str | None:
@@ -99,7 +100,8 @@ def _by_start():
 def read_multistream(spark: SparkSession, dump: str, index: str, *, with_text: bool = True, tasks: int | None = None) -> DataFrame:
     """Pages of a multistream dump; each task takes ranges of streams."""
     fs, at = _opened(dump)
-    ranges = ranges_of(spark.read.text(index), fs.get_file_info(at).size)
+    size = fs.get_file_info(at).size
+    ranges = ranges_of(spark.read.text(index), size).where(F.col("start").between(0, size - 1))
     if ranges.isEmpty():
         raise ValueError(f"no streams in {index}")
     tasks = tasks or spark.sparkContext.defaultParallelism * 4
@@ -109,8 +111,9 @@ def read_multistream(spark: SparkSession, dump: str, index: str, *, with_text: b
         with fs.open_input_file(at) as f:
             for b in batches:
                 for start, length in zip(b["start"], b["length"], strict=True):
+                    packed = f.read_at(int(length), int(start))  # an error of the storage fails the task, which is run again
                     try:
-                        xml = bz2.decompress(f.read_at(int(length), int(start)))
+                        xml = bz2.decompress(packed)
                     except (OSError, ValueError):
                         continue
                     rows = [((int(start) << 20) + i, *p) for i, p in enumerate(parse_pages(xml, with_text=with_text))]
