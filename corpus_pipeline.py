@@ -29,10 +29,21 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (at 0.8 or more) the document of least doc_id, once; documents without doc_id all stay."""
-    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return once.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    """Of each group of near-duplicates (at 0.8 or more) the document of least doc_id, once.
+
+    Where ids are null or repeated, rows are told apart by a number of their own: of each group the row of least doc_id
+    stays (null last). Wordless documents are in no group; of those with the same doc_id one stays, those without all.
+    """
+    if docs.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    told = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    groups = near_duplicates(told.select(F.col("row").alias("doc_id"), "text"), percent=NEAR_PERCENT).withColumnRenamed("doc_id", "row")
+    alone = F.when(F.col("doc_id").isNotNull(), F.struct(F.lit(1).alias("kind"), F.col("doc_id").alias("of"))).otherwise(F.struct(F.lit(2).alias("kind"), F.col("row").alias("of")))
+    group = F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).alias("kind"), F.col("component_id").alias("of"))).otherwise(alone)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
+    kept = told.select("doc_id", "row").join(groups, "row").groupBy(group.alias("group")).agg(first.alias("first")).select("first.row")
+    return told.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
