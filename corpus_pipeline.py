@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept: toxic documents go, one document of
 each group of near-duplicates stays, documents that hold benchmark passages go, personal data gets surrogates, and
-sources are mixed to their target weights. All but the last return the columns of documents.
+a plan for mixing sources to their target weights is added (column taken), which the reader of run()'s rows carries out. All but the last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -57,7 +57,7 @@ def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the words that the mix takes of each (0: none)."""
+    """A plan of the mix: all documents, whole, with the words to take of each (0: none; more than size: repeated). No row is cut or left out here."""
     return mix(docs, carry=REST).select(*COLUMNS, "size", "source_size", "target", "taken")
 
 
