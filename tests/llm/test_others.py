@@ -41,20 +41,6 @@ def test_warc_edges(spark):
     assert warc.read_warc(spark, warc.write_warc(lone, f"{shared_dir(spark)}/w1")).count() == 2
 
 
-def test_compressed_bytes_that_look_like_a_record():
-    inner = b"".join(os.urandom(50) + warc.MAGIC for _ in range(400))
-    import zlib
-
-    def member(b):
-        p = zlib.compressobj(0, zlib.DEFLATED, 31)  # stored as it is, so the magic shows
-        return p.compress(b) + p.flush()
-
-    blob = b"".join(member(warc.record(i, "u", inner, hashlib.sha1(inner).digest(), i, True)) for i in range(5))
-    for step in (333, 10**6):
-        found = [warc.parsed(r)[0][0] for s in range(0, len(blob), step) for r in warc.records(warc.Source(lambda lo, n: blob[lo : lo + n], len(blob)), s, s + step)]
-        assert found == [0, 1, 2, 3, 4]
-
-
 # --- licenses
 
 
