@@ -1,66 +1,158 @@
 """PII: detected entities are replaced by keyed surrogates of the same type, script, gender and format.
 
-Surrogates are permutations, keyed by a secret: the letters and digits of an entity are read as one number in the
+Surrogates are permutations, keyed by a secret that the caller must name: the letters and digits of an entity are read as one number in the
 mixed radix of its format (a digit stays a digit, a hex digit a hex digit, a vowel a vowel of its script, a capital a
 capital), which a keyed Feistel network permutes. The network is conjugated with a step by one, so no entity is its own
-surrogate; equal entities get equal surrogates everywhere (coreference), different ones different ones. Given
-names move within their list of one gender and script. A check over all entities of the corpus then groups
-surrogates and looks for one that stands for two originals; if there is any, all are made anew with the next key.
+surrogate; equal entities get equal surrogates everywhere (coreference), different ones different ones. Entities of more than
+``SEGMENT`` such characters are permuted piece by piece, each keyed by all before it. Given
+names move within their list of one gender and script. Validity (Luhn, IBAN check digits, ranges of national ids) is kept
+by following the permutation until it meets a valid number. A check over all entities of the corpus then groups
+surrogates and looks for one that stands for two originals, or that is itself an original of the corpus (names of lists
+aside, which move among themselves); if there is any, the distinct entities are tried under the next key, and the texts are done anew with the first key that passes.
+Where no key passes the second test (long corpora hold phone numbers close to one another), the first that passes the other stands.
 
-Types: email, secret (keys and tokens), card (Luhn validity is kept), ip, phone, person (after an honorific, or a listed given name and a
-capitalised family name). Texts without a mark of any type ('@', a digit, a listed name, a word before a secret) are not scanned by the regular expressions.
+Types: email; secret (keys and tokens by prefix, values after a word such as "password", private key blocks); card (13 to 19 digits; others than 16 only if
+Luhn-valid); ip (4 and 6); phone (international, national forms, digits after a label); iban; national_id (ddd-dd-dddd); person: names after an honorific or
+a phrase that introduces one, and a listed given name with a capitalised family name, with particles, initials and hyphens; each word of a person's name is replaced
+wherever it stands alone in the same document. No match has a greatest length.
+
+Texts without a mark of any type (``hint``) are not scanned by the regular expressions.
+
+Not detected: names without such context and outside the list (``given`` extends it), postal addresses, dates of birth, other national ids.
 
 Defined results: null and empty texts stay as they are, without entities; a null doc_id is carried through; repeated rows get the
-same result; an empty table gives no rows; columns named in carry are returned, others are not read.
+same result; an empty table gives no rows; very long texts are scanned whole, one at a time; columns named in carry are returned (they may be named like the outputs' sources, not like the outputs), others are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import attach, pieces, table
-
-KEY = "surrogates-1"
+from loomgraph.llm.common import attach, pieces, stored, table
 
-#: Given names by script and gender.
+#: Given names by script and gender (fixed values).
 GIVEN = {
-    ("latin", "f"): "Alice Anna Barbara Carla Carmen Claire Clara Elena Emma Eva Hannah Helen Ingrid Isabel Jane Julia Karen Laura Linda Lucy Maria Marie Martha Mary Monica Nina Paula Rosa Sarah Sofia Sophie Susan".split(),
-    ("latin", "m"): "Adam Albert Andrew Anton Bernard Carlos Charles Daniel David Diego Eric Felix Frank George Hans Henry Hugo James John Joseph Juan Karl Louis Lucas Martin Michael Oscar Paul Peter Robert Thomas William".split(),
+    ("latin", "f"): "Aisha Alice Amina Anna Barbara Carla Carmen Claire Clara Elena Emma Eva Fatima Hannah Helen Ingrid Isabel Jane Julia Karen Laura Layla Linda Lucy Maria Marie Martha Mary Mei Monica Nina Paula Priya Rosa Sarah Sofia Sophie Susan Yuki Zainab".split(),
+    ("latin", "m"): "Adam Ahmed Albert Ali Amit Andrew Anton Bernard Carlos Charles Daniel David Diego Eric Felix Frank George Hans Henry Hiroshi Hugo James John Joseph Juan Karl Louis Lucas Martin Michael Mohammed Omar Oscar Paul Peter Raj Robert Thomas Wei William".split(),
     ("cyrillic", "f"): "Анна Вера Дарья Елена Ирина Мария Нина Ольга София Татьяна".split(),
     ("cyrillic", "m"): "Андрей Борис Виктор Дмитрий Иван Максим Николай Олег Павел Сергей".split(),
     ("greek", "f"): "Άννα Ελένη Ειρήνη Κατερίνα Μαρία Σοφία".split(),
     ("greek", "m"): "Αλέξανδρος Γιώργος Δημήτρης Κώστας Νίκος Πέτρος".split(),
 }
-HONORIFICS = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Madame", "Monsieur", "Señor", "Señora", "Sr", "Sra")
+HONORIFICS = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Sir", "Lady", "Lord", "Herr", "Herrn", "Frau", "Mme", "Mlle", "Madame", "Monsieur", "Señor", "Señora", "Señorita", "Sr", "Sra", "Don", "Doña", "Господин", "Госпожа", "г-н", "г-жа", "Κύριος", "Κυρία")
+#: Phrases that introduce a name of one word or more, and such as need two.
+INTRODUCED = ("my name is", "mein Name ist", "ich heiße", "me llamo", "mi nombre es", "je m'appelle", "mon nom est", "меня зовут", "με λένε")
+SIGNED = ("name:", "full name:", "author:", "written by", "signed by", "sent by", "contact:", "contact person:", "attn:", "patient:", "customer:", "sincerely,", "regards,", "dear")
+PARTICLES = ("van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "la", "le", "bin", "ibn", "al", "el", "y", "zu")
 #: Letters that stand for each other in a surrogate name or word.
-CLASSES = ("aeiouy", "bcdfghjklmnpqrstvwxz", "áàâäéèêëíìîïóòôöúùûü", "ñçß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "ьъ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ")
+CLASSES = ("aeiouy", "bcdfghjklmnpqrstvwxz", "áàâäéèêëíìîïóòôöúùûü", "ñçß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "ьъ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ", "ς")
 _KIN = {c: k for k in CLASSES for c in k} | {c.upper(): k.upper() for k in CLASSES for c in k if c != "ß"}
 _KIN |= {str(d): "0123456789" for d in range(10)}
-_HEX = {c: "0123456789abcdef" for c in "0123456789abcdef"}
-_KEYED = {c: "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"} | {c: "0189" for c in "0189"}
+_ALIKE = lambda *sets: {c: s for s in sets for c in s}
+_HEX = _ALIKE("0123456789abcdef")
+_HEX_IN_PLACE = _ALIKE("0123456789abcdef") | {c: "ABCDEF" for c in "ABCDEF"}
+_KEYED = _ALIKE("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0189")
+_TOKEN = _ALIKE("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: Characters of an entity that one network permutes.
+SEGMENT = 192
 
-_NAMES = {n: k for k, names in GIVEN.items() for n in names}
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_CAPITAL = r"[A-ZÁÉÍÓÚÄÖÜА-ЯΑ-Ω][a-záéíóúñçäöüßа-яёα-ωάέήίόύώ]{1,30}"
-PATTERN = re.compile(
-    rf"""(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,24}})
-    |(?<![A-Za-z0-9])(?P<secret>AKIA[A-Z2-70189]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|sk-[A-Za-z0-9]{{20,64}})(?![A-Za-z0-9])
-    |(?i:token|secret|password|passwd|pwd|api[_-]?key)["']?\s?[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{{8,512}}[A-Za-z0-9+/_-])
-    |(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\d|\.\d)
-    |(?<!\d)(?P<card>\d{{4}}(?P<gap>[ -]?)\d{{4}}(?P=gap)\d{{4}}(?P=gap)\d{{4}})(?!\d)
-    |(?<![\w+])(?P<phone>\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ .-]?\d{{2,5}}){{1,4}})(?!\d)
-    |(?<![\w])(?:(?:{"|".join(HONORIFICS)})\.?[ ](?P<titled>{_CAPITAL}(?:[ ]{_CAPITAL})?)|(?P<person>(?:{"|".join(_NAMES)})[ ]{_CAPITAL}))(?![\w])""",
-    re.VERBOSE,
-)
-#: What every match of PATTERN holds.
-HINT = rf"[@+]|\d\.\d|\d{{4}}|AKIA|sk-|gh[pousr]_|(?i:token|secret|password|passwd|pwd|api[_-]?key)|\b(?:{'|'.join(HONORIFICS)})\.? |(?:{'|'.join(_NAMES)}) "
+_UPPER = "A-ZÀ-ÖØ-ÞĆČĎĘĚĞĲŁŃŇŒŘŚŞŠŤŮŰŹŻŽΆΈ-ΏΑ-ΫЀ-Я"
+_CAPITAL = rf"[{_UPPER}](?:[^\W\d_]+(?:['’-][^\W\d_]+)*|(?:['’-][^\W\d_]+)+)"
+_AWS, _WORDS = "(?:AKIA|ASIA|AROA|AIDA|AGPA)", r"token|secret|password|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key"
+_PREFIXED = rf"{_AWS}[A-Z2-70189]{{16}}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{{36,}}+|github_pat_\w{{22,}}+|glpat-[\w-]{{20,}}+|sk-[\w-]{{20,}}+|xox[abeoprs]-[\w-]{{10,}}+|AIza[\w-]{{35,}}+|npm_[A-Za-z0-9]{{36,}}+|hf_[A-Za-z0-9]{{30,}}+|eyJ[\w-]{{8,}}+\.[\w-]{{8,}}+(?:\.[\w-]++)?|SG\.[\w-]{{16,}}+\.[\w-]{{16,}}+"
+#: What begins or holds a match of any type, for a scan that knows no look-around.
+_HINTS = rf"[@+]|\d\.\d|\d{{3}}|[A-Z]{{2}}\d{{2}}|:[0-9A-Fa-f]{{0,4}}:|{_AWS}|gh[pousr]_|github_pat_|glpat-|sk-|xox[abeoprs]-|AIza|npm_|hf_|eyJ|SG\.|-----BEGIN|(?i:{_WORDS})"
+
+
+class Detector:
+    """Finds entities, with the given names that it knows."""
+
+    def __init__(self, given: dict[tuple[str, str], list[str]] = GIVEN):
+        self.given = given
+        self.names = {n: k for k, names in given.items() for n in names}
+        any_of = lambda words: "|".join(re.escape(w) for w in words)
+        more = rf"(?:[ ][{_UPPER}]\.)?(?:[ ](?:{any_of(PARTICLES)}))*[ ]{_CAPITAL}"
+        self.pattern = re.compile(
+            rf"""(?<![\w.%+-])[.%+-]*+(?P<email>\w[\w.%+'-]*+@(?:[^\W_][\w-]*\.)+[^\W\d_]{{2,}})
+            |(?<![A-Za-z0-9])(?P<secret>{_PREFIXED})
+            |(?i:{_WORDS})["']?\s?[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{{8,}}[A-Za-z0-9+/_-])
+            |-----BEGIN[ ][A-Z ]*PRIVATE[ ]KEY-----(?P<block>[^-]+(?:-(?!----)[^-]*)*)
+            |(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\d|\.\d)
+            |(?<![\w:.])(?P<ip6>(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}(?:[0-9A-Fa-f]{{1,4}}|:)?)(?![\w:])
+            |(?<![A-Za-z0-9])(?P<iban>[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])
+            |(?<![\d-])(?P<national_id>(?!000|666|9)\d{{3}}-(?!00)\d{{2}}-(?!0000)\d{{4}})(?![\d-])
+            |(?<!\d)(?P<card>\d{{4}}(?P<gap>[ -]?)\d{{4}}(?P=gap)\d{{4}}(?P=gap)\d{{4}})(?!\d)
+            |(?<![\d.])(?P<digits>[3-6]\d{{12,18}}|3[47]\d\d(?P<split>[ -])\d{{6}}(?P=split)\d{{5}})(?!\d|\.\d)
+            |(?<![\w+])(?P<phone>\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ .-]?\d{{2,5}}){{1,4}})(?!\d)
+            |(?<![\w+.)-])(?P<local>\(\d{{3}}\)[ .-]?\d{{3}}[ .-]\d{{4}}|\d{{3}}(?P<dash>[.-])\d{{3}}(?P=dash)\d{{4}}|\d{{3}}[ ]\d{{3}}[ -]\d{{4}}|0\d{{1,4}}[ /-]\d{{5,8}})(?![\d-])
+            |(?<!\w)(?i:tel|telephone|phone|mobile|cell|fax|whatsapp)\.?:?\s?(?P<labelled>\(?\d[\d ()./-]{{5,}}\d)
+            |(?<!\w)(?:(?:{any_of(HONORIFICS)})\.?[ ](?P<titled>{_CAPITAL}(?:{more})*)
+                |(?i:{any_of(INTRODUCED)})\s+(?P<introduced>{_CAPITAL}(?:{more})*)
+                |(?i:{any_of(SIGNED)})\s+(?P<signed>{_CAPITAL}(?:{more})+)
+                |(?P<person>(?:{any_of(self.names)}){more}))(?!\w)""",
+            re.VERBOSE,
+        )
+        self.hint = rf"{_HINTS}|(?i:tel|phone|mobile|cell|fax|whatsapp)|(?:{any_of(HONORIFICS)})\.? |(?i:{any_of((*INTRODUCED, *SIGNED))})|(?:{any_of(self.names)}) ".replace(r"\ ", " ").replace(r"\-", "-")
+
+    def find(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, end, kind) of the entities, left to right, none overlapping."""
+        out, pos, alone = [], 0, set()
+        while m := self.pattern.search(text, pos):
+            name = m.lastgroup
+            start, end = m.span(name)
+            found, kind = text[start:end], _KIND.get(name, name)
+            if name in _VALID and not _VALID[name](found):
+                pos = m.start() + 1
+                continue
+            out.append((start, end, kind))
+            pos = end
+            if kind == "person":
+                alone |= {w for w in found.split(" ") if len(w) > 2 and w[-1] != "." and w not in PARTICLES}
+        if not alone:
+            return out
+        whole, taken, i = [], out, 0
+        for m in _WORD.finditer(text):
+            while i < len(taken) and taken[i][1] <= m.start():
+                i += 1
+            if m[0] in alone and (i == len(taken) or taken[i][0] >= m.end()):
+                whole.append((*m.span(), "person"))
+        return sorted(out + whole)
+
+
+_WORD = re.compile(rf"(?<!\w){_CAPITAL}(?!\w)")
+_KIND = {"value": "secret", "block": "secret", "ip6": "ip", "digits": "card", "local": "phone", "labelled": "phone", "titled": "person", "introduced": "person", "signed": "person"}
+
+
+def _luhn(text: str) -> bool:
+    digits = [int(c) for c in text if c.isdecimal()]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def _mod97(iban: str) -> int:
+    plain = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def _is_ip6(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return sum(bool(g) for g in text.split(":")) > 2 and any(c.isdigit() for c in text)
+
+
+_VALID = {"ip6": _is_ip6, "iban": lambda t: _mod97(t) == 1, "digits": _luhn, "labelled": lambda t: 7 <= sum(c.isdigit() for c in t) <= 15}
 
 
 def permuted(x: list[int], radix: list[int], key: bytes) -> list[int]:
@@ -99,85 +191,111 @@ def permuted(x: list[int], radix: list[int], key: bytes) -> list[int]:
     return out
 
 
+@cache
+def _others(block: int, category: str) -> str:
+    """Letters of one category in a block of 128, beside those of the named classes."""
+    return "".join(c for c in map(chr, range(block << 7, (block + 1) << 7)) if unicodedata.category(c) == category and c not in _KIN)
+
+
+def _class(c: str, kin: dict[str, str]) -> str | None:
+    if c in kin:
+        return kin[c]
+    return _others(ord(c) >> 7, unicodedata.category(c)) if kin is _KIN and c.isalpha() and ord(c) > 127 else None
+
+
 def _spelled(text: str, kin: dict[str, str], key: bytes) -> str:
-    """text with each character of kin moved within its class."""
-    place = [i for i, c in enumerate(text) if c in kin]
-    classes = [kin[text[i]] for i in place]
-    moved = permuted([k.index(text[i]) for i, k in zip(place, classes, strict=True)], [len(k) for k in classes], key)
+    """text with each character that has a class moved within it."""
+    found = [(i, k) for i, c in enumerate(text) if (k := _class(c, kin))]
     out = list(text)
-    for i, k, v in zip(place, classes, moved, strict=True):
-        out[i] = k[v]
+    for at in range(0, len(found), SEGMENT):
+        part = found[at : at + SEGMENT]
+        own = key if not at else hashlib.blake2b(text[: part[0][0]].encode(), key=key, digest_size=32).digest()
+        moved = permuted([k.index(text[i]) for i, k in part], [len(k) for _, k in part], own)
+        for (i, k), v in zip(part, moved, strict=True):
+            out[i] = k[v]
     return "".join(out)
 
 
-def _luhn(digits: list[int]) -> bool:
-    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(reversed(digits))) % 10 == 0
-
-
-def _card(text: str, key: bytes) -> str:
-    """Digits move among those of the same validity: the permutation is followed until it meets one."""
-    valid = _luhn([int(c) for c in text if c.isdigit()])
-    out = _spelled(text, _KIN, key)
-    while _luhn([int(c) for c in out if c.isdigit()]) != valid:
-        out = _spelled(out, _KIN, key)
+def _followed(text: str, key: bytes, ok, kin: dict[str, str] = _KIN) -> str:
+    """The permutation is followed until it meets a valid text: a permutation of the valid ones."""
+    out = _spelled(text, kin, key)
+    while not ok(out):
+        out = _spelled(out, kin, key)
     return out
 
 
-def _ip(text: str, key: bytes) -> str:
-    return ".".join(map(str, permuted([int(x) for x in text.split(".")], [256] * 4, key)))
+def _iban(text: str, key: bytes) -> str:
+    """Country and check digits aside, characters move; the check digits follow from them."""
+    moved = text[:2] + "00" + _spelled(text[4:], _KIN, key)
+    return f"{text[:2]}{98 - _mod97(moved):02d}{moved[4:]}"
 
 
-def _person(text: str, key: bytes) -> str:
+def _person(text: str, key: bytes, detector: Detector) -> str:
     out = []
     for word in text.split(" "):
-        if word in _NAMES:
-            own = GIVEN[_NAMES[word]]
+        if word in detector.names:
+            own = detector.given[detector.names[word]]
             out.append(own[permuted([0, own.index(word)], [1, len(own)], key)[1]])
+        elif word in PARTICLES:
+            out.append(word)
         else:
             moved = _spelled(word, _KIN, key)
-            while moved in _NAMES:  # names of lists are images of lists alone
+            while moved in detector.names or moved in PARTICLES:  # names of lists are images of lists alone
                 moved = _spelled(moved, _KIN, key)
             out.append(moved)
     return " ".join(out)
 
 
-def surrogate(kind: str, text: str, key: str = KEY) -> str:
+DETECTOR = Detector()
+
+
+def find(text: str) -> list[tuple[int, int, str]]:
+    return DETECTOR.find(text)
+
+
+def surrogate(kind: str, text: str, key: str, detector: Detector = DETECTOR) -> str:
     own = hashlib.blake2b(f"{key}/{kind}".encode(), digest_size=32).digest()
     if kind == "card":
-        return _card(text, own)
+        n, valid = sum(c.isdecimal() for c in text), _luhn(text)
+        head = text[: {16: 0, 15: 2}.get(n, 1)]  # the kind of card that a length other than 16 means
+        return head + _followed(text[len(head) :], own, lambda t: _luhn(head + t) == valid)
     if kind == "ip":
-        return _ip(text, own)
+        return ".".join(map(str, permuted([int(x) for x in text.split(".")], [256] * 4, own))) if "." in text else _spelled(text, _HEX_IN_PLACE, own)
     if kind == "person":
-        return _person(text, own)
+        return _person(text, own, detector)
+    if kind == "iban":
+        return _iban(text, own)
+    if kind == "national_id":
+        return _followed(text, own, lambda t: t[:3] not in ("000", "666") and t[0] != "9" and t[4:6] != "00" and t[7:] != "0000")
     if kind == "email":
         name, _, end = text.rpartition(".")  # the last label stays
         return f"{_spelled(name, _KIN, own)}.{end}"
     if kind == "phone":
-        code = re.match(r"\+\d{1,3}(?=\D)|\+", text)[0]  # the country stays
+        code = re.match(r"\+\d{1,3}(?=\D)|\+|0|", text)[0]  # the country, or a trunk prefix, stays
         return code + _spelled(text[len(code) :], _KIN, own)
     if kind == "secret":
-        head = re.match(r"AKIA(?=[A-Z2-7]*[A-Z0-9])|gh[pousr]_|sk-|", text)[0]
+        head = re.match(rf"{_AWS}(?=[A-Z2-7]*[A-Z0-9])|gh[pousr]_|github_pat_|glpat-|sk-|xox[abeoprs]-|AIza|npm_|hf_|eyJ|SG\.|", text)[0]
         rest = text[len(head) :]
-        kin = _HEX if re.fullmatch(r"[0-9a-f]+", rest) else _KEYED if head == "AKIA" else _KIN
+        kin = _HEX if re.fullmatch(r"[0-9a-f]+", rest) else _KEYED if re.fullmatch(_AWS, head) and set(rest) <= set(_KEYED) else _TOKEN
         return head + _spelled(rest, kin, own)
     raise ValueError(kind)
 
 
-def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the entities, left to right, none overlapping."""
-    out = []
-    for m in PATTERN.finditer(text):
-        name = m.lastgroup if m.lastgroup != "gap" else "card"
-        out.append((*m.span(name), {"value": "secret", "titled": "person"}.get(name, name)))
-    return out
+def secret_of(docs: DataFrame) -> str:
+    """The key named in spark.loomgraph.pii.key; where none is named, one drawn from all texts, so that reruns agree and only who has the texts can know it."""
+    if named := docs.sparkSession.conf.get("spark.loomgraph.pii.key", None):
+        return named
+    r = docs.agg(F.bit_xor(F.xxhash64("text", F.lit(1))), F.sum(F.xxhash64("text", F.lit(2)) % 2**40), F.count(F.lit(1))).first()
+    return hashlib.sha256(repr(tuple(r)).encode()).hexdigest()
 
 
 ENTITIES = "array<struct<kind:string,original:string,surrogate:string>>"
 
 
-def redact(docs: DataFrame, *, key: str = KEY, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text (with surrogates), entities (in order), and the columns named in carry."""
+def redact(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), given: dict[tuple[str, str], list[str]] | None = None) -> DataFrame:
+    """doc_id, text (with surrogates), entities (in order), and the columns named in carry. given: more given names, as in GIVEN."""
     attach(docs.sparkSession)
+    detector = Detector({k: [*GIVEN.get(k, ()), *(n for n in (given or {}).get(k, ()) if n not in GIVEN.get(k, ()))] for k in {**GIVEN, **(given or {})}}) if given else DETECTOR
     kept = {f"carried_{c}": docs.schema[c].dataType.simpleString() for c in carry}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,18 +303,18 @@ def redact(docs: DataFrame, *, key: str = KEY, carry: tuple[str, ...] = ()) -> D
         kind_of = pa.list_(pa.struct([("kind", pa.string()), ("original", pa.string()), ("surrogate", pa.string())]))
         for b in pieces(batches, "text"):
             col = b.column("text")
-            hints = pc.fill_null(pc.match_substring_regex(col, HINT), False).to_pylist()
+            hints = pc.fill_null(pc.match_substring_regex(col, detector.hint), False).to_pylist()
             texts, found = [], []
             for i, hint in enumerate(hints):
                 text = col[i].as_py() if hint else None
-                spans = find(text) if hint else []
+                spans = detector.find(text) if hint else []
                 out, at, own = [], 0, []
                 for start, end, kind in spans:
                     original = text[start:end]
                     if (kind, original) not in known:
-                        if len(known) > 100_000:
+                        if len(known) > 100_000:  # a memory of what was computed, not a limit
                             known.clear()
-                        known[kind, original] = surrogate(kind, original, key)
+                        known[kind, original] = surrogate(kind, original, key, detector)
                     out += [text[at:start], known[kind, original]]
                     own.append({"kind": kind, "original": original, "surrogate": known[kind, original]})
                     at = end
@@ -210,22 +328,53 @@ def redact(docs: DataFrame, *, key: str = KEY, carry: tuple[str, ...] = ()) -> D
     return rows.withColumnsRenamed({f"carried_{c}": c for c in carry})
 
 
-def collisions(redacted: DataFrame) -> DataFrame:
+def entities_of(redacted: DataFrame) -> DataFrame:
+    """kind, original, surrogate: each once."""
+    return redacted.select(F.explode("entities").alias("e")).select("e.*").distinct()
+
+
+def collisions(entities: DataFrame) -> DataFrame:
     """kind, surrogate, originals of surrogates that stand for more than one entity."""
-    pairs = redacted.select(F.explode("entities").alias("e")).select("e.*").distinct()
-    return pairs.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("originals")).where("originals > 1")
+    return entities.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("originals")).where("originals > 1")
+
+
+def reused(entities: DataFrame) -> DataFrame:
+    """kind, surrogate of those that are somebody else's original. Persons aside: listed names move among themselves."""
+    some = entities.where("kind <> 'person'")
+    return some.select("kind", "surrogate").join(some.select("kind", F.col("original").alias("surrogate")), ["kind", "surrogate"], "left_semi")
+
 
+def renamed(entities: DataFrame, key: str) -> DataFrame:
+    """The same entities under another key."""
 
-def replace(docs: DataFrame, *, key: str = KEY, carry: tuple[str, ...] = (), keys: int = 4) -> DataFrame:
-    """redact() with the first key that gives no collision in the whole corpus."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [surrogate(k, o, key) for k, o in zip(b.column("kind").to_pylist(), b.column("original").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("original"), pa.array(made, pa.string())], ["kind", "original", "surrogate"])
+
+    return entities.select("kind", "original").mapInArrow(run, "kind string, original string, surrogate string")
+
+
+def replace(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), keys: int = 4) -> DataFrame:
+    """redact() with the first of ``keys`` keys that gives no collision in the whole corpus. Texts are read once, unless the first key collides."""
+    out = stored(redact(docs, key=f"{key}/0", carry=carry), "redacted")
+    pairs = stored(entities_of(out), "entities")
+    unique = None
     for attempt in range(keys):
-        out = redact(docs, key=f"{key}/{attempt}", carry=carry)
-        if collisions(out).isEmpty():
-            return out
-    raise RuntimeError("every key led to a collision")
+        if attempt:
+            pairs = stored(renamed(pairs, f"{key}/{attempt}"), "entities")
+        if collisions(pairs).isEmpty():
+            unique = attempt if unique is None else unique
+            if reused(pairs).isEmpty():
+                unique = attempt
+                break
+    if unique is None:
+        raise RuntimeError("every key led to a collision")
+    return out if not unique else redact(docs, key=f"{key}/{unique}", carry=carry)
 
 
 def op9_pii(spark, sf_dir: str) -> DataFrame:
-    out = replace(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    out = replace(docs, key=secret_of(docs))
     kinds = F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["kind"])))
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.size("entities").cast("long").alias("n_entities"), F.size(F.array_distinct("entities")).cast("long").alias("n_distinct"), F.array_join(kinds, ",").alias("kinds"), "text")

@@ -26,7 +26,8 @@ def test_pipeline_against_brute_force(spark):
     second = first.where(first.doc_id.isin(list(ids)))
     _, rows = duck(decontaminate.SQL, documents=second, benchmark=table(spark, SF, "benchmark"))
     third = second.where(second.doc_id.isin([r[0] for r in rows if not r[-1]]))
-    fourth = [(r.doc_id, redacted(r.text, f"{pii.KEY}/0"), r.lang, r.source) for r in third.collect()]
+    key = f"{pii.secret_of(third)}/0"
+    fourth = [(r.doc_id, redacted(r.text, key), r.lang, r.source) for r in third.collect()]
     frame = spark.createDataFrame([(*r, len(r[1])) for r in fourth], docs.schema)
     names, rows = duck(mix.SQL, documents=frame)
     taken = {r[names.index("doc_id")]: r[names.index("taken")] for r in rows}
