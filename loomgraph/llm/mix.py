@@ -8,7 +8,8 @@ cut at exactly its whole-word budget; a budget beyond the source's size repeats
 
 Defined results: null, empty and wordless texts have size 0 and give 0 words; a null source is a source, the last; a null
 doc_id has the key of an empty id; rows of equal key are ordered by doc_id, then size, so repeated rows are interchangeable; a
-source of size 0 has target 0; an empty table gives no rows; clashing columns are not read unless carried.
+source of size 0 has target 0; an empty table gives no rows; very long texts are counted whole; clashing columns are not read unless carried (any but the outputs' own
+names may be). Carried columns go through the windows only where ids repeat or are null, for then nothing else tells rows apart.
 """
 
 from __future__ import annotations
@@ -45,6 +46,11 @@ def _targets(totals: DataFrame, weights: tuple[int, ...], most: int) -> DataFram
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document, and the columns named in carry."""
     attach(docs.sparkSession)
+    if carry and docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id is null or n > 1").isEmpty():
+        # Ids tell rows apart: windows run over narrow rows, which then meet the texts in one join that sorts nothing.
+        narrow = mix(docs, weights=weights, most=most)
+        wide = docs.select("doc_id", *(F.col(c).alias(f"carried_{c}") for c in carry))
+        return wide.join(narrow.hint("shuffle_hash"), "doc_id").select(*narrow.columns, *(F.col(f"carried_{c}").alias(c) for c in carry))
     sized = docs.select(
         F.col("doc_id"),
         F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit(""))).alias("sk"),

@@ -68,6 +68,16 @@ def test_mix_budgets(make, corpus):
     assert [tuple(r) for r in mix.mix(make([(1, None)])).collect()] == [(1, 0, 0, 0.0, 0)]
     carried = mix.mix(make(corpus), carry=("text", "source"))
     assert plain(carried.select("doc_id", "size", "source_size", "target", "taken")) == plain(mix.mix(make(corpus)))
+    twice = make(corpus + [(1, "other words", "s0"), (None, "x", "s1")])
+    carried = mix.mix(twice, carry=("text", "score"))
+    assert plain(carried.select("doc_id", "size", "source_size", "target", "taken")) == plain(mix.mix(twice))
+    assert {r.text for r in carried.where("doc_id = 1").collect()} == {corpus[1][1], "other words"}
+    assert {r.score for r in carried.collect()} == {"x"}
+
+
+def test_mix_of_long_texts(make):
+    out = {r.doc_id: r for r in mix.mix(make([(1, "w " * 300_000, "a"), (2, "v" * 500_000, "b"), (3, "x y", "b")])).collect()}
+    assert (out[1].size, out[2].size, out[3].size) == (300_000, 1, 2)
 
 
 @pytest.fixture
@@ -90,11 +100,31 @@ def test_decontaminate_against_sql(leaky):
 
 def test_decontaminate_joined_path_agrees(leaky):
     docs, bench = leaky
-    assert plain(decontaminate.decontaminate(docs, bench, max_local=0)) == plain(decontaminate.decontaminate(docs, bench))
-    carried = [decontaminate.decontaminate(docs, bench, max_local=n, carry=("text", "lang")).where("contaminated") for n in (0, 10**6)]
+    assert plain(decontaminate.decontaminate(docs, bench, max_local=-1)) == plain(decontaminate.decontaminate(docs, bench))
+    carried = [decontaminate.decontaminate(docs, bench, max_local=n, carry=("text", "lang")).where("contaminated") for n in (-1, 10**6)]
     assert plain(carried[0].select("doc_id", "text", "lang", "n_hit")) == plain(carried[1].select("doc_id", "text", "lang", "n_hit"))
 
 
+def test_decontaminate_long_text_and_clashing_columns(leaky, make):
+    docs, bench = leaky
+    item = bench.where("item_id = 1").first().text
+    long = make([(1, "filler words " * 100_000 + item + " and more " * 50_000), (2, "filler words " * 100_000)])
+    for max_local in (-1, 10**9):
+        got = {r.doc_id: r for r in decontaminate.decontaminate(long, bench, max_local=max_local, carry=("score", "mark", "source")).collect()}
+        assert (got[1].n_words, got[1].n_hit >= 30, got[2].contaminated) == (200_000 + len(item.split()) + 100_000, True, False)
+        assert (got[1].score, got[1].mark, got[1].source) == ("x", "z", "s")
+
+
+def test_decontaminate_a_window_that_all_documents_hold(make, spark):
+    """One fingerprint is the join key of every document."""
+    shared = " ".join(WORDS[:10])
+    docs = make([(i, f"a{i} {shared} z{i}") for i in range(300)] + [(None, shared), (7, shared)])
+    bench = spark.createDataFrame([(i, f"b{i} {shared}") for i in range(20)], "item_id long, text string")
+    for max_local in (-1, 10**9):
+        got = decontaminate.decontaminate(docs, bench, max_local=max_local).collect()
+        assert {(r.n_hit, r.n_items) for r in got} == {(10, 20)} and len(got) == 302
+
+
 def test_decontaminate_empty_tables(leaky, make):
     docs, bench = leaky
     assert decontaminate.decontaminate(make([]), bench).count() == 0
