@@ -5,8 +5,14 @@ the characters from its start to one beyond its end; an edit therefore re-encode
 the edited place until a boundary of the new text falls on an old one, and updates the sums on the paths to the blocks
 that it touched. Nothing else is read again.
 
+Trees are kept as a table (``token_trees``: the text, lengths and counts of its pre-tokens, sizes of blocks, both arrays of sums), and a batch of edits
+turns one such table into the next (``edit_trees``): what a batch does not touch is neither encoded nor cut into pre-tokens again, and
+trees without edits pass by as they are. Edits come as a table (doc_id, seq, start, length, replacement) or as a column of the trees.
+
 Defined results: null and empty texts have 0 tokens, and edits apply to them as to any text; starts and lengths beyond the text are cut to
-it; a null replacement is empty, a null edit is none; a null doc_id is carried through; repeated rows are counted each; an empty table gives no rows; other columns are not read.
+it; a null replacement is empty, a null edit is none; edits of equal seq are taken in order of their other fields; edits of a doc_id that
+several rows share apply to each, those of a null or unknown one to none; a null doc_id is carried through; repeated rows are counted each; an empty table gives no rows;
+very long texts are held whole, one at a time; other columns, also of clashing names, are not read.
 """
 
 from __future__ import annotations
@@ -14,13 +20,14 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import attach, pieces, table
+from loomgraph.llm.common import attach, pieces, stored, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pre-token pattern of this vocabulary (fixed value).
@@ -51,8 +58,21 @@ class Counter:
             return [known[p] for p in pre]
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the greatest needs (1, 2 or 4)."""
+    top = int(x.max(initial=0))
+    return x.astype("<u1" if top < 256 else "<u2" if top < 65536 else "<u4").tobytes()
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
 class Tree:
-    """Blocks of pre-tokens under a binary tree of sums. ``reencoded`` counts the pre-tokens encoded since it was built."""
+    """Blocks of pre-tokens under a binary tree of sums. ``reencoded`` counts the pre-tokens encoded since it was built or loaded.
+
+    A loaded tree cuts a block into its pre-tokens only when an edit reaches it.
+    """
 
     def __init__(self, text: str, counter: Counter):
         self.counter = counter
@@ -60,6 +80,47 @@ class Tree:
         pre = counter.find(text)
         self._build(pre, counter.counts(pre))
 
+    @classmethod
+    def loaded(cls, row: dict, counter: Counter) -> Tree:
+        """From the columns of a row of token_trees."""
+        self = cls.__new__(cls)
+        self.counter, self.reencoded = counter, 0
+        sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
+        self._kept = row["text"] or "", _unpacked(row["lengths"], row["pretokens"]), _unpacked(row["counts"], row["pretokens"])
+        self.blocks = [None] * len(sizes)
+        self.width = 1 << (len(sizes) - 1).bit_length()
+        self.chars, self.sums = np.frombuffer(row["chars"], "<u8").tolist(), np.frombuffer(row["sums"], "<u8").tolist()
+        self._places = np.concatenate([[0], np.cumsum(sizes)])
+        self._starts = np.concatenate([[0], np.cumsum(self.chars[self.width : self.width + len(sizes)])]).astype(np.int64)
+        return self
+
+    def saved(self) -> dict:
+        """The columns that loaded() reads, and the text."""
+        parts = [self._span(i) for i in range(len(self.blocks))]
+        lengths, counts = (np.concatenate([p[j] for p in parts]).astype(np.int64) for j in (0, 1))
+        sizes = np.array([len(p[0]) for p in parts], "<u4")
+        return {"text": self.text, "pretokens": len(lengths), "lengths": _packed(lengths), "counts": _packed(counts), "sizes": sizes.tobytes(), "chars": np.array(self.chars, "<u8").tobytes(), "sums": np.array(self.sums, "<u8").tobytes()}
+
+    def _span(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and counts of a block's pre-tokens."""
+        if self.blocks[i] is not None:
+            return np.array([len(p) for p in self.blocks[i][0]], np.int64), np.array(self.blocks[i][1], np.int64)
+        part = slice(self._places[i], self._places[i + 1])
+        return self._kept[1][part], self._kept[2][part]
+
+    def _open(self, i: int) -> tuple[list[str], list[int]]:
+        """A block's pre-tokens and their counts."""
+        if self.blocks[i] is None:
+            lengths, counts = self._span(i)
+            ends = (self._starts[i] + np.cumsum(lengths)).tolist()
+            text, at = self._kept[0], [int(self._starts[i]), *ends[:-1]]
+            self.blocks[i] = [text[a:b] for a, b in zip(at, ends, strict=True)] if ends else [], counts.tolist()
+        return self.blocks[i]
+
+    @property
+    def pretokens(self) -> int:
+        return sum(len(self._span(i)[0]) for i in range(len(self.blocks)))
+
     def _build(self, pre: list[str], counts: list[int]) -> None:
         self.blocks = [(pre[i : i + BLOCK], counts[i : i + BLOCK]) for i in range(0, len(pre), BLOCK)] or [([], [])]
         self.width = 1 << (len(self.blocks) - 1).bit_length()
@@ -82,7 +143,7 @@ class Tree:
 
     @property
     def text(self) -> str:
-        return "".join("".join(p) for p, _ in self.blocks)
+        return "".join("".join(x[0]) if x is not None else self._kept[0][self._starts[i] : self._starts[i + 1]] for i, x in enumerate(self.blocks))
 
     def _locate(self, at: int) -> tuple[int, int]:
         """The last block that begins at or before a character (and is not empty, or is the first), and where it begins."""
@@ -102,14 +163,14 @@ class Tree:
             return
         # The first pre-token that sees the edited place: its end lies less than 2 before it.
         block, at = self._locate(max(0, start - 2))
-        pre = self.blocks[block][0]
+        pre = self._open(block)[0]
         first = 0
         while first < len(pre) and at + len(pre[first]) + 2 <= start:
             at += len(pre[first])
             first += 1
         if first == len(pre) and block + 1 < len(self.blocks):  # it begins the next block that has any
             block, first = block + 1, 0
-            while not self.blocks[block][0] and block + 1 < len(self.blocks):
+            while not self._open(block)[0] and block + 1 < len(self.blocks):
                 block += 1
         old_end, here = start + length, at
         # Old text is taken in, pre-token by pre-token, as the scan of the new text asks for it.
@@ -118,11 +179,11 @@ class Tree:
 
         def take() -> bool:
             nonlocal last, place, ends
-            while place >= len(self.blocks[last][0]):
+            while place >= len(self._open(last)[0]):
                 if last + 1 >= len(self.blocks):
                     return False
                 last, place = last + 1, 0
-            p = self.blocks[last][0][place]
+            p = self._open(last)[0][place]
             place += 1
             taken.append(len(p))
             ends += len(p)
@@ -155,13 +216,13 @@ class Tree:
                 while ends > reached:
                     while place == 0:
                         last -= 1
-                        place = len(self.blocks[last][0])
+                        place = len(self._open(last)[0])
                     place -= 1
                     ends -= taken.pop()
                 break
         counts = self.counter.counts(fresh)
         self.reencoded += len(fresh)
-        head, tail = self.blocks[block], self.blocks[last]
+        head, tail = self._open(block), self._open(last)
         joined = head[0][:first] + fresh, head[1][:first] + counts
         rest = tail[0][place:], tail[1][place:]
         if last == block:
@@ -171,7 +232,8 @@ class Tree:
             for i in range(block + 1, last):
                 self.blocks[i] = [], []
         if len(self.blocks[block][0]) > 4 * BLOCK:
-            self._build([p for b in self.blocks for p in b[0]], [c for b in self.blocks for c in b[1]])
+            every = [self._open(i) for i in range(len(self.blocks))]
+            self._build([p for b in every for p in b[0]], [c for b in every for c in b[1]])
             return
         touched = set()
         for i in range(block, last + 1):
@@ -189,37 +251,90 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def token_counts(docs: DataFrame, *, vocabulary: str = VOCABULARY, edits: str | None = None) -> DataFrame:
-    """doc_id, tokens, pretokens, tokens_edited, chars_edited, reencoded. edits: a column of array<struct<start, length, replacement>>, applied in order."""
+KEPT = "text string, tokens long, pretokens long, lengths binary, counts binary, sizes binary, chars binary, sums binary"
+_KINDS = {"text": pa.string(), "tokens": pa.int64(), "pretokens": pa.int64(), "lengths": pa.binary(), "counts": pa.binary(), "sizes": pa.binary(), "chars": pa.binary(), "sums": pa.binary()}
+EDIT = "array<struct<start:long,length:long,replacement:string>>"
+
+
+def _batch(ids: pa.Array, rows: list[dict], kinds: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids, *(pa.array([r[c] for r in rows], t) for c, t in kinds.items())], ["doc_id", *kinds])
+
+
+def token_trees(docs: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id and KEPT: the tree of every document, to be stored."""
     spark = attach(docs.sparkSession)
     sent = spark.sparkContext.broadcast(ranks_of(vocabulary))  # a vocabulary of fixed size
-    edit_col = F.expr(edits) if edits else F.lit(None)
-    rows = docs.select("doc_id", "text", edit_col.cast("array<struct<start:long,length:long,replacement:string>>").alias("edits"))
-
-    def apply(tree: Tree, edits: Iterable[dict | None] | None) -> None:
-        for e in edits or ():
-            if e is not None:
-                tree.edit(e["start"] or 0, e["length"] or 0, e["replacement"] or "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(sent.value)
         for b in pieces(batches, "text"):
-            out = []
-            for text, changes in zip(b.column("text").to_pylist(), b.column("edits").to_pylist(), strict=True):
+            rows = []
+            for text in b.column("text").to_pylist():
                 tree = Tree(text or "", counter)
-                before = tree.tokens, sum(len(p) for p, _ in tree.blocks)
-                apply(tree, changes)
-                out.append((*before, tree.tokens, tree.length, tree.reencoded))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(x, pa.int64()) for x in zip(*out, strict=True))], ["doc_id", "tokens", "pretokens", "tokens_edited", "chars_edited", "reencoded"])
+                rows.append(tree.saved() | {"tokens": tree.tokens, "text": text})
+            yield _batch(b.column("doc_id"), rows, _KINDS)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {KEPT}")
+
+
+def _apply(tree: Tree, edits: Iterable[dict | None] | None) -> None:
+    for e in edits or ():
+        if e is not None:
+            tree.edit(e["start"] or 0, e["length"] or 0, e["replacement"] or "")
+
+
+def edit_trees(trees: DataFrame, edits: DataFrame | str, *, vocabulary: str = VOCABULARY, counts_only: bool = False) -> DataFrame:
+    """The trees after a batch of edits: doc_id, KEPT, and reencoded (pre-tokens encoded for it); or, counts only: doc_id, tokens, pretokens, tokens_edited, chars_edited, reencoded.
+
+    edits: a table (doc_id, seq, start, length, replacement), or an expression over the trees of type EDIT. The edits of one document are held with its tree.
+    """
+    spark = attach(trees.sparkSession)
+    sent = spark.sparkContext.broadcast(ranks_of(vocabulary))
+    id_kind = trees.schema["doc_id"].dataType.simpleString()
+    columns = [c for c in _KINDS]
+    if isinstance(edits, str):
+        touched, rest = trees.select("doc_id", *columns, F.expr(edits).cast(EDIT).alias("edits")), None
+    else:
+        one = F.struct("seq", "start", "length", "replacement")
+        batch = edits.where("doc_id is not null").groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("e"))
+        batch = batch.select("doc_id", F.transform("e", lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length"), x["replacement"].alias("replacement"))).cast(EDIT).alias("edits"))
+        touched, rest = trees.join(batch, "doc_id").select("doc_id", *columns, "edits"), trees.join(batch.select("doc_id"), "doc_id", "left_anti")
+    counts = {"tokens": pa.int64(), "pretokens": pa.int64(), "tokens_edited": pa.int64(), "chars_edited": pa.int64(), "reencoded": pa.int64()}
+    kinds = counts if counts_only else _KINDS | {"reencoded": pa.int64()}
 
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tokens long, pretokens long, tokens_edited long, chars_edited long, reencoded long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(sent.value)
+        for b in pieces(batches, "text"):
+            rows = []
+            for row in b.to_pylist():
+                tree = Tree.loaded(row, counter)
+                _apply(tree, row["edits"])
+                if counts_only:
+                    rows.append({"tokens": row["tokens"], "pretokens": row["pretokens"], "tokens_edited": tree.tokens, "chars_edited": tree.length, "reencoded": tree.reencoded})
+                else:
+                    rows.append(tree.saved() | {"tokens": tree.tokens, "reencoded": tree.reencoded})
+            yield _batch(b.column("doc_id"), rows, kinds)
+
+    schema = f"doc_id {id_kind}, " + ("tokens long, pretokens long, tokens_edited long, chars_edited long, reencoded long" if counts_only else f"{KEPT}, reencoded long")
+    out = touched.mapInArrow(run, schema)
+    if rest is None:
+        return out
+    same = [F.col("tokens").alias("tokens_edited"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars_edited")]
+    still = rest.select("doc_id", "tokens", "pretokens", *same, F.lit(0).cast("long").alias("reencoded")) if counts_only else rest.select("doc_id", *columns, F.lit(0).cast("long").alias("reencoded"))
+    return out.unionByName(still)
+
+
+def token_counts(docs: DataFrame, *, vocabulary: str = VOCABULARY, edits: str | None = None) -> DataFrame:
+    """doc_id, tokens, pretokens, tokens_edited, chars_edited, reencoded of documents whose trees are not kept. edits: as an expression."""
+    return edit_trees(token_trees(docs, vocabulary=vocabulary), edits or "null", vocabulary=vocabulary, counts_only=True)
 
 
-#: The edits of the query: a replaced word in the middle, a deletion at the start, words added towards the end.
+#: The edits of the query, to the trees that it kept: a replaced word in the middle, a deletion at the start, words added towards the end.
 EDITS = """array(named_struct('start', cast(length(text) div 2 as bigint), 'length', 6L, 'replacement', 'edited'),
                  named_struct('start', 0L, 'length', 3L, 'replacement', ''),
                  named_struct('start', cast(length(text) * 3 div 4 as bigint), 'length', 0L, 'replacement', ' some added words'))"""
 
 
 def op5_tokens(spark, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), edits=EDITS)
+    trees = stored(token_trees(table(spark, sf_dir, "documents")), "trees")
+    return edit_trees(trees, EDITS, counts_only=True)
