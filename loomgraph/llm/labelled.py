@@ -1,8 +1,8 @@
 """Fitting a text classifier on a bounded sample of labelled rows, and scoring every whole text with it.
 
-The sample's ids are the ``rows`` labelled ones of least hash among texts of at most ``longest`` characters; only those
-ids (a bounded table) are broadcast to find their texts, and one task fits the model. A model is a pickled object of
-some MB whose size does not depend on the input.
+The sample's ids are the ``rows`` labelled ones of least hash; only those ids (a bounded table) are broadcast to find their texts, of which those
+of at most ``longest`` characters are learned from, whole, so one task can hold them and fit the model. Both bounds are parameters of the
+classifiers; scoring has none. A model is a pickled object of some MB whose size does not depend on the input.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm.common import attach, pieces
 
-#: Labelled rows that a model is fitted on at most, and the longest text among them.
+#: Labelled rows that a model is fitted on at most, and the longest of them that is learned from, in characters.
 ROWS, LONGEST = 6_000, 20_000
 
 
@@ -27,7 +27,7 @@ def part(parts: int) -> F.Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, rows: int, longest: int) -> DataFrame:
-    """doc_id, y, text of the rows to learn from; a doc_id with several labels counts as 1 if any is 1."""
+    """doc_id, y, text of the rows to learn from, fewer than ``rows`` where texts are longer; a doc_id with several labels counts as 1 if any is 1."""
     ids = labels.where(f"doc_id is not null and {label} is not null").where(part(parts) != held)
     ids = ids.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
     picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

@@ -1,18 +1,19 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 Texts are lower-cased (A-Z) bytes, white space as one kind; n-grams of 5, 7 and 9 bytes are hashed to 2**21 buckets and
-count once for a text. Each bucket's scale is the log ratio of its smoothed shares in the two classes; the
-buckets whose counts differ most from chance are kept, and a logistic regression with an L2 penalty is fitted on the
-scaled presences. Scoring touches every byte of every text once for each n and sums the weights of distinct kept buckets.
+count once for a text. Each bucket's scale is the log ratio of its smoothed shares in the two classes; the ``kept``
+buckets whose counts differ most from chance, by ``least_surprise`` deviations at least, in ``least_count`` texts at least, are the model's features (parameters of the fit,
+like the sample's), and a logistic regression with an L2 penalty is fitted on the scaled presences. Scoring touches every byte of every text once for each n and sums the weights of distinct kept buckets.
 
 Defined results: null and empty texts have no n-gram and score by the intercept alone; a null doc_id is carried
 through, not held out; repeated rows score alike; labels without both classes give every text their mean (0.5 if none);
-an empty table gives no rows. Labels, lang, source and doc_id are not inputs of a score.
+an empty table gives no rows; very long texts are scored whole, one at a time; columns named in carry are returned (any but the outputs' own names), others, also of clashing names, are not read. Labels, lang, source and doc_id are not inputs of a score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,9 @@ from loomgraph.llm.common import PIECE_BYTES, attach, table
 from loomgraph.llm.labelled import LONGEST, fit, prior, sample, scored, sigmoid
 from loomgraph.llm.words import U64, bytes_of, stream
 
-GRAMS, BITS, KEPT = (5, 7, 9), 21, 6000
+GRAMS, BITS = (5, 7, 9), 21
+#: Features at most; texts of the sample that a feature is in, and deviations from chance, at least.
+KEPT, LEAST_COUNT, LEAST_SURPRISE = 6000, 4, 3.0
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -66,7 +69,7 @@ def _slices(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         start = end
 
 
-def train(col: pa.Array, y: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> dict:
+def train(col: pa.Array, y: np.ndarray, *, kept: int = KEPT, least_count: int = LEAST_COUNT, least_surprise: float = LEAST_SURPRISE, penalty: float = 1e-4, steps: int = 400) -> dict:
     if len(np.unique(y)) < 2:
         return {"constant": prior(y)}
     every, counts = np.ones(1 << BITS, bool), np.zeros((2, 1 << BITS))
@@ -81,14 +84,14 @@ def train(col: pa.Array, y: np.ndarray, penalty: float = 1e-4, steps: int = 400)
     # Signed root of the likelihood ratio of each bucket's counts against one common share.
     both = counts.sum(axis=0)
     expected = both * (n[1] / n.sum())
-    surprise = np.where(both >= 4, (counts[1] - expected) / np.sqrt(np.maximum(expected * n[0] / n.sum(), 1e-9)), 0)
-    top = np.argsort(-np.abs(surprise), kind="stable")[:KEPT]
-    top = np.sort(top[np.abs(surprise[top]) >= 3])
-    kept = np.zeros(1 << BITS, bool)
-    kept[top] = True
+    surprise = np.where(both >= least_count, (counts[1] - expected) / np.sqrt(np.maximum(expected * n[0] / n.sum(), 1e-9)), 0)
+    top = np.argsort(-np.abs(surprise), kind="stable")[:kept]
+    top = np.sort(top[np.abs(surprise[top]) >= least_surprise])
+    chosen = np.zeros(1 << BITS, bool)
+    chosen[top] = True
     rows, cols = [], []
     for start, piece in _slices(col):
-        doc, bucket = _present(piece, kept)
+        doc, bucket = _present(piece, chosen)
         rows.append(doc + start)
         cols.append(np.searchsorted(top, bucket))
     r, c = np.concatenate(rows), np.concatenate(cols)
@@ -104,7 +107,7 @@ def train(col: pa.Array, y: np.ndarray, penalty: float = 1e-4, steps: int = 400)
         b -= 0.03 * (mb / fix) / (np.sqrt(vb / fix2) + 1e-8)
     weight = np.zeros(1 << BITS, np.float32)
     weight[top] = w * x
-    return {"kept": kept, "weight": weight, "bias": b}
+    return {"kept": chosen, "weight": weight, "bias": b}
 
 
 def score(model: dict, col: pa.Array) -> np.ndarray:
@@ -114,10 +117,13 @@ def score(model: dict, col: pa.Array) -> np.ndarray:
     return sigmoid(model["bias"] + np.bincount(doc, weights=model["weight"][bucket], minlength=len(col)))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = 12_000, longest: int = LONGEST, threshold: float = 0.7, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document, and the columns in carry; learned from documents whose crc32 mod 3 is not 1."""
+def toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = 12_000, longest: int = LONGEST, kept: int = KEPT, least_count: int = LEAST_COUNT, least_surprise: float = LEAST_SURPRISE, threshold: float = 0.7, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, and the columns in carry; learned from documents whose crc32 mod 3 is not 1.
+
+    rows, longest: bounds of the sample that the model is fitted on; kept, least_count, least_surprise: bounds of its features.
+    """
     attach(docs.sparkSession)
-    model = fit(sample(docs, labels, "toxic", 3, 1, rows, longest), train)
+    model = fit(sample(docs, labels, "toxic", 3, 1, rows, longest), partial(train, kept=kept, least_count=least_count, least_surprise=least_surprise))
     return scored(docs, model, score, threshold, 3, 1, carry)
 
 
