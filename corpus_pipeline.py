@@ -14,7 +14,7 @@ from loomgraph.llm.common import stored, table
 from loomgraph.llm.decontaminate import decontaminate
 from loomgraph.llm.mix import mix
 from loomgraph.llm.near import near_duplicates
-from loomgraph.llm.pii import replace
+from loomgraph.llm.pii import replace, secret_of
 from loomgraph.llm.toxicity import toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -53,7 +53,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data and secrets."""
-    return replace(docs, carry=("lang", "source")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return replace(docs, key=secret_of(docs), carry=("lang", "source")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
