@@ -16,7 +16,8 @@ Luhn-valid); ip (4 and 6); phone (international, national forms, digits after a
 a phrase that introduces one, and a listed given name with a capitalised family name, with particles, initials and hyphens; each word of a person's name is replaced
 wherever it stands alone in the same document. No match has a greatest length.
 
-Texts without a mark of any type (``hint``) are not scanned by the regular expressions.
+Each group of types has a mark (``MARKS``) that a linear scan of a whole batch looks for; the expressions of a group run only over texts that hold its mark.
+Of matches that overlap, the one that begins first stays, of such the one of the type named first.
 
 Not detected: names without such context and outside the list (``given`` extends it), postal addresses, dates of birth, other national ids.
 
@@ -70,9 +71,32 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _UPPER = "A-ZÀ-ÖØ-ÞĆČĎĘĚĞĲŁŃŇŒŘŚŞŠŤŮŰŹŻŽΆΈ-ΏΑ-ΫЀ-Я"
 _CAPITAL = rf"[{_UPPER}](?:[^\W\d_]+(?:['’-][^\W\d_]+)*|(?:['’-][^\W\d_]+)+)"
 _AWS, _WORDS = "(?:AKIA|ASIA|AROA|AIDA|AGPA)", r"token|secret|password|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key"
-_PREFIXED = rf"{_AWS}[A-Z2-70189]{{16}}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{{36,}}+|github_pat_\w{{22,}}+|glpat-[\w-]{{20,}}+|sk-[\w-]{{20,}}+|xox[abeoprs]-[\w-]{{10,}}+|AIza[\w-]{{35,}}+|npm_[A-Za-z0-9]{{36,}}+|hf_[A-Za-z0-9]{{30,}}+|eyJ[\w-]{{8,}}+\.[\w-]{{8,}}+(?:\.[\w-]++)?|SG\.[\w-]{{16,}}+\.[\w-]{{16,}}+"
-#: What begins or holds a match of any type, for a scan that knows no look-around.
-_HINTS = rf"[@+]|\d\.\d|\d{{3}}|[A-Z]{{2}}\d{{2}}|:[0-9A-Fa-f]{{0,4}}:|{_AWS}|gh[pousr]_|github_pat_|glpat-|sk-|xox[abeoprs]-|AIza|npm_|hf_|eyJ|SG\.|-----BEGIN|(?i:{_WORDS})"
+#: Each alternative begins with plain letters, so that a scan can skip to their first ones.
+_PREFIXED = "|".join(rf"{head}[A-Z2-70189]{{16}}(?![A-Za-z0-9])" for head in ("AKIA", "ASIA", "AROA", "AIDA", "AGPA")) + rf"|gh[pousr]_[A-Za-z0-9]{{36,}}+|github_pat_\w{{22,}}+|glpat-[\w-]{{20,}}+|sk-[\w-]{{20,}}+|xox[abeoprs]-[\w-]{{10,}}+|AIza[\w-]{{35,}}+|npm_[A-Za-z0-9]{{36,}}+|hf_[A-Za-z0-9]{{30,}}+|eyJ[\w-]{{8,}}+\.[\w-]{{8,}}+(?:\.[\w-]++)?|SG\.[\w-]{{16,}}+\.[\w-]{{16,}}+"
+#: A run of digits and what may part them; long enough ones hold cards, addresses, phone numbers and ids.
+_RUN = re.compile(r"[+(\d][\d ().:/-]+")
+_NUMBERS = re.compile(
+    rf"""(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\d|\.\d)
+    |(?<![\d-])(?P<national_id>(?!000|666|9)\d{{3}}-(?!00)\d{{2}}-(?!0000)\d{{4}})(?![\d-])
+    |(?<!\d)(?P<card>\d{{4}}(?P<gap>[ -]?)\d{{4}}(?P=gap)\d{{4}}(?P=gap)\d{{4}})(?!\d)
+    |(?<![\d.])(?P<digits>[3-6]\d{{12,18}}|3[47]\d\d(?P<split>[ -])\d{{6}}(?P=split)\d{{5}})(?!\d|\.\d)
+    |(?<![\w+])(?P<phone>\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ .-]?\d{{2,5}}){{1,4}})(?!\d)
+    |(?<![\w+.)-])(?P<local>\(\d{{3}}\)[ .-]?\d{{3}}[ .-]\d{{4}}|\d{{3}}(?P<dash>[.-])\d{{3}}(?P=dash)\d{{4}}|\d{{3}}[ ]\d{{3}}[ -]\d{{4}}|0\d{{1,4}}[ /-]\d{{5,8}})(?![\d-])""",
+    re.VERBOSE,
+)
+_LABEL = re.compile(r"(?<!\w)(?i:tel|telephone|phone|mobile|cell|fax|whatsapp)\.?:?\s?\Z")
+_LABELLED = re.compile(r"\(?\d[\d ()./-]{5,}\d")
+_DOMAIN, _LOCAL_MARKS = re.compile(r"(?:[^\W_][\w-]*\.)+[^\W\d_]{2,}"), set("._%+'-")
+_KEYS = re.compile(_PREFIXED)
+_VALUE, _BEFORE_VALUE = re.compile(r"""[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{8,}[A-Za-z0-9+/_-])"""), re.compile(rf"""(?i:{_WORDS})["']?\s?\Z""")
+_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?P<block>[^-]+(?:-(?!----)[^-]*)*)")
+_IP6 = re.compile(r"(?<![\w:.])(?P<ip6>(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9A-Fa-f]{1,4}|:)?)(?![\w:])")
+_IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+
+
+def _begins(text: str, at: int) -> bool:
+    """Whether no letter, digit or underscore precedes a place."""
+    return not at or not (text[at - 1].isalnum() or text[at - 1] == "_")
 
 
 class Detector:
@@ -81,57 +105,114 @@ class Detector:
     def __init__(self, given: dict[tuple[str, str], list[str]] = GIVEN):
         self.given = given
         self.names = {n: k for k, names in given.items() for n in names}
-        any_of = lambda words: "|".join(re.escape(w) for w in words)
-        more = rf"(?:[ ][{_UPPER}]\.)?(?:[ ](?:{any_of(PARTICLES)}))*[ ]{_CAPITAL}"
-        self.pattern = re.compile(
-            rf"""(?<![\w.%+-])[.%+-]*+(?P<email>\w[\w.%+'-]*+@(?:[^\W_][\w-]*\.)+[^\W\d_]{{2,}})
-            |(?<![A-Za-z0-9])(?P<secret>{_PREFIXED})
-            |(?i:{_WORDS})["']?\s?[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{{8,}}[A-Za-z0-9+/_-])
-            |-----BEGIN[ ][A-Z ]*PRIVATE[ ]KEY-----(?P<block>[^-]+(?:-(?!----)[^-]*)*)
-            |(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\d|\.\d)
-            |(?<![\w:.])(?P<ip6>(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}(?:[0-9A-Fa-f]{{1,4}}|:)?)(?![\w:])
-            |(?<![A-Za-z0-9])(?P<iban>[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])
-            |(?<![\d-])(?P<national_id>(?!000|666|9)\d{{3}}-(?!00)\d{{2}}-(?!0000)\d{{4}})(?![\d-])
-            |(?<!\d)(?P<card>\d{{4}}(?P<gap>[ -]?)\d{{4}}(?P=gap)\d{{4}}(?P=gap)\d{{4}})(?!\d)
-            |(?<![\d.])(?P<digits>[3-6]\d{{12,18}}|3[47]\d\d(?P<split>[ -])\d{{6}}(?P=split)\d{{5}})(?!\d|\.\d)
-            |(?<![\w+])(?P<phone>\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}|\+(?!1[ .(-])\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ .-]?\d{{2,5}}){{1,4}})(?!\d)
-            |(?<![\w+.)-])(?P<local>\(\d{{3}}\)[ .-]?\d{{3}}[ .-]\d{{4}}|\d{{3}}(?P<dash>[.-])\d{{3}}(?P=dash)\d{{4}}|\d{{3}}[ ]\d{{3}}[ -]\d{{4}}|0\d{{1,4}}[ /-]\d{{5,8}})(?![\d-])
-            |(?<!\w)(?i:tel|telephone|phone|mobile|cell|fax|whatsapp)\.?:?\s?(?P<labelled>\(?\d[\d ()./-]{{5,}}\d)
-            |(?<!\w)(?:(?:{any_of(HONORIFICS)})\.?[ ](?P<titled>{_CAPITAL}(?:{more})*)
-                |(?i:{any_of(INTRODUCED)})\s+(?P<introduced>{_CAPITAL}(?:{more})*)
-                |(?i:{any_of(SIGNED)})\s+(?P<signed>{_CAPITAL}(?:{more})+)
-                |(?P<person>(?:{any_of(self.names)}){more}))(?!\w)""",
-            re.VERBOSE,
-        )
-        self.hint = rf"{_HINTS}|(?i:tel|phone|mobile|cell|fax|whatsapp)|(?:{any_of(HONORIFICS)})\.? |(?i:{any_of((*INTRODUCED, *SIGNED))})|(?:{any_of(self.names)}) ".replace(r"\ ", " ").replace(r"\-", "-")
-
-    def find(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, kind) of the entities, left to right, none overlapping."""
-        out, pos, alone = [], 0, set()
-        while m := self.pattern.search(text, pos):
-            name = m.lastgroup
-            start, end = m.span(name)
-            found, kind = text[start:end], _KIND.get(name, name)
-            if name in _VALID and not _VALID[name](found):
-                pos = m.start() + 1
+        any_of = lambda words: "|".join(sorted(map(re.escape, words), key=len, reverse=True))
+        more = rf"(?: [{_UPPER}]\.)?(?: (?:{any_of(PARTICLES)}))* {_CAPITAL}"
+        self.named = re.compile(rf"(?:{any_of(self.names)}){more}(?!\w)")
+        self.titled = re.compile(rf"(?:{any_of(HONORIFICS)})\.? (?P<name>{_CAPITAL}(?:{more})*)(?!\w)")
+        self.introduced, self.signed = (re.compile(rf"\s+(?P<name>{_CAPITAL}(?:{more}){least})(?!\w)") for least in "*+")
+        plain = lambda words: "|".join(re.escape(w).replace(r"\ ", " ").replace(r"\-", "-") for w in words)
+        #: What every match of a group holds, for a scan that knows no look-around.
+        self.marks = {
+            "email": "@",
+            "secret": rf"{_AWS}[A-Z0-9]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|github_pat_|glpat-|sk-[A-Za-z0-9_-]{{20}}|xox[abeoprs]-|AIza[A-Za-z0-9_-]{{35}}|npm_[A-Za-z0-9]{{36}}|hf_[A-Za-z0-9]{{30}}|eyJ[A-Za-z0-9_-]{{8}}|SG\.|-----BEGIN|(?i:{_WORDS})[\"']?\s?[=:]",
+            "number": r"\d[\d ().:/-]{4,}\d",
+            "ip6": r"[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:",
+            "iban": r"[A-Z]{2}\d{2} ?[A-Z0-9]{4}",
+            "person": rf"(?:{plain(HONORIFICS)})\.? |(?:{plain(self.names)}) ",
+            "cue": rf"(?i:{plain((*INTRODUCED, *SIGNED))})",
+        }
+
+    def _emails(self, text: str) -> Iterator[tuple[int, int]]:
+        at, before = text.find("@"), 0
+        while at >= 0:
+            start = at
+            while start > before and (text[start - 1].isalnum() or text[start - 1] in _LOCAL_MARKS):
+                start -= 1
+            while start < at and text[start] in ".%+'-":
+                start += 1
+            before = at + 1
+            if start < at and (m := _DOMAIN.match(text, at + 1)):
+                yield start, m.end()
+                before = m.end()
+            at = text.find("@", before)
+
+    def _numbers(self, text: str) -> Iterator[tuple[int, int, str]]:
+        for run in _RUN.finditer(text):
+            start, end = run.span()
+            if end - start < 7:
                 continue
-            out.append((start, end, kind))
-            pos = end
+            label = _LABEL.search(text, max(0, start - 16), start)
+            if label and (m := _LABELLED.match(text, start, end)) and 7 <= sum(c.isdigit() for c in m[0]) <= 15:
+                yield *m.span(), "labelled"
+            while m := _NUMBERS.search(text, start, min(end + 1, len(text))):  # one character more, for what may not follow
+                name = m.lastgroup
+                if name != "digits" or _luhn(m[name]):
+                    yield *m.span(name), name
+                    start = m.end()
+                else:
+                    start = m.start() + 1
+
+    def _persons(self, text: str) -> Iterator[tuple[int, int]]:
+        for m in self.named.finditer(text):
+            if _begins(text, m.start()):
+                yield m.span()
+        for m in self.titled.finditer(text):
+            if _begins(text, m.start()):
+                yield m.span("name")
+
+    def _cued(self, text: str) -> Iterator[tuple[int, int]]:
+        low = text.lower()
+        if len(low) != len(text):  # some letters grow when lowered: those stay as they are
+            low = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+        for phrases, after in ((INTRODUCED, self.introduced), (SIGNED, self.signed)):
+            for phrase in phrases:
+                at = low.find(phrase.lower())
+                while at >= 0:
+                    if _begins(text, at) and (m := after.match(text, at + len(phrase))):
+                        yield m.span("name")
+                    at = low.find(phrase.lower(), at + 1)
+
+    def find(self, text: str, groups: set[str] | None = None) -> list[tuple[int, int, str]]:
+        """(start, end, kind) of the entities, left to right, none overlapping. groups: those whose marks the text holds (all by default)."""
+        on = (lambda g: g in groups) if groups is not None else (lambda g: True)
+        found: list[tuple[int, int, int, str]] = []
+        if on("email"):
+            found += ((a, 0, b, "email") for a, b in self._emails(text))
+        if on("secret"):
+            found += ((m.start(), 1, m.end(), "secret") for m in _KEYS.finditer(text) if _begins(text, m.start()))
+            found += ((m.start("value"), 2, m.end("value"), "secret") for m in _VALUE.finditer(text) if _BEFORE_VALUE.search(text, max(0, m.start() - 24), m.start()))
+            found += ((m.start("block"), 3, m.end("block"), "secret") for m in _BLOCK.finditer(text))
+        if on("ip6"):
+            found += ((m.start(), 4, m.end(), "ip") for m in _IP6.finditer(text) if _is_ip6(m[0]))
+        if on("iban"):
+            found += ((m.start(), 5, m.end(), "iban") for m in _IBAN.finditer(text) if _begins(text, m.start()) and _mod97(m[0]) == 1)
+        if on("number"):
+            found += ((a, 6, b, _KIND.get(k, k)) for a, b, k in self._numbers(text))
+        if on("person"):
+            found += ((a, 7, b, "person") for a, b in self._persons(text))
+        if on("cue"):
+            found += ((a, 8, b, "person") for a, b in self._cued(text))
+        out, end, alone = [], 0, set()
+        for start, _, stop, kind in sorted(found, key=lambda x: (x[0], x[1])):
+            if start < end:
+                continue
+            out.append((start, stop, kind))
+            end = stop
             if kind == "person":
-                alone |= {w for w in found.split(" ") if len(w) > 2 and w[-1] != "." and w not in PARTICLES}
+                alone |= {w for w in text[start:stop].split(" ") if len(w) > 2 and w[-1] != "." and w not in PARTICLES}
         if not alone:
             return out
-        whole, taken, i = [], out, 0
+        whole, i = [], 0
         for m in _WORD.finditer(text):
-            while i < len(taken) and taken[i][1] <= m.start():
+            while i < len(out) and out[i][1] <= m.start():
                 i += 1
-            if m[0] in alone and (i == len(taken) or taken[i][0] >= m.end()):
+            if m[0] in alone and _begins(text, m.start()) and (i == len(out) or out[i][0] >= m.end()):
                 whole.append((*m.span(), "person"))
         return sorted(out + whole)
 
 
-_WORD = re.compile(rf"(?<!\w){_CAPITAL}(?!\w)")
-_KIND = {"value": "secret", "block": "secret", "ip6": "ip", "digits": "card", "local": "phone", "labelled": "phone", "titled": "person", "introduced": "person", "signed": "person"}
+_WORD = re.compile(rf"{_CAPITAL}(?!\w)")
+_KIND = {"digits": "card", "local": "phone", "labelled": "phone"}
 
 
 def _luhn(text: str) -> bool:
@@ -152,9 +233,6 @@ def _is_ip6(text: str) -> bool:
     return sum(bool(g) for g in text.split(":")) > 2 and any(c.isdigit() for c in text)
 
 
-_VALID = {"ip6": _is_ip6, "iban": lambda t: _mod97(t) == 1, "digits": _luhn, "labelled": lambda t: 7 <= sum(c.isdigit() for c in t) <= 15}
-
-
 def permuted(x: list[int], radix: list[int], key: bytes) -> list[int]:
     """Another number of the same mixed radix: a keyed permutation without fixed points (if there is more than one number)."""
     half = len(radix) // 2
@@ -303,11 +381,12 @@ def redact(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), given: dic
         kind_of = pa.list_(pa.struct([("kind", pa.string()), ("original", pa.string()), ("surrogate", pa.string())]))
         for b in pieces(batches, "text"):
             col = b.column("text")
-            hints = pc.fill_null(pc.match_substring_regex(col, detector.hint), False).to_pylist()
+            held = {g: pc.fill_null(pc.match_substring_regex(col, mark), False).to_pylist() for g, mark in detector.marks.items()}
             texts, found = [], []
-            for i, hint in enumerate(hints):
-                text = col[i].as_py() if hint else None
-                spans = detector.find(text) if hint else []
+            for i in range(b.num_rows):
+                groups = {g for g, there in held.items() if there[i]}
+                text = col[i].as_py() if groups else None
+                spans = detector.find(text, groups) if groups else []
                 out, at, own = [], 0, []
                 for start, end, kind in spans:
                     original = text[start:end]
