@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept: toxic documents go, one document of
 each group of near-duplicates stays, documents that hold benchmark passages go, personal data gets surrogates, and
 a plan for mixing sources to their target weights is added (column taken), which the reader of run()'s rows carries out. All but the last return the columns of documents.
+
+Defined results, in every stage: empty tables give no rows; other columns of documents than those named here, whatever their names, are neither read nor
+returned; very long texts are taken whole; rows with equal values in all columns are judged alike, and only the near-duplicates stage
+leaves one of them; null lang, source and n_chars are carried through. What each stage does with null ids and texts is said at the stage.
 """
 
 from __future__ import annotations
@@ -24,7 +28,10 @@ NEAR_PERCENT = 80
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject.
+
+    Null and empty texts score by the model's intercept; a null doc_id has no label. Without labels, or with labels of one class, every text scores their mean (0.5 if none).
+    """
     return toxicity(docs, table(spark, sf_dir, "labels"), carry=REST).where("predicted = 0").select(*COLUMNS)
 
 
@@ -47,17 +54,20 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window with a benchmark item."""
+    """Documents that share no window with a benchmark item. Null, empty and wordless texts share none and stay; null ids stay what they are; an empty benchmark keeps all."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=REST).where("not contaminated").select(*COLUMNS)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data and secrets."""
+    """All documents, with surrogates for personal data and secrets; n_chars is that of the new text. Null and empty texts and null ids stay as they are (n_chars null, 0)."""
     return replace(docs, key=secret_of(docs), carry=("lang", "source")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A plan of the mix: all documents, whole, with the words to take of each (0: none; more than size: repeated). No row is cut or left out here."""
+    """A plan of the mix: all documents, whole, with the words to take of each (0: none; more than size: repeated). No row is cut or left out here.
+
+    Null and empty texts have size 0 and give no words; a null source is a source, the last. Ties of the hash-random key are ordered by doc_id, then size.
+    """
     return mix(docs, carry=REST).select(*COLUMNS, "size", "source_size", "target", "taken")
 
 
