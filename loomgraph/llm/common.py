@@ -24,19 +24,24 @@ def attach(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it names none (tests), one under the warehouse."""
+    """A folder of this application in the one that the cluster names in spark.checkpoint.dir; where it names none (tests), under the warehouse. What is left there goes when the driver ends."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     base = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.shared"
-    if not named and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/loomgraph-{spark.sparkContext.applicationId}"
+    if not named:
+        if not spark.sparkContext.master.startswith("local") and base.startswith(("file:", "/")):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all machines share")
+        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+            spark.sparkContext.setCheckpointDir(base)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/loomgraph-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: lineage ends there and later scans read only their columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

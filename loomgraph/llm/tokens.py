@@ -336,5 +336,5 @@ EDITS = """array(named_struct('start', cast(length(text) div 2 as bigint), 'leng
 
 
 def op5_tokens(spark, sf_dir: str) -> DataFrame:
-    trees = stored(token_trees(table(spark, sf_dir, "documents")), "trees")
+    trees = stored(token_trees(table(spark, sf_dir, "documents")), "trees", "zstd")
     return edit_trees(trees, EDITS, counts_only=True)
