@@ -1,0 +1,58 @@
+"""The pipeline on nulls, empty texts, repeated rows, clashing columns and empty tables."""
+
+import pytest
+
+import corpus_pipeline
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, entities string, size long, predicted string, taken string"
+
+
+def written(spark, tmp_path, docs, labels=(), items=()):
+    spark.createDataFrame([(*d, 1.0, "e", 7, "p", "t") for d in docs], DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def words(prefix, n=30):
+    return " ".join(f"{prefix}{i}" for i in range(n))
+
+
+def test_odd_rows(spark, tmp_path):
+    shared = words("leak", 12)
+    docs = [(i, f"fine words {words(f'd{i}x')}", "en", "a", 10) for i in range(40)]
+    docs += [(i, f"horrid nasty vile words {words(f't{i}x')} horrid nasty vile", "en", "b", 10) for i in range(50, 90)]
+    labels = [(i, 1, 0) for i in range(40)] + [(i, 1, 1) for i in range(50, 90)]
+    docs += [(100, None, None, None, None), (101, "", "en", None, 0), (102, words("copy"), "en", "a", 1), (103, words("copy"), "en", "a", 1), (104, f"has {shared} in it", "en", "a", 1), (105, "mail anna@x.org now", None, "c", 3)]
+    docs += [(None, words("none"), "en", "a", 1), (None, words("none"), "en", "a", 1), (102, words("other"), "en", "a", 1), (102, words("copy"), "en", "a", 1), (106, "long " + words("l", 60_000), "en", "c", 1)]
+    out = corpus_pipeline.run(spark, written(spark, tmp_path, docs, labels, [(1, shared), (2, None), (None, "x")]))
+    assert out.columns == [*corpus_pipeline.COLUMNS, "size", "source_size", "target", "taken"]
+    got = out.collect()
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.doc_id, []).append(r)
+    assert not set(range(50, 90)) & set(by_id)
+    assert set(range(40)) <= set(by_id)
+    assert 103 not in by_id and 104 not in by_id
+    assert sorted(r.text for r in by_id[102]) == sorted([words("copy"), words("other")])
+    assert [r.text for r in by_id[None]] == [words("none")]
+    assert (by_id[100][0].text, by_id[100][0].n_chars, by_id[101][0].text) == (None, None, "")
+    assert "anna@x.org" not in by_id[105][0].text
+    assert by_id[106][0].size == 60_001
+    for source in {r.source for r in got}:
+        own = [r for r in got if r.source == source]
+        assert sum(r.taken for r in own) == int(own[0].target)
+
+
+@pytest.mark.parametrize("docs", [[], [(1, "only one document", "en", "s", 3)]])
+def test_empty_tables(spark, tmp_path, docs):
+    got = corpus_pipeline.run(spark, written(spark, tmp_path, docs)).collect()
+    assert [(r.doc_id, r.text, r.taken) for r in got] == [(1, "only one document", 3)] * len(docs)
+
+
+def test_every_stage_returns_the_columns_of_documents(spark, tmp_path):
+    folder = written(spark, tmp_path, [(i, words(f"d{i}x"), "en", "s", 3) for i in range(6)], [(0, 1, 1), (1, 1, 0)], [(1, "q " * 12)])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == list(corpus_pipeline.COLUMNS)

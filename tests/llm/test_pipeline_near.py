@@ -46,3 +46,15 @@ def test_pairs_at_80_are_found(make):
     got = near.near_duplicates(make(items), percent=80).collect()
     assert plain(near.near_duplicates(make(items), percent=81).where("kept").select("doc_id")) == sorted([(i,) for i in range(120)], key=str)
     assert sorted(r.doc_id for r in got if r.kept) == list(range(0, 120, 2))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_recall_of_pairs_of_unequal_sizes(make, percent):
+    """Sets inside larger ones, exactly at the threshold, of 80 to 2,000 shingles: every pair is linked."""
+    items = []
+    for i in range(150):
+        n = 100 * (1 + i % 20)
+        words = [f"w{i}x{k}" for k in range(n + 4)]
+        items += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[: n * percent // 100 + 4]))]
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(make(items), percent=percent).collect()}
+    assert sum(got[2 * i + 1] == 2 * i for i in range(150)) == 150
