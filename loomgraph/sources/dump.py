@@ -1,19 +1,23 @@
 """MediaWiki XML dumps as pages: pos, id, title, ns, redirect_to, timestamp, text.
 
 A multistream dump is read in parallel: its index gives the byte range of each bz2 stream, and tasks seek, decompress
-and parse their own. Any other dump goes through Spark's XML source, one task for each file; stage it to Parquet first.
+and parse their own. A dump may be one file or many, each with its index. Any other dump goes through Spark's XML source, one task for each file; stage it to Parquet first.
 
-Deliberate choices: redirect targets are unescaped like titles; a malformed page is left out alone (and, in the XML
-source, kept in ``_corrupt``); a stream whose bytes are no bz2 gives no pages, and
-a storage that fails to read them fails the task; the last revision's text and timestamp count.
+Deliberate choices: redirect targets are unescaped like titles; a malformed page is left out alone; a stream whose bytes are no bz2 gives no pages, and
+a storage that fails to read them fails the task; the last revision's text and timestamp count. What is left out is not silent: with ``problems=True`` a reader has
+a row for each of these, without an id, and with what is wrong in the column ``problem`` ("page", "stream", "index line").
+
+``write_multistream`` writes pages as such a dump: many files, each written by one task with its index.
 """
 
 from __future__ import annotations
 
 import bz2
 import re
+import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -24,14 +28,19 @@ PAGES = "pos long, id long, title string, ns int, redirect_to string, timestamp
 _XML = "id long, title string, ns int, redirect struct<_title:string>, revision array<struct<timestamp:string,text:struct<_VALUE:string,`_xml:space`:string>>>, _corrupt string"
 
 
-def read_xml(spark: SparkSession, path: str, *, with_text: bool = True) -> DataFrame:
-    """Pages of a plain or compressed dump. Without text, no text is kept by the parser."""
+def read_xml(spark: SparkSession, path: str, *, with_text: bool = True, with_timestamp: bool = True, problems: bool = False) -> DataFrame:
+    """Pages of a plain or compressed dump. Without text, or timestamp, none is kept by the parser."""
     schema = _XML if with_text else _XML.replace(",text:struct<_VALUE:string,`_xml:space`:string>", "")
     raw = spark.read.format("xml").option("rowTag", "page").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(schema).load(path)
     last = F.element_at("revision", -1)
     text = F.nullif(F.regexp_replace(last["text"]["_VALUE"], r"(?dU)\A\s+|\s+\z", ""), F.lit("")) if with_text else F.lit(None).cast("string")
-    rows = raw.where("id is not null and title is not null and id between 0 and 4294967295")
-    return rows.select(F.monotonically_increasing_id().alias("pos"), "id", "title", "ns", F.col("redirect._title").alias("redirect_to"), F.when(F.size("revision") > 0, last["timestamp"]).alias("timestamp"), F.when(F.size("revision") > 0, text).alias("text"))
+    stamp = last["timestamp"] if with_timestamp else F.lit(None).cast("string")
+    fine = F.expr("id is not null and title is not null and id between 0 and 4294967295")
+    pages = [F.monotonically_increasing_id().alias("pos"), "id", "title", "ns", F.col("redirect._title").alias("redirect_to"), F.when(F.size("revision") > 0, stamp).alias("timestamp"), F.when(F.size("revision") > 0, text).alias("text")]
+    if not problems:
+        return raw.where(fine).select(*pages)
+    rows = raw.select(fine.alias("fine"), *pages)
+    return rows.select("pos", *(F.when(F.col("fine"), F.col(c)).alias(c) for c in ("id", "title", "ns", "redirect_to", "timestamp", "text")), F.when(~F.col("fine"), F.lit("page")).alias("problem"))
 
 
 _START, _END = re.compile(rb"<page[\s>]"), re.compile(rb"</page\s*>")
@@ -40,28 +49,42 @@ _START, _END = re.compile(rb"<page[\s>]"), re.compile(rb"</page\s*>")
 def _page_pieces(xml: bytes) -> Iterator[bytes]:
     """Each page's bytes. Within a text the tags are escaped, so a tag always cuts; a page without an end is left out."""
     starts = [m.start() for m in _START.finditer(xml)]
-    for at, following in zip(starts, [*starts[1:], len(xml)], strict=True):
+    for at, following in zip(starts, [*starts, len(xml)][1:], strict=True):
         if end := _END.search(xml, at, following):
             yield xml[at : end.end()]
 
 
-def parse_pages(xml: bytes, *, with_text: bool = True) -> Iterator[tuple]:
-    """(id, title, ns, redirect_to, timestamp, text) of the pages in a piece of a dump, with or without its root element."""
+def _page(piece: bytes, with_text: bool, with_timestamp: bool) -> tuple | None:
+    """(id, title, ns, redirect_to, timestamp, text); None if the page is malformed or has no id or title."""
     local = lambda e: e.tag.rpartition("}")[2]
-    for piece in _page_pieces(xml):
-        try:
-            e = ET.fromstring(piece)
-        except ET.ParseError:
-            continue
-        kids = {local(k): k for k in reversed(list(e))}  # the first of each
-        page_id, title = (kids["id"].text or "").strip() if "id" in kids else "", kids["title"].text if "title" in kids else None
-        ns = (kids["ns"].text or "").strip() if "ns" in kids else ""
-        ns = int(ns) if re.fullmatch(r"[+-]?[0-9]{1,9}", ns) else None
-        revisions = [k for k in e if local(k) == "revision"]
-        parts = {local(k): k for r in revisions for k in r}
-        text = (parts["text"].text or "").strip() or None if "text" in parts and with_text else None
-        if page_id.isdecimal() and int(page_id) < 2**32 and title:
-            yield int(page_id), title, ns, kids["redirect"].get("title") if "redirect" in kids else None, parts["timestamp"].text if "timestamp" in parts else None, text
+    try:
+        e = ET.fromstring(piece)
+    except ET.ParseError:
+        return None
+    kids = {local(k): k for k in reversed(list(e))}  # the first of each
+    page_id, title = (kids["id"].text or "").strip() if "id" in kids else "", kids["title"].text if "title" in kids else None
+    ns = (kids["ns"].text or "").strip() if "ns" in kids else ""
+    ns = int(ns) if re.fullmatch(r"[+-]?[0-9]{1,9}", ns) else None
+    revisions = [k for k in e if local(k) == "revision"]
+    parts = {local(k): k for r in revisions for k in r}
+    text = (parts["text"].text or "").strip() or None if "text" in parts and with_text else None
+    if not (page_id.isdecimal() and int(page_id) < 2**32 and title):
+        return None
+    stamp = parts["timestamp"].text if "timestamp" in parts and with_timestamp else None
+    return int(page_id), title, ns, kids["redirect"].get("title") if "redirect" in kids else None, stamp, text
+
+
+def parse_pages(xml: bytes, *, with_text: bool = True, with_timestamp: bool = True, bad: list[int] | None = None) -> Iterator[tuple]:
+    """(id, title, ns, redirect_to, timestamp, text) of the pages in a piece of a dump, with or without its root element. bad: gets the ordinals of pages left out."""
+    n = 0
+    for n, piece in enumerate(_page_pieces(xml), 1):
+        page = _page(piece, with_text, with_timestamp)
+        if page is not None:
+            yield page
+        elif bad is not None:
+            bad.append(n)
+    if bad is not None:
+        bad += range(n + 1, len(_START.findall(xml)) + 1)  # pages without an end
 
 
 def index_path(dump: str, exists=None) -> str | None:
@@ -86,51 +109,130 @@ def ranges_of(lines: DataFrame, size: int) -> DataFrame:
 
     The index holds about one offset for a hundred pages, and its order is global, so this window is over some 10^5 rows.
     """
-    parts = F.split("value", ":", 3)
-    starts = lines.where(F.size(parts) == 3).select(parts[0].try_cast("bigint").alias("start")).where("start is not null").distinct()
-    return starts.select("start", (F.lead("start", 1, size).over(_by_start()) - F.col("start")).alias("length"))
+    starts = _starts(lines).select("start").distinct()
+    return starts.select("start", F.expr(f"lead(start, 1, {size}L) over (order by start) - start as length"))
 
 
-def _by_start():
-    from pyspark.sql import Window
+def _starts(lines: DataFrame, *more: str) -> DataFrame:
+    parts = F.split("value", ":", 3)
+    return lines.where(F.size(parts) == 3).select(*more, parts[0].try_cast("bigint").alias("start")).where("start is not null")
 
-    return Window.orderBy("start")
 
+def _sizes(files: list[str]) -> list[int]:
+    return [fs.get_file_info(at).size for fs, at in map(_opened, files)]
 
-def read_multistream(spark: SparkSession, dump: str, index: str, *, with_text: bool = True, tasks: int | None = None) -> DataFrame:
-    """Pages of a multistream dump; each task takes ranges of streams."""
-    fs, at = _opened(dump)
-    size = fs.get_file_info(at).size
-    ranges = ranges_of(spark.read.text(index), size).where(F.col("start").between(0, size - 1))
+
+def read_multistream(spark: SparkSession, dump: str | list[str], index: str | list[str], *, with_text: bool = True, with_timestamp: bool = True, tasks: int | None = None, problems: bool = False) -> DataFrame:
+    """Pages of a multistream dump of one file or several, each with its index; each task takes ranges of streams. Positions follow the order of the files."""
+    dumps, indexes = ([x] if isinstance(x, str) else list(x) for x in (dump, index))
+    sizes = _sizes(dumps)
+    if len(dumps) == 1:
+        lines = spark.read.text(indexes[0])
+        ranges = ranges_of(lines, sizes[0]).where(F.col("start").between(0, sizes[0] - 1)).withColumn("file", F.lit(0))
+    else:
+        names = spark.createDataFrame([(i.rpartition("/")[2], n, s) for n, (i, s) in enumerate(zip(indexes, sizes, strict=True))], "name string, file int, size long")
+        lines = spark.read.text(indexes).withColumn("name", F.substring_index(F.input_file_name(), "/", -1)).join(F.broadcast(names), "name")  # one row for each file
+        starts = _starts(lines, "file", "size").where(F.col("start").between(0, F.col("size") - 1)).distinct()
+        ranges = starts.select("start", F.expr("coalesce(lead(start) over (partition by file order by start), size) - start as length"), "file")
     if ranges.isEmpty():
         raise ValueError(f"no streams in {index}")
     tasks = tasks or spark.sparkContext.defaultParallelism * 4
+    columns = [c.split()[0] for c in PAGES.split(", ")] + ["problem"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, at = _opened(dump)
-        with fs.open_input_file(at) as f:
-            for b in batches:
-                for start, length in zip(b["start"], b["length"], strict=True):
-                    packed = f.read_at(int(length), int(start))  # an error of the storage fails the task, which is run again
-                    try:
-                        xml = bz2.decompress(packed)
-                    except (OSError, ValueError):
-                        continue
-                    rows = [((int(start) << 20) + i, *p) for i, p in enumerate(parse_pages(xml, with_text=with_text))]
-                    if rows:
-                        out = pd.DataFrame(rows, columns=["pos", "id", "title", "ns", "redirect_to", "timestamp", "text"])
-                        yield out.astype({"ns": "Int32"})
-
-    return ranges.repartitionByRange(tasks, "start").mapInPandas(run, PAGES)
-
-
-def read_dump(spark: SparkSession, dump: str, *, index: str | None = None, with_text: bool = True) -> DataFrame:
+        held, f = None, None
+        for b in batches:
+            for start, length, n in zip(b["start"].tolist(), b["length"].tolist(), b["file"].tolist(), strict=True):
+                if n != held:
+                    fs, at = _opened(dumps[n])
+                    held, f = n, fs.open_input_file(at)
+                packed = f.read_at(length, start)  # an error of the storage fails the task, which is run again
+                bad, what = [], "page"
+                try:
+                    xml = bz2.decompress(packed)
+                except (OSError, ValueError):
+                    xml, bad, what = b"", [1], "stream"
+                first = (n << 58 | start << 18) if len(dumps) > 1 else start << 20
+                rows = [(first + i, *p, None) for i, p in enumerate(parse_pages(xml, with_text=with_text, with_timestamp=with_timestamp, bad=bad))]
+                if problems:
+                    rows += [(first + i, *[None] * 6, what) for i in bad]
+                if rows:
+                    yield pd.DataFrame(rows, columns=columns).astype({"id": "Int64", "ns": "Int32"})[columns if problems else columns[:-1]]
+
+    pages = ranges.repartitionByRange(tasks, "file", "start").mapInPandas(run, PAGES + (", problem string" if problems else ""))
+    if not problems:
+        return pages
+    odd = lines.where("size(split(value, ':', 3)) < 3 or try_cast(split(value, ':', 3)[0] as bigint) is null")
+    blank = [F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in PAGES.split(", ")]
+    return pages.unionByName(odd.select(*blank, F.lit("index line").alias("problem")))
+
+
+def read_dump(spark: SparkSession, dump: str, *, index: str | None = None, with_text: bool = True, problems: bool = False) -> DataFrame:
     """Pages of a dump, in parallel where an index is given or lies beside it."""
     fs, at = _opened(dump)
     if fs.get_file_info(at).type == pafs.FileType.NotFound:
         raise FileNotFoundError(dump)
     index = index or index_path(dump)
-    return read_multistream(spark, dump, index, with_text=with_text) if index else read_xml(spark, dump, with_text=with_text)
+    return read_multistream(spark, dump, index, with_text=with_text, problems=problems) if index else read_xml(spark, dump, with_text=with_text, problems=problems)
 
 
-__all__ = ["PAGES", "index_path", "parse_pages", "ranges_of", "read_dump", "read_multistream", "read_xml"]
+_NOT_XML = re.compile("[^\t\n\r\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")
+
+
+def page_xml(page_id: int, title: str, ns: int | None, redirect_to: str | None, timestamp: str | None, text: str | None) -> str:
+    """One page of a dump. Characters that XML cannot hold become U+FFFD."""
+    body = lambda x: escape(_NOT_XML.sub("\ufffd", x), {"\r": "&#13;"})
+    parts = [f"<title>{body(title)}</title>"] + ([f"<ns>{ns}</ns>"] if ns is not None else []) + [f"<id>{page_id}</id>"]
+    if redirect_to is not None:
+        parts.append(f"<redirect title={quoteattr(_NOT_XML.sub(chr(0xFFFD), redirect_to), {chr(13): '&#13;', chr(10): '&#10;', chr(9): '&#9;'})} />")
+    revision = ([f"<timestamp>{body(timestamp)}</timestamp>"] if timestamp is not None else []) + ([f'<text xml:space="preserve">{body(text)}</text>'] if text is not None else ["<text />"])
+    return f"<page>{''.join(parts)}<revision>{''.join(revision)}</revision></page>\n"
+
+
+def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream: int = 100) -> list[tuple[str, str, int]]:
+    """(dump, index, pages) of the files written: pages in order of pos, ``per_stream`` in each bz2 stream.
+
+    Each task attempt writes files under names of its own and reports them, and only reported ones are returned (one short row for each of ``files``).
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        dump = f"{folder}/part-{uuid.uuid4().hex}-multistream.xml.bz2"
+        fs, at = _opened(dump)
+        fs.create_dir(at.rpartition("/")[0], recursive=True)
+        held, lines, offset, n, first = [], [], 0, 0, None
+        out = None
+
+        def flush() -> None:
+            nonlocal offset
+            packed = bz2.compress("".join(x for _, _, x in held).encode())
+            lines.extend(f"{offset}:{i}:{t}\n" for i, t, _ in held)
+            out.write(packed)
+            offset += len(packed)
+            held.clear()
+
+        none = lambda x: None if x is None or x != x else x
+        for b in batches:
+            for pos, page_id, title, ns, *rest in b.itertuples(index=False):
+                if out is None:
+                    out, first = fs.open_output_stream(at, compression=None), pos
+                ns = none(ns)
+                held.append((int(page_id), title.replace("\n", " "), page_xml(int(page_id), title, None if ns is None else int(ns), *map(none, rest))))
+                n += 1
+                if len(held) == per_stream:
+                    flush()
+        if out is None:
+            return
+        if held:
+            flush()
+        out.close()
+        index = dump.removesuffix(".xml.bz2") + "-index.txt.bz2"
+        with fs.open_output_stream(_opened(index)[1], compression=None) as f:
+            f.write(bz2.compress("".join(lines).encode()))
+        yield pd.DataFrame({"first": [first], "dump": [dump], "index": [index], "pages": [n]})
+
+    rows = pages.where("id is not null and title is not null").select("pos", "id", "title", "ns", "redirect_to", "timestamp", "text")
+    done = rows.repartitionByRange(files, "pos").sortWithinPartitions("pos").mapInPandas(run, "first long, dump string, index string, pages long").collect()
+    return [(r.dump, r["index"], r.pages) for r in sorted(done)]
+
+
+__all__ = ["PAGES", "index_path", "parse_pages", "page_xml", "ranges_of", "read_dump", "read_multistream", "read_xml", "write_multistream"]

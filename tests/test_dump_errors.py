@@ -42,6 +42,47 @@ def test_multistream_with_malformed_page_and_stream(spark, multistream):
     assert sorted(r.id for r in dump.read_multistream(spark, *multistream).collect()) == [1, 3, 4]
 
 
+def test_what_is_left_out_is_told(spark, multistream):
+    got = dump.read_multistream(spark, *multistream, problems=True).collect()
+    assert sorted((r.id, r.problem) for r in got if r.id) == [(1, None), (3, None), (4, None)]
+    assert sorted(r.problem for r in got if r.problem) == ["page", "stream"]
+
+
+def test_index_lines_and_pages_without_an_end(spark, tmp_path):
+    packed = bz2.compress((PAGE.format(1) + PAGE.format(2).replace("</page>", "")).encode())
+    (tmp_path / "d.xml.bz2").write_bytes(packed)
+    (tmp_path / "i.txt").write_text("0:1:a\nno line\nx:2:b\n0:2:c\n")
+    got = dump.read_multistream(spark, str(tmp_path / "d.xml.bz2"), str(tmp_path / "i.txt"), problems=True).collect()
+    assert sorted(str(r.problem) for r in got) == ["None", "index line", "index line", "page"]
+
+
+def test_xml_source_tells_malformed_pages(spark, tmp_path):
+    (tmp_path / "w.xml").write_text("<mediawiki>" + PAGE.format(1) + PAGE.format(2).replace("<id>2</id>", "<id>x</id>") + PAGE.format(3) + "</mediawiki>")
+    got = dump.read_xml(spark, str(tmp_path / "w.xml"), problems=True).collect()
+    assert sorted((r.id or 0, r.problem or "") for r in got) == [(0, "page"), (1, ""), (3, "")]
+    assert dump.read_xml(spark, str(tmp_path / "w.xml"), with_timestamp=False).where("timestamp is not null").count() == 0
+
+
+ODD = [(1, 1, "A & <B>", 0, None, "t", " x\r\ny ]]> &amp; "), (2, 2, "Ünï \"q\"", None, "To \"it\" & <b>", None, None), (3, 4294967295, "c", -1, None, None, "bad \x01 char"), (4, 7, "d", 14, None, "t", "")]
+
+
+def test_multistream_round_trip(spark, tmp_path):
+    more = [(10 + i, 10 + i, f"T{i}", 0, None, "t", "é" * i) for i in range(250)]
+    pages = spark.createDataFrame(ODD + more, dump.PAGES).repartition(5)
+    files = dump.write_multistream(pages, str(tmp_path / "out"), files=3, per_stream=20)
+    assert len(files) == 3 and sum(f[2] for f in files) == 254
+    assert all(dump.index_path(f[0]) == f[1] for f in files)
+    got = dump.read_multistream(spark, [f[0] for f in files], [f[1] for f in files])
+    want = [(1, "A & <B>", 0, None, "t", "x\r\ny ]]> &amp;"), (2, "Ünï \"q\"", None, "To \"it\" & <b>", None, None), (4294967295, "c", -1, None, None, "bad \ufffd char"), (7, "d", 14, None, "t", None)]
+    want += [(i, t, n, r, s, x.strip() or None) for _, i, t, n, r, s, x in more]
+    key = lambda r: r[0]
+    assert sorted((tuple(r) for r in got.drop("pos").collect()), key=key) == sorted(want, key=key)
+    order = [r.id for r in got.orderBy("pos").collect()]
+    assert order == [r[1] for r in ODD + more]
+    alone = dump.read_multistream(spark, *files[0][:2])
+    assert alone.count() == files[0][2]
+
+
 def test_storage_errors_fail_the_task(spark, multistream):
     class Broken:
         def __enter__(self):
@@ -76,6 +117,9 @@ def _task(spark, dump, multistream):
         def where(self, *_):
             return self
 
+        def withColumn(self, *_):
+            return self
+
         def isEmpty(self):
             return False
 
@@ -89,4 +133,4 @@ def _task(spark, dump, multistream):
     with pytest.MonkeyPatch.context() as m:
         m.setattr(dump, "ranges_of", lambda *_: Frame())
         dump.read_multistream(spark, *multistream)
-    return held["f"](iter([pd.DataFrame({"start": [0], "length": [10]})]))
+    return held["f"](iter([pd.DataFrame({"start": [0], "length": [10], "file": [0]})]))
