@@ -3,9 +3,7 @@
 REDIRECT_HOPS = 4
 BLOB_SHARDS = 1000
 CSV_SHARDS = 8
-MANIFEST_VERSION = 3
-CHECKPOINT_INTERVAL = 10_000
-BATCH_SIZE = 10_000
+MANIFEST_VERSION = 4
 STORE_DIR = "graph.store"
 PAGERANK_ITERATIONS = 20
 PAGERANK_DAMPING = 0.85

@@ -1,9 +1,15 @@
-"""Degree, PageRank and communities of a link graph: vertices(id), edges(src, dst), edges kept with their multiplicity."""
+"""Degree, PageRank and communities of a link graph: vertices(id), edges(src, dst), edges kept with their multiplicity.
+
+Iterations keep the edges in a bucketed table, by the end that meets the values of a round: a round reads them as they lie, and only the values of
+vertices and the pre-aggregated sums move. An end with more than ``CUT`` neighbours is cut into parts that lie in
+buckets of their own; the few vertices with parts send their value to each.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -12,17 +18,25 @@ from pyspark.sql import functions as F
 
 from loomgraph.config import LABEL_ROUNDS, PAGERANK_DAMPING, PAGERANK_EPSILON, PAGERANK_ITERATIONS
 
+#: Neighbours of one vertex in one bucket at most, about.
+CUT = 1_000_000
+
 
 def _folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.shared"
-    return f"{named.rstrip('/')}/loomgraph-{spark.sparkContext.applicationId}/graph-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.shared"
+    if not named and not spark.sparkContext.master.startswith("local") and base.startswith(("file:", "/")):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all machines share")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/loomgraph-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)  # what is still there when the driver ends
+    return f"{path.toString()}/graph-{uuid.uuid4().hex}"
 
 
 class Rounds:
     """Tables of an iteration, written to the shared folder; the one before last is deleted, so disk use stays at two rounds."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.folder, self.n = spark, _folder(spark), 0
+        self.spark, self.folder, self.n, self.tables, self.named = spark, _folder(spark), 0, [], []
 
     def _delete(self, path: str) -> None:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,12 +45,33 @@ class Rounds:
     def put(self, df: DataFrame, name: str = "") -> DataFrame:
         path = f"{self.folder}/{name or self.n}"
         df.write.parquet(path)
-        if not name:
+        if name:
+            self.named.append(name)
+        else:
             self.n += 1
             if self.n > 2:
                 self._delete(f"{self.folder}/{self.n - 3}")
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """df as a table whose buckets are the shuffle partitions of a join by these columns."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables.append(f"loomgraph_{name}_{uuid.uuid4().hex}")
+        self.named.append(name)
+        df.repartition(n, *by).write.bucketBy(n, *by).sortBy(*by).option("path", f"{self.folder}/{name}").saveAsTable(self.tables[-1])
+        return self.spark.table(self.tables[-1])
+
+    def settled(self) -> None:
+        """No round follows: what rounds read goes; the last values stay for their readers, until the application ends."""
+        for table in self.tables:
+            self.spark.sql(f"drop table if exists {table}")
+        for name in self.named:
+            self._delete(f"{self.folder}/{name}")
+
+    def delete(self) -> None:
+        self.settled()
+        self._delete(self.folder)
+
 
 def closed(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges whose both ends are vertices."""
@@ -75,10 +110,36 @@ def weighted(edges: DataFrame) -> DataFrame:
     return one.join(total, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("w"))
 
 
+def _parts(rows: DataFrame, end: str) -> DataFrame:
+    """id, parts of the ends with more than CUT rows; there are at most rows / CUT."""
+    return rows.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CUT).select("id", F.ceil(F.col("n") / CUT).cast("long").alias("parts"))
+
+
+def _cut(rows: DataFrame, end: str, other: str, parts: DataFrame) -> DataFrame:
+    """rows with the column part: 0, or by hash of the other end where ``end`` is cut."""
+    met = rows.join(parts.withColumnRenamed("id", "cut"), F.col(end) == F.col("cut"), "left")
+    return met.withColumn("part", F.coalesce(F.expr(f"pmod(xxhash64({other}), parts)"), F.lit(0).cast("long"))).drop("cut", "parts")
+
+
+def _sent(values: DataFrame, parts: DataFrame, end: str) -> DataFrame:
+    """values(id, ...) once for each part, as (end, part, ...)."""
+    met = values.withColumnRenamed("id", end).join(parts.withColumnRenamed("id", "cut"), F.col(end) == F.col("cut"), "left")
+    return met.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1))).drop("cut", "parts")
+
+
+def _spread(w: DataFrame, ranks: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """id, s: what each vertex is sent in one round."""
+    if parts is None:
+        met = w.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+    else:
+        met = w.join(_sent(ranks.select("id", "rank"), parts, "src"), ["src", "part"])
+    return met.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK_DAMPING, max_iterations: int = PAGERANK_ITERATIONS, epsilon: float | None = PAGERANK_EPSILON) -> Ranks:
     """id, rank. Ranks start at 1/n; what vertices without out-edges hold is lost; stops once the summed change is below epsilon.
 
-    Edges are weighted once and written, sorted by source within hash partitions; a round is one join and one pre-aggregated
+    Edges are weighted once and lie bucketed by source; a round is one join, which moves ranks alone, and one pre-aggregated
     sum, so a hub's in-edges meet as partial sums.
     """
     spark, rounds = vertices.sparkSession, Rounds(vertices.sparkSession)
@@ -86,23 +147,37 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK
     n = v.count()
     if not n:
         return Ranks(v.select("id", F.lit(0.0).alias("rank")), 0)
-    w = rounds.put(weighted(edges), "edges")
+    w = rounds.put(weighted(edges), "weighted")
+    parts = rounds.put(_parts(w, "src"), "parts")
+    cut = not parts.isEmpty()
+    w = rounds.bucketed(_cut(w, "src", "dst", parts), "edges", "src", "part") if cut else rounds.bucketed(w, "edges", "src")
     ranks, done = v.select("id", F.lit(1.0 / n).alias("rank")), 0
     for done in range(1, max_iterations + 1):  # noqa: B007
-        sums = w.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
+        sums = _spread(w, ranks, parts if cut else None)
         new = ranks.withColumnRenamed("rank", "old").join(sums, "id", "left").select("id", ((1 - damping) / n + damping * F.coalesce("s", F.lit(0.0))).alias("rank"), "old")
         new = rounds.put(new)
         change = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] if epsilon is not None else None
         ranks = new.select("id", "rank")
         if change is not None and change < epsilon:
             break
+    rounds.settled()
     return Ranks(ranks, done)
 
 
+def _votes(near: DataFrame, labels: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """id, community, n: labels of each vertex's neighbours in one round."""
+    if parts is None:
+        met = near.join(labels.select(F.col("id").alias("near"), "community"), "near")
+    else:
+        met = near.join(_sent(labels.select("id", "community"), parts, "near"), ["near", "part"])
+    return met.groupBy("id", "community").agg(F.sum("n").alias("n"))
+
+
 def communities(vertices: DataFrame, edges: DataFrame, *, max_rounds: int = LABEL_ROUNDS, mode: str = "rounds") -> DataFrame:
     """id, community by label propagation over both directions with multiplicity; labels are vertex ids.
 
     ``rounds``: all vertices at once; the most frequent label among the neighbours wins, the own one on a tie, then the least.
+    Neighbours lie bucketed by the one whose label is sent, so a round moves labels and counted votes alone.
     ``sequential``: one vertex after another, in order of id, seeing labels set before it; it takes the whole graph into one
     task, so it is for graphs that fit there, and refuses more than ``SEQUENTIAL_EDGES`` edges.
     """
@@ -110,16 +185,20 @@ def communities(vertices: DataFrame, edges: DataFrame, *, max_rounds: int = LABE
         return _sequential(vertices, edges, max_rounds)
     rounds = Rounds(vertices.sparkSession)
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    near = rounds.put(both.groupBy(F.col("src").alias("id"), F.col("dst").alias("near")).agg(F.count(F.lit(1)).alias("n")), "near")
+    counted = rounds.put(both.groupBy(F.col("src").alias("id"), F.col("dst").alias("near")).agg(F.count(F.lit(1)).alias("n")), "counted")
+    parts = rounds.put(_parts(counted, "near"), "parts")
+    cut = not parts.isEmpty()
+    near = rounds.bucketed(_cut(counted, "near", "id", parts), "near", "near", "part") if cut else rounds.bucketed(counted, "near", "near")
     labels = rounds.put(vertices.select("id", F.col("id").alias("community")).distinct())
     for _ in range(max_rounds):
-        votes = near.join(labels.select(F.col("id").alias("near"), "community"), "near").groupBy("id", "community").agg(F.sum("n").alias("n"))
+        votes = _votes(near, labels, parts if cut else None)
         own = labels.select("id", F.col("community").alias("own"))
         best = votes.join(own, "id").groupBy("id").agg(F.max(F.struct("n", (F.col("community") == F.col("own")).alias("same"), (-F.col("community")).alias("least"))).alias("best"))
         new = rounds.put(labels.join(best, "id", "left").select("id", F.coalesce(-F.col("best.least"), "community").alias("community"), F.coalesce(-F.col("best.least") != F.col("community"), F.lit(False)).alias("moved")))
         labels = new.select("id", "community")
         if new.where("moved").isEmpty():
             break
+    rounds.settled()
     return labels
 
 
@@ -161,13 +240,25 @@ def community_sizes(labels: DataFrame) -> DataFrame:
     return labels.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
 
 
-def metrics(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK_DAMPING, iterations: int = PAGERANK_ITERATIONS, epsilon: float = PAGERANK_EPSILON, label_rounds: int = LABEL_ROUNDS) -> tuple[DataFrame, int]:
-    """id, pagerank, community, degree of every vertex; and the PageRank iterations run."""
-    kept = Rounds(vertices.sparkSession).put(closed(vertices, edges), "closed")
+@dataclass
+class Metrics:
+    table: DataFrame
+    edges: DataFrame
+    iterations: int
+
+
+@contextmanager
+def metrics(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK_DAMPING, iterations: int = PAGERANK_ITERATIONS, epsilon: float = PAGERANK_EPSILON, label_rounds: int = LABEL_ROUNDS) -> Iterator[Metrics]:
+    """table(id, pagerank, community, degree) of every vertex, the edges between vertices, and the PageRank iterations run; its own tables go at the end."""
+    rounds = Rounds(vertices.sparkSession)
+    kept = rounds.put(closed(vertices, edges), "closed")
     ranks = pagerank(vertices, kept, damping=damping, max_iterations=iterations, epsilon=epsilon)
     labels = communities(vertices, kept, max_rounds=label_rounds)
     out = vertices.select("id").join(ranks.ranks.withColumnRenamed("rank", "pagerank"), "id", "left").join(labels, "id", "left").join(degree(vertices, kept), "id", "left")
-    return out, ranks.iterations
+    try:
+        yield Metrics(out, kept, ranks.iterations)
+    finally:
+        rounds.delete()
 
 
 def neighbours(links: DataFrame, articles: DataFrame, page_id: int) -> DataFrame:

@@ -19,7 +19,8 @@ def _extract_flags(p: argparse.ArgumentParser) -> None:
     p.add_argument("--csv-shards", type=int, default=config.CSV_SHARDS)
     p.add_argument("--limit", type=int)
     p.add_argument("--multistream-index")
-    p.add_argument("--checkpoint-interval", type=int, default=config.CHECKPOINT_INTERVAL, help="accepted; stages are committed as a whole")
+    p.add_argument("--after-id", type=int, default=0, help="only articles with a greater id")
+    p.add_argument("--checkpoint-interval", type=int, help="accepted for old scripts: each table is committed as a whole, and --resume goes on after the last")
     for flag in ("--dry-run", "--resume", "--no-cache", "--clean"):
         p.add_argument(flag, action="store_true")
 
@@ -36,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("load")
     p.add_argument("-o", "--output", required=True)
     p.add_argument("--db-path", default=config.STORE_DIR)
-    p.add_argument("--batch-size", type=int, default=config.BATCH_SIZE, help="accepted; writers are not batched by hand")
+    p.add_argument("--batch-size", type=int, default=0, help="rows in a file of the store at most (0: no limit)")
     p.add_argument("--clean", action="store_true")
     p = sub.add_parser("analytics")
     p.add_argument("-o", "--output", required=True)
@@ -57,10 +58,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName("loomgraph").getOrCreate()
     spark.sparkContext.setLogLevel(["ERROR", "INFO", "DEBUG", "TRACE"][min(a.verbose, 3)])
     if a.verb in ("extract", "pipeline"):
-        o = program.Extract(a.input, a.output, a.csv_shards, a.shard_count, a.limit, a.dry_run, a.resume, not a.no_cache, a.clean, a.multistream_index)
+        o = program.Extract(a.input, a.output, a.csv_shards, a.shard_count, a.limit, a.dry_run, a.resume, not a.no_cache, a.clean, a.multistream_index, a.after_id)
         out = program.extract(spark, o) if a.verb == "extract" else program.pipeline(spark, o, do_load=not a.no_load, do_analytics=not a.no_analytics, archive=not a.no_archive)
     elif a.verb == "load":
-        out = program.load(spark, a.output, path=a.db_path, clean=a.clean)
+        out = program.load(spark, a.output, path=a.db_path, clean=a.clean, rows_a_file=a.batch_size)
     elif a.verb == "analytics":
         out = program.analytics(spark, a.output, path=a.db_path, iterations=a.iterations, damping=a.damping, epsilon=a.epsilon, label_rounds=a.label_rounds)
     elif a.verb == "merge-csvs":

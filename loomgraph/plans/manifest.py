@@ -28,13 +28,13 @@ class Manifest:
             raise FileNotFoundError(source)
         return sorted([f.getPath().getName(), f.getModificationTime(), f.getLen()] for f in fs.listStatus(path))
 
-    def done(self, stage: str) -> dict | None:
-        """What the stage reported, if it ran on the same input with the same options; damaged records count as none."""
-        name = f".manifest/{stage}.json"
-        if not self.folder.exists(name):
+    def done(self, stage: str, needs: str | None = None) -> dict | None:
+        """What the stage reported, if it ran on the same input with the same options, and what it wrote (needs) is there; damaged records count as none."""
+        body = self.folder.text(f".manifest/{stage}.json")
+        if body is None or (needs and not self.folder.exists(needs)):
             return None
         try:
-            kept = json.loads("\n".join(r.value for r in self.spark.read.text(f"{self.folder.path}/{name}").collect()))  # one small record
+            kept = json.loads(body)
         except ValueError:
             return None
         return kept.get("result") if isinstance(kept, dict) and {k: kept.get(k) for k in self.key} == self.key else None
@@ -43,10 +43,10 @@ class Manifest:
         """Written under another name and moved, so it is there as a whole or not at all."""
         body = json.dumps(self.key | {"stage": stage, "at": time.time(), "result": result})
         self.folder.fs.mkdirs(self.folder._path(".manifest"))
-        out = self.folder.fs.create(self.folder._path(f".manifest/{stage}.tmp"), True)
-        out.write(bytearray(body.encode()))
-        out.close()
+        self.folder.put(f".manifest/{stage}.tmp", body)
         self.folder.move(f".manifest/{stage}.tmp", f".manifest/{stage}.json")
 
-    def clear(self) -> None:
-        self.folder.delete(".manifest")
+    def clear(self, stages: list[str] | None = None) -> None:
+        """Forget some stages, or all."""
+        for name in [".manifest"] if stages is None else [f".manifest/{s}.json" for s in stages]:
+            self.folder.delete(name)

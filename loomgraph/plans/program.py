@@ -1,4 +1,8 @@
-"""The stages as a program: extract, load, analytics, merge, pipeline, stats."""
+"""The stages as a program: extract, load, analytics, merge, pipeline, stats.
+
+What is committed (the staged pages, the title index, each table, the blobs, the counters) is noted in a manifest, so a run with ``resume``
+goes on after the last of them. Every run is a job group, which ``cancel`` ends.
+"""
 
 from __future__ import annotations
 
@@ -29,6 +33,7 @@ class Extract:
     cache: bool = True
     clean: bool = False
     index: str | None = None
+    after: int = 0
 
     def validate(self) -> None:
         if not self.input:
@@ -39,44 +44,78 @@ class Extract:
             raise ValueError("shards must be at least 1, a limit at least 0")
 
 
-def staged(spark: SparkSession, o: Extract, manifest: Manifest) -> DataFrame:
-    """The dump as a Parquet table beside the output, parsed once; a valid one is read again."""
-    path = f"{o.output}/.pages"
-    if not (o.cache and manifest.done("pages")):
-        dump.read_dump(spark, o.input, index=o.index).write.mode("overwrite").parquet(path)
-        manifest.record("pages", {})
-    return spark.read.schema(dump.PAGES).parquet(path)
+GROUP = "loomgraph"
+
+
+def grouped(spark: SparkSession, verb: str) -> None:
+    """Put the jobs of this thread into the group that cancel() ends."""
+    spark.sparkContext.setJobGroup(GROUP, verb, interruptOnCancel=True)
+
+
+def cancel(spark: SparkSession) -> None:
+    """End the running jobs of a program; its call fails, and what it committed stays."""
+    spark.sparkContext.cancelJobGroup(GROUP)
+
+
+def staged(spark: SparkSession, o: Extract) -> tuple[DataFrame, dict]:
+    """The dump as a Parquet table beside the output, parsed once whatever the other options are, and how many pages, streams and index lines were left out."""
+    manifest, path = Manifest(spark, o.output, o.input, {"index": o.index}), f"{o.output}/.pages"
+    kept = manifest.done("pages", f".pages/{SUCCESS}") if o.cache else None
+    if kept is None:
+        dump.read_dump(spark, o.input, index=o.index, problems=True).write.mode("overwrite").parquet(path)
+    pages = spark.read.schema(dump.PAGES + ", problem string").parquet(path)
+    if kept is None:
+        n = {r.problem: r.n for r in pages.where("problem is not null").groupBy("problem").agg(F.count(F.lit(1)).alias("n")).collect()}  # three kinds
+        kept = {"skipped_pages": n.get("page", 0), "skipped_streams": n.get("stream", 0), "skipped_index_lines": n.get("index line", 0)}
+        manifest.record("pages", kept)
+    return pages.where("problem is null").drop("problem"), kept
 
 
-def titles_of(spark: SparkSession, o: Extract, manifest: Manifest, pages: DataFrame) -> DataFrame:
+def titles_of(spark: SparkSession, o: Extract, pages: DataFrame) -> DataFrame:
     """The title index, kept like the pages."""
-    path = f"{o.output}/.titles"
-    if not (o.cache and manifest.done("titles")):
+    manifest, path = Manifest(spark, o.output, o.input, {"index": o.index}), f"{o.output}/.titles"
+    if not (o.cache and manifest.done("titles", f".titles/{SUCCESS}") is not None):
         resolved_titles(pages).write.mode("overwrite").parquet(path)
         manifest.record("titles", {})
     return spark.read.schema("title string, id long").parquet(path)
 
 
+SUCCESS = "_SUCCESS"
+
+
 def extract(spark: SparkSession, o: Extract) -> dict:
     """Tables and blobs of a dump; the counters. A dry run counts and writes nothing but the staged pages."""
     o.validate()
+    grouped(spark, "extract")
+    folder = Folder(spark, o.output)
     if o.clean:
-        Folder(spark, o.output).delete()
-    options = {"index": o.index, "limit": o.limit}
-    manifest = Manifest(spark, o.output, o.input, options)
+        folder.delete()
+    manifest = Manifest(spark, o.output, o.input, {"index": o.index, "limit": o.limit, "after": o.after})
     key = f"extract-{o.shards}-{o.blob_shards}-{'dry' if o.dry_run else 'full'}"
     if o.resume and (kept := manifest.done(key)):
         return kept
     began = time.time()
-    pages = staged(spark, o, manifest)
-    result = E.stats(pages, limit=o.limit).first().asDict()
+    parts = {base: f"{key}-{base}" for base in (*config.TABLES, "blobs", "counters")}
+    if not o.resume:
+        manifest.clear([key, *parts.values()])
+    pages, skipped = staged(spark, o)
+    titles = titles_of(spark, o, pages)
+    result = manifest.done(parts["counters"])
+    if result is None:
+        result = E.stats(pages, after=o.after, limit=o.limit, titles=titles).first().asDict()
+        manifest.record(parts["counters"], result)
     if not o.dry_run:
-        tables = E.tables(pages, limit=o.limit, titles=titles_of(spark, o, manifest, pages))
-        csv_tables.export(tables, o.output, o.shards)
-        rows = E.blob_json(E.blobs(E.articles(pages, limit=o.limit))).withColumn("shard", F.format_string("%03d", F.pmod("id", F.lit(o.blob_shards))))
-        rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(f"{o.output}/blobs")
-    result |= {"seconds": time.time() - began}
+        first = {base: csv_tables.file_names(base, o.shards if o.shards > 1 else None)[0] for base in config.TABLES}
+        tables = E.tables(pages, after=o.after, limit=o.limit, titles=titles)
+        csv_tables.export(tables, o.output, o.shards, done=lambda b: manifest.done(parts[b], first[b]) is not None, commit=lambda b: manifest.record(parts[b], {}))
+        if manifest.done(parts["blobs"], f"blobs/{SUCCESS}") is None:
+            rows = E.blob_json(E.blobs(E.articles(pages, after=o.after, limit=o.limit))).withColumn("shard", F.format_string("%03d", F.pmod("id", F.lit(o.blob_shards))))
+            rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(f"{o.output}/blobs")
+            manifest.record(parts["blobs"], {})
+    seconds = time.time() - began
+    result = result | skipped | {"seconds": seconds, "articles_per_second": result["articles"] / max(seconds, 1e-9)}
     manifest.record(key, result)
+    manifest.clear(list(parts.values()))  # the whole is recorded now
     return result
 
 
@@ -94,9 +133,10 @@ def blob_files(spark: SparkSession, output: str, target: str) -> None:
     spark.read.parquet(f"{output}/blobs").select("id", "json", F.format_string("%03d", F.col("shard").cast("int")).alias("shard")).foreachPartition(write)
 
 
-def load(spark: SparkSession, output: str, *, path: str = config.STORE_DIR, clean: bool = False) -> dict:
+def load(spark: SparkSession, output: str, *, path: str = config.STORE_DIR, clean: bool = False, rows_a_file: int = 0) -> dict:
+    grouped(spark, "load")
     at = path if "/" in path else f"{output}/{path}"
-    articles, links = store.load(spark, output, at, clean=clean)
+    articles, links = store.load(spark, output, at, clean=clean, rows_a_file=rows_a_file)
     return {"articles": articles, "links": links}
 
 
@@ -104,27 +144,29 @@ def analytics(spark: SparkSession, output: str, *, path: str = config.STORE_DIR,
     """PageRank, communities and degrees of the CSV graph, written to the store."""
     if not 0 <= damping <= 1 or iterations < 0:
         raise ValueError("damping must lie in 0 to 1, iterations be at least 0")
+    grouped(spark, "analytics")
     at = path if "/" in path else f"{output}/{path}"
     began = time.time()
     vertices = csv_tables.read(spark, output, "nodes").select("id").distinct()
     edges = csv_tables.read(spark, output, "edges").select("src", "dst")
-    out, done = graph.metrics(vertices, edges, damping=damping, iterations=iterations, epsilon=epsilon, label_rounds=label_rounds)
-    store.write_metrics(spark, at, out)
-    a = store.article(spark, at).agg(F.count(F.lit(1)).alias("nodes"), F.count_distinct("community").alias("communities")).first()
-    return {"nodes": a.nodes, "edges": graph.closed(vertices, edges).count(), "iterations": done, "communities": a.communities, "seconds": time.time() - began}
+    with graph.metrics(vertices, edges, damping=damping, iterations=iterations, epsilon=epsilon, label_rounds=label_rounds) as m:
+        store.write_metrics(spark, at, m.table)
+        a = store.article(spark, at).agg(F.count(F.lit(1)).alias("nodes"), F.count_distinct("community").alias("communities")).first()
+        return {"nodes": a.nodes, "edges": m.edges.count(), "iterations": m.iterations, "communities": a.communities, "seconds": time.time() - began}
 
 
 def pipeline(spark: SparkSession, o: Extract, *, do_load: bool = True, do_analytics: bool = True, archive: bool = True) -> dict:
-    """Extract, merge (if sharded), load, analytics. Loading takes sharded tables too, so a run without archiving works."""
+    """Extract, load, analytics, and last, if sharded, merge: the stages before read shards, one task each; single files are an export."""
     out = {"extract": extract(spark, o)}
     if o.dry_run:
         return out
-    if o.shards > 1:
-        csv_tables.merge(spark, o.output, archive=archive)
     if do_load:
         out["load"] = load(spark, o.output, clean=True)
     if do_load and do_analytics:
         out["analytics"] = analytics(spark, o.output)
+    if o.shards > 1:
+        grouped(spark, "merge")
+        csv_tables.merge(spark, o.output, archive=archive)
     return out
 
 

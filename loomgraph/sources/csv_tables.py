@@ -1,13 +1,15 @@
 """The eight CSV tables on disk: sharded export, layout, reading, merging and archiving.
 
 Spark writes each shard as a folder; the driver then moves its one file to the name that consumers expect. Moves are
-renames in the output folder (any Hadoop file system), so no data passes the driver.
+renames in the output folder (any Hadoop file system), so no data passes the driver. A session's limit on records of a file does not
+apply here: a shard is one file, or the export fails.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +51,33 @@ class Folder:
     def delete(self, name: str = "") -> None:
         self.fs.delete(self._path(name), True)
 
+    def text(self, name: str) -> str | None:
+        """A small file's text; None if there is none."""
+        if not self.exists(name):
+            return None
+        stream = self.fs.open(self._path(name))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put(self, name: str, text: str) -> None:
+        out = self.fs.create(self._path(name), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
     def size(self, name: str = "") -> int:
         return self.fs.getContentSummary(self._path(name)).getLength() if self.exists(name) else 0
 
 
+#: Names of shards hold three digits.
+MOST_SHARDS = 1000
+
+
 def file_names(base: str, shards: int | None) -> list[str]:
     """shards: None for a single file."""
+    if shards is not None and not 1 <= shards <= MOST_SHARDS:
+        raise ValueError(f"1 to {MOST_SHARDS} shards can be named, not {shards}")
     return [f"{base}.csv"] if shards is None else [f"{base}_{i:03d}.csv" for i in range(shards)]
 
 
@@ -70,6 +93,11 @@ def layout(folder: Folder) -> int | None:
     raise FileNotFoundError(f"no CSV tables in {folder.path}: nodes.csv or nodes_000.csv expected")
 
 
+def shown(shards: int | None) -> str:
+    """A layout in words (fixed values)."""
+    return "single-file" if shards is None else f"sharded ({shards} shards)"
+
+
 def validate(folder: Folder, shards: int | None) -> None:
     for base in TABLES:
         for name in file_names(base, shards):
@@ -83,25 +111,29 @@ def _export(df: DataFrame, base: str, folder: Folder, shards: int) -> None:
     work = f".{base}-{uuid.uuid4().hex}"
     cols = [F.col(c).alias(h) for c, h in zip(df.columns[1:], header, strict=True)]
     rows = df.select(shard(F.col("key"), shards).cast("int").alias("shard"), *cols)
-    rows.repartition(shards, "shard").write.partitionBy("shard").options(**_RFC).csv(f"{folder.path}/{work}")
-    head = ",".join(header)
-    for i, name in enumerate(file_names(base, shards if shards > 1 else None)):
-        parts = [n for n in folder.names(f"{work}/shard={i}") if n.startswith("part-")]
-        if parts:
-            folder.move(f"{work}/shard={i}/{parts[0]}", name)
+    names = file_names(base, shards if shards > 1 else None)
+    rows.repartition(shards, "shard").write.partitionBy("shard").options(**_RFC, maxRecordsPerFile=0).csv(f"{folder.path}/{work}")
+    parts = [[n for n in folder.names(f"{work}/shard={i}") if n.startswith("part-")] for i in range(len(names))]
+    if any(len(p) > 1 for p in parts):
+        raise RuntimeError(f"a shard of {base} came in several files")
+    for i, name in enumerate(names):
+        if parts[i]:
+            folder.move(f"{work}/shard={i}/{parts[i][0]}", name)
         else:
-            out = folder.fs.create(folder._path(name), True)
-            out.write(bytearray((head + "\n").encode()))
-            out.close()
+            folder.put(name, ",".join(header) + "\n")
     folder.delete(work)
 
 
-def export(tables: dict[str, DataFrame], path: str, shards: int) -> None:
+def export(tables: dict[str, DataFrame], path: str, shards: int, *, done: Callable[[str], bool] | None = None, commit: Callable[[str], None] | None = None) -> None:
+    """Each table is written as a whole; done: tables to leave as they are; commit: is told of each that was written."""
     spark = next(iter(tables.values())).sparkSession
     folder = Folder(spark, path)
     folder.fs.mkdirs(folder._path(""))
     for base, df in tables.items():
-        _export(df, base, folder, shards)
+        if not (done and done(base)):
+            _export(df, base, folder, shards)
+            if commit:
+                commit(base)
 
 
 def read(spark: SparkSession, path: str, base: str, shards: int | None = -1) -> DataFrame:

@@ -1,11 +1,14 @@
 """The graph store: Parquet tables article(id, title, pagerank, community, degree) and links_to(src, dst).
 
-A load replaces or refuses to touch an existing store. Metrics are written beside the article table and swapped in by
-renames, so a reader never sees half of them.
+A load replaces or refuses to touch an existing store. A table lies in numbered versions; the current one is the highest whose
+marker was written, after all its files. So a reader never sees half of a table, a crash leaves the version before it in
+place, and the one before the current stays until the next write, for readers that hold it.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,37 +20,63 @@ ARTICLE = "id long, title string, pagerank double, community long, degree long"
 LINKS = "src long, dst long"
 
 
-def create(articles: DataFrame, links: DataFrame, path: str, *, clean: bool = False) -> None:
-    """articles(id, title), links(src, dst). Articles lie in ranges of title, so a lookup by title reads few row groups."""
-    mode = "overwrite" if clean else "errorifexists"
+DONE = "_DONE"
+
+
+def _versions(folder: Folder, table: str) -> list[str]:
+    """Complete versions of a table, oldest first."""
+    return [n for n in folder.names() if re.fullmatch(rf"{table}-[0-9]{{6}}", n) and folder.exists(f"{n}/{DONE}")]
+
+
+def _current(spark: SparkSession, path: str, table: str) -> str:
+    versions = _versions(Folder(spark, path), table)
+    if not versions:
+        raise FileNotFoundError(f"no table {table} in {path}")
+    return f"{path}/{versions[-1]}"
+
+
+def _write(df: DataFrame, path: str, table: str, rows_a_file: int) -> None:
+    """df as the next version; then versions but the last two, and what crashes left, go."""
+    folder = Folder(df.sparkSession, path)
+    there = [n for n in folder.names() if re.fullmatch(rf"{table}-[0-9]{{6}}", n)]
+    name = f"{table}-{int(there[-1][-6:]) + 1 if there else 0:06d}"
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file).parquet(f"{path}/{name}")
+    folder.put(f"{name}/{DONE}", "")
+    keep = _versions(folder, table)[-2:]
+    for old in there:
+        if old not in keep:
+            folder.delete(old)
+
+
+def create(articles: DataFrame, links: DataFrame, path: str, *, clean: bool = False, rows_a_file: int = 0) -> None:
+    """articles(id, title), links(src, dst). Articles lie in ranges of title, so a lookup by title reads few row groups. rows_a_file: 0 for no limit."""
+    folder = Folder(articles.sparkSession, path)
+    if not clean and (_versions(folder, "article") or _versions(folder, "links_to")):
+        raise FileExistsError(f"a store already exists in {path}")
     blank = [F.lit(None).cast(t).alias(c) for c, t in (("pagerank", "double"), ("community", "long"), ("degree", "long"))]
-    articles.select("id", "title", *blank).repartitionByRange("title").sortWithinPartitions("title").write.mode(mode).parquet(f"{path}/article")
-    links.select("src", "dst").write.mode(mode).parquet(f"{path}/links_to")
+    _write(links.select("src", "dst"), path, "links_to", rows_a_file)
+    _write(articles.select("id", "title", *blank).repartitionByRange("title").sortWithinPartitions("title"), path, "article", rows_a_file)
 
 
-def load(spark: SparkSession, output: str, path: str, *, clean: bool = False) -> tuple[int, int]:
+def load(spark: SparkSession, output: str, path: str, *, clean: bool = False, rows_a_file: int = 0) -> tuple[int, int]:
     """Load the CSV tables in output, sharded or single; counts of articles and links stored."""
-    create(csv_tables.read(spark, output, "nodes"), csv_tables.read(spark, output, "edges"), path, clean=clean)
+    create(csv_tables.read(spark, output, "nodes"), csv_tables.read(spark, output, "edges"), path, clean=clean, rows_a_file=rows_a_file)
     return article(spark, path).count(), links_to(spark, path).count()
 
 
 def article(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ARTICLE).parquet(f"{path}/article")
+    return spark.read.schema(ARTICLE).parquet(_current(spark, path, "article"))
 
 
 def links_to(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LINKS).parquet(f"{path}/links_to")
+    return spark.read.schema(LINKS).parquet(_current(spark, path, "links_to"))
 
 
 def write_metrics(spark: SparkSession, path: str, metrics: DataFrame) -> None:
     """metrics(id, pagerank, community, degree); articles without a row there keep nulls."""
     new = article(spark, path).select("id", "title").join(metrics, "id", "left")
-    new.select("id", "title", "pagerank", "community", F.col("degree").cast("long").alias("degree")).repartitionByRange("title").sortWithinPartitions("title").write.mode("overwrite").parquet(f"{path}/.article-new")
-    folder = Folder(spark, path)
-    folder.delete(".article-old")
-    folder.move("article", ".article-old")
-    folder.move(".article-new", "article")
-    folder.delete(".article-old")
+    new = new.select("id", "title", "pagerank", "community", F.col("degree").cast("long").alias("degree"))
+    _write(new.repartitionByRange("title").sortWithinPartitions("title"), path, "article", 0)
 
 
 def register(spark: SparkSession, path: str) -> None:

@@ -110,6 +110,7 @@ def test_pipeline_end_to_end(spark, dumps, tmp_path):
     assert rows(store.by_title(store.article(spark, at), "Moss (language)").select("id")) == [(2,)]
     report = program.stats(spark, out)
     assert (report["blobs"], report["archived"]) == (2, 24)
+    assert (got["extract"]["skipped_pages"], got["extract"]["skipped_streams"]) == (0, 0)
     again = program.extract(spark, program.Extract(f"{dumps}/wiki.xml.bz2", out, shards=3, blob_shards=10, resume=True))
     assert again == got["extract"]
     program.blob_files(spark, out, f"{out}/files")
@@ -135,6 +136,57 @@ def test_manifest_goes_stale(spark, dumps, tmp_path):
     assert not (tmp_path / "o/.manifest").exists()
 
 
+def test_resume_goes_on_after_the_last_committed_table(spark, dumps, tmp_path, monkeypatch):
+    out, tables = str(tmp_path / "r"), []
+    real = csv_tables._export
+
+    def failing(df, base, *rest):
+        tables.append(base)
+        if base == "article_images" and tables.count(base) == 1:
+            raise OSError("disk full")
+        real(df, base, *rest)
+
+    monkeypatch.setattr(csv_tables, "_export", failing)
+    o = program.Extract(f"{dumps}/wiki.xml.bz2", out, shards=2, blob_shards=4, resume=True)
+    with pytest.raises(OSError, match="disk full"):
+        program.extract(spark, o)
+    parsed = Path(out, ".pages/_SUCCESS").stat().st_mtime
+    assert program.extract(spark, o)["articles"] == 2
+    assert [tables.count(b) for b in ("nodes", "edges", "article_images", "article_external_links")] == [1, 1, 2, 1]
+    limited = program.extract(spark, program.Extract(f"{dumps}/wiki.xml.bz2", out, shards=2, limit=1, dry_run=True))
+    assert limited["articles"] == 1
+    assert Path(out, ".pages/_SUCCESS").stat().st_mtime == parsed  # other options do not parse the dump again
+    after = program.extract(spark, program.Extract(f"{dumps}/wiki.xml.bz2", out, after=1, dry_run=True))
+    assert after["articles"] == 1
+    import shutil
+
+    shutil.rmtree(f"{out}/.pages")
+    assert program.extract(spark, program.Extract(f"{dumps}/wiki.xml.bz2", out, dry_run=True))["articles"] == 2
+
+
+def test_cancel(spark):
+    from threading import Thread
+    from time import sleep
+
+    from pyspark import inheritable_thread_target
+
+    failed = []
+
+    def job():
+        program.grouped(spark, "extract")
+        try:
+            spark.range(10**13).selectExpr("sum(id % 7)").collect()
+        except Exception as e:
+            failed.append(str(e))
+
+    t = Thread(target=inheritable_thread_target(spark)(job))
+    t.start()
+    sleep(3)
+    program.cancel(spark)
+    t.join(60)
+    assert failed and "cancel" in failed[0].lower()
+
+
 def test_dry_run_and_limit(spark, dumps, tmp_path):
     out = str(tmp_path / "dry")
     got = program.extract(spark, program.Extract(f"{dumps}/wiki.xml.bz2", out, dry_run=True, limit=1))
@@ -164,6 +216,36 @@ def test_merge_of_shards(spark, tmp_path):
         csv_tables.merged(spark, str(tmp_path))
 
 
+def test_export_keeps_every_row_whatever_the_session_limits(spark, tmp_path):
+    df = spark.range(10).selectExpr("id as key", "id", "concat('T,', id) as title", "'Page' as label")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 2)
+    try:
+        csv_tables.export({"nodes": df}, str(tmp_path), 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert csv_tables.read(spark, str(tmp_path), "nodes").count() == 10
+    assert sorted(p.name for p in tmp_path.glob("*.csv")) == ["nodes_000.csv", "nodes_001.csv"]
+    with pytest.raises(ValueError):
+        csv_tables.export({"nodes": df}, str(tmp_path), 1001)
+    assert (csv_tables.shown(None), csv_tables.shown(3)) == ("single-file", "sharded (3 shards)")
+
+
+def test_store_keeps_the_last_complete_version(spark, tmp_path):
+    at = str(tmp_path)
+    arts, links = spark.createDataFrame([(1, "A"), (2, "B")], "id long, title string"), spark.createDataFrame([(1, 2)], "src long, dst long")
+    store.create(arts, links, at, rows_a_file=1)
+    held = store.article(spark, at)
+    rank = spark.createDataFrame([(1, 0.5, 1, 3)], "id long, pagerank double, community long, degree long")
+    store.write_metrics(spark, at, rank)
+    assert rows(store.article(spark, at)) == [(1, "A", 0.5, 1, 3), (2, "B", None, None, None)]
+    assert held.count() == 2  # the version before is still there
+    (tmp_path / "article-000002").mkdir()  # a write that crashed
+    assert rows(store.article(spark, at).select("id", "degree")) == [(1, 3), (2, None)]
+    store.write_metrics(spark, at, rank.withColumn("degree", rank.degree + 1))
+    assert rows(store.article(spark, at).select("degree")) == [(4,), (None,)]
+    assert sorted(p.name for p in tmp_path.glob("article-*")) == ["article-000001", "article-000003"]
+
+
 def test_layout(spark, tmp_path):
     folder = csv_tables.Folder(spark, str(tmp_path))
     with pytest.raises(FileNotFoundError):

@@ -89,3 +89,42 @@ def test_communities(spark, mode):
         for x in (1, 2, 3, 4, 11, 12, 13, 14):
             near = [got[b] for a, b in clique if a == x] + [got[a] for a, b in clique if b == x]
             assert near.count(got[x]) == max(map(near.count, near))
+
+
+def test_hubs_are_cut_into_parts(spark, monkeypatch):
+    rng = random.Random(9)
+    ids = list(range(1, 60))
+    edges = [(1, i) for i in ids] + [(i, 2) for i in ids] + [(rng.choice(ids), rng.choice(ids)) for _ in range(60)]
+    v, e = spark.createDataFrame([(i,) for i in ids], "id long"), spark.createDataFrame(edges, "src long, dst long")
+    ranks, labels = rows(graph.pagerank(v, e, max_iterations=3, epsilon=None).ranks), rows(graph.communities(v, e, max_rounds=3))
+    monkeypatch.setattr(graph, "CUT", 7)
+    cut = rows(graph.pagerank(v, e, max_iterations=3, epsilon=None).ranks)
+    assert [i for i, _ in cut] == [i for i, _ in ranks]
+    assert all(abs(a - b) < 1e-12 for (_, a), (_, b) in zip(cut, ranks, strict=True))
+    assert rows(graph.communities(v, e, max_rounds=3)) == labels
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan
+
+
+def test_a_round_does_not_shuffle_the_edges(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rounds = graph.Rounds(spark)
+        e = spark.range(5000).selectExpr("id % 97 as src", "id % 89 as dst", "0.5D as w")
+        w = rounds.bucketed(e, "edges", "src")
+        ranks = rounds.put(spark.range(97).selectExpr("id", "1.0D as rank"))
+        n, plan = exchanges(graph._spread(w, ranks, None))
+        assert n == 2, plan  # the ranks, and the partial sums
+        near = rounds.bucketed(e.selectExpr("src as near", "dst as id", "1L as n"), "near", "near")
+        n, plan = exchanges(graph._votes(near, ranks.selectExpr("id", "cast(rank as long) as community"), None))
+        assert n == 2, plan
+        parts = rounds.put(spark.createDataFrame([(1, 3)], "id long, parts long"), "parts")
+        w = rounds.bucketed(graph._cut(e, "src", "dst", parts), "cut", "src", "part")
+        n, plan = exchanges(graph._spread(w, ranks, parts))
+        assert n == 4, plan  # the few parts meet the ranks first
+        rounds.delete()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
