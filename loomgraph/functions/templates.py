@@ -68,6 +68,9 @@ _PAIR = StructType([StructField("key", StringType()), StructField("value", Strin
 INFOBOXES = ArrayType(StructType([StructField("infobox_type", StringType()), StructField("fields", ArrayType(_PAIR))]))
 
 
+PARTS = StructType([StructField("stripped", StringType()), StructField("infoboxes", INFOBOXES)])
+
+
 def _strip(text: pd.Series) -> pd.Series:
     return text.map(strip_templates, na_action="ignore")
 
@@ -76,5 +79,11 @@ def _boxes(text: pd.Series) -> pd.Series:
     return text.map(lambda t: infoboxes(t) if isinstance(t, str) else None)
 
 
+def _parts(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"stripped": _strip(text), "infoboxes": _boxes(text)})
+
+
 strip_templates_of = F.pandas_udf(_strip, StringType())
 infoboxes_of = F.pandas_udf(_boxes, INFOBOXES)
+#: Both at once: each text goes to Python once.
+parts_of = F.pandas_udf(_parts, PARTS)

@@ -1,6 +1,7 @@
 """The eight tables, the blobs and the counters of an extraction.
 
-pages: pos, id, title, ns, redirect_to, timestamp, text. Every table is a branch of one scan of pages; only titles are shuffled.
+pages: pos, id, title, ns, redirect_to, timestamp, text. Each table is a scan of its own over the columns that it needs; all counters come
+from one scan, which reads and parses each text once.
 """
 
 from __future__ import annotations
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
-from loomgraph.functions.templates import infoboxes_of, strip_templates_of
+from loomgraph.functions.templates import INFOBOXES, infoboxes_of, parts_of, strip_templates_of
+from loomgraph.operators.graph import Rounds
 from loomgraph.operators.titles import classified, resolved_titles
 
 LINKS_TO, SEE_ALSO = "LINKS_TO", "SEE_ALSO"
@@ -61,11 +63,16 @@ def entities(arts: DataFrame, kind: str) -> DataFrame:
     return occurrences(arts, kind).groupBy("name").agg(F.min("id").alias("first_id"))
 
 
+def abstracts(arts: DataFrame) -> DataFrame:
+    """id, abstract_text of each article with text."""
+    return arts.where("text is not null").select("id", T.lead(strip_templates_of(F.col("text"))).alias("abstract_text"))
+
+
 def blobs(arts: DataFrame) -> DataFrame:
     """One record for each article with text."""
-    text = F.col("text")
-    base = arts.where(text.isNotNull()).select("id", "title", T.lead(strip_templates_of(text)).alias("abstract_text"), T.categories(text).alias("categories"), infoboxes_of(text).alias("infoboxes"), T.sections(text).alias("sections"), "timestamp", T.is_disambiguation(text).alias("is_disambiguation"))
-    return base
+    text, parts = F.col("text"), F.col("parts")
+    base = arts.where(text.isNotNull()).withColumn("parts", parts_of(text))
+    return base.select("id", "title", T.lead(parts["stripped"]).alias("abstract_text"), T.categories(text).alias("categories"), parts["infoboxes"].alias("infoboxes"), T.sections(text).alias("sections"), "timestamp", T.is_disambiguation(text).alias("is_disambiguation"))
 
 
 def blob_json(records: DataFrame) -> DataFrame:
@@ -99,15 +106,32 @@ def tables(pages: DataFrame, after: int = 0, limit: int | None = None, titles: D
     return out
 
 
-def stats(pages: DataFrame, after: int = 0, limit: int | None = None) -> DataFrame:
-    """One row of counters. Each scan is reduced to its counts before they meet."""
-    arts, titles = articles(pages, after, limit), resolved_titles(pages)
-    text = F.col("text")
-    base = arts.agg(F.count(F.lit(1)).alias("articles"), F.count("text").alias("blobs"), F.coalesce(F.sum(F.size(F.coalesce(infoboxes_of(text), F.array().cast("array<struct<infobox_type:string,fields:array<struct<key:string,value:string>>>>")))), F.lit(0)).alias("infoboxes"))
-    links = resolved_links(arts, titles)
-    distinct = links.where("dst is not null").select("id", "dst", "type").distinct().agg(F.count_if(F.col("type") == LINKS_TO).alias("edges"), F.count_if(F.col("type") == SEE_ALSO).alias("see_also_edges"))
-    out = base.join(distinct).join(links.where("dst is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("invalid_links")))
-    for kind in _ENTITIES:
-        each = occurrences(arts, kind).groupBy("name").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias(kind), F.coalesce(F.sum("n"), F.lit(0)).alias(f"{kind[:-3] + 'y' if kind == 'categories' else kind[:-1]}_edges"))
-        out = out.join(each)  # one row each
-    return out
+MARKS = "array<struct<kind:string,id:bigint,name:string>>"
+
+
+def marks(arts: DataFrame) -> DataFrame:
+    """kind, id, name, n: all that articles hold, counted. Links by article and target; articles, texts and infoboxes without names; entities by name."""
+    text, none = F.col("text"), F.lit(None).cast("long")
+    one = lambda kind, name, id_=none: F.struct(F.lit(kind).alias("kind") if isinstance(kind, str) else kind.alias("kind"), id_.alias("id"), name.alias("name"))
+    empty = F.array().cast(MARKS)
+    link = lambda x, i: one(F.when(i >= F.col("before"), SEE_ALSO).otherwise(LINKS_TO), T.without_anchor(x), F.col("id"))
+    held = [F.array(one("articles", F.lit(""))), F.when(text.isNotNull(), F.array(one("blobs", F.lit("")))), F.array_repeat(one("infoboxes", F.lit("")), F.size(F.coalesce(F.col("boxes"), F.array().cast(INFOBOXES.simpleString())))), F.transform(T.links(text), link)]
+    entity = lambda kind: lambda x: one(kind, x)
+    held += [F.transform(f(text), entity(kind)) for kind, (f, _) in _ENTITIES.items()]
+    rows = arts.select("id", "text", T.links_before_see_also(text).alias("before"), infoboxes_of(text).alias("boxes"))
+    rows = rows.select(F.explode(F.concat(*(F.coalesce(h.cast(MARKS), empty) for h in held))).alias("m")).select("m.*")
+    kept = rows.where(F.col("id").isNull() | ((F.col("name") != "") & ~T.is_namespace_link(F.col("name"))))
+    return kept.groupBy("kind", "id", "name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stats(pages: DataFrame, after: int = 0, limit: int | None = None, titles: DataFrame | None = None) -> DataFrame:
+    """One row of counters, from one pass over the texts, whose counts (marks) are written before links meet the titles."""
+    titles = titles if titles is not None else resolved_titles(pages)
+    held = Rounds(pages.sparkSession).put(marks(articles(pages, after, limit)), "marks")
+    met = held.where(F.col("kind").isin(LINKS_TO, SEE_ALSO)).join(titles.select(F.col("title").alias("name"), F.col("id").alias("dst")), "name", "left")
+    links = met.groupBy("kind", "id", "dst").agg(F.sum("n").alias("n")).groupBy("kind").agg(F.count_if(F.col("dst").isNotNull()).alias("names"), F.coalesce(F.sum(F.when(F.col("dst").isNull(), F.col("n"))), F.lit(0)).alias("n"))
+    others = held.where("id is null").groupBy("kind").agg(F.count(F.lit(1)).alias("names"), F.sum("n").alias("n"))
+    every = links.unionByName(others)
+    total = lambda kind, of, name: F.coalesce(F.sum(F.when(F.col("kind").isin(*kind), F.col(of))), F.lit(0)).alias(name)
+    entity = [c for k, each in (("categories", "category_edges"), ("images", "image_edges"), ("external_links", "external_link_edges")) for c in (total([k], "names", k), total([k], "n", each))]
+    return every.agg(*(total([k], "n", k) for k in ("articles", "blobs", "infoboxes")), total([LINKS_TO], "names", "edges"), total([SEE_ALSO], "names", "see_also_edges"), total([LINKS_TO, SEE_ALSO], "n", "invalid_links"), *entity)
