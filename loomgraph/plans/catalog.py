@@ -2,7 +2,7 @@
 
 The wiki pages are derived from ``documents`` by one query that both engines run as it stands: articles with infoboxes,
 links, anchors, images, categories, redirect chains (of 1 to 6 hops, loops and dangling ones), other namespaces, repeated
-titles and missing texts.
+titles and missing texts. Each page holds the whole text of its document in its lead, so text functions run over all of it.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from loomgraph.functions.templates import infoboxes_of
 from loomgraph.operators import extract as E
 from loomgraph.operators import graph
 from loomgraph.operators.titles import classified, redirects, resolved_titles
+from loomgraph.sources import csv_tables, dump, store
 from loomgraph.sources.dump import ranges_of
 
 PAGES_SQL = """
@@ -26,6 +27,7 @@ SELECT id AS pos, id,
  CASE WHEN id % 29 = 0 THEN NULL ELSE
  '{{Infobox doc' || chr(10) || '| lang = ' || lang || chr(10) || '| n = {{nts|' || CAST(n_chars AS STRING) || '}}' || chr(10) || '}}' || chr(10)
  || 'Lead of ' || lang || ' [[Doc ' || CAST((id * 7) % n AS STRING) || '|x]] and [[Doc ' || CAST((id * 13) % n AS STRING) || '#s]] and [[Missing ' || CAST(id % 3 AS STRING) || ']].' || chr(10)
+ || coalesce(body, '') || chr(10)
  || CASE WHEN id % 2 = 0 THEN 'Hub [[Doc ' || CAST(id % 8 + 1 AS STRING) || ']] [[Doc ' || CAST(id % 8 + 1 AS STRING) || ']] [[Help:Me]]' || chr(10) ELSE '' END
  || CASE WHEN id % 3 = 0 THEN '[[File:Pic ' || CAST(id % 50 AS STRING) || '.png|thumb|a]] [[image:Pic ' || CAST(id % 50 AS STRING) || '.png]]' || chr(10) ELSE '' END
  || CASE WHEN id % 13 = 0 THEN '{{disambig}}' || chr(10) ELSE '' END
@@ -34,13 +36,13 @@ SELECT id AS pos, id,
  || CASE WHEN id % 4 = 0 THEN '' ELSE '== See also ==' || chr(10) || '* [[Doc ' || CAST((id * 3) % n AS STRING) || ']]' || chr(10) || '* [[Doc ' || CAST((id * 7) % n AS STRING) || ']]' || chr(10) END
  || '=== Notes ===' || chr(10) || '[[Doc ' || CAST((id * 5) % n AS STRING) || ']]' || chr(10)
  || '[[Category:' || source || '|' || lang || ']]' || CASE WHEN id % 5 = 0 THEN '[[Category:' || source || ']][[Category:All' || chr(10) || 'docs]]' ELSE '' END END AS text
-FROM (SELECT doc_id + 1 AS id, lang, source, n_chars FROM documents) d, (SELECT count(*) AS n FROM documents) c
+FROM (SELECT doc_id + 1 AS id, lang, source, n_chars, text AS body FROM documents) d, (SELECT count(*) AS n FROM documents) c
 """
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived pages. Texts are built from three narrow columns of documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    """The derived pages."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars", "text")
     template = PAGES_SQL.replace("{", "{{").replace("}", "}}").replace("FROM documents", "FROM {docs}")
     return spark.sql(template, docs=docs)
 
@@ -63,6 +65,7 @@ def order_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 # --- SQL building blocks ---------------------------------------------------------------------------------------------
 
+#: Patterns of the wikitext constructs, as in the text functions (fixed values).
 _LINK = r"\[\[([^|\]]+?)(?:\|[^\]]+)?\]\]"
 _NS = "^(Category|File|Image|Template|Wikipedia|Help|Portal|Draft|User|Module|MediaWiki):"
 _TYPE = "CASE WHEN redirect_to IS NOT NULL THEN 'Redirect' WHEN ns = 0 THEN 'Article' WHEN ns IS NOT NULL OR starts_with(title, 'File:') OR starts_with(title, 'Category:') OR starts_with(title, 'Template:') THEN 'Special' ELSE 'Article' END"
@@ -82,6 +85,7 @@ _L = (
 l AS (SELECT id, type, split_part(t, '#', 1) AS target FROM raw WHERE split_part(t, '#', 1) <> '' AND NOT regexp_matches(split_part(t, '#', 1), '{_NS}')),
 e AS (SELECT DISTINCT l.id AS src, res.id AS dst, type FROM l JOIN res ON l.target = res.title)"""
 )
+#: Categories, images and external links (fixed values).
 _occ = lambda pattern: f"SELECT id, regexp_replace(trim(x), '\\s+', ' ', 'g') AS name FROM (SELECT id, unnest(regexp_extract_all(text, '{pattern}', 1)) AS x FROM a)"
 _CAT, _IMG, _EXT = _occ(r"\[\[Category:([^|\]]+?)(?:\|[^\]]+)?\]\]"), _occ(r"(?i)\[\[(?:File|Image):([^|\]]+?)(?:\|[^\]]*)*\]\]"), _occ(r"\[(https?://\S+?)(?:\s[^\]]+)?\]")
 _G = "lines AS (SELECT l_suppkey * 2 AS src, l_partkey * 2 + 1 AS dst FROM lineitem), v AS (SELECT DISTINCT id FROM (SELECT src AS id FROM lines UNION ALL SELECT dst FROM lines))"
@@ -216,7 +220,7 @@ _LEAD = r"trim(array_to_string([trim(x) FOR x IN string_split(regexp_replace(reg
 
 @_query(_with(_P, f"SELECT id, {_LEAD} AS abstract_text FROM a WHERE text IS NOT NULL"))
 def abstract(spark, d):
-    return E.blobs(_arts(spark, d)).select("id", "abstract_text")
+    return E.abstracts(_arts(spark, d))
 
 
 @_query(
@@ -278,11 +282,16 @@ def out_degree(spark, d):
     return graph.out_degree(*wiki_graph(spark, d))
 
 
-@_query(_with(_V, "SELECT src, dst FROM e WHERE src % 3 <> 0 AND dst % 3 <> 0"))
+_ALL_LINKS = f"al AS (SELECT DISTINCT l.id AS src, t.id AS dst FROM (SELECT id, split_part(x, '#', 1) AS target FROM (SELECT id, unnest(regexp_extract_all(text, '{_LINK}', 1)) AS x FROM c) WHERE split_part(x, '#', 1) <> '' AND NOT regexp_matches(split_part(x, '#', 1), '{_NS}')) l JOIN (SELECT title, arg_max(id, pos) AS id FROM c GROUP BY title) t ON l.target = t.title)"
+
+
+@_query(_with(f"{_P}, {_ALL_LINKS}", "SELECT src, dst FROM al WHERE src IN (SELECT id FROM a) AND dst IN (SELECT id FROM a)"))
 def edge_semi_join(spark, d):
-    """Edges among the articles whose id is not a multiple of 3."""
-    v, e = wiki_graph(spark, d)
-    return graph.closed(v.where("id % 3 <> 0"), e)
+    """Of the links between all pages, whatever their type, those whose both ends are articles."""
+    p = pages(spark, d)
+    ids = p.groupBy(F.col("title").alias("target")).agg(F.max_by("id", "pos").alias("dst"))
+    every = E.link_targets(p).join(ids, "target").select(F.col("id").alias("src"), "dst").distinct()
+    return graph.closed(E.articles(p).select("id"), every)
 
 
 K_RANKS, K_LABELS = 5, 3
@@ -319,16 +328,44 @@ def community_sizes(spark, d):
     return graph.community_sizes(graph.communities(*wiki_graph(spark, d), max_rounds=K_LABELS))
 
 
+def communities(spark, d):
+    """Label propagation to its end (50 rounds at most)."""
+    return graph.communities(*wiki_graph(spark, d))
+
+
+def pagerank(spark, d):
+    """PageRank until the summed change is below epsilon (20 rounds at most)."""
+    return graph.pagerank(*wiki_graph(spark, d)).ranks
+
+
+#: Iterations to their end, which SQL cannot express; tests hold them against plain Python.
+QUERIES |= {"communities": communities, "pagerank": pagerank}
+
+
+def _exported(spark: SparkSession, d: str, shards: int = 3, **more: DataFrame) -> str:
+    """The tables of the derived pages as CSV shards on disk; more: tables to write instead."""
+    p, folder = pages(spark, d), f"{graph._folder(spark)}/csv"
+    csv_tables.export(E.tables(p) | more, folder, shards)
+    return folder
+
+
+def _stored(spark: SparkSession, d: str) -> str:
+    """The derived pages as CSV shards, loaded into a store."""
+    p, folder = pages(spark, d), f"{graph._folder(spark)}/csv"
+    csv_tables.export({k: v for k, v in E.tables(p).items() if k in ("nodes", "edges")}, folder, 3)
+    store.load(spark, folder, f"{folder}/store")
+    return f"{folder}/store"
+
+
 @_query(_with(_P, "SELECT id, title FROM a WHERE title = 'Doc 5'"))
 def article_by_title(spark, d):
-    return _arts(spark, d).where(F.col("title") == "Doc 5").select("id", "title")
+    """A point lookup in the store."""
+    return store.by_title(store.article(spark, _stored(spark, d)), "Doc 5").select("id", "title")
 
 
 @_query(_with(_V, "SELECT a.id, a.title FROM e JOIN a ON e.dst = a.id WHERE e.src = 2"))
 def neighbors_1hop(spark, d):
-    p = pages(spark, d)
-    arts = E.articles(p)
-    return graph.neighbours(E.edges(arts, resolved_titles(p)), arts.select("id", "title"), 2)
+    return store.neighbours(spark, _stored(spark, d), 2)
 
 
 @_query(_with(_P, "SELECT count(*) AS articles FROM a"))
@@ -341,18 +378,27 @@ def shard_counts(spark, d):
     return _arts(spark, d).groupBy(T.shard(F.col("id"), 8).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query(_with(_L, "SELECT type, count(*) AS n, CAST(sum(src) AS BIGINT) AS srcs, CAST(sum(dst) AS BIGINT) AS dsts FROM e GROUP BY type"))
+@_query(_with(_L, "SELECT src, dst, type FROM e"))
 def merge_concat(spark, d):
-    """Edges cut into shards and joined again."""
-    _, e = wiki_graph(spark, d)
-    parts = [e.where(T.shard(F.col("src"), 3) == i) for i in range(3)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("src").alias("srcs"), F.sum("dst").alias("dsts"))
+    """Edges exported in shards, merged to one file, and read from it."""
+    folder = _exported(spark, d)
+    csv_tables.merge(spark, folder)
+    return csv_tables.read(spark, folder, "edges", None)
 
 
-@_query(_with(f"{_P}, o AS ({_CAT})", "SELECT name, min(id % 3) AS shard FROM o GROUP BY name"))
+@_query(_with(f"{_P}, o AS ({_CAT})", "SELECT name, 'Category of ' || CAST(min(id % 3) AS VARCHAR) AS label FROM o GROUP BY name"))
 def merge_dedup(spark, d):
-    """Category rows of all shards, unique: each from the first shard that holds it."""
-    return E.occurrences(_arts(spark, d), "categories").groupBy("name").agg(F.min(T.shard(F.col("id"), 3)).alias("shard"))
+    """Each shard has a row for each category that its articles name, as writers that know nothing of each other leave them; merged, the first shard's row stays."""
+    own = E.occurrences(_arts(spark, d), "categories").select(T.shard(F.col("id"), 3).alias("key"), F.col("name").alias("id"), "name").distinct()
+    folder = _exported(spark, d, categories=own.withColumn("label", F.concat(F.lit("Category of "), F.col("key").cast("string"))))
+    return csv_tables.merged(spark, folder)["categories"].select("name", "label")
+
+
+@_query(_with(_P, "SELECT id, title, CAST(ns AS INTEGER) AS ns, redirect_to, timestamp, text FROM p"))
+def multistream_pages(spark, d):
+    """All pages, written as a multistream dump of several files and read again by the ranges of their indexes."""
+    files = dump.write_multistream(pages(spark, d), f"{graph._folder(spark)}/dump", files=4)
+    return dump.read_multistream(spark, [f[0] for f in files], [f[1] for f in files]).drop("pos")
 
 
 @_query(_with(_P, f"SELECT id, title FROM (SELECT * FROM (SELECT *, {_TYPE} AS t FROM p WHERE id > 20 ORDER BY pos LIMIT 50) WHERE t = 'Article')"))
@@ -370,11 +416,12 @@ def multistream_ranges(spark, d):
 
 @_query(_with(_ranks_sql(_V, "e", K_RANKS) + f", d AS ({_DEG.format(e='e')})", f"SELECT a.id, a.title, round(r.r, 7) AS pagerank, d.degree FROM a LEFT JOIN r{K_RANKS} r ON r.id = a.id LEFT JOIN d ON d.id = a.id"))
 def graph_store_join(spark, d):
-    """Articles with their metrics, as the store holds them."""
-    v, e = wiki_graph(spark, d)
-    ranks = graph.pagerank(v, e, max_iterations=K_RANKS, epsilon=None).ranks
-    arts = _arts(spark, d).select("id", "title")
-    return arts.join(ranks, "id", "left").join(graph.degree(v, e), "id", "left").select("id", "title", F.round("rank", 7).alias("pagerank"), "degree")
+    """Articles with their metrics, written back to the store."""
+    at = _stored(spark, d)
+    v, e = store.article(spark, at).select("id"), store.links_to(spark, at)
+    ranks = graph.pagerank(v, e, max_iterations=K_RANKS, epsilon=None).ranks.withColumnRenamed("rank", "pagerank")
+    store.write_metrics(spark, at, ranks.join(graph.degree(v, e), "id").withColumn("community", F.lit(None).cast("long")))
+    return store.article(spark, at).select("id", "title", F.round("pagerank", 7).alias("pagerank"), "degree")
 
 
 @_query(_with(_P, "SELECT id, CASE WHEN n >= 1048576 THEN printf('%.1fM', n / 1048576.0) WHEN n >= 1024 THEN printf('%.1fK', n / 1024.0) ELSE CAST(n AS VARCHAR) || 'B' END AS shown FROM (SELECT id, id * id * 7 AS n FROM a)"))
