@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 U = "(?dU)"
-#: Patterns of the wikitext constructs (fixed values).
+#: Patterns of the wikitext constructs (fixed values). IMAGE takes its options as one run, which is the same language as a run of runs, without nested repetition.
 LINK = U + r"\[\[([^|\]]+?)(?:\|[^\]]+)?\]\]"
 CATEGORY = U + r"\[\[Category:([^|\]]+?)(?:\|[^\]]+)?\]\]"
 IMAGE = r"(?dUiu)\[\[(?:File|Image):([^|\]]+?)(?:\|[^\]]*)?\]\]"

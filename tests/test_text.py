@@ -15,7 +15,7 @@ def one(spark, f, value, kind="string"):
         ("[[A]] and [[B|b]]", ["A", "B"]),
         ("[[A#s|x]]", ["A#s"]),
         ("[[A\nB]]", ["A\nB"]),
-        ("[[File:a|thumb|[[B]]", ["File:a"]),
+        ("[[Image:hill|left|[[Oak]]", ["Image:hill"]),
         ("[[]] [[|x]]", []),
         ("", []),
         (None, None),
@@ -29,7 +29,7 @@ def test_links(spark, text, want):
     ("text", "want"),
     [
         ("[[Category:A]][[Category:B|k]][[Category:A]]", ["A", "B", "A"]),
-        ("[[Category:Explorers from n\nNew France]]", ["Explorers from n New France"]),
+        ("[[Category:Lakes of\nthe North]]", ["Lakes of the North"]),
         ("[[category:A]]", []),
         ("[[Category: two  spaces ]]", ["two  spaces"]),
         ("[[Category:  ]]", []),
