@@ -25,7 +25,7 @@ def test_odd_rows(spark, tmp_path):
     labels = [(i, 1, 0) for i in range(40)] + [(i, 1, 1) for i in range(50, 90)]
     docs += [(100, None, None, None, None), (101, "", "en", None, 0), (102, words("copy"), "en", "a", 1), (103, words("copy"), "en", "a", 1), (104, f"has {shared} in it", "en", "a", 1), (105, "mail anna@x.org now", None, "c", 3)]
     docs += [(None, words("none"), "en", "a", 1), (None, words("none"), "en", "a", 1), (102, words("other"), "en", "a", 1), (102, words("copy"), "en", "a", 1), (106, "long " + words("l", 60_000), "en", "c", 1)]
-    out = corpus_pipeline.run(spark, written(spark, tmp_path, docs, labels, [(1, shared), (2, None), (None, "x")]))
+    out = corpus_pipeline.run(spark, written(spark, tmp_path, docs, labels, [(1, shared), (2, None), (None, "qq")]))
     assert out.columns == [*corpus_pipeline.COLUMNS, "size", "source_size", "target", "taken"]
     got = out.collect()
     by_id = {}
