@@ -17,6 +17,7 @@ import re
 import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from itertools import accumulate
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
@@ -126,6 +127,7 @@ def read_multistream(spark: SparkSession, dump: str | list[str], index: str | li
     """Pages of a multistream dump of one file or several, each with its index; each task takes ranges of streams. Positions follow the order of the files."""
     dumps, indexes = ([x] if isinstance(x, str) else list(x) for x in (dump, index))
     sizes = _sizes(dumps)
+    before = list(accumulate(sizes, initial=0))
     if len(dumps) == 1:
         lines = spark.read.text(indexes[0])
         ranges = ranges_of(lines, sizes[0]).where(F.col("start").between(0, sizes[0] - 1)).withColumn("file", F.lit(0))
