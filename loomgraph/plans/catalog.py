@@ -15,8 +15,10 @@ from loomgraph.functions.templates import infoboxes_of
 from loomgraph.operators import extract as E
 from loomgraph.operators import graph
 from loomgraph.operators.titles import classified, redirects, resolved_titles
+from loomgraph.plans import program
 from loomgraph.sources import csv_tables, dump, store
 from loomgraph.sources.dump import ranges_of
+from loomgraph.streaming.ingest import ingest, stream_pages
 
 PAGES_SQL = """
 SELECT id AS pos, id,
@@ -394,7 +396,51 @@ def merge_dedup(spark, d):
     return csv_tables.merged(spark, folder)["categories"].select("name", "label")
 
 
-@_query(_with(_P, "SELECT id, title, CAST(ns AS INTEGER) AS ns, redirect_to, timestamp, text FROM p"))
+_PAGES = _with(_P, "SELECT id, title, CAST(ns AS INTEGER) AS ns, redirect_to, timestamp, text FROM p")
+
+
+@_query(_PAGES)
+def xml_pages(spark, d):
+    """All pages, written as plain XML and read again by the XML source."""
+    folder = f"{graph._folder(spark)}/xml"
+    dump.write_xml(pages(spark, d), folder)
+    return dump.read_xml(spark, folder).drop("pos")
+
+
+@_query(_with(_L, "SELECT id, target, type FROM l"))
+def streamed_links(spark, d):
+    """The links of pages that arrive as files, taken up by the streaming ingest."""
+    folder = graph._folder(spark)
+    pages(spark, d).repartition(5).write.parquet(f"{folder}/arriving")
+    ingest(stream_pages(spark, f"{folder}/arriving", 2), f"{folder}/taken", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/taken/links").select("id", "target", "type")
+
+
+@_query(
+    _with(
+        f"{_L}, cat AS ({_CAT})",
+        """SELECT (SELECT count(*) FROM a) AS articles, (SELECT count(*) FROM e WHERE type = 'LINKS_TO') AS edges, (SELECT count(*) FROM e WHERE type = 'SEE_ALSO') AS see_also_edges,
+        (SELECT count(*) FROM l WHERE target NOT IN (SELECT title FROM res)) AS invalid_links, 0::BIGINT AS skipped_pages, (SELECT count(*) FROM a) AS loaded_articles, (SELECT count(*) FROM e) AS loaded_links,
+        (SELECT count(DISTINCT name) FROM cat) AS merged_categories, (SELECT count(text) FROM a) AS blobs, 24::BIGINT AS archived""",
+    )
+)
+def program_run(spark, d):
+    """The whole program over a multistream dump of the pages: extract, load, merge and archive; then a resumed run, which must report the same."""
+    folder = graph._folder(spark)
+    ((path, index, _),) = dump.write_multistream(pages(spark, d), f"{folder}/dump", files=1)
+    o = program.Extract(path, f"{folder}/out", shards=3, blob_shards=20, index=index)
+    done = program.pipeline(spark, o, do_analytics=False)
+    o.resume = True
+    again, report = program.extract(spark, o), program.stats(spark, o.output)
+    if again != done["extract"]:
+        raise RuntimeError("a resumed run reports something else")
+    merged = csv_tables.read(spark, o.output, "categories", None).count()
+    row = {k: done["extract"][k] for k in ("articles", "edges", "see_also_edges", "invalid_links", "skipped_pages")}
+    row |= {"loaded_articles": done["load"]["articles"], "loaded_links": done["load"]["links"], "merged_categories": merged, "blobs": report["blobs"], "archived": report["archived"]}
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row))
+
+
+@_query(_PAGES)
 def multistream_pages(spark, d):
     """All pages, written as a multistream dump of several files and read again by the ranges of their indexes."""
     files = dump.write_multistream(pages(spark, d), f"{graph._folder(spark)}/dump", files=4)

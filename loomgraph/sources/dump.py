@@ -191,6 +191,19 @@ def page_xml(page_id: int, title: str, ns: int | None, redirect_to: str | None,
     return f"<page>{''.join(parts)}<revision>{''.join(revision)}</revision></page>\n"
 
 
+def write_xml(pages: DataFrame, folder: str) -> None:
+    """Pages as plain XML in files of Spark's text sink, one root element each, as read_xml takes them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": ["<mediawiki>"]})
+        for b in batches:
+            yield pd.DataFrame({"value": [page_xml(int(r[0]), r[1], *(None if x is None or x != x else x for x in r[2:])).rstrip("\n") for r in b.itertuples(index=False)]})
+        yield pd.DataFrame({"value": ["</mediawiki>"]})
+
+    rows = pages.where("id is not null and title is not null").select("id", "title", F.col("ns").cast("string").alias("ns"), "redirect_to", "timestamp", "text")
+    rows.mapInPandas(run, "value string").write.option("maxRecordsPerFile", 0).text(folder)
+
+
 def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream: int = 100) -> list[tuple[str, str, int]]:
     """(dump, index, pages) of the files written: pages in order of pos, ``per_stream`` in each bz2 stream.
 
@@ -237,4 +250,4 @@ def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream:
     return [(r.dump, r["index"], r.pages) for r in sorted(done)]
 
 
-__all__ = ["PAGES", "index_path", "parse_pages", "page_xml", "ranges_of", "read_dump", "read_multistream", "read_xml", "write_multistream"]
+__all__ = ["PAGES", "index_path", "parse_pages", "page_xml", "ranges_of", "read_dump", "read_multistream", "read_xml", "write_multistream", "write_xml"]
