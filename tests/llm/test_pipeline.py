@@ -21,7 +21,7 @@ def test_pipeline_against_brute_force(spark):
     docs = table(spark, SF, "documents")
     first = corpus_pipeline.not_toxic(spark, docs, SF)
     assert first.columns == docs.columns
-    _, rows = duck(near.SQL, documents=first)
+    _, rows = duck(near.SQL.replace("100 * c >= 85 *", f"100 * c >= {corpus_pipeline.NEAR_PERCENT} *"), documents=first)
     ids = {r[0] for r in rows if r[3]}
     second = first.where(first.doc_id.isin(list(ids)))
     _, rows = duck(decontaminate.SQL, documents=second, benchmark=table(spark, SF, "benchmark"))

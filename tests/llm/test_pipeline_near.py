@@ -19,11 +19,6 @@ def test_stage_links_from_80_percent(spark):
     assert sorted(got) == sorted(kept[1]) and kept[1] < kept[0]
 
 
-def test_pipeline_against_brute_force_at_80(spark, monkeypatch):
-    monkeypatch.setattr(near, "SQL", SQL_80)
-    test_pipeline.test_pipeline_against_brute_force(spark)
-
-
 @pytest.mark.parametrize("percent", [70, 80, 85, 90])
 def test_bands_miss_few_pairs_at_the_threshold(percent):
     rows, bands = near.banding(percent)
