@@ -3,10 +3,17 @@
 Each round joins every node's neighbours to the least one; the edge table shrinks to stars in a few rounds.
 Nothing is collected; each half of a round is written to the shared folder, which also cuts the lineage. Small tables
 are written by few tasks, so late rounds cost little.
+
+A table of ``ONE_TASK`` edges at most (16 MB) is settled whole by one task instead: with the same result, and without the rounds'
+jobs, each of which has as many tasks as there are shuffle partitions, for all of which the driver keeps accounts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +22,8 @@ from loomgraph.llm.common import drop_stored, stored
 
 #: Rows that one task writes at least, where there are fewer than shuffle partitions would need.
 ROWS_A_TASK = 50_000
+#: Edges that one task settles at most; larger tables go through rounds.
+ONE_TASK = 1_000_000
 
 
 def _written(df: DataFrame, rows: int) -> DataFrame:
@@ -26,6 +35,27 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
 
 
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least node that each of n nodes reaches by edges (i, j)."""
+    root = np.arange(n)
+    while len(i):
+        i, j = root[i], root[j]
+        open_ = i != j
+        i, j = i[open_], j[open_]
+        np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
+        while not np.array_equal(up := root[root], root):
+            root = up
+    return root
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, component of all edges(u, v) that there are."""
+    held = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches if b.num_rows]
+    if held:
+        ids, code = np.unique(np.concatenate([x for pair in zip(*held, strict=True) for x in pair]), return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[_roots(len(ids), *np.split(code, 2))])], ["id", "component"])
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """id, component (least id) of every id in edges(a, b); loops and repeats are allowed."""
     pick = lambda x, y: F.struct(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
@@ -34,6 +64,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         rows = held.count()
         if not rows:
             break
+        if rows <= ONE_TASK:
+            done = stored(held.coalesce(1).mapInArrow(_settled, "id long, component long"), "components")
+            drop_stored(held)
+            return done
         both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _written(_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), rows)
         small = _least(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
