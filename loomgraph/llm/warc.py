@@ -16,8 +16,14 @@ Writer: equal payloads (by SHA-1) of at least ``least`` bytes are stored once, a
 are revisits that refer to it. Digests are grouped before any payload moves, and payloads then meet them in one join
 that adaptive execution can split. Where pyarrow can open the folder, each task attempt writes files under names of its own and
 reports them; only reported files are read, so lost executors and repeated attempts leave no record twice. Any other Hadoop file system
-is written through Spark's own committed text sink, in chunks of whole members that an empty member ends, and read
-there by Spark's binaryFile source, one task for each file of at most ``CHUNKS_A_FILE`` MB.
+is written through Spark's own committed text sink, in chunks of whole members that an empty member ends. There, too, byte ranges are read:
+Spark's text source cuts files into them, with the gzip magic as line separator, so each range begins at its first magic
+and reads past its end to finish the last piece. Pieces are joined to members; a file of which any range
+has a piece that belongs to no whole member (the magic inside compressed bytes at a border, an archive in a payload, damage) is read again
+in one pass from its first byte. Spark would not cut files named .gz or .gzip, so sunk archives are named ``.warc.members`` (of gzip); others' ``.warc.gz``
+files on such a file system are still read by the binaryFile source, a task for each file.
+
+Revisits hold no payload: ``resolved`` gives them the length and digest that were computed of the response they refer to.
 
 Defined results: a null html is an empty payload; a null url has no target line, and control characters in one are escaped; repeated rows give a record
 each, and rows that share id and payload with the response are responses too; a null page_id is never referred to unless all ids of its payload are null; an empty
@@ -31,7 +37,8 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -48,6 +55,8 @@ RANGE_BYTES, FILE_BYTES, OUT_BYTES, STEP_BYTES = 16 << 20, 1 << 30, 8 << 20, 1 <
 MOST_TASKS = 100_000
 #: The committed sink: bytes of a chunk at least, and chunks in a file at most.
 CHUNK_BYTES, CHUNKS_A_FILE = 1 << 20, 64
+#: The suffix of its files.
+SUNK = ".warc.members"
 
 
 def base32(sha1: bytes) -> str:
@@ -143,7 +152,7 @@ def _sunk_files(rows: DataFrame, folder: str, least: int, level: int) -> DataFra
     fs, files = at.getFileSystem(spark._jsc.hadoopConfiguration()), []
     for f in fs.listStatus(at):
         if f.getPath().getName().startswith("part-") and f.getLen():
-            path = f"{folder}/{f.getPath().getName().removesuffix('.txt')}.warc.gz"
+            path = f"{folder}/{f.getPath().getName().removesuffix('.txt')}{SUNK}"
             if not fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(path)):
                 raise OSError(f"cannot name {path}")
             files.append((path, f.getLen(), None))
@@ -318,17 +327,23 @@ def damaged(spans_: DataFrame) -> DataFrame:
     return spans_.select("path", F.explode("damage").alias("d")).select("path", "d.*")
 
 
-def read_warc(spark: SparkSession, archives: DataFrame, *, payload: bool = True, range_bytes: int = RANGE_BYTES, whole: bool = False) -> DataFrame:
-    """All records of archives(path, bytes), or (content) if they are read whole: FIELDS, and the payload if asked for."""
-    attach(spark)
-    schema = FIELDS + (", payload binary" if payload else "")
+def _shape(payload: bool) -> tuple[str, Callable[[list], pa.RecordBatch]]:
+    """The schema of records and what makes a batch of rows (all fields and the payload, which is left out unless asked for)."""
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.binary()]
     names = [x.split()[0] for x in FIELDS.split(", ")] + ["payload"]
+    n = len(names) if payload else len(names) - 1
 
     def batch(rows: list) -> pa.RecordBatch:
-        n = len(names) if payload else len(names) - 1
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(n)], names[:n])
 
+    return FIELDS + (", payload binary" if payload else ""), batch
+
+
+def read_warc(spark: SparkSession, archives: DataFrame, *, payload: bool = True, range_bytes: int = RANGE_BYTES, whole: bool = False) -> DataFrame:
+    """All records of archives(path, bytes), or (content) if they are read whole: FIELDS, and the payload if asked for."""
+    attach(spark)
+    schema, batch = _shape(payload)
+
     def out(sources: Iterator[tuple[Source, int, int]]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for source, entry, end in sources:
@@ -356,15 +371,97 @@ def read_warc(spark: SparkSession, archives: DataFrame, *, payload: bool = True,
     return _dealt(entered, archives, range_bytes).mapInArrow(by_range, schema)
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes | None]]:
+    """(path, record; None: the range has a piece that belongs to no whole member) from the pieces b between magics of ranges (path, start), each in order."""
+    at, pack, out, lost = None, None, [], False
+    for b in batches:
+        for piece, *here in zip(*(b.column(c).to_pylist() for c in ("b", "path", "start")), strict=True):
+            if here != at:
+                if pack:
+                    yield at[0], None
+                at, pack, lost = here, None, False
+                if here[1] == 0:  # what stands before the first magic of the file
+                    if lost := piece != b"":
+                        yield here[0], None
+                    continue
+            if lost:
+                continue
+            if not pack:
+                pack, out = zlib.decompressobj(31), []
+            try:
+                out.append(pack.decompress(MAGIC + piece))
+            except zlib.error:
+                lost = True
+            if pack.eof:
+                raw = b"".join(out)
+                lost = bool(pack.unused_data) or not (raw.startswith(b"WARC/1.") or not raw)
+                if raw and not lost:
+                    yield here[0], raw
+                pack = None
+            if lost:
+                yield here[0], None
+                pack = None
+    if pack:
+        yield at[0], None
+
+
+def by_splits(spark: SparkSession, folder: str, *, payload: bool = True) -> DataFrame:
+    """The records of the SUNK archives in a folder, by the ranges of Spark's text source; files that it cannot tell apart, in one pass each."""
+    attach(spark)
+    schema, batch = _shape(payload)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, paths, size = [], [], 0
+
+        def flushed() -> pa.RecordBatch:
+            return batch(rows).append_column("path", pa.array(paths, pa.string())).append_column("broken", pa.array([r[-1] is None for r in rows]))
+
+        for path, raw in _joined(pieces(batches, "b")):
+            fields, body = parsed(raw) if raw else ((None,) * 8, None)
+            rows.append((*fields, body))
+            paths.append(path)
+            size += len(body or b"") if payload else 0
+            if size >= OUT_BYTES or len(rows) >= 4096:
+                yield flushed()
+                rows, paths, size = [], [], 0
+        if rows:
+            yield flushed()
+
+    cut = spark.read.options(lineSep=MAGIC.decode("latin-1"), encoding="ISO-8859-1", pathGlobFilter=f"*{SUNK}").text(folder)
+    cut = cut.select(F.col("value").cast("binary").alias("b"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    held = stored(cut.mapInArrow(run, f"{schema}, path string, broken boolean"), "records")
+    broken = held.where("broken").select("path").distinct()
+    again = sorted(unquote(r.path.rpartition("/")[2]) for r in broken.collect())
+    names = [x for x in held.columns if x not in ("path", "broken")]
+    if not again:
+        return held.select(*names)
+    whole = spark.read.format("binaryFile").load([f"{folder}/{x}" for x in again]).select("content")
+    return held.join(F.broadcast(broken), "path", "left_anti").select(*names).unionByName(read_warc(spark, whole, payload=payload, whole=True))
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """records with payload_bytes and payload_digest of each revisit as computed of the response that it refers to; intact: there is one of the stated digest, itself intact, as long as the revisit tells."""
+    held = stored(records.drop("payload"), "records")
+    to = held.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated"))
+    to = to.agg(F.max("payload_bytes").alias("n"), F.min(F.coalesce("intact", F.lit(True))).alias("good"))
+    revisits = held.where("record_type = 'revisit'").withColumnRenamed("payload_digest", "stated").join(to, ["refers_to", "stated"], "left")
+    good = F.coalesce(F.col("good") & F.col("n").eqNullSafe(F.col("payload_bytes")), F.lit(False))
+    revisits = revisits.withColumns({"payload_bytes": F.coalesce("n", "payload_bytes"), "payload_digest": F.col("stated"), "intact": good})
+    return held.where("not record_type <=> 'revisit'").unionByName(revisits.select(*held.columns))
+
+
 def listed(spark: SparkSession, folder: str, *, payload: bool = True, sink: bool | None = None) -> DataFrame:
-    """The records of all archives in a folder, by ranges where pyarrow can open its scheme, else by file."""
+    """The records of all archives in a folder, by ranges; those named .warc.gz where pyarrow cannot open the scheme, by file."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    files = [(f.getPath().toString(), f.getLen()) for f in found if re.search(r"\.warc\.gz$", f.getPath().getName())]
+    files = [(f.getPath().toString(), f.getLen()) for f in found if f.getPath().getName().endswith((".warc.gz", SUNK))]
     if not openable(files[0][0] if files else folder) if sink is None else sink:
+        cut = by_splits(spark, folder, payload=payload)
+        if all(path.endswith(SUNK) for path, _ in files):
+            return cut
         whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("content")
-        return read_warc(spark, whole, payload=payload, whole=True)
+        return cut.unionByName(read_warc(spark, whole, payload=payload, whole=True))
     return read_warc(spark, spark.createDataFrame(files, "path string, bytes long"), payload=payload)
 
 
@@ -372,7 +469,7 @@ def op1_warc(spark, sf_dir: str) -> DataFrame:
     pages, folder = table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     archives = write_warc(pages, folder)
     read = read_warc(spark, archives, payload=False) if openable(folder) else listed(spark, folder, payload=False)
-    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+    return resolved(read).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 SQL = """
