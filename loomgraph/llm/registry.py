@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomgraph.llm import decontaminate, licenses, mix, near, pii, quality, tokens, topk, toxicity, warc
+from loomgraph.llm import bpe, decontaminate, licenses, mix, near, pii, quality, tokens, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op8_quality": quality.op8_quality,
         "op9_pii": pii.op9_pii,
         "op10_top_k": topk.op10_top_k,
+        "op12_bpe": bpe.op12_bpe,
         "pipeline": corpus_pipeline.run,
     }
 
