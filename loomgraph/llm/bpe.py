@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding, with a rank queue over a hierarchical bitmap.
 
 A text is cut into pre-tokens; each is merged on its own, always the pair of least rank, of equal ranks the leftmost.
-Parts are a linked list over byte places. The queue has a bucket of places for each rank, and a bitmap of three levels
+Parts are a linked list over byte places. The queue has a bucket of places for each rank, and a bitmap of two levels
 tells which buckets hold anything: finding the least rank is a find-first-set on each level, whatever the length of the pre-token.
 A merge changes at most two pairs; their old entries stay where they are and are skipped when they come up, as the pair's
 rank has changed. So a pre-token of n bytes takes O(n) queue operations, where a scan for the least pair takes O(n) for each merge.
@@ -33,82 +33,60 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from loomgraph.llm.common import attach, pieces, table
 from loomgraph.llm.tokens import ranks_of
+from loomgraph.llm.words import bytes_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-#: Bits of a word of the bitmap; pre-tokens that a worker remembers, and their greatest length in characters; pre-tokens that are cut from a text at a time.
-WORD, REMEMBERED, SHORT, CUT = 64, 400_000, 64, 100_000
-
-
-class RankQueue:
-    """Places by rank, least rank first, least place first within a rank."""
-
-    def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        n = ranks
-        while not self.levels or n > 1:
-            n = -(-n // WORD)
-            self.levels.append([0] * n)
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, place: int) -> None:
-        if (bucket := self.buckets.get(rank)) is not None:
-            heappush(bucket, place)
-            return
-        self.buckets[rank] = [place]
-        for level in self.levels:
-            rank, bit = divmod(rank, WORD)
-            before = level[rank]
-            level[rank] = before | 1 << bit
-            if before:
-                break
-
-    def pop(self) -> tuple[int, int]:
-        """(rank, place), or (-1, -1) if there is none."""
-        at = 0
-        for level in reversed(self.levels):
-            bits = level[at]
-            if not bits:
-                return -1, -1
-            at = at * WORD + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[at]
-        place = heappop(bucket)
-        if not bucket:
-            del self.buckets[at]
-            rest = at
-            for level in self.levels:
-                rest, bit = divmod(rest, WORD)
-                level[rest] ^= 1 << bit
-                if level[rest]:
-                    break
-        return at, place
+#: Pre-tokens that a worker remembers, and their greatest length in characters; pre-tokens that are cut from a text at a time.
+REMEMBERED, SHORT, CUT = 600_000, 64, 100_000
 
 
 class Encoder:
-    """ranks: bytes of a token to its id, which is its rank too."""
+    """ranks: bytes of a token to its id, which is its rank too. Not for several threads at a time."""
 
     def __init__(self, ranks: dict[bytes, int]):
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary has a token for every byte")
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values()) + 1)
+        #: A word of the lower level has as many bits as the upper level has words, about.
+        self.shift = (max(ranks.values()).bit_length() + 1) // 2
+        self.words = [0] * ((max(ranks.values()) >> self.shift) + 1)
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         find = self.ranks.get
         if (whole := find(piece)) is not None:
             return [whole]
-        n, queue = len(piece), self.queue
+        n, words, shift = len(piece), self.words, self.shift
+        mask, upper, buckets = (1 << shift) - 1, 0, {}
         after, before = list(range(1, n + 2)), list(range(-1, n))
         #: Rank of the pair that begins at a place, -1 where none does or the part was merged away.
-        pair = [find(piece[i : i + 2], -1) for i in range(n - 1)] + [-1]
-        for i, rank in enumerate(pair):
-            if rank >= 0:
-                queue.push(rank, i)
+        pair = [find(piece[i : i + 2], -1) for i in range(n - 1)]
+        pair.append(-1)
+        fresh = [(rank, i) for i, rank in enumerate(pair) if rank >= 0]
         while True:
-            rank, i = queue.pop()
-            if rank < 0:
+            for rank, i in fresh:
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    w = rank >> shift
+                    words[w] |= 1 << (rank & mask)
+                    upper |= 1 << w
+            if not upper:
                 break
+            w = (upper & -upper).bit_length() - 1
+            word = words[w]
+            lowest = word & -word
+            rank = (w << shift) + lowest.bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                words[w] = word ^ lowest
+                if word == lowest:
+                    upper ^= 1 << w
+            fresh = []
             if pair[i] != rank:
                 continue  # stale
             gone = after[i]
@@ -118,12 +96,12 @@ class Encoder:
                 before[end] = i
                 if (new := find(piece[i : after[end]], -1)) >= 0:
                     pair[i] = new
-                    queue.push(new, i)
+                    fresh.append((new, i))
             left = before[i]
             if left >= 0:
                 pair[left] = new = find(piece[left:end], -1)
                 if new >= 0:
-                    queue.push(new, left)
+                    fresh.append((new, left))
         out, i = [], 0
         while i < n:
             out.append(self.ranks[piece[i : after[i]]])
@@ -148,16 +126,35 @@ def stand_ins() -> dict[int, str]:
     return odd
 
 
+def _ranges(codes: list[int]) -> str:
+    """Sorted characters as the ranges of a set: one of thousands of single ones would be searched one by one."""
+    runs: list[list[int]] = []
+    for c in codes:
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in runs)
+
+
 class Cutter:
     """Pre-tokens of a text."""
 
     def __init__(self, pattern: str, odd: dict[int, str]):
         self.pattern, self.odd = regex.compile(pattern), odd
-        self.has_odd = regex.compile("[" + "".join(map(chr, sorted(odd))) + "]").search if odd else lambda text: None
+        self.set = regex.compile(f"[{_ranges(sorted(odd))}]") if odd else None
+        self.pairs = np.zeros(1 << 16, bool)
+        self.pairs[[int.from_bytes(chr(c).encode()[:2]) for c in odd]] = True
+
+    def maybe_odd(self, col: pa.Array) -> np.ndarray:
+        """Which texts have two bytes in a row that begin such a character."""
+        raw, at = bytes_of(col)
+        hit = np.flatnonzero(self.pairs[raw[:-1].astype(np.uint16) << 8 | raw[1:]])
+        return np.diff(np.searchsorted(hit, at)) > 0
 
-    def __call__(self, text: str) -> Iterator[list[str]]:
+    def __call__(self, text: str, maybe_odd: bool = True) -> Iterator[list[str]]:
         """Lists of at most CUT pre-tokens (short texts: one list)."""
-        seen = text.translate(self.odd) if self.has_odd(text) else text
+        seen = text.translate(self.odd) if maybe_odd and self.set and self.set.search(text) else text
         if seen is text and len(text) <= CUT:
             yield self.pattern.findall(text)
             return
@@ -191,7 +188,8 @@ def encode(docs: DataFrame, *, vocabulary: str = VOCABULARY, pattern: str = PATT
         cut, known = Cutter(pattern, odd), _Packed(Encoder(ranks))
         of = known.__getitem__
         for b in pieces(batches, "text"):
-            rows = [b"".join(b"".join(map(of, some)) for some in cut(text or "")) for text in b.column("text").to_pylist()]
+            texts = b.column("text")
+            rows = [b"".join(b"".join(map(of, some)) for some in cut(text or "", odd_one)) for text, odd_one in zip(texts.to_pylist(), cut.maybe_odd(texts).tolist(), strict=True)]
             n = np.array([len(r) // 4 for r in rows], np.int64)
             ids = pa.array(rows, pa.binary()) if packed else pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.frombuffer(b"".join(rows), "<i4"), pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), ids], ["doc_id", "n_tokens", "ids"])
