@@ -178,6 +178,17 @@ class _Packed(dict):
         return out
 
 
+_WORKER: dict[tuple, _Packed] = {}
+
+
+def _remembered(key: tuple, ranks: dict[bytes, int]) -> _Packed:
+    """What this worker process remembers of one vocabulary: it lasts for all tasks that it runs."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = _Packed(Encoder(ranks))
+    return _WORKER[key]
+
+
 def encode(docs: DataFrame, *, vocabulary: str = VOCABULARY, pattern: str = PATTERN, packed: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids of every document: an array<int>; packed: binary, each id as 4 bytes, least first."""
     spark = attach(docs.sparkSession)
@@ -185,8 +196,7 @@ def encode(docs: DataFrame, *, vocabulary: str = VOCABULARY, pattern: str = PATT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, odd = sent.value
-        cut, known = Cutter(pattern, odd), _Packed(Encoder(ranks))
-        of = known.__getitem__
+        cut, of = Cutter(pattern, odd), _remembered((vocabulary, pattern), ranks).__getitem__
         for b in pieces(batches, "text"):
             texts = b.column("text")
             rows = [b"".join(b"".join(map(of, some)) for some in cut(text or "", odd_one)) for text, odd_one in zip(texts.to_pylist(), cut.maybe_odd(texts).tolist(), strict=True)]
