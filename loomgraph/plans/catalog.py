@@ -442,11 +442,38 @@ def program_run(spark, d):
 
 @_query(_PAGES)
 def multistream_pages(spark, d):
+    """All pages, written as a multistream dump of 40 files and read again by the data source, which finds the streams."""
+    folder = f"{graph._folder(spark)}/dump of pages"
+    dump.write_multistream(pages(spark, d), folder, files=40)
+    dump.dump_source(spark)
+    return spark.read.format("wikidump").load(folder).drop("pos")
+
+
+@_query(_PAGES)
+def multistream_indexed(spark, d):
     """All pages, written as a multistream dump of several files and read again by the ranges of their indexes."""
     files = dump.write_multistream(pages(spark, d), f"{graph._folder(spark)}/dump", files=4)
     return dump.read_multistream(spark, [f[0] for f in files], [f[1] for f in files]).drop("pos")
 
 
+@_query(_with(_P, "SELECT id, title, ns FROM p WHERE id > 100 AND ns = 0"))
+def multistream_pruned(spark, d):
+    """Titles of a dump by a schema without texts and with filters, both of which reach the parser."""
+    folder = f"{graph._folder(spark)}/dump"
+    dump.write_multistream(pages(spark, d), folder, files=4)
+    dump.dump_source(spark)
+    return spark.read.format("wikidump").schema("id long, title string, ns int").load(folder).where("id > 100 and ns = 0")
+
+
+@_query(_PAGES)
+def split_pages(spark, d):
+    """All pages, written as plain XML and as one bz2 stream in each file, and read again in Spark's splits: the one half from here, the other from there."""
+    folder = graph._folder(spark)
+    dump.write_xml(pages(spark, d), f"{folder}/plain")
+    dump.write_xml(pages(spark, d), f"{folder}/packed", compression="bzip2")
+    return dump.read_split(spark, f"{folder}/plain").where("id % 2 = 0").unionByName(dump.read_split(spark, f"{folder}/packed").where("id % 2 = 1")).drop("pos")
+
+
 @_query(_with(_P, f"SELECT id, title FROM (SELECT * FROM (SELECT *, {_TYPE} AS t FROM p WHERE id > 20 ORDER BY pos LIMIT 50) WHERE t = 'Article')"))
 def limit_pages(spark, d):
     """Articles among the first 50 pages after id 20."""
