@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,11 +177,13 @@ def communities(vertices: DataFrame, edges: DataFrame, *, max_rounds: int = LABE
 
     ``rounds``: all vertices at once; the most frequent label among the neighbours wins, the own one on a tie, then the least.
     Neighbours lie bucketed by the one whose label is sent, so a round moves labels and counted votes alone.
-    ``sequential``: one vertex after another, in order of id, seeing labels set before it; it takes the whole graph into one
-    task, so it is for graphs that fit there, and refuses more than ``SEQUENTIAL_EDGES`` edges.
+    ``in place``: one vertex after another, in order of its colour (``coloured``), then id, seeing labels set before it, with the same ties: so it settles
+    where all at once may swing. Vertices of one colour have no edges between them and are updated together.
     """
-    if mode == "sequential":
-        return _sequential(vertices, edges, max_rounds)
+    if mode == "in place":
+        return _in_place(vertices, edges, max_rounds)
+    if mode != "rounds":
+        raise ValueError(f"no mode {mode!r}")
     rounds = Rounds(vertices.sparkSession)
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     counted = rounds.put(both.groupBy(F.col("src").alias("id"), F.col("dst").alias("near")).agg(F.count(F.lit(1)).alias("n")), "counted")
@@ -202,38 +203,73 @@ def communities(vertices: DataFrame, edges: DataFrame, *, max_rounds: int = LABE
     return labels
 
 
-SEQUENTIAL_EDGES = 5_000_000
-
-
-def _sequential(vertices: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
-    if edges.limit(SEQUENTIAL_EDGES + 1).count() > SEQUENTIAL_EDGES:
-        raise ValueError("too many edges for one task; use mode='rounds'")
-    rows = vertices.select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b")).unionByName(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        near: dict[int, list[int]] = {}
-        for t in batches:
-            for a, b in zip(t["a"].tolist(), t["b"].tolist(), strict=True):
-                near.setdefault(a, [])
-                if b == b:  # not a vertex row
-                    near[a].append(int(b))
-                    near.setdefault(int(b), []).append(a)
-        label = {v: v for v in near}
-        for _ in range(max_rounds):
-            moved = False
-            for v in sorted(near):
-                votes: dict[int, int] = {}
-                for u in near[v]:
-                    votes[label[u]] = votes.get(label[u], 0) + 1
-                if votes:
-                    best = max(votes, key=lambda c: (votes[c], c == label[v], -c))
-                    moved |= best != label[v]
-                    label[v] = best
-            if not moved:
-                break
-        yield pd.DataFrame({"id": list(label), "community": list(label.values())})
-
-    return rows.coalesce(1).mapInPandas(run, "id long, community long")
+def _priority(col: str) -> F.Column:
+    """A random number for each vertex, the same in every run, made unique by the id."""
+    return F.struct(F.xxhash64(F.col(col)).alias("h"), F.col(col).alias("id"))
+
+
+def coloured(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """id, colour (from 0): neighbours have different colours. A vertex takes the least colour that none of its neighbours of higher priority has, once all of these have theirs.
+
+    Every round colours all vertices whose higher neighbours are done; its edges are those of the vertices that still wait, so
+    they get fewer each time, and the number of rounds is that of the longest chain of rising priorities (short, as they are random).
+    """
+    rounds = Rounds(vertices.sparkSession)
+    v = vertices.select("id").distinct()
+    up = edges.where("src <> dst").select(F.when(_priority("src") < _priority("dst"), F.struct(F.col("src").alias("u"), F.col("dst").alias("v"))).otherwise(F.struct(F.col("dst").alias("u"), F.col("src").alias("v"))).alias("e"))
+    waiting = rounds.put(up.select("e.*").distinct().withColumn("colour", F.lit(None).cast("int")))
+    done = [rounds.put(v.join(waiting.select(F.col("u").alias("id")), "id", "left_anti").select("id", F.lit(0).alias("colour")), "colours-0")]
+    while not waiting.isEmpty():
+        last = done[-1].select(F.col("id").alias("v"), F.col("colour").alias("new"))
+        met = waiting.join(last, "v", "left").select("u", "v", F.coalesce("colour", "new").alias("colour"))
+        state = met.groupBy("u").agg(F.count_if(F.col("colour").isNull()).alias("open"), F.collect_set("colour").alias("taken"))
+        free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size("taken")), "taken"))  # as many as there are colours
+        done.append(rounds.put(state.where("open = 0").select(F.col("u").alias("id"), free.alias("colour")), f"colours-{len(done)}"))
+        waiting = rounds.put(met.join(done[-1].select(F.col("id").alias("u")), "u", "left_anti"))
+    spark = vertices.sparkSession
+    kept = Rounds(spark)
+    out = kept.put(spark.read.schema(done[0].schema).parquet(*(f"{rounds.folder}/colours-{n}" for n in range(len(done)))))
+    rounds.delete()
+    return out
+
+
+def _in_place(vertices: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
+    """One colour after another: a class has no edges inside, so all of its vertices are updated at once, and the next one sees what they became."""
+    spark, rounds = vertices.sparkSession, Rounds(vertices.sparkSession)
+    kept = rounds.put(closed(vertices, edges), "edges")
+    colours = coloured(vertices, kept)
+    both = kept.where("src <> dst").select(F.explode(F.array(F.struct(F.col("src").alias("id"), F.col("dst").alias("near")), F.struct(F.col("dst").alias("id"), F.col("src").alias("near")))).alias("e")).select("e.*")
+    near = both.groupBy("id", "near").agg(F.count(F.lit(1)).alias("n")).join(colours, "id")
+    near.repartitionByRange("colour", "id", "near").write.partitionBy("colour").parquet(f"{rounds.folder}/near")
+    near = spark.read.schema("id long, near long, n long, colour int").parquet(f"{rounds.folder}/near")
+    loops = kept.where("src = dst").groupBy(F.col("src").alias("id")).agg((2 * F.count(F.lit(1))).alias("loops"))
+    colours.join(loops, "id", "left").select("id", F.col("id").alias("community"), F.coalesce("loops", F.lit(0)).alias("loops"), F.lit(False).alias("moved"), "colour").repartitionByRange("colour", "id").write.partitionBy("colour").parquet(f"{rounds.folder}/labels")
+    row = "id long, community long, loops long, moved boolean"
+    classes = [r.colour for r in colours.select("colour").distinct().orderBy("colour").collect()]  # colours are few
+    at = {c: f"{rounds.folder}/labels/colour={c}" for c in classes}
+    quiet = dict.fromkeys(classes, False)  # whether nothing moved since this class was last looked at
+    for turn in range(max_rounds):
+        for c in classes:
+            if quiet[c]:
+                continue
+            own = spark.read.schema(row).parquet(at[c])
+            labels = spark.read.schema(row).parquet(*(at[x] for x in classes if x != c)) if len(classes) > 1 else own.limit(0)
+            votes = near.where(F.col("colour") == c).join(labels.select(F.col("id").alias("near"), "community"), "near").select("id", "community", "n", F.lit(0).alias("own"), F.lit(0).cast("long").alias("loops"))
+            votes = votes.unionByName(own.select("id", "community", F.col("loops").alias("n"), F.lit(1).alias("own"), "loops"))
+            counted = votes.groupBy("id", "community").agg(F.sum("n").alias("n"), F.max("own").alias("own"), F.max("loops").alias("loops"))
+            best = counted.groupBy("id").agg(F.max(F.struct("n", "own", (-F.col("community")).alias("least"))).alias("best"), F.max("loops").alias("loops"))
+            path = f"{rounds.folder}/moved-{turn}-{c}"
+            best.select("id", (-F.col("best.least")).alias("community"), "loops", (F.col("best.own") == 0).alias("moved")).write.parquet(path)
+            rounds._delete(at[c])
+            at[c] = path
+            if not spark.read.schema(row).parquet(path).where("moved").isEmpty():
+                quiet = dict.fromkeys(classes, False)
+            quiet[c] = True
+        if all(quiet.values()):
+            break
+    rounds.named += ["edges", "near"]
+    rounds.settled()
+    return spark.read.schema(row).parquet(*at.values()).select("id", "community")
 
 
 def community_sizes(labels: DataFrame) -> DataFrame:
@@ -248,12 +284,12 @@ class Metrics:
 
 
 @contextmanager
-def metrics(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK_DAMPING, iterations: int = PAGERANK_ITERATIONS, epsilon: float = PAGERANK_EPSILON, label_rounds: int = LABEL_ROUNDS) -> Iterator[Metrics]:
+def metrics(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK_DAMPING, iterations: int = PAGERANK_ITERATIONS, epsilon: float = PAGERANK_EPSILON, label_rounds: int = LABEL_ROUNDS, label_mode: str = "rounds") -> Iterator[Metrics]:
     """table(id, pagerank, community, degree) of every vertex, the edges between vertices, and the PageRank iterations run; its own tables go at the end."""
     rounds = Rounds(vertices.sparkSession)
     kept = rounds.put(closed(vertices, edges), "closed")
     ranks = pagerank(vertices, kept, damping=damping, max_iterations=iterations, epsilon=epsilon)
-    labels = communities(vertices, kept, max_rounds=label_rounds)
+    labels = communities(vertices, kept, max_rounds=label_rounds, mode=label_mode)
     out = vertices.select("id").join(ranks.ranks.withColumnRenamed("rank", "pagerank"), "id", "left").join(labels, "id", "left").join(degree(vertices, kept), "id", "left")
     try:
         yield Metrics(out, kept, ranks.iterations)

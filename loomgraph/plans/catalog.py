@@ -335,13 +335,18 @@ def communities(spark, d):
     return graph.communities(*wiki_graph(spark, d))
 
 
+def communities_in_place(spark, d):
+    """Label propagation one colour after another, to its end (50 rounds at most)."""
+    return graph.communities(*wiki_graph(spark, d), mode="in place")
+
+
 def pagerank(spark, d):
     """PageRank until the summed change is below epsilon (20 rounds at most)."""
     return graph.pagerank(*wiki_graph(spark, d)).ranks
 
 
 #: Iterations to their end, which SQL cannot express; tests hold them against plain Python.
-QUERIES |= {"communities": communities, "pagerank": pagerank}
+QUERIES |= {"communities": communities, "communities_in_place": communities_in_place, "pagerank": pagerank}
 
 
 def _exported(spark: SparkSession, d: str, shards: int = 3, **more: DataFrame) -> str:

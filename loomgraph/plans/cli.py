@@ -20,7 +20,7 @@ def _extract_flags(p: argparse.ArgumentParser) -> None:
     p.add_argument("--limit", type=int)
     p.add_argument("--multistream-index")
     p.add_argument("--after-id", type=int, default=0, help="only articles with a greater id")
-    p.add_argument("--checkpoint-interval", type=int, help="accepted for old scripts: each table is committed as a whole, and --resume goes on after the last")
+    p.add_argument("--checkpoint-interval", type=int, help="pages after which the parsing of the dump is committed; a run that ended goes on from there")
     for flag in ("--dry-run", "--resume", "--no-cache", "--clean"):
         p.add_argument(flag, action="store_true")
 
@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--damping", type=float, default=config.PAGERANK_DAMPING)
     p.add_argument("--epsilon", type=float, default=config.PAGERANK_EPSILON)
     p.add_argument("--label-rounds", type=int, default=config.LABEL_ROUNDS)
+    p.add_argument("--label-mode", choices=["rounds", "in place"], default="rounds", help="communities: all vertices at once, or one colour after another")
     p = sub.add_parser("merge-csvs")
     p.add_argument("-o", "--output", required=True)
     p.add_argument("--archive", action="store_true")
@@ -58,12 +59,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName("loomgraph").getOrCreate()
     spark.sparkContext.setLogLevel(["ERROR", "INFO", "DEBUG", "TRACE"][min(a.verbose, 3)])
     if a.verb in ("extract", "pipeline"):
-        o = program.Extract(a.input, a.output, a.csv_shards, a.shard_count, a.limit, a.dry_run, a.resume, not a.no_cache, a.clean, a.multistream_index, a.after_id)
+        o = program.Extract(a.input, a.output, a.csv_shards, a.shard_count, a.limit, a.dry_run, a.resume, not a.no_cache, a.clean, a.multistream_index, a.after_id, a.checkpoint_interval)
         out = program.extract(spark, o) if a.verb == "extract" else program.pipeline(spark, o, do_load=not a.no_load, do_analytics=not a.no_analytics, archive=not a.no_archive)
     elif a.verb == "load":
         out = program.load(spark, a.output, path=a.db_path, clean=a.clean, rows_a_file=a.batch_size)
     elif a.verb == "analytics":
-        out = program.analytics(spark, a.output, path=a.db_path, iterations=a.iterations, damping=a.damping, epsilon=a.epsilon, label_rounds=a.label_rounds)
+        out = program.analytics(spark, a.output, path=a.db_path, iterations=a.iterations, damping=a.damping, epsilon=a.epsilon, label_rounds=a.label_rounds, label_mode=a.label_mode)
     elif a.verb == "merge-csvs":
         out = csv_tables.merge(spark, a.output, archive=a.archive)
     else:

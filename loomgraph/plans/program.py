@@ -19,6 +19,7 @@ from loomgraph.operators.titles import resolved_titles
 from loomgraph.plans.manifest import Manifest
 from loomgraph.sources import csv_tables, dump, store
 from loomgraph.sources.csv_tables import Folder
+from loomgraph.streaming.ingest import STAGING, stage_in_batches
 
 
 @dataclass
@@ -34,12 +35,15 @@ class Extract:
     clean: bool = False
     index: str | None = None
     after: int = 0
+    interval: int | None = None
 
     def validate(self) -> None:
         if not self.input:
             raise ValueError("an input is needed")
         if not self.output:
             raise ValueError("an output folder is needed")
+        if self.interval is not None and self.interval < 1:
+            raise ValueError("a checkpoint interval is at least 1")
         if self.shards < 1 or self.blob_shards < 1 or (self.limit is not None and self.limit < 0):
             raise ValueError("shards must be at least 1, a limit at least 0")
 
@@ -54,16 +58,30 @@ def grouped(spark: SparkSession, verb: str) -> None:
 
 def cancel(spark: SparkSession) -> None:
     """End the running jobs of a program; its call fails, and what it committed stays."""
+    for q in spark.streams.active:
+        if q.name == STAGING:
+            q.stop()
     spark.sparkContext.cancelJobGroup(GROUP)
 
 
 def staged(spark: SparkSession, o: Extract) -> tuple[DataFrame, dict]:
-    """The dump as a Parquet table beside the output, parsed once whatever the other options are, and how many pages, streams and index lines were left out."""
+    """The dump as a Parquet table beside the output, parsed once whatever the other options are, and how many pages, streams and index lines were left out.
+
+    With an interval, parsing is committed in batches of about so many pages: a run that ended goes on after its last one.
+    """
     manifest, path = Manifest(spark, o.output, o.input, {"index": o.index}), f"{o.output}/.pages"
-    kept = manifest.done("pages", f".pages/{SUCCESS}") if o.cache else None
-    if kept is None:
+    kept = manifest.done("pages") if o.cache and Folder(spark, o.output).exists(".pages") else None
+    if kept is None and o.interval:
+        begun = Manifest(spark, o.output, o.input, {"index": o.index, "interval": o.interval})
+        if not (o.cache and begun.done("batches") is not None):
+            for name in (".batches", ".pages"):
+                begun.folder.delete(name)
+            begun.record("batches", {})
+        stage_in_batches(spark, o.input, o.index or dump.index_path(o.input), path, f"{o.output}/.batches", o.interval)
+        begun.clear(["batches"])
+    elif kept is None:
         dump.read_dump(spark, o.input, index=o.index, problems=True).write.mode("overwrite").parquet(path)
-    pages = spark.read.schema(dump.PAGES + ", problem string").parquet(path)
+    pages = spark.read.schema(dump.PAGES + ", problem string").parquet(path).select(*dump.COLUMNS)
     if kept is None:
         n = {r.problem: r.n for r in pages.where("problem is not null").groupBy("problem").agg(F.count(F.lit(1)).alias("n")).collect()}  # three kinds
         kept = {"skipped_pages": n.get("page", 0), "skipped_streams": n.get("stream", 0), "skipped_index_lines": n.get("index line", 0)}
@@ -140,7 +158,7 @@ def load(spark: SparkSession, output: str, *, path: str = config.STORE_DIR, clea
     return {"articles": articles, "links": links}
 
 
-def analytics(spark: SparkSession, output: str, *, path: str = config.STORE_DIR, iterations: int = config.PAGERANK_ITERATIONS, damping: float = config.PAGERANK_DAMPING, epsilon: float = config.PAGERANK_EPSILON, label_rounds: int = config.LABEL_ROUNDS) -> dict:
+def analytics(spark: SparkSession, output: str, *, path: str = config.STORE_DIR, iterations: int = config.PAGERANK_ITERATIONS, damping: float = config.PAGERANK_DAMPING, epsilon: float = config.PAGERANK_EPSILON, label_rounds: int = config.LABEL_ROUNDS, label_mode: str = "rounds") -> dict:
     """PageRank, communities and degrees of the CSV graph, written to the store."""
     if not 0 <= damping <= 1 or iterations < 0:
         raise ValueError("damping must lie in 0 to 1, iterations be at least 0")
@@ -149,7 +167,7 @@ def analytics(spark: SparkSession, output: str, *, path: str = config.STORE_DIR,
     began = time.time()
     vertices = csv_tables.read(spark, output, "nodes").select("id").distinct()
     edges = csv_tables.read(spark, output, "edges").select("src", "dst")
-    with graph.metrics(vertices, edges, damping=damping, iterations=iterations, epsilon=epsilon, label_rounds=label_rounds) as m:
+    with graph.metrics(vertices, edges, damping=damping, iterations=iterations, epsilon=epsilon, label_rounds=label_rounds, label_mode=label_mode) as m:
         store.write_metrics(spark, at, m.table)
         a = store.article(spark, at).agg(F.count(F.lit(1)).alias("nodes"), F.count_distinct("community").alias("communities")).first()
         return {"nodes": a.nodes, "edges": m.edges.count(), "iterations": m.iterations, "communities": a.communities, "seconds": time.time() - began}

@@ -245,9 +245,17 @@ def read_multistream(spark: SparkSession, dump: str | list[str], index: str | li
     pages = ranges.repartitionByRange(tasks, "file", "start").mapInArrow(run, PAGES + (", problem string" if problems else ""))
     if not problems:
         return pages
+    return pages.unionByName(_odd(lines))
+
+
+def _odd(lines: DataFrame) -> DataFrame:
+    """A row for each line that is none of an index."""
     odd = lines.where("size(split(value, ':', 3)) < 3 or try_cast(split(value, ':', 3)[0] as bigint) is null")
-    blank = [F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in PAGES.split(", ")]
-    return pages.unionByName(odd.select(*blank, F.lit("index line").alias("problem")))
+    return odd.select(*(F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in PAGES.split(", ")), F.lit("index line").alias("problem"))
+
+
+def odd_lines(spark: SparkSession, index: str) -> DataFrame:
+    return _odd(spark.read.text(index))
 
 
 # --- the data source -------------------------------------------------------------------------------------------------
@@ -398,6 +406,7 @@ class DumpReader(DataSourceReader):
             raise ValueError(f"a dump has no columns {sorted(odd)}")
         self.problems, self.tests = "problem" in self.columns, []
         self.split, self.piece = int(options.get("splitbytes", 64 << 20)), int(options.get("piecebytes", 1 << 20))
+        self.exact = bool(options.get("exact"))
         self.paths = json.loads(options["paths"]) if "paths" in options else [options["path"]]
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -429,6 +438,8 @@ class DumpReader(DataSourceReader):
         fits = [(COLUMNS.index(c), _TESTS[kind], value) for c, kind, value in self.tests]
         rows, size = [], 0
         with fs.open_input_file(at) as f:
+            if self.exact and not _STREAM.match(f.read_at(10, partition.start)):
+                rows.append((partition.before + partition.start << SHIFT, *[None] * 6, "stream"))
             pages = (_packed_pages if partition.path.endswith(".bz2") else _plain_pages)(f, partition, self.piece)
             for pos, piece in pages:
                 page = _page(piece, "text" in self.columns, "timestamp" in self.columns) if isinstance(piece, bytes) else None
@@ -465,6 +476,38 @@ def dump_source(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+#: Bytes of a dump that a page takes, for batches where no index tells: an estimate that sets their size only.
+PAGE_BYTES = 4096
+PLAN = "path string, start long, end long, before long, batch long"
+
+
+def batches_of(spark: SparkSession, dump: str, index: str | None, pages: int) -> DataFrame:
+    """PLAN: byte ranges of a dump, in batches of about so many pages: by the index where there is one, else of equal ranges."""
+    files = _listed(spark, [dump])
+    if index:
+        ((path, size),) = files
+        lines = _starts(spark.read.text(index)).where(F.col("start").between(0, size - 1)).groupBy("start").agg(F.count(F.lit(1)).alias("n"))
+        # One row for each stream, some 10^5 of them, so both windows are over one small table.
+        ranges = lines.select("start", F.expr(f"lead(start, 1, {size}L) over (order by start) as end"), F.expr("sum(n) over (order by start) - n as held"))
+        return ranges.select(F.lit(path).alias("path"), "start", "end", F.lit(0).cast("long").alias("before"), F.expr(f"held div {pages}").alias("batch"))
+    reader = DumpReader(StructType.fromDDL(PAGES), {"paths": json.dumps([f for f, _ in files]), "splitbytes": max(pages * PAGE_BYTES // 8, 1 << 20)})
+    rows = [(r.path, r.start, r.end, r.before, n // 8) for n, r in enumerate(reader.partitions())]  # one for each range
+    return spark.createDataFrame(rows, PLAN)
+
+
+def read_ranges(ranges: DataFrame, exact: bool) -> DataFrame:
+    """PAGES and problem of the ranges of a plan; exact: each begins where an index says that a stream does."""
+    schema = StructType.fromDDL(PAGES + ", problem string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = DumpReader(schema, {"path": "", "exact": exact})
+        for b in batches:
+            for r in b.to_pylist():
+                yield from reader.read(Range(r["path"], r["start"], r["end"], r["before"]))
+
+    return ranges.select("path", "start", "end", "before").mapInArrow(run, schema)
+
+
 def read_dump(spark: SparkSession, dump: str, *, index: str | None = None, with_text: bool = True, problems: bool = False) -> DataFrame:
     """Pages of a dump, by its index where one is given or lies beside it and pyarrow can open the file, else by splits."""
     (path, _), *_ = _listed(spark, [dump])

@@ -281,3 +281,67 @@ def test_streaming_ingest(spark, dumps, tmp_path):
         ingest(stream_pages(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(60)
     assert rows(spark.read.parquet(f"{tmp_path}/out/links").select("id", "target")) == rows(E.link_targets(E.articles(pages)).select("id", "target"))
     assert spark.read.parquet(f"{tmp_path}/out/categories").count() == 3
+
+
+@pytest.fixture(scope="module")
+def large_dump(tmp_path_factory):
+    """60 streams of 5 pages with links among them, a damaged stream, and an index with a line that is none."""
+    base = tmp_path_factory.mktemp("large")
+    packed, lines = b"", ["nothing\n"]
+    for s in range(60):
+        items = "".join(PAGE.format(f"P{i}", 0, i, "", i, 1, f"[[P{i * 7 % 300}]] [[Nowhere]] [[Category:C{i % 9}]]") for i in range(5 * s + 1, 5 * s + 6))
+        lines += [f"{len(packed)}:{i}:P{i}\n" for i in range(5 * s + 1, 5 * s + 6)]
+        packed += bz2.compress(items.encode()) if s != 30 else b"no stream"
+    (base / "x-multistream.xml.bz2").write_bytes(packed)
+    (base / "x-multistream-index.txt.bz2").write_bytes(bz2.compress("".join(lines).encode()))
+    (base / "plain.xml").write_text("<mediawiki>" + "".join(PAGE.format(f"P{i}", 0, i, "", i, 1, f"[[P{i * 7 % 300}]] [[Category:C{i % 9}]]" + "x" * 9000) for i in range(1, 401)) + "</mediawiki>")
+    return base
+
+
+def _tables(spark, out):
+    return {b: rows(csv_tables.read(spark, out, b)) for b in ("nodes", "edges", "categories", "article_categories")}
+
+
+COUNTERS = ("articles", "edges", "invalid_links", "categories", "skipped_pages", "skipped_streams", "skipped_index_lines")
+
+
+@pytest.mark.parametrize("name", ["x-multistream.xml.bz2", "plain.xml"])
+def test_a_run_that_is_killed_in_a_stage_goes_on(spark, large_dump, tmp_path, monkeypatch, name):
+    """Batches are committed one by one: after a failure in the fourth, those before are not read again, and the tables are those of an uninterrupted run."""
+    from loomgraph.streaming import ingest as I
+
+    whole = program.extract(spark, program.Extract(f"{large_dump}/{name}", f"{tmp_path}/whole", shards=2))
+    read, real = [], I.read_ranges
+
+    def failing(ranges, exact):
+        read.append(ranges.count())
+        if len(read) == 4 and name.startswith("x"):
+            raise RuntimeError("killed")
+        return real(ranges, exact)
+
+    monkeypatch.setattr(I, "read_ranges", failing)
+    o = program.Extract(f"{large_dump}/{name}", f"{tmp_path}/batches", shards=2, interval=30)
+    if name.startswith("x"):
+        with pytest.raises(Exception, match="killed"):
+            program.extract(spark, o)
+        assert len(read) == 4 and sum(read[:3]) == 18
+    parts = program.extract(spark, o)
+    assert {k: parts[k] for k in COUNTERS} == {k: whole[k] for k in COUNTERS}
+    if name.startswith("x"):
+        assert len(read) == 11 and sum(read) == 66  # ten batches of six streams, one of them twice
+        assert (parts["skipped_streams"], parts["skipped_index_lines"], parts["articles"]) == (1, 1, 295)
+    assert _tables(spark, f"{tmp_path}/batches") == _tables(spark, f"{tmp_path}/whole")
+    program.extract(spark, o)
+    assert len(read) == (11 if name.startswith("x") else len(read))
+
+
+def test_the_flag_of_the_command_line_sets_the_batch(spark, large_dump, tmp_path):
+    from loomgraph.sources.csv_tables import Folder
+
+    cli.main(["extract", "-i", f"{large_dump}/x-multistream.xml.bz2", "-o", f"{tmp_path}/o", "--checkpoint-interval", "100", "--csv-shards", "1"], spark)
+    assert Folder(spark, f"{tmp_path}/o/.pages").names() == ["batch=-1", "batch=0", "batch=1", "batch=2"]
+    # Another interval is another plan; nothing of the first stays.
+    cli.main(["extract", "-i", f"{large_dump}/x-multistream.xml.bz2", "-o", f"{tmp_path}/o", "--checkpoint-interval", "200", "--csv-shards", "1", "--no-cache"], spark)
+    assert Folder(spark, f"{tmp_path}/o/.pages").names() == ["batch=-1", "batch=0", "batch=1"]
+    with pytest.raises(ValueError):
+        program.Extract("a", "b", interval=0).validate()

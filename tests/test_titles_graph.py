@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from helpers import rows
+from helpers import rows, swept
 from loomgraph.operators import graph
 from loomgraph.operators.titles import resolved_titles
 
@@ -77,7 +77,7 @@ def test_closed(spark, four):
     assert rows(graph.closed(v.where("id < 40"), e)) == [(10, 20), (10, 30), (20, 30)]
 
 
-@pytest.mark.parametrize("mode", ["rounds", "sequential"])
+@pytest.mark.parametrize("mode", ["rounds", "in place"])
 def test_communities(spark, mode):
     clique = [(a, b) for g in ((1, 2, 3, 4), (11, 12, 13, 14)) for a in g for b in g if a < b] + [(4, 11)]
     v = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 11, 12, 13, 14, 99)], "id long")
@@ -85,12 +85,44 @@ def test_communities(spark, mode):
     assert got[99] == 99
     assert len({got[i] for i in (1, 2, 3)}) == 1
     assert len({got[i] for i in (12, 13, 14)}) == 1
-    if mode == "sequential":  # settled: every label is one of the most frequent among the neighbours
+    if mode == "in place":  # settled: every label is one of the most frequent among the neighbours
         for x in (1, 2, 3, 4, 11, 12, 13, 14):
             near = [got[b] for a, b in clique if a == x] + [got[a] for a, b in clique if b == x]
             assert near.count(got[x]) == max(map(near.count, near))
 
 
+@pytest.mark.parametrize("most", [1, 2, 50])
+def test_in_place_equals_a_plain_sweep_in_the_same_order(spark, most):
+    rng = random.Random(7)
+    ids = list(range(1, 61))
+    edges = [(1, i) for i in ids] + [(rng.choice(ids), rng.choice(ids)) for _ in range(90)] + [(5, 5), (5, 5), (9, 9), (1, 99), (2, 3), (2, 3)]
+    v, e = spark.createDataFrame([(i,) for i in ids], "id long"), spark.createDataFrame(edges, "src long, dst long")
+    colour = dict(rows(graph.coloured(v, graph.closed(v, e))))
+    assert set(colour) == set(ids) and all(colour[a] != colour[b] for a, b in edges if a != b and b != 99)
+    assert sorted(set(colour.values())) == list(range(max(colour.values()) + 1))
+    want, _ = swept(ids, edges, sorted(ids, key=lambda i: (colour[i], i)), most)
+    assert dict(rows(graph.communities(v, e, max_rounds=most, mode="in place"))) == want
+
+
+def test_a_graph_of_two_sides_swings_at_once_and_settles_in_place(spark):
+    left, right = range(1, 4), range(11, 14)
+    edges = [(a, b) for a in left for b in right]
+    ids = [*left, *right]
+    v, e = spark.createDataFrame([(i,) for i in ids], "id long"), spark.createDataFrame(edges, "src long, dst long")
+    a, b = (dict(rows(graph.communities(v, e, max_rounds=n))) for n in (6, 7))
+    assert a != b  # never settles
+    got = dict(rows(graph.communities(v, e, max_rounds=6, mode="in place")))
+    assert got == dict(rows(graph.communities(v, e, max_rounds=7, mode="in place"))) and len(set(got.values())) == 1
+
+
+def test_in_place_without_edges_or_vertices(spark):
+    none, v = spark.createDataFrame([], "src long, dst long"), spark.createDataFrame([(3,), (4,)], "id long")
+    assert rows(graph.communities(v, none, mode="in place")) == [(3, 3), (4, 4)]
+    assert rows(graph.communities(v.limit(0), none, mode="in place")) == []
+    with pytest.raises(ValueError):
+        graph.communities(v, none, mode="other")
+
+
 def test_hubs_are_cut_into_parts(spark, monkeypatch):
     rng = random.Random(9)
     ids = list(range(1, 60))
