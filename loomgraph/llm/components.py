@@ -1,11 +1,9 @@
-"""Connected components of an edge table, by alternating stars over DataFrames.
+"""Connected components of an edge table: contraction within tasks, and alternating stars over DataFrames between them.
 
-Each round joins every node's neighbours to the least one; the edge table shrinks to stars in a few rounds.
-Nothing is collected; each half of a round is written to the shared folder, which also cuts the lineage. Small tables
-are written by few tasks, so late rounds cost little.
-
-A table of ``ONE_TASK`` edges at most (16 MB) is settled whole by one task instead: with the same result, and without the rounds'
-jobs, each of which has as many tasks as there are shuffle partitions, for all of which the driver keeps accounts.
+A round deals the edges to tasks of about ``ROWS`` each (16 MB); each task settles what it holds and leaves one edge a node, to the least node of its part. If that
+was one task, all is done. Else every node's neighbours are joined to the least one, twice (large and small star), and the next
+round sees a table of stars that few nodes still leave. Nothing is collected; each step is written to the shared folder, which also cuts the lineage, by tasks that
+follow the number of edges; one job a round tells whether all is settled.
 """
 
 from __future__ import annotations
@@ -20,14 +18,12 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import drop_stored, stored
 
 
-#: Rows that one task writes at least, where there are fewer than shuffle partitions would need.
-ROWS_A_TASK = 50_000
-#: Edges that one task settles at most; larger tables go through rounds.
-ONE_TASK = 1_000_000
+#: Edges that one task contracts.
+ROWS = 1_000_000
 
 
 def _written(df: DataFrame, rows: int) -> DataFrame:
-    return stored(df.coalesce(max(1, -(-rows // ROWS_A_TASK))), "edges")
+    return stored(df.coalesce(max(1, -(-rows // ROWS))), "edges")
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -48,38 +44,47 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, component of all edges(u, v) that there are."""
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """u, v: every node of the task's edges(u, v), but the least of each part, with that one."""
     held = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches if b.num_rows]
     if held:
         ids, code = np.unique(np.concatenate([x for pair in zip(*held, strict=True) for x in pair]), return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[_roots(len(ids), *np.split(code, 2))])], ["id", "component"])
+        roots = _roots(len(ids), *np.split(code, 2))
+        rest = roots != np.arange(len(ids))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[rest]), pa.array(ids[roots[rest]])], ["u", "v"])
+
+
+def _open(stars: DataFrame) -> tuple[int, int]:
+    """How many nodes lead to two, or lead somewhere and are led to; and the number of edges."""
+    ends = stars.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("leads")), F.struct(F.col("v").alias("id"), F.lit(0).alias("leads")))).alias("e")).select("e.*")
+    nodes = ends.groupBy("id").agg(F.sum("leads").alias("n"), F.min("leads").alias("least"))
+    r = nodes.agg(F.count_if(F.expr("n > 1 or (n = 1 and least = 0)")).alias("open"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    return r.open, r.rows
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """id, component (least id) of every id in edges(a, b); loops and repeats are allowed."""
     pick = lambda x, y: F.struct(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
     held = stored(edges.where("a <> b").select(pick("a", "b").alias("e")).select("e.*").distinct(), "edges")
-    for _ in range(rounds):
-        rows = held.count()
-        if not rows:
+    rows = held.count()
+    for _ in range(rounds if rows else 0):
+        tasks = -(-rows // ROWS)
+        stars = stored((held.repartition(tasks) if tasks > 1 else held.coalesce(1)).mapInArrow(_contracted, "u long, v long"), "edges")
+        drop_stored(held)
+        held = stars
+        if tasks == 1:
             break
-        if rows <= ONE_TASK:
-            done = stored(held.coalesce(1).mapInArrow(_settled, "id long, component long"), "components")
-            drop_stored(held)
-            return done
-        both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _written(_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), rows)
         small = _least(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        new = _written(small, rows)
-        drop_stored(held)
+        held = _written(small, rows)
+        drop_stored(stars)
         drop_stored(large)
-        held = new
-        # Done when every edge leads to a node that leads nowhere, and no node leads to two.
-        ends = held.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("leads")), F.struct(F.col("v").alias("id"), F.lit(0).alias("leads")))).alias("e")).select("e.*")
-        if ends.groupBy("id").agg(F.sum("leads").alias("n"), F.min("leads").alias("least")).where("n > 1 or (n = 1 and least = 0)").isEmpty():
+        open_, rows = _open(held)
+        if not open_:
             break
     else:
-        raise RuntimeError("components did not settle")
-    roots = held.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return held.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+        if rows:
+            raise RuntimeError("components did not settle")
+    ids = held.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return held.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(ids)

@@ -1,4 +1,4 @@
-"""Components settled by one task and by rounds."""
+"""Components settled by one task, and by rounds between several."""
 
 import random
 import uuid
@@ -18,9 +18,9 @@ def brute(edges):
     return root
 
 
-@pytest.mark.parametrize("one_task", [0, 60, 10**6])
-def test_one_task_and_rounds_agree(spark, monkeypatch, one_task):
-    monkeypatch.setattr(module, "ONE_TASK", one_task)
+@pytest.mark.parametrize("rows_a_task", [10, 60, 10**6])
+def test_one_task_and_rounds_agree(spark, monkeypatch, rows_a_task):
+    monkeypatch.setattr(module, "ROWS", rows_a_task)
     rng = random.Random(2)
     chain = [(i, i + 1) for i in range(-30, 30)]
     star = [(rng.choice([500, 100 + i]), 100 + i) for i in range(40)] + [(500, 100 + i) for i in range(40)]
@@ -31,13 +31,15 @@ def test_one_task_and_rounds_agree(spark, monkeypatch, one_task):
     assert sorted(got) == sorted(brute(edges).items())
 
 
-def test_a_small_table_takes_no_rounds(spark):
-    """The driver keeps accounts of every task; rounds over a small table made some hundred jobs of near-duplicates, each of as many tasks as shuffle partitions."""
+@pytest.mark.parametrize("rows_a_task, most", [(10**6, 8), (40, 100)])
+def test_jobs_of_a_table(spark, monkeypatch, rows_a_task, most):
+    """The driver keeps accounts of every task, of which a job has as many as there are shuffle partitions: so a long chain in five tasks has to take few jobs too."""
+    monkeypatch.setattr(module, "ROWS", rows_a_task)
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
     group = f"components-{uuid.uuid4().hex}"
     spark.sparkContext.setJobGroup(group, "components")
     try:
         assert {x[1] for x in rows(components(edges))} == {0}
-        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 8
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= most
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
