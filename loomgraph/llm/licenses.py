@@ -5,15 +5,18 @@ a shorter template is one window. Each window has 4 minima, each a band of its o
 with probability 1 - (1 - j)^4 (``meeting``): 0.97 where 3 of 4 shingles are shared, 0.80 where 2 are. A template of n shingles has n - 3 windows, and one meeting
 is enough; a passage that keeps 0.8 of a template's shingles keeps long runs of them, so it is missed only if all its windows miss at once.
 Tests measure this over passages at 0.8 to 0.9 of all templates. A meeting places the template in the document; what it claims is
-then verified: the template's shingles that occur in that stretch, half a template wider, over all of its shingles. Of matches that
-overlap, the one that explains most shingles stays, then the one of highest containment: so a notice with a third clause is not taken for
-one without, nor the other way round.
+then verified: of each of the template's shingles the occurrence nearest to its place there, a quarter of the template away at most, over all of its shingles, and
+the stretch that they take is a quarter longer than the template at most. So a phrase that a neighbouring notice shares does not stretch the claim. Claims are settled shingle by shingle: the one that explains most
+takes its shingles (then the one of highest containment, the tightest, the first in the text, the first template), and a later one stays if what is left for it still reaches the
+containment; so a notice with a third clause is not taken for one without, nor the other way round, and notices that follow each other are all found.
+
+Tags ("SPDX-License-Identifier: MIT") are too short for shingles; they are matched word by word, for every identifier that templates have.
 
 Templates are a table of bounded size (checked; an error beyond ``MAX_WINDOWS`` windows), held by every worker. A notice that several licenses share word by word has the name
 of the family ("BSD") as long as nothing that tells them apart is there.
 
 Defined results: null and empty texts and those of fewer than 5 words have no match; a null doc_id is carried through; repeated rows are judged
-each; templates of fewer than 5 words match nothing; an empty table gives no rows; very long texts are scanned whole, one at a time; other columns, also of
+each; templates of fewer than 5 words match nothing but tags with their identifiers; an empty table gives no rows; very long texts are scanned whole, one at a time; other columns, also of
 clashing names, are not read.
 """
 
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import attach, pieces, table
-from loomgraph.llm.words import ALNUM, U64, grams, mix, stream, words
+from loomgraph.llm.words import ALNUM, U64, Words, grams, mix, stream, words
 
 SHINGLE, SPAN, BANDS, AT_LEAST = 5, 4, 4, 0.8
 MAX_WINDOWS = 1_000_000
@@ -62,6 +65,9 @@ TEMPLATES = [
     ("BSD-3-Clause", _BSD + _BSD_1 + _BSD_2 + _BSD_3),
     ("BSD-3-Clause", _BSD + _BSD_1 + _BSD_2 + _BSD_3 + _BSD_END),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation."),
+    ("BSL-1.0", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:'),
     ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
     ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -116,6 +122,11 @@ class Templates:
         self.size = np.diff(w.first)
         g, ok = grams(w, SHINGLE)
         self.sets = [np.unique(g[a : b - SHINGLE + 1]) if b - a >= SHINGLE else np.zeros(0, U64) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+        self.places = [{} for _ in rows]  # of each shingle in its template
+        for t, (a, b) in enumerate(zip(w.first[:-1], w.first[1:], strict=True)):
+            for j, h in enumerate(g[a : max(a, b - SHINGLE + 1)].tolist()):
+                self.places[t].setdefault(h, []).append(j)
+        self.tags = _tags(sorted(set(self.names)))
         self.index = {}
         for n in range(1, SPAN + 1):
             entries = set()
@@ -135,7 +146,7 @@ class Templates:
             raise ValueError("more template windows than a worker may hold")
 
     def matches(self, col: pa.Array, at_least: float) -> Iterator[tuple[int, int, int, int, float]]:
-        """(row, template, first word, words, containment), none overlapping in a row."""
+        """(row, license, first word, words, containment); no shingle counts for two."""
         w = words(col, ALNUM)
         g, ok = grams(w, SHINGLE)
         found = set()
@@ -151,21 +162,44 @@ class Templates:
                         found.add((int(w.doc[p]), int(template[e]), p - int(place[e])))
         claims = []
         for row, t, start in sorted(found):
-            size = int(self.size[t])
+            size, own = int(self.size[t]), self.places[t]
             slack = size // 4 + 1
             first, last = int(w.first[row]), int(w.first[row + 1])
-            lo, hi = max(first, start - slack), min(last, start + size + slack)
-            inside = np.flatnonzero(np.isin(g[lo : max(lo, hi - SHINGLE + 1)], self.sets[t]))
-            if len(inside):
-                shared = len(np.unique(g[lo + inside]))
-                held = shared / len(self.sets[t])
-                if held >= at_least:
-                    claims.append((row, -shared, -held, lo + int(inside[0]) - first, int(inside[-1] - inside[0]) + SHINGLE, t))
-        taken: dict[int, list[tuple[int, int]]] = {}
-        for row, _, held, start, n, t in sorted(claims):
-            if all(start + n <= a or start >= b for a, b in taken.setdefault(row, [])):
-                taken[row].append((start, start + n))
-                yield row, t, start, n, -held
+            lo, hi = max(first, start - slack), min(last - SHINGLE + 1, start + size - SHINGLE + 1 + slack)
+            near: dict[int, tuple[int, int]] = {}
+            for q in (lo + np.flatnonzero(np.isin(g[lo : max(lo, hi)], self.sets[t]))).tolist():
+                h = int(g[q])
+                away = min(abs(q - start - j) for j in own[h])
+                if away <= slack:
+                    near[h] = min(near.get(h, (away, q)), (away, q))
+            at = sorted(q for _, q in near.values())
+            if len(at) >= at_least * len(own) and at and at[-1] - at[0] + SHINGLE <= size + slack:
+                claims.append((row, -len(at), -len(at) / len(own), at[-1] - at[0], at[0], t, at))
+        taken: set[int] = set()
+        for row, *_, t, at in sorted(claims):
+            rest = [q for q in at if q not in taken]
+            if rest and len(rest) >= at_least * len(self.places[t]):
+                taken.update(q for q in range(rest[0], rest[-1] + 1) if int(g[q]) in self.places[t])
+                yield row, self.names[t], rest[0] - int(w.first[row]), rest[-1] - rest[0] + SHINGLE, len(rest) / len(self.places[t])
+        yield from self.tagged(w)
+
+    def tagged(self, w: Words) -> Iterator[tuple[int, str, int, int, float]]:
+        lead, ids = self.tags
+        n = len(w.hash) - len(lead)
+        at = np.flatnonzero(np.logical_and.reduce([w.hash[j : j + n] == h for j, h in enumerate(lead)])) if n > 0 else []
+        for p in (int(x) for x in at):
+            rest = w.hash[p + len(lead) : w.first[w.doc[p] + 1]].tolist()  # words of the same text
+            fits = [(len(words_), name) for name, words_ in ids if rest[: len(words_)] == words_]
+            if fits and p + len(lead) < w.first[w.doc[p] + 1]:
+                n_words, name = max(fits)
+                yield int(w.doc[p]), name, p - int(w.first[w.doc[p]]), len(lead) + n_words, 1.0
+
+
+def _tags(names: list[str]) -> tuple[list[int], list[tuple[str, list[int]]]]:
+    """Word hashes of the lead of a tag, and of each identifier."""
+    w = words(pa.array(["SPDX-License-Identifier", *names]), ALNUM)
+    lead, *rest = (w.hash[a:b].tolist() for a, b in zip(w.first[:-1], w.first[1:], strict=True))
+    return lead, list(zip(names, rest, strict=True))
 
 
 def licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, at_least: float = AT_LEAST) -> DataFrame:
@@ -177,8 +211,8 @@ def licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, a
         own = sent.value
         for b in pieces(batches, "text"):
             out: list[list[dict]] = [[] for _ in range(b.num_rows)]
-            for row, t, start, n, held in own.matches(b.column("text"), at_least):
-                out[row].append({"license": own.names[t], "start": start, "words": n, "containment": held})
+            for row, name, start, n, held in own.matches(b.column("text"), at_least):
+                out[row].append({"license": name, "start": start, "words": n, "containment": held})
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([sorted(x, key=lambda m: m["start"]) for x in out], kind)], ["doc_id", "matches"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, matches array<struct<license:string,start:long,words:long,containment:double>>")

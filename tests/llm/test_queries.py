@@ -25,7 +25,7 @@ def test_op4(spark, texts):
     got = {r.doc_id: r for r in licenses.op4_licenses(spark, SF).collect()}
     assert set(got) == set(texts)
     own = [(n, set(shingles(t))) for n, t in licenses.TEMPLATES]
-    some = 0
+    some = exact = 0
     for i, text in texts.items():
         there = set(shingles(text or ""))
         share = {}
@@ -34,11 +34,15 @@ def test_op4(spark, texts):
         want = {n for n, x in share.items() if x >= 0.8}
         found = set(filter(None, got[i].licenses.split(",")))
         assert found <= want and bool(found) == bool(want)
+        # A license is not named only where every shingle of its notices that is there lies in notices that are named.
+        named = set().union(*(s for n, s in own if n in found))
+        assert all(s & there <= named or len((s & there) - named) < 0.8 * len(s) for n, s in own if n in want - found)
+        exact += found == want
         assert (got[i].n_matches > 0) == bool(want)
         if found:
             some += 1
             assert 0.8 <= got[i].containment <= max(share[n] for n in found)
-    assert some
+    assert some and exact > 0.9 * len(texts)
 
 
 def learned(spark, module, label, parts, held, rows, texts):

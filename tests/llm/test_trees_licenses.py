@@ -128,3 +128,42 @@ def test_meeting():
 def test_columns_of_clashing_names(make):
     docs = make([(1, "Released under the MIT License. " * 3), (1, "Released under the MIT License. " * 3)])
     assert plain(licenses.licenses(docs).selectExpr("size(matches)")) == [(3,), (3,)]
+
+
+def test_every_pair_of_notices(make):
+    """Each template after each other one, itself included: both are found, where they are, and nothing else."""
+    texts = [(n, t) for n, t in licenses.TEMPLATES if len(CUT.findall(t.lower())) >= 5]
+    size = [len(CUT.findall(t.lower())) for _, t in texts]
+    docs = [(i * len(texts) + j, f"{a} {b}") for i, (_, a) in enumerate(texts) for j, (_, b) in enumerate(texts)]
+    wrong = []
+    for r in licenses.licenses(make(docs)).collect():
+        i, j = divmod(r.doc_id, len(texts))
+        want = [(texts[i][0], 0, size[i], 1.0), (texts[j][0], size[i], size[j], 1.0)]
+        if [(m.license, m.start, m.words, m.containment) for m in r.matches] != want:
+            wrong.append((texts[i], texts[j], r.matches))
+    assert len(docs) > 1500 and not wrong, wrong[0]
+
+
+def test_three_notices_with_words_between(make):
+    names = ["MIT", "ISC", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "Zlib"]
+    long = {n: max((t for m, t in licenses.TEMPLATES if m == n), key=len) for n in names}
+    rng = random.Random(8)
+    docs, want = [], {}
+    for i in range(60):
+        order = rng.choices(names, k=3)
+        docs.append((i, " ".join(" ".join(["filler"] * rng.randrange(12)) + " " + long[n] for n in order)))
+        want[i] = order
+    for r in licenses.licenses(make(docs)).collect():
+        assert [m.license for m in r.matches] == want[r.doc_id]
+
+
+def test_tags(make):
+    docs = [(1, "// SPDX-License-Identifier: MIT"), (2, "SPDX-License-Identifier: MIT-0 x"), (3, "SPDX-License-Identifier: Apache-2.0\nSPDX-License-Identifier: GPL-3.0"), (4, "SPDX-License-Identifier"), (5, "SPDX-License-Identifier: Unknown"), (6, "SPDX-License"), (7, "Identifier: MIT")]
+    got = {r.doc_id: [(m.license, m.start, m.words) for m in r.matches] for r in licenses.licenses(make(docs).repartition(1)).collect()}
+    assert got == {1: [("MIT", 0, 4)], 2: [("MIT-0", 0, 5)], 3: [("Apache-2.0", 0, 6), ("GPL-3.0", 6, 6)], 4: [], 5: [], 6: [], 7: []}
+
+
+def test_templates_that_tie(make):
+    same = "one two three four five six seven eight nine ten"
+    (row,) = licenses.licenses(make([(1, f"a {same} b")]), [("B", same), ("A", same)]).collect()
+    assert [(m.license, m.start, m.words, m.containment) for m in row.matches] == [("B", 1, 10, 1.0)]
