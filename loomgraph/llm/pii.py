@@ -11,10 +11,12 @@ surrogates and looks for one that stands for two originals, or that is itself an
 aside, which move among themselves); if there is any, the distinct entities are tried under the next key, and the texts are done anew with the first key that passes.
 Where no key passes the second test (long corpora hold phone numbers close to one another), the first that passes the other stands.
 
-Types: email; secret (keys and tokens by prefix, values after a word such as "password", private key blocks); card (13 to 19 digits; others than 16 only if
-Luhn-valid); ip (4 and 6); phone (international, national forms, digits after a label); iban; national_id (ddd-dd-dddd); person: names after an honorific or
-a phrase that introduces one, and a listed given name with a capitalised family name, with particles, initials and hyphens; each word of a person's name is replaced
-wherever it stands alone in the same document. No match has a greatest length.
+Types: email; secret (keys and tokens by prefix, values after a word such as "password" and a sign or "is", of under 9 characters only with letters and digits, what follows "Bearer",
+private key blocks); card (13 to 19 digits, Luhn-valid or, of 16, after a word such as "card"); ip (4 and 6, but no version numbers); phone (international, national forms, digits after a label);
+iban; national_id (ddd-dd-dddd, after "SSN" also parted otherwise or not at all); person: names after an honorific or a phrase that introduces one (also of a
+listed given name in small letters), and a listed given name with a capitalised family name, with particles, initials and hyphens, as written or in capitals; each word of a person's name, and
+each part of a hyphenated one, is replaced wherever it stands alone in the same document, also in capitals and before a possessive 's. Honorifics stay. No match has a greatest length.
+Kinds within a type are kept: addresses stay private, loopback or public, cards keep the digit of their issuer.
 
 Each group of types has a mark (``MARKS``) that a linear scan of a whole batch looks for; the expressions of a group run only over texts that hold its mark.
 Of matches that overlap, the one that begins first stays, of such the one of the type named first.
@@ -69,7 +71,11 @@ SEGMENT = 192
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _UPPER = "A-ZÀ-ÖØ-ÞĆČĎĘĚĞĲŁŃŇŒŘŚŞŠŤŮŰŹŻŽΆΈ-ΏΑ-ΫЀ-Я"
-_CAPITAL = rf"[{_UPPER}](?:[^\W\d_]+(?:['’-][^\W\d_]+)*|(?:['’-][^\W\d_]+)+)"
+#: A name's word; the s of a possessive is none of it.
+_PART = r"['’-](?![sS](?!\w))[^\W\d_]+"
+_CAPITAL = rf"[{_UPPER}](?:[^\W\d_]+(?:{_PART})*|(?:{_PART})+)"
+#: Words that follow an honorific or a given name without being a name, in small letters (fixed values).
+NO_NAMES = frozenset("a analyst and architect asked chief com consultant danke de der designer developer die director editor el engineer executive for from has he i im in is lead manager nothing of on or principal product project que replied said says scientist she software the they to und was who y you your".split())
 _AWS, _WORDS = "(?:AKIA|ASIA|AROA|AIDA|AGPA)", r"token|secret|password|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key"
 #: Each alternative begins with plain letters, so that a scan can skip to their first ones.
 _PREFIXED = "|".join(rf"{head}[A-Z2-70189]{{16}}(?![A-Za-z0-9])" for head in ("AKIA", "ASIA", "AROA", "AIDA", "AGPA")) + rf"|gh[pousr]_[A-Za-z0-9]{{36,}}+|github_pat_\w{{22,}}+|glpat-[\w-]{{20,}}+|sk-[\w-]{{20,}}+|xox[abeoprs]-[\w-]{{10,}}+|AIza[\w-]{{35,}}+|npm_[A-Za-z0-9]{{36,}}+|hf_[A-Za-z0-9]{{30,}}+|eyJ[\w-]{{8,}}+\.[\w-]{{8,}}+(?:\.[\w-]++)?|SG\.[\w-]{{16,}}+\.[\w-]{{16,}}+"
@@ -84,11 +90,15 @@ _NUMBERS = re.compile(
     |(?<![\w+.)-])(?P<local>\(\d{{3}}\)[ .-]?\d{{3}}[ .-]\d{{4}}|\d{{3}}(?P<dash>[.-])\d{{3}}(?P=dash)\d{{4}}|\d{{3}}[ ]\d{{3}}[ -]\d{{4}}|0\d{{1,4}}[ /-]\d{{5,8}})(?![\d-])""",
     re.VERBOSE,
 )
-_LABEL = re.compile(r"(?<!\w)(?i:tel|telephone|phone|mobile|cell|fax|whatsapp)\.?:?\s?\Z")
+_LABEL = re.compile(r"(?<!\w)(?i:tel|telephone|phone|mobile|cell|fax|whatsapp|电话|電話|手机|手機)\.?[:：]?\s?\Z")
+_CARD_LABEL = re.compile(r"(?<!\w)(?i:(?:credit |debit )?card|card (?:number|no)|visa|mastercard|amex|tarjeta|carte|karte|kreditkarte)\.?:?#?\s?\Z")
+_VERSION = re.compile(r"(?<!\w)(?i:v|ver|version|build|release|rev|revision|firmware|kernel)\.?:?\s?\Z")
+_SSN = re.compile(r"(?<!\w)(?i:ssn|social security(?: number| no\.?)?)\s?(?:is|[:#])?\s?(?P<ssn>(?!000|666|9)\d{3}([ .-]?)(?!00)\d{2}\2(?!0000)\d{4})(?!\d)")
 _LABELLED = re.compile(r"\(?\d[\d ()./-]{5,}\d")
 _DOMAIN, _LOCAL_MARKS = re.compile(r"(?:[^\W_][\w-]*\.)+[^\W\d_]{2,}"), set("._%+'-")
 _KEYS = re.compile(_PREFIXED)
-_VALUE, _BEFORE_VALUE = re.compile(r"""[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{8,}[A-Za-z0-9+/_-])"""), re.compile(rf"""(?i:{_WORDS})["']?\s?\Z""")
+_VALUE, _BEFORE_VALUE = re.compile(r"""(?:[=:]\s?|(?<= )is )["']?(?P<value>[A-Za-z0-9+/_.!@#$%&*-]{3,}[A-Za-z0-9+/_!@#$%&*-])"""), re.compile(rf"""(?i:{_WORDS})["']?\s?\Z""")
+_BEARER = re.compile(r"(?<!\w)[Bb]earer (?P<bearer>(?=[\w.~+/-]*\d)[\w.~+/-]{16,}=*)")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?P<block>[^-]+(?:-(?!----)[^-]*)*)")
 _IP6 = re.compile(r"(?<![\w:.])(?P<ip6>(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9A-Fa-f]{1,4}|:)?)(?![\w:])")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -99,26 +109,37 @@ def _begins(text: str, at: int) -> bool:
     return not at or not (text[at - 1].isalnum() or text[at - 1] == "_")
 
 
+def _secret_value(m: re.Match) -> bool:
+    """Long values after a sign; short ones, and those after "is", only if letters and digits meet in them."""
+    value = m["value"]
+    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+    return mixed or (len(value) >= 9 and not m[0].startswith("is"))
+
+
 class Detector:
     """Finds entities, with the given names that it knows."""
 
     def __init__(self, given: dict[tuple[str, str], list[str]] = GIVEN):
         self.given = given
         self.names = {n: k for k, names in given.items() for n in names}
+        capitals = {n.upper() for n in self.names}
         any_of = lambda words: "|".join(sorted(map(re.escape, words), key=len, reverse=True))
         more = rf"(?: [{_UPPER}]\.)?(?: (?:{any_of(PARTICLES)}))* {_CAPITAL}"
-        self.named = re.compile(rf"(?:{any_of(self.names)}){more}(?!\w)")
+        self.named = re.compile(rf"(?:{any_of([*self.names, *capitals])}){more}(?!\w)")
+        small = {n.lower() for n in self.names}
+        self.small = re.compile(rf"\s+(?P<name>(?:{any_of(small)})(?: (?P<family>[^\W\d_A-Z]+))?)(?!\w)")
+        self.dear = re.compile(rf"(?<!\w)[Dd]ear (?P<name>{any_of(self.names)})(?=\s*[,:!\n]|\s*$)", re.MULTILINE)
         self.titled = re.compile(rf"(?:{any_of(HONORIFICS)})\.? (?P<name>{_CAPITAL}(?:{more})*)(?!\w)")
-        self.introduced, self.signed = (re.compile(rf"\s+(?P<name>{_CAPITAL}(?:{more}){least})(?!\w)") for least in "*+")
+        self.introduced, self.signed = (re.compile(rf"\s+(?:(?:{any_of(HONORIFICS)})\.? )?(?!(?:{any_of(HONORIFICS)})(?!\w))(?P<name>{_CAPITAL}(?:{more}){least})(?!\w)") for least in "*+")
         plain = lambda words: "|".join(re.escape(w).replace(r"\ ", " ").replace(r"\-", "-") for w in words)
         #: What every match of a group holds, for a scan that knows no look-around.
         self.marks = {
             "email": "@",
-            "secret": rf"{_AWS}[A-Z0-9]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|github_pat_|glpat-|sk-[A-Za-z0-9_-]{{20}}|xox[abeoprs]-|AIza[A-Za-z0-9_-]{{35}}|npm_[A-Za-z0-9]{{36}}|hf_[A-Za-z0-9]{{30}}|eyJ[A-Za-z0-9_-]{{8}}|SG\.|-----BEGIN|(?i:{_WORDS})[\"']?\s?[=:]",
+            "secret": rf"[Bb]earer |{_AWS}[A-Z0-9]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|github_pat_|glpat-|sk-[A-Za-z0-9_-]{{20}}|xox[abeoprs]-|AIza[A-Za-z0-9_-]{{35}}|npm_[A-Za-z0-9]{{36}}|hf_[A-Za-z0-9]{{30}}|eyJ[A-Za-z0-9_-]{{8}}|SG\.|-----BEGIN|(?i:{_WORDS})[\"']?\s?(?:[=:]|is )",
             "number": r"\d[\d ().:/-]{4,}\d",
             "ip6": r"[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:",
             "iban": r"[A-Z]{2}\d{2} ?[A-Z0-9]{4}",
-            "person": rf"(?:{plain(HONORIFICS)})\.? |(?:{plain(self.names)}) ",
+            "person": rf"(?:{plain(HONORIFICS)})\.? |(?:{plain([*self.names, *capitals])}) |[Dd]ear ",
             "cue": rf"(?i:{plain((*INTRODUCED, *SIGNED))})",
         }
 
@@ -146,7 +167,9 @@ class Detector:
                 yield *m.span(), "labelled"
             while m := _NUMBERS.search(text, start, min(end + 1, len(text))):  # one character more, for what may not follow
                 name = m.lastgroup
-                if name != "digits" or _luhn(m[name]):
+                before = max(0, m.start() - 20)
+                fits = {"digits": lambda x: _luhn(x), "card": lambda x: _luhn(x) or _CARD_LABEL.search(text, before, m.start()), "ip": lambda x: not _VERSION.search(text, before, m.start())}.get(name)  # noqa: B023
+                if fits is None or fits(m[name]):
                     yield *m.span(name), name
                     start = m.end()
                 else:
@@ -154,11 +177,13 @@ class Detector:
 
     def _persons(self, text: str) -> Iterator[tuple[int, int]]:
         for m in self.named.finditer(text):
-            if _begins(text, m.start()):
+            if _begins(text, m.start()) and m[0].split(" ")[1].lower() not in NO_NAMES:
                 yield m.span()
         for m in self.titled.finditer(text):
-            if _begins(text, m.start()):
+            if _begins(text, m.start()) and m["name"].split(" ")[0].lower() not in NO_NAMES:
                 yield m.span("name")
+        for m in self.dear.finditer(text):
+            yield m.span("name")
 
     def _cued(self, text: str) -> Iterator[tuple[int, int]]:
         low = text.lower()
@@ -168,8 +193,10 @@ class Detector:
             for phrase in phrases:
                 at = low.find(phrase.lower())
                 while at >= 0:
-                    if _begins(text, at) and (m := after.match(text, at + len(phrase))):
+                    if _begins(text, at) and (m := after.match(text, at + len(phrase))) and m["name"].split(" ")[0].lower() not in NO_NAMES:
                         yield m.span("name")
+                    elif phrases is INTRODUCED and _begins(text, at) and (m := self.small.match(text, at + len(phrase))):
+                        yield m.start("name"), m.start("family") - 1 if m["family"] in NO_NAMES else m.end("name")
                     at = low.find(phrase.lower(), at + 1)
 
     def find(self, text: str, groups: set[str] | None = None) -> list[tuple[int, int, str]]:
@@ -180,7 +207,8 @@ class Detector:
             found += ((a, 0, b, "email") for a, b in self._emails(text))
         if on("secret"):
             found += ((m.start(), 1, m.end(), "secret") for m in _KEYS.finditer(text) if _begins(text, m.start()))
-            found += ((m.start("value"), 2, m.end("value"), "secret") for m in _VALUE.finditer(text) if _BEFORE_VALUE.search(text, max(0, m.start() - 24), m.start()))
+            found += ((m.start("value"), 2, m.end("value"), "secret") for m in _VALUE.finditer(text) if _BEFORE_VALUE.search(text, max(0, m.start() - 24), m.start()) and _secret_value(m))
+            found += ((m.start("bearer"), 2, m.end("bearer"), "secret") for m in _BEARER.finditer(text))
             found += ((m.start("block"), 3, m.end("block"), "secret") for m in _BLOCK.finditer(text))
         if on("ip6"):
             found += ((m.start(), 4, m.end(), "ip") for m in _IP6.finditer(text) if _is_ip6(m[0]))
@@ -188,6 +216,7 @@ class Detector:
             found += ((m.start(), 5, m.end(), "iban") for m in _IBAN.finditer(text) if _begins(text, m.start()) and _mod97(m[0]) == 1)
         if on("number"):
             found += ((a, 6, b, _KIND.get(k, k)) for a, b, k in self._numbers(text))
+            found += ((m.start("ssn"), 5, m.end("ssn"), "national_id") for m in _SSN.finditer(text))
         if on("person"):
             found += ((a, 7, b, "person") for a, b in self._persons(text))
         if on("cue"):
@@ -199,7 +228,9 @@ class Detector:
             out.append((start, stop, kind))
             end = stop
             if kind == "person":
-                alone |= {w for w in text[start:stop].split(" ") if len(w) > 2 and w[-1] != "." and w not in PARTICLES}
+                words = {w for w in text[start:stop].split(" ") if len(w) > 2 and w[-1] != "." and w not in PARTICLES}
+                words |= {p for w in words for p in w.split("-") if len(p) > 2 and p not in PARTICLES}
+                alone |= words | {w.upper() for w in words} | {w.title() for w in words if w.isupper() or w.islower()}
         if not alone:
             return out
         whole, i = [], 0
@@ -295,7 +326,7 @@ def _spelled(text: str, kin: dict[str, str], key: bytes) -> str:
 
 
 def _followed(text: str, key: bytes, ok, kin: dict[str, str] = _KIN) -> str:
-    """The permutation is followed until it meets a valid text: a permutation of the valid ones."""
+    """The permutation is followed until it meets a valid text: a permutation of the valid ones. It ends, as the text itself is valid and on the way; one in ten or more is valid, so it is short."""
     out = _spelled(text, kin, key)
     while not ok(out):
         out = _spelled(out, kin, key)
@@ -310,18 +341,42 @@ def _iban(text: str, key: bytes) -> str:
 
 def _person(text: str, key: bytes, detector: Detector) -> str:
     out = []
-    for word in text.split(" "):
-        if word in detector.names:
-            own = detector.given[detector.names[word]]
-            out.append(own[permuted([0, own.index(word)], [1, len(own)], key)[1]])
-        elif word in PARTICLES:
+    for word in re.split("([ -])", text):
+        shown = {word.upper(): str.upper, word.lower(): str.lower}.get(word, str)
+        name = word if word in detector.names else word.title()
+        if name in detector.names and (shown is not str or name == word):
+            own = detector.given[detector.names[name]]
+            out.append(shown(own[permuted([0, own.index(name)], [1, len(own)], key)[1]]))
+        elif word in PARTICLES or not word[:1].isalpha():
             out.append(word)
         else:
             moved = _spelled(word, _KIN, key)
-            while moved in detector.names or moved in PARTICLES:  # names of lists are images of lists alone
+            while moved.title() in detector.names or moved in detector.names or moved in PARTICLES:  # names of lists are images of lists alone
                 moved = _spelled(moved, _KIN, key)
             out.append(moved)
-    return " ".join(out)
+    return "".join(out)
+
+
+#: Blocks of addresses whose kind a surrogate keeps: what stays, and the numbers that the next octet may be (fixed values).
+_BLOCKS = {(10,): range(256), (127,): range(256), (192, 168): range(256), (169, 254): range(256), (172,): range(16, 32), (100,): range(64, 128)}
+
+
+def _block(octets: list[int]) -> tuple[int, ...] | None:
+    return next((b for b, then in _BLOCKS.items() if tuple(octets[: len(b)]) == b and octets[len(b)] in then), None)
+
+
+def _address(text: str, key: bytes) -> str:
+    """Private, loopback, link-local and shared addresses move within their block, others among the rest."""
+    octets = [int(x) for x in text.split(".")]
+    block = _block(octets)
+    if block:
+        then, rest = _BLOCKS[block], octets[len(block) + 1 :]
+        first, *others = permuted([octets[len(block)] - then.start, *rest], [len(then), *[256] * len(rest)], key)
+        return ".".join(map(str, [*block, then.start + first, *others]))
+    moved = permuted(octets, [256] * 4, key)
+    while _block(moved):  # a twentieth of all addresses or so lies in blocks
+        moved = permuted(moved, [256] * 4, key)
+    return ".".join(map(str, moved))
 
 
 DETECTOR = Detector()
@@ -335,16 +390,16 @@ def surrogate(kind: str, text: str, key: str, detector: Detector = DETECTOR) ->
     own = hashlib.blake2b(f"{key}/{kind}".encode(), digest_size=32).digest()
     if kind == "card":
         n, valid = sum(c.isdecimal() for c in text), _luhn(text)
-        head = text[: {16: 0, 15: 2}.get(n, 1)]  # the kind of card that a length other than 16 means
+        head = text[: 2 if n == 15 else 1]  # the issuer
         return head + _followed(text[len(head) :], own, lambda t: _luhn(head + t) == valid)
     if kind == "ip":
-        return ".".join(map(str, permuted([int(x) for x in text.split(".")], [256] * 4, own))) if "." in text else _spelled(text, _HEX_IN_PLACE, own)
+        return _address(text, own) if "." in text else _spelled(text, _HEX_IN_PLACE, own)
     if kind == "person":
         return _person(text, own, detector)
     if kind == "iban":
         return _iban(text, own)
     if kind == "national_id":
-        return _followed(text, own, lambda t: t[:3] not in ("000", "666") and t[0] != "9" and t[4:6] != "00" and t[7:] != "0000")
+        return _followed(text, own, lambda t: (d := re.sub(r"\D", "", t))[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000")
     if kind == "email":
         name, _, end = text.rpartition(".")  # the last label stays
         return f"{_spelled(name, _KIN, own)}.{end}"
@@ -367,13 +422,18 @@ def secret_of(docs: DataFrame) -> str:
     return hashlib.sha256(repr(tuple(r)).encode()).hexdigest()
 
 
+def detector_of(given: dict[tuple[str, str], list[str]] | None) -> Detector:
+    """The detector with more given names."""
+    return Detector({k: [*GIVEN.get(k, ()), *(n for n in given.get(k, ()) if n not in GIVEN.get(k, ()))] for k in {**GIVEN, **given}}) if given else DETECTOR
+
+
 ENTITIES = "array<struct<kind:string,original:string,surrogate:string>>"
 
 
 def redact(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), given: dict[tuple[str, str], list[str]] | None = None) -> DataFrame:
     """doc_id, text (with surrogates), entities (in order), and the columns named in carry. given: more given names, as in GIVEN."""
     attach(docs.sparkSession)
-    detector = Detector({k: [*GIVEN.get(k, ()), *(n for n in (given or {}).get(k, ()) if n not in GIVEN.get(k, ()))] for k in {**GIVEN, **(given or {})}}) if given else DETECTOR
+    detector = detector_of(given)
     kept = {f"carried_{c}": docs.schema[c].dataType.simpleString() for c in carry}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,25 +483,27 @@ def reused(entities: DataFrame) -> DataFrame:
     return some.select("kind", "surrogate").join(some.select("kind", F.col("original").alias("surrogate")), ["kind", "surrogate"], "left_semi")
 
 
-def renamed(entities: DataFrame, key: str) -> DataFrame:
+def renamed(entities: DataFrame, key: str, detector: Detector | None = None) -> DataFrame:
     """The same entities under another key."""
+    attach(entities.sparkSession)
+    own = detector or DETECTOR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [surrogate(k, o, key) for k, o in zip(b.column("kind").to_pylist(), b.column("original").to_pylist(), strict=True)]
+            made = [surrogate(k, o, key, own) for k, o in zip(b.column("kind").to_pylist(), b.column("original").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("original"), pa.array(made, pa.string())], ["kind", "original", "surrogate"])
 
     return entities.select("kind", "original").mapInArrow(run, "kind string, original string, surrogate string")
 
 
-def replace(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), keys: int = 4) -> DataFrame:
+def replace(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), keys: int = 4, given: dict[tuple[str, str], list[str]] | None = None) -> DataFrame:
     """redact() with the first of ``keys`` keys that gives no collision in the whole corpus. Texts are read once, unless the first key collides."""
-    out = stored(redact(docs, key=f"{key}/0", carry=carry), "redacted")
+    out = stored(redact(docs, key=f"{key}/0", carry=carry, given=given), "redacted")
     pairs = stored(entities_of(out), "entities")
     unique = None
     for attempt in range(keys):
         if attempt:
-            pairs = stored(renamed(pairs, f"{key}/{attempt}"), "entities")
+            pairs = stored(renamed(pairs, f"{key}/{attempt}", detector_of(given)), "entities")
         if collisions(pairs).isEmpty():
             unique = attempt if unique is None else unique
             if reused(pairs).isEmpty():
@@ -449,7 +511,7 @@ def replace(docs: DataFrame, *, key: str, carry: tuple[str, ...] = (), keys: int
                 break
     if unique is None:
         raise RuntimeError("every key led to a collision")
-    return out if not unique else redact(docs, key=f"{key}/{unique}", carry=carry)
+    return out if not unique else redact(docs, key=f"{key}/{unique}", carry=carry, given=given)
 
 
 def op9_pii(spark, sf_dir: str) -> DataFrame:
