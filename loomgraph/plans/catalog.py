@@ -18,6 +18,7 @@ from loomgraph.operators.titles import classified, redirects, resolved_titles
 from loomgraph.plans import program
 from loomgraph.sources import csv_tables, dump, store
 from loomgraph.sources.dump import ranges_of
+from loomgraph.streaming import resolve
 from loomgraph.streaming.ingest import ingest, stream_pages
 
 PAGES_SQL = """
@@ -421,6 +422,16 @@ def streamed_links(spark, d):
     return spark.read.parquet(f"{folder}/taken/links").select("id", "target", "type")
 
 
+@_query(_with(_L, "SELECT src, dst, type FROM e"))
+def streamed_edges(spark, d):
+    """The edges of pages that arrive in three batches, the last pages of the dump first, so links wait for their titles in the state of the stream."""
+    folder = graph._folder(spark)
+    for n in (2, 1, 0):
+        pages(spark, d).where(F.col("id") % 3 == n).coalesce(1).write.parquet(f"{folder}/arriving/{n}")
+    resolve.ingest_edges(stream_pages(spark, f"{folder}/arriving/*", 1), folder, f"{folder}/checkpoint", parts=1, partitions=spark.sparkContext.defaultParallelism // 2 or 1).awaitTermination()
+    return resolve.edges(spark, folder)
+
+
 @_query(
     _with(
         f"{_L}, cat AS ({_CAT})",
