@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph import config
 from loomgraph.functions import text as T
 from loomgraph.functions.templates import infoboxes_of
 from loomgraph.operators import extract as E
@@ -376,6 +377,12 @@ def neighbors_1hop(spark, d):
     return store.neighbours(spark, _stored(spark, d), 2)
 
 
+@_query(_with(_V, "SELECT a.id, a.title FROM e JOIN a ON e.src = a.id WHERE e.dst = 2"))
+def neighbors_in(spark, d):
+    """The articles that link to one, from the store's arrays of that direction."""
+    return store.neighbours(spark, _stored(spark, d), 2, "in")
+
+
 @_query(_with(_P, "SELECT count(*) AS articles FROM a"))
 def article_count(spark, d):
     return _arts(spark, d).agg(F.count(F.lit(1)).alias("articles"))
@@ -441,10 +448,10 @@ def streamed_edges(spark, d):
     )
 )
 def program_run(spark, d):
-    """The whole program over a multistream dump of the pages: extract, load, merge and archive; then a resumed run, which must report the same."""
+    """The whole program over a multistream dump of the pages, in three files: extract, load, merge and archive; then a resumed run, which must report the same."""
     folder = graph._folder(spark)
-    ((path, index, _),) = dump.write_multistream(pages(spark, d), f"{folder}/dump", files=1)
-    o = program.Extract(path, f"{folder}/out", shards=3, blob_shards=20, index=index)
+    dump.write_multistream(pages(spark, d), f"{folder}/dump", files=3)
+    o = program.Extract(f"{folder}/dump", f"{folder}/out", shards=3, blob_shards=20)
     done = program.pipeline(spark, o, do_analytics=False)
     o.resume = True
     again, report = program.extract(spark, o), program.stats(spark, o.output)
@@ -456,6 +463,20 @@ def program_run(spark, d):
     return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row))
 
 
+@_query(_with(_labels_sql(_ranks_sql(_V, "e", K_RANKS), "e", K_LABELS) + f", d AS ({_DEG.format(e='e')})", f"SELECT a.id, a.title, round(r.r, 7) AS pagerank, l.community, d.degree FROM a JOIN r{K_RANKS} r ON r.id = a.id JOIN c{K_LABELS} l ON l.id = a.id JOIN d ON d.id = a.id"))
+def program_analytics(spark, d):
+    """Extract, load and analytics of the program over a dump in several files: what analytics wrote to the store, after as many rounds as the SQL has."""
+    folder = graph._folder(spark)
+    dump.write_multistream(pages(spark, d), f"{folder}/dump", files=3)
+    o = program.Extract(f"{folder}/dump", f"{folder}/out", shards=3, blob_shards=20)
+    program.pipeline(spark, o, do_analytics=False)
+    done = program.analytics(spark, o.output, iterations=K_RANKS, epsilon=0.0, label_rounds=K_LABELS)
+    held = store.article(spark, f"{o.output}/{config.STORE_DIR}")
+    if done["nodes"] != held.count() or done["iterations"] != K_RANKS:
+        raise RuntimeError("analytics reports something else than it wrote")
+    return held.select("id", "title", F.round("pagerank", 7).alias("pagerank"), "community", "degree")
+
+
 @_query(_PAGES)
 def multistream_pages(spark, d):
     """All pages, written as a multistream dump of 40 files and read again by the data source, which finds the streams."""

@@ -1,4 +1,6 @@
-"""The graph store: Parquet tables article(id, title, pagerank, community, degree) and links_to(src, dst).
+"""The graph store: Parquet tables article(id, title, pagerank, community, degree) and links_to(src, dst), and what lookups read:
+near_out and near_in(id, part, near), the neighbours of a vertex as an array of ids and titles, for either direction. These lie in ranges of id, in small row groups, so a
+lookup reads one or two of them; a hub's neighbours are cut into parts of about ``HUB``. Articles lie in ranges of title, with Bloom filters on title and id.
 
 A load replaces or refuses to touch an existing store. A table lies in numbered versions; the current one is the highest whose
 marker was written, after all its files. So a reader never sees half of a table, a crash leaves the version before it in
@@ -18,6 +20,9 @@ from loomgraph.sources.csv_tables import Folder
 
 ARTICLE = "id long, title string, pagerank double, community long, degree long"
 LINKS = "src long, dst long"
+NEAR = "id long, part long, near array<struct<id:bigint,title:string>>"
+#: Neighbours in one row of near_out and near_in, about, and bytes of a row group of theirs and of articles.
+HUB, GROUP_BYTES = 10_000, 4 << 20
 
 
 DONE = "_DONE"
@@ -35,12 +40,29 @@ def _current(spark: SparkSession, path: str, table: str) -> str:
     return f"{path}/{versions[-1]}"
 
 
+_SMALL = {"parquet.block.size": GROUP_BYTES, "parquet.page.size": GROUP_BYTES // 8, "parquet.block.size.row.check.min": 100}
+_LAYOUT = {"article": _SMALL | {f"parquet.bloom.filter.enabled#{c}": "true" for c in ("title", "id")}, "near_out": _SMALL, "near_in": _SMALL}
+
+
+def _near(links: DataFrame, articles: DataFrame, end: str, other: str) -> DataFrame:
+    """NEAR rows of one direction: each link to an article counts, by id of the neighbour."""
+    known = articles.select(F.col("id").alias("nid"), "title")
+    met = links.join(known, F.col(other) == F.col("nid")).select(F.col(end).alias("id"), F.struct(F.col("nid").alias("id"), "title").alias("one"))
+    hubs = met.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HUB).select(F.col("id").alias("hub"), F.ceil(F.col("n") / HUB).cast("long").alias("parts"))
+    part = F.coalesce(F.expr("pmod(xxhash64(one.id), parts)"), F.lit(0).cast("long"))
+    rows = met.join(hubs, F.col("id") == F.col("hub"), "left").groupBy("id", part.alias("part")).agg(F.array_sort(F.collect_list("one")).alias("near"))
+    return rows.repartitionByRange("id", "part").sortWithinPartitions("id", "part")
+
+
 def _write(df: DataFrame, path: str, table: str, rows_a_file: int) -> None:
     """df as the next version; then versions but the last two, and what crashes left, go."""
     folder = Folder(df.sparkSession, path)
     there = [n for n in folder.names() if re.fullmatch(rf"{table}-[0-9]{{6}}", n)]
     name = f"{table}-{int(there[-1][-6:]) + 1 if there else 0:06d}"
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file).parquet(f"{path}/{name}")
+    out = df.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file)
+    for k, v in _LAYOUT.get(table, {}).items():
+        out = out.option(k, v)
+    out.parquet(f"{path}/{name}")
     folder.put(f"{name}/{DONE}", "")
     keep = _versions(folder, table)[-2:]
     for old in there:
@@ -55,6 +77,8 @@ def create(articles: DataFrame, links: DataFrame, path: str, *, clean: bool = Fa
         raise FileExistsError(f"a store already exists in {path}")
     blank = [F.lit(None).cast(t).alias(c) for c, t in (("pagerank", "double"), ("community", "long"), ("degree", "long"))]
     _write(links.select("src", "dst"), path, "links_to", rows_a_file)
+    _write(_near(links, articles, "src", "dst"), path, "near_out", rows_a_file)
+    _write(_near(links, articles, "dst", "src"), path, "near_in", rows_a_file)
     _write(articles.select("id", "title", *blank).repartitionByRange("title").sortWithinPartitions("title"), path, "article", rows_a_file)
 
 
@@ -93,5 +117,9 @@ def by_title(articles: DataFrame, title: str) -> DataFrame:
     return articles.where(F.col("title") == title)
 
 
-def neighbours(spark: SparkSession, path: str, page_id: int) -> DataFrame:
-    return graph.neighbours(links_to(spark, path), article(spark, path), page_id)
+def neighbours(spark: SparkSession, path: str, page_id: int, direction: str = "out") -> DataFrame:
+    """id, title of the articles one link away ("out": that the page links to, "in": that link to it), one row for each link."""
+    if direction not in ("out", "in"):
+        raise ValueError("a direction is out or in")
+    near = spark.read.schema(NEAR).parquet(_current(spark, path, f"near_{direction}"))
+    return near.where(F.col("id") == page_id).select(F.explode("near").alias("n")).select("n.id", "n.title")

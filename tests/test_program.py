@@ -3,6 +3,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from loomgraph.operators import extract as E
@@ -283,6 +284,46 @@ def test_streaming_ingest(spark, dumps, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out/categories").count() == 3
 
 
+def test_lookups_read_few_row_groups(spark, tmp_path, monkeypatch):
+    """Neighbours of both directions, a hub in parts, and how many row groups can hold what is looked up."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(store, "HUB", 100)
+    monkeypatch.setattr(store, "_SMALL", {})
+    for t in ("article", "near_out", "near_in"):
+        monkeypatch.setitem(store._LAYOUT, t, store._LAYOUT[t] | {"parquet.block.size": 4000, "parquet.page.size": 1000})
+    arts = spark.range(1, 3001).select("id", F.concat(F.lit("T"), F.col("id").cast("string")).alias("title"))
+    links = spark.range(1, 9001).select((F.col("id") % 3000 + 1).alias("src"), (F.col("id") * 7 % 3000 + 1).alias("dst")).unionByName(spark.range(1, 1001).select(F.lit(5).cast("long").alias("src"), (F.col("id") * 2).alias("dst")))
+    links = links.unionByName(spark.createDataFrame([(5, 9999), (7, 8), (7, 8)], "src long, dst long"))
+    at = f"{tmp_path}/s"
+    store.create(arts, links, at)
+    pairs = [(r.src, r.dst) for r in links.collect() if r.dst <= 3000]
+    for x in (5, 7, 8, 2999, 12345):
+        assert rows(store.neighbours(spark, at, x)) == sorted(((b, f"T{b}") for a, b in pairs if a == x), key=str)
+        assert rows(store.neighbours(spark, at, x, "in")) == sorted(((a, f"T{a}") for a, b in pairs if b == x), key=str)
+    near = spark.read.parquet(store._current(spark, at, "near_out"))
+    assert near.where("id = 5").count() > 5 and near.agg(F.max(F.size("near"))).first()[0] < 200
+
+    def groups(table, column, value):
+        """(row groups, those whose range of the column holds the value)"""
+        n = fit = 0
+        for f in Path(store._current(spark, at, table)).glob("*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            i = meta.schema.names.index(column)
+            for g in range(meta.num_row_groups):
+                s = meta.row_group(g).column(i).statistics
+                n, fit = n + 1, fit + (s.min <= value <= s.max)
+        return n, fit
+
+    for table, column, value in (("near_out", "id", 700), ("near_in", "id", 700), ("article", "title", "T700")):
+        n, fit = groups(table, column, value)
+        assert n >= 8 and fit <= 2, (table, n, fit)
+    plan = store.neighbours(spark, at, 700)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,700)" in plan and "Exchange" not in plan
+    with pytest.raises(ValueError):
+        store.neighbours(spark, at, 1, "both")
+
+
 @pytest.fixture(scope="module")
 def large_dump(tmp_path_factory):
     """60 streams of 5 pages with links among them, a damaged stream, and an index with a line that is none."""
