@@ -42,7 +42,12 @@ def resolved_links(arts: DataFrame, titles: DataFrame) -> DataFrame:
 
 def edges(arts: DataFrame, titles: DataFrame) -> DataFrame:
     """src, dst, type: distinct links to articles."""
-    return resolved_links(arts, titles).where("dst is not null").select(F.col("id").alias("src"), "dst", "type").distinct()
+    return edges_of(resolved_links(arts, titles))
+
+
+def edges_of(links: DataFrame) -> DataFrame:
+    """src, dst, type of resolved links."""
+    return links.where("dst is not null").select(F.col("id").alias("src"), "dst", "type").distinct()
 
 
 def invalid_links(arts: DataFrame, titles: DataFrame) -> DataFrame:
@@ -75,11 +80,11 @@ def blobs(arts: DataFrame) -> DataFrame:
     return base.select("id", "title", T.lead(parts["stripped"]).alias("abstract_text"), T.categories(text).alias("categories"), parts["infoboxes"].alias("infoboxes"), T.sections(text).alias("sections"), "timestamp", T.is_disambiguation(text).alias("is_disambiguation"))
 
 
-def blob_json(records: DataFrame) -> DataFrame:
-    """id, json: empty lists, a missing timestamp and a false flag are left out; fields are pairs."""
+def blob_json(records: DataFrame, *carry: str) -> DataFrame:
+    """id, json and the columns named in carry: empty lists, a missing timestamp and a false flag are left out; fields are pairs."""
     box = F.transform("infoboxes", lambda b: F.struct(b["infobox_type"].alias("infobox_type"), F.transform(b["fields"], lambda f: F.array(f["key"], f["value"])).alias("fields")))
     filled = lambda c: F.when(F.size(c) > 0, c)
-    return records.select("id", F.to_json(F.struct("id", "title", "abstract_text", filled(F.col("categories")).alias("categories"), F.when(F.size("infoboxes") > 0, box).alias("infoboxes"), filled(F.col("sections")).alias("sections"), "timestamp", F.when(F.col("is_disambiguation"), F.lit(True)).alias("is_disambiguation"))).alias("json"))
+    return records.select("id", F.to_json(F.struct("id", "title", "abstract_text", filled(F.col("categories")).alias("categories"), F.when(F.size("infoboxes") > 0, box).alias("infoboxes"), filled(F.col("sections")).alias("sections"), "timestamp", F.when(F.col("is_disambiguation"), F.lit(True)).alias("is_disambiguation"))).alias("json"), *carry)
 
 
 BLOB = "id bigint, title string, abstract_text string, categories array<string>, infoboxes array<struct<infobox_type:string,fields:array<array<string>>>>, sections array<string>, timestamp string, is_disambiguation boolean"
@@ -92,13 +97,13 @@ def read_blobs(rows: DataFrame) -> DataFrame:
     return r.select("id", "title", "abstract_text", empty("categories"), empty("infoboxes"), empty("sections"), "timestamp", F.coalesce("is_disambiguation", F.lit(False)).alias("is_disambiguation"))
 
 
-def tables(pages: DataFrame, after: int = 0, limit: int | None = None, titles: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The eight tables under the names of their columns here: shard key first, then what is exported."""
+def tables(pages: DataFrame, after: int = 0, limit: int | None = None, titles: DataFrame | None = None, links: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The eight tables under the names of their columns here: shard key first, then what is exported. links: resolved_links of the same articles, where they are there already."""
     arts = articles(pages, after, limit)
     titles = titles if titles is not None else resolved_titles(pages)
     out = {
         "nodes": arts.select(F.col("id").alias("key"), "id", "title", F.lit("Page").alias("label")),
-        "edges": edges(arts, titles).select(F.col("src").alias("key"), "src", "dst", "type"),
+        "edges": edges_of(links if links is not None else resolved_links(arts, titles)).select(F.col("src").alias("key"), "src", "dst", "type"),
     }
     for kind, node, rel, label, edge in (("categories", "categories", "article_categories", "Category", "HAS_CATEGORY"), ("images", "image_nodes", "article_images", "Image", "HAS_IMAGE"), ("external_links", "external_link_nodes", "article_external_links", "ExternalLink", "HAS_LINK")):
         out[node] = entities(arts, kind).select(F.col("first_id").alias("key"), F.col("name").alias("id"), "name", F.lit(label).alias("label"))

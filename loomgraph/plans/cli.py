@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
+from contextlib import nullcontext
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,7 @@ def _extract_flags(p: argparse.ArgumentParser) -> None:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="loomgraph")
+    top.add_argument("--progress", type=float, metavar="SECONDS", help="tell on standard error, every so often, what share of the running stages' input is done")
     top.add_argument("-v", "--verbose", action="count", default=0)
     sub = top.add_subparsers(dest="verb", required=True)
     _extract_flags(sub.add_parser("extract"))
@@ -58,6 +61,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("loomgraph").getOrCreate()
     spark.sparkContext.setLogLevel(["ERROR", "INFO", "DEBUG", "TRACE"][min(a.verbose, 3)])
+    told = program.reporting(spark, lambda p: print(json.dumps(p), file=sys.stderr, flush=True), a.progress) if a.progress else nullcontext()
+    with told:
+        out = _run(a, spark)
+    print(json.dumps(out, default=str))
+    return out
+
+
+def _run(a: argparse.Namespace, spark: SparkSession) -> dict | None:
     if a.verb in ("extract", "pipeline"):
         o = program.Extract(a.input, a.output, a.csv_shards, a.shard_count, a.limit, a.dry_run, a.resume, not a.no_cache, a.clean, a.multistream_index, a.after_id, a.checkpoint_interval)
         out = program.extract(spark, o) if a.verb == "extract" else program.pipeline(spark, o, do_load=not a.no_load, do_analytics=not a.no_analytics, archive=not a.no_archive)
@@ -69,7 +80,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = csv_tables.merge(spark, a.output, archive=a.archive)
     else:
         out = program.stats(spark, a.output)
-    print(json.dumps(out, default=str))
     return out
 
 

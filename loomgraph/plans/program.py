@@ -6,10 +6,13 @@ goes on after the last of them. Every run is a job group, which ``cancel`` ends.
 
 from __future__ import annotations
 
+import threading
 import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph import config
@@ -118,18 +121,10 @@ def extract(spark: SparkSession, o: Extract) -> dict:
         manifest.clear([key, *parts.values()])
     pages, skipped = staged(spark, o)
     titles = titles_of(spark, o, pages)
-    result = manifest.done(parts["counters"])
-    if result is None:
+    if o.dry_run:
         result = E.stats(pages, after=o.after, limit=o.limit, titles=titles).first().asDict()
-        manifest.record(parts["counters"], result)
-    if not o.dry_run:
-        first = {base: csv_tables.file_names(base, o.shards if o.shards > 1 else None)[0] for base in config.TABLES}
-        tables = E.tables(pages, after=o.after, limit=o.limit, titles=titles)
-        csv_tables.export(tables, o.output, o.shards, done=lambda b: manifest.done(parts[b], first[b]) is not None, commit=lambda b: manifest.record(parts[b], {}))
-        if manifest.done(parts["blobs"], f"blobs/{SUCCESS}") is None:
-            rows = E.blob_json(E.blobs(E.articles(pages, after=o.after, limit=o.limit))).withColumn("shard", F.format_string("%03d", F.pmod("id", F.lit(o.blob_shards))))
-            rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(f"{o.output}/blobs")
-            manifest.record(parts["blobs"], {})
+    else:
+        result = _written(spark, o, manifest, parts, pages, titles)
     seconds = time.time() - began
     result = result | skipped | {"seconds": seconds, "articles_per_second": result["articles"] / max(seconds, 1e-9)}
     manifest.record(key, result)
@@ -137,6 +132,60 @@ def extract(spark: SparkSession, o: Extract) -> dict:
     return result
 
 
+def _written(spark: SparkSession, o: Extract, manifest: Manifest, parts: dict[str, str], pages: DataFrame, titles: DataFrame) -> dict:
+    """Write the tables and blobs that are not there yet. The counters come out of these writes (or, on resuming, from what they reported), so no text is parsed for them alone.
+
+    Link occurrences, which also tell the invalid ones, are written once, counted by article and target, before edges are made of them.
+    """
+    arts, path = E.articles(pages, after=o.after, limit=o.limit), f"{o.output}/.links"
+    if manifest.done(parts["counters"], f".links/{SUCCESS}") is None:
+        E.resolved_links(arts, titles).write.mode("overwrite").parquet(path)
+        manifest.record(parts["counters"], {})
+    links = spark.read.schema("id long, type string, dst long, n long").parquet(path)
+    first = {base: csv_tables.file_names(base, o.shards if o.shards > 1 else None)[0] for base in config.TABLES}
+    tables = E.tables(pages, after=o.after, limit=o.limit, titles=titles, links=links)
+    csv_tables.export(tables, o.output, o.shards, done=lambda b: manifest.done(parts[b], first[b]) is not None, commit=lambda b, counts: manifest.record(parts[b], counts))
+    if manifest.done(parts["blobs"], f"blobs/{SUCCESS}") is None:
+        seen, records = Observation("blobs"), E.blobs(arts)
+        rows = E.blob_json(records.withColumn("boxes", F.size("infoboxes")), "boxes").withColumn("shard", F.format_string("%03d", F.pmod("id", F.lit(o.blob_shards)))).repartition("shard")
+        rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("boxes"), F.lit(0)).alias("infoboxes")).drop("boxes").write.mode("overwrite").partitionBy("shard").parquet(f"{o.output}/blobs")
+        manifest.record(parts["blobs"], {k: v or 0 for k, v in seen.get.items()})
+    told = {base: manifest.done(parts[base]) for base in (*config.TABLES, "blobs")}
+    invalid = links.where("dst is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    counters = {"articles": told["nodes"]["rows"], "blobs": told["blobs"]["rows"], "infoboxes": told["blobs"]["infoboxes"], "edges": told["edges"][E.LINKS_TO], "see_also_edges": told["edges"][E.SEE_ALSO], "invalid_links": invalid}
+    for node, rel, name, each in (("categories", "article_categories", "categories", "category_edges"), ("image_nodes", "article_images", "images", "image_edges"), ("external_link_nodes", "article_external_links", "external_links", "external_link_edges")):
+        counters |= {name: told[node]["rows"], each: told[rel]["rows"]}
+    Folder(spark, o.output).delete(".links")
+    return counters
+
+
+def progress(spark: SparkSession) -> dict:
+    """Of the stages that a program runs just now: tasks, how many are done, and the share in per cent (0 where none runs). A scan's tasks are ranges of its input."""
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(GROUP) if (job := tracker.getJobInfo(j)) and job.status == "RUNNING" for s in job.stageIds]
+    live = [s for s in stages if s and s.numActiveTasks]
+    tasks, done = sum(s.numTasks for s in live), sum(s.numCompletedTasks for s in live)
+    return {"stages": len(live), "tasks": tasks, "done": done, "percent": round(100 * done / tasks, 1) if tasks else 0.0}
+
+
+@contextmanager
+def reporting(spark: SparkSession, tell: Callable[[dict], None], seconds: float = 5.0) -> Iterator[None]:
+    """Tell the progress every so many seconds while a program runs."""
+    over = threading.Event()
+
+    def run() -> None:
+        while not over.wait(seconds):
+            tell(progress(spark))
+
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        over.set()
+        thread.join()
+
+
 def blob_files(spark: SparkSession, output: str, target: str) -> None:
     """One file for each article, blobs/<shard>/<id>.json: for consumers that want them so; written by the executors."""
     from loomgraph.sources.dump import _opened

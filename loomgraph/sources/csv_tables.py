@@ -11,12 +11,14 @@ import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.config import TABLES, UNIQUE
 from loomgraph.functions.text import shard
 
+#: The values of an edge's third column (fixed values of the export format).
+EDGE_TYPES = ("LINKS_TO", "SEE_ALSO")
 _RFC = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
 _IDS = {"nodes": "id long, title string, label string", "edges": "src long, dst long, type string"}
 _NODE, _REL = "id string, name string, label string", "src long, dst string, type string"
@@ -105,14 +107,19 @@ def validate(folder: Folder, shards: int | None) -> None:
                 raise FileNotFoundError(f"missing {folder.path}/{name}")
 
 
-def _export(df: DataFrame, base: str, folder: Folder, shards: int) -> None:
-    """df: key, then the three exported columns. Every shard gets a file with a header, also if it has no rows."""
+def _export(df: DataFrame, base: str, folder: Folder, shards: int) -> dict[str, int]:
+    """df: key, then the three exported columns. Every shard gets a file with a header, also if it has no rows. Returns how many rows were written, by the third column for edges.
+
+    They are counted where the files are written: a result task counts once, however often it, or a task before it, is run.
+    """
     header, _ = TABLES[base]
     work = f".{base}-{uuid.uuid4().hex}"
     cols = [F.col(c).alias(h) for c, h in zip(df.columns[1:], header, strict=True)]
     rows = df.select(shard(F.col("key"), shards).cast("int").alias("shard"), *cols)
     names = file_names(base, shards if shards > 1 else None)
-    rows.repartition(shards, "shard").write.partitionBy("shard").options(**_RFC, maxRecordsPerFile=0).csv(f"{folder.path}/{work}")
+    seen, kind = Observation(work), F.col(f"`{header[2]}`")
+    counts = [F.count(F.lit(1)).alias("rows")] + ([F.count_if(kind == t).alias(t) for t in EDGE_TYPES] if base == "edges" else [])
+    rows.repartition(shards, "shard").observe(seen, *counts).write.partitionBy("shard").options(**_RFC, maxRecordsPerFile=0).csv(f"{folder.path}/{work}")
     parts = [[n for n in folder.names(f"{work}/shard={i}") if n.startswith("part-")] for i in range(len(names))]
     if any(len(p) > 1 for p in parts):
         raise RuntimeError(f"a shard of {base} came in several files")
@@ -122,18 +129,19 @@ def _export(df: DataFrame, base: str, folder: Folder, shards: int) -> None:
         else:
             folder.put(name, ",".join(header) + "\n")
     folder.delete(work)
+    return {k: v or 0 for k, v in seen.get.items()}
 
 
-def export(tables: dict[str, DataFrame], path: str, shards: int, *, done: Callable[[str], bool] | None = None, commit: Callable[[str], None] | None = None) -> None:
-    """Each table is written as a whole; done: tables to leave as they are; commit: is told of each that was written."""
+def export(tables: dict[str, DataFrame], path: str, shards: int, *, done: Callable[[str], bool] | None = None, commit: Callable[[str, dict[str, int]], None] | None = None) -> None:
+    """Each table is written as a whole; done: tables to leave as they are; commit: is told of each that was written, and of its rows."""
     spark = next(iter(tables.values())).sparkSession
     folder = Folder(spark, path)
     folder.fs.mkdirs(folder._path(""))
     for base, df in tables.items():
         if not (done and done(base)):
-            _export(df, base, folder, shards)
+            counts = _export(df, base, folder, shards)
             if commit:
-                commit(base)
+                commit(base, counts)
 
 
 def read(spark: SparkSession, path: str, base: str, shards: int | None = -1) -> DataFrame:

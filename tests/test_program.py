@@ -145,7 +145,7 @@ def test_resume_goes_on_after_the_last_committed_table(spark, dumps, tmp_path, m
         tables.append(base)
         if base == "article_images" and tables.count(base) == 1:
             raise OSError("disk full")
-        real(df, base, *rest)
+        return real(df, base, *rest)
 
     monkeypatch.setattr(csv_tables, "_export", failing)
     o = program.Extract(f"{dumps}/wiki.xml.bz2", out, shards=2, blob_shards=4, resume=True)
@@ -386,3 +386,24 @@ def test_the_flag_of_the_command_line_sets_the_batch(spark, large_dump, tmp_path
     assert Folder(spark, f"{tmp_path}/o/.pages").names() == ["batch=-1", "batch=0", "batch=1"]
     with pytest.raises(ValueError):
         program.Extract("a", "b", interval=0).validate()
+
+
+def test_counters_come_from_the_writes(spark, large_dump, dumps, tmp_path, monkeypatch):
+    """Those of an extraction equal those of the counting pass, which is not run; tables without rows count 0; a resumed run reports the same."""
+    for name in (f"{large_dump}/x-multistream.xml.bz2", f"{dumps}/wiki.xml.bz2"):
+        want = E.stats(dump.read_dump(spark, name)).first().asDict()
+        out = f"{tmp_path}/{Path(name).name}"
+        with monkeypatch.context() as m:
+            m.setattr(E, "marks", None)
+            got = program.extract(spark, program.Extract(name, out, shards=2, blob_shards=4))
+        assert {k: got[k] for k in want} == want
+        again = program.extract(spark, program.Extract(name, out, shards=2, blob_shards=4, resume=True))
+        assert again == got
+    assert want["infoboxes"] == 1 and {"image_edges", "invalid_links"} <= set(got)
+
+
+def test_progress_is_told_while_a_program_runs(spark, large_dump, tmp_path, capsys):
+    assert program.progress(spark)["percent"] == 0.0
+    cli.main(["--progress", "0.02", "extract", "-i", f"{large_dump}/plain.xml", "-o", f"{tmp_path}/o", "--csv-shards", "2"], spark)
+    told = [json.loads(x) for x in capsys.readouterr().err.splitlines() if x.startswith("{")]
+    assert any(p["tasks"] for p in told) and all(0 <= p["percent"] <= 100 for p in told)
