@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.config import TABLES, UNIQUE
 from loomgraph.functions.text import shard
+from loomgraph.sources import csv_records
 
 #: The values of an edge's third column (fixed values of the export format).
 EDGE_TYPES = ("LINKS_TO", "SEE_ALSO")
@@ -144,12 +145,13 @@ def export(tables: dict[str, DataFrame], path: str, shards: int, *, done: Callab
                 commit(base, counts)
 
 
-def read(spark: SparkSession, path: str, base: str, shards: int | None = -1) -> DataFrame:
-    """One table; shards -1: as they lie there. A row of another width or a bad id is an error."""
+def read(spark: SparkSession, path: str, base: str, shards: int | None = -1, *, placed: bool = False) -> DataFrame:
+    """One table, each of its files read by many tasks; shards -1: as they lie there; placed: with the column place, which orders rows. A row of another width or a bad id is an error."""
     folder = Folder(spark, path)
     shards = layout(folder) if shards == -1 else shards
     files = [f"{folder.path}/{n}" for n in file_names(base, shards)]
-    return spark.read.options(**_RFC, mode="FAILFAST", multiLine=True, enforceSchema=True).schema(schema_of(base)).csv(files)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _RFC.items() if k != "header"} | {"mode": "FAILFAST", "multiLine": "true"}
+    return csv_records.table(spark, files, schema_of(base), options, placed=placed)
 
 
 def merged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -161,10 +163,9 @@ def merged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     validate(folder, shards)
     out = {}
     for base in TABLES:
-        df = read(spark, path, base, shards)
+        df = read(spark, path, base, shards, placed=base in UNIQUE)
         if base in UNIQUE:
-            placed = df.withColumn("place", F.struct(F.input_file_name(), F.monotonically_increasing_id()))
-            df = placed.groupBy("id").agg(F.min_by(F.struct("name", "label"), "place").alias("r")).select("id", "r.*")
+            df = df.groupBy("id").agg(F.min_by(F.struct("name", "label"), "place").alias("r")).select("id", "r.*")
         out[base] = df.select(F.lit(0).alias("key"), "*")
     return out
 
