@@ -7,6 +7,8 @@ a plan for mixing sources to their target weights is added (column taken), which
 Defined results, in every stage: empty tables give no rows; other columns of documents than those named here, whatever their names, are neither read nor
 returned; very long texts are taken whole; rows with equal values in all columns are judged alike, and only the near-duplicates stage
 leaves one of them; null lang, source and n_chars are carried through. What each stage does with null ids and texts is said at the stage.
+
+This module counts as part of loomgraph.llm, whose registry imports it, and cannot be imported without that subpackage.
 """
 
 from __future__ import annotations
