@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import islice
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -63,9 +64,10 @@ class Encoder:
         #: Rank of the pair that begins at a place, -1 where none does or the part was merged away.
         pair = [find(piece[i : i + 2], -1) for i in range(n - 1)]
         pair.append(-1)
-        fresh = [(rank, i) for i, rank in enumerate(pair) if rank >= 0]
+        fresh = [i for i in range(n - 1) if pair[i] >= 0]
         while True:
-            for rank, i in fresh:
+            for i in fresh:  # places whose pair has a new rank
+                rank = pair[i]
                 if rank in buckets:
                     heappush(buckets[rank], i)
                 else:
@@ -80,28 +82,32 @@ class Encoder:
             lowest = word & -word
             rank = (w << shift) + lowest.bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
-                del buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                (i,) = buckets.pop(rank)
                 words[w] = word ^ lowest
                 if word == lowest:
                     upper ^= 1 << w
-            fresh = []
             if pair[i] != rank:
+                fresh = ()
                 continue  # stale
             gone = after[i]
             end = after[i] = after[gone]
-            pair[gone] = pair[i] = -1
+            left = before[i]
+            pair[gone] = -1
             if end < n:
                 before[end] = i
-                if (new := find(piece[i : after[end]], -1)) >= 0:
-                    pair[i] = new
-                    fresh.append((new, i))
-            left = before[i]
-            if left >= 0:
-                pair[left] = new = find(piece[left:end], -1)
-                if new >= 0:
-                    fresh.append((new, left))
+                pair[i] = right = find(piece[i : after[end]], -1)
+            else:
+                pair[i] = right = -1
+            if left >= 0 and (new := find(piece[left:end], -1)) >= 0:
+                pair[left] = new
+                fresh = (left, i) if right >= 0 else (left,)
+            else:
+                if left >= 0:
+                    pair[left] = -1
+                fresh = (i,) if right >= 0 else ()
         out, i = [], 0
         while i < n:
             out.append(self.ranks[piece[i : after[i]]])
@@ -170,7 +176,8 @@ class _Packed(dict):
         self.encoder = encoder
 
     def __missing__(self, piece: str) -> bytes:
-        out = np.array(self.encoder.merged(piece.encode()), "<u4").tobytes()
+        ids = self.encoder.merged(piece.encode())
+        out = pack(f"<{len(ids)}I", *ids)
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
