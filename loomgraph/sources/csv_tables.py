@@ -109,18 +109,22 @@ def validate(folder: Folder, shards: int | None) -> None:
 
 
 def _export(df: DataFrame, base: str, folder: Folder, shards: int) -> dict[str, int]:
-    """df: key, then the three exported columns. Every shard gets a file with a header, also if it has no rows. Returns how many rows were written, by the third column for edges.
+    """df: key, then the three exported columns, and place, if rows are to lie in its order. Every shard gets a file with a header, also if it has no rows. Returns how many rows were written, by the third column for edges.
 
     They are counted where the files are written: a result task counts once, however often it, or a task before it, is run.
     """
     header, _ = TABLES[base]
     work = f".{base}-{uuid.uuid4().hex}"
-    cols = [F.col(c).alias(h) for c, h in zip(df.columns[1:], header, strict=True)]
-    rows = df.select(shard(F.col("key"), shards).cast("int").alias("shard"), *cols)
+    ordered = "place" in df.columns
+    cols = [F.col(c).alias(h) for c, h in zip(df.columns[1:4], header, strict=True)]
+    rows = df.select(shard(F.col("key"), shards).cast("int").alias("shard"), *cols, *(["place"] if ordered else []))
     names = file_names(base, shards if shards > 1 else None)
     seen, kind = Observation(work), F.col(f"`{header[2]}`")
     counts = [F.count(F.lit(1)).alias("rows")] + ([F.count_if(kind == t).alias(t) for t in EDGE_TYPES] if base == "edges" else [])
-    rows.repartition(shards, "shard").observe(seen, *counts).write.partitionBy("shard").options(**_RFC, maxRecordsPerFile=0).csv(f"{folder.path}/{work}")
+    dealt = rows.repartition(shards, "shard")
+    if ordered:
+        dealt = dealt.sortWithinPartitions("shard", "place").drop("place")
+    dealt.observe(seen, *counts).write.partitionBy("shard").options(**_RFC, maxRecordsPerFile=0).csv(f"{folder.path}/{work}")
     parts = [[n for n in folder.names(f"{work}/shard={i}") if n.startswith("part-")] for i in range(len(names))]
     if any(len(p) > 1 for p in parts):
         raise RuntimeError(f"a shard of {base} came in several files")
@@ -155,7 +159,7 @@ def read(spark: SparkSession, path: str, base: str, shards: int | None = -1, *,
 
 
 def merged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of all shards: concatenated, and unique by first column, of the first shard that has it, where they must be."""
+    """The tables of all shards: concatenated, and unique by first column, of the first shard that has it, where they must be; with key, and place, the order of the shards and their rows."""
     folder = Folder(spark, path)
     shards = layout(folder)
     if shards is None:
@@ -163,9 +167,9 @@ def merged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     validate(folder, shards)
     out = {}
     for base in TABLES:
-        df = read(spark, path, base, shards, placed=base in UNIQUE)
+        df = read(spark, path, base, shards, placed=True)
         if base in UNIQUE:
-            df = df.groupBy("id").agg(F.min_by(F.struct("name", "label"), "place").alias("r")).select("id", "r.*")
+            df = df.groupBy("id").agg(F.min_by(F.struct("name", "label", "place"), "place").alias("r")).select("id", "r.*")
         out[base] = df.select(F.lit(0).alias("key"), "*")
     return out
 

@@ -407,3 +407,14 @@ def test_progress_is_told_while_a_program_runs(spark, large_dump, tmp_path, caps
     cli.main(["--progress", "0.02", "extract", "-i", f"{large_dump}/plain.xml", "-o", f"{tmp_path}/o", "--csv-shards", "2"], spark)
     told = [json.loads(x) for x in capsys.readouterr().err.splitlines() if x.startswith("{")]
     assert any(p["tasks"] for p in told) and all(0 <= p["percent"] <= 100 for p in told)
+
+
+def test_merged_files_keep_the_order_of_shards_and_rows(spark, large_dump, tmp_path):
+    out = f"{tmp_path}/m"
+    program.extract(spark, program.Extract(f"{large_dump}/x-multistream.xml.bz2", out, shards=3))
+    shards = {b: [Path(out, n).read_text().split("\n", 1)[1] for n in csv_tables.file_names(b, 3)] for b in ("nodes", "edges", "categories")}
+    csv_tables.merge(spark, out)
+    for b in ("nodes", "edges"):
+        assert Path(out, f"{b}.csv").read_text().split("\n", 1)[1] == "".join(shards[b])
+    once = list(dict.fromkeys(x for part in shards["categories"] for x in part.splitlines()))
+    assert Path(out, "categories.csv").read_text().splitlines()[1:] == once
