@@ -134,9 +134,12 @@ def escaped(x: Column) -> Column:
     return F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
 
 
-def format_size(n: Column) -> Column:
-    scaled = lambda power, unit: F.format_string(f"%.1f{unit}", n / float(1024**power))
-    return F.when(n >= 1024**3, scaled(3, "G")).when(n >= 1024**2, scaled(2, "M")).when(n >= 1024, scaled(1, "K")).otherwise(F.concat(n.cast("string"), F.lit("B")))
+def format_size(n: Column, largest: str = "G") -> Column:
+    """In the units B, K, M, G as far as ``largest``."""
+    shown = F.concat(n.cast("string"), F.lit("B"))
+    for power, unit in enumerate("KMG"[: "KMG".index(largest) + 1], 1):
+        shown = F.when(n >= 1024**power, F.format_string(f"%.1f{unit}", n / float(1024**power))).otherwise(shown)
+    return shown
 
 
 def format_number(n: Column) -> Column:
