@@ -36,7 +36,11 @@ def link_targets(arts: DataFrame) -> DataFrame:
 
 def resolved_links(arts: DataFrame, titles: DataFrame) -> DataFrame:
     """id, type, dst (null: no such title), n: link occurrences, counted by target before they meet the titles."""
-    counted = link_targets(arts).groupBy("id", "target", "type").agg(F.count(F.lit(1)).alias("n"))
+    return met(link_targets(arts).groupBy("id", "target", "type").agg(F.count(F.lit(1)).alias("n")), titles)
+
+
+def met(counted: DataFrame, titles: DataFrame) -> DataFrame:
+    """Links counted by id, target and type, with the articles that titles lead to."""
     return counted.join(titles.select(F.col("title").alias("target"), F.col("id").alias("dst")), "target", "left").select("id", "type", "dst", "n")
 
 

@@ -25,7 +25,11 @@ def redirects(pages: DataFrame) -> DataFrame:
 
 def resolved_titles(pages: DataFrame, hops: int = REDIRECT_HOPS) -> DataFrame:
     """title, id of every title that leads to an article in at most ``hops`` redirects; an article's own title beats a redirect's."""
-    articles, moves = article_titles(pages), redirects(pages)
+    return resolved(article_titles(pages), redirects(pages), hops)
+
+
+def resolved(articles: DataFrame, moves: DataFrame, hops: int = REDIRECT_HOPS) -> DataFrame:
+    """The same from articles(title, id) and redirects(title, target), one row for each title."""
     a = articles.withColumnsRenamed({"title": "at", "id": "aid"})
     m = moves.withColumnsRenamed({"title": "mt", "target": "next"})
     found = []

@@ -1,10 +1,12 @@
 """Queries on tables whose ids or sizes leave what the small ones reach."""
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import SMALL
+from helpers import SMALL, rows
 from loomgraph.functions import text as T
+from loomgraph.operators import graph
 from loomgraph.plans import catalog
 
 
@@ -28,3 +30,14 @@ def test_format_size_up_to_a_unit(spark):
     n = 5 * 1024**3
     shown = spark.range(1).select(*(T.format_size(F.lit(n), unit).alias(unit) for unit in "KMG")).first()
     assert tuple(shown) == ("5242880.0K", "5120.0M", "5.0G")
+
+
+@pytest.mark.parametrize(("name", "state"), [("streamed_edges", "claims"), ("streamed_links", "taken/links")])
+def test_pages_arrive_in_as_many_files_as_their_tables_have_splits(spark, tmp_path, monkeypatch, name, state):
+    spark.read.parquet(f"{SMALL}/documents.parquet").repartition(8).write.parquet(f"{tmp_path}/in/documents.parquet")
+    monkeypatch.setattr(graph, "_folder", lambda _: f"{tmp_path}/out")
+    got = catalog.QUERIES[name](spark, f"{tmp_path}/in")
+    plain = {"streamed_edges": "links_typed_edges", "streamed_links": "links_all"}[name]
+    assert rows(got) == rows(catalog.QUERIES[plain](spark, SMALL))
+    assert sorted(p.name for p in (tmp_path / "out" / state).glob("batch=*")) == ["batch=0", "batch=1", "batch=2"]
+    assert len(list((tmp_path / "out/arriving").glob("*/*.parquet"))) >= 3 * 4
