@@ -543,10 +543,14 @@ def write_xml(pages: DataFrame, folder: str, compression: str = "none") -> None:
     rows.mapInPandas(run, "value string").write.option("maxRecordsPerFile", 0).option("compression", compression).text(folder)
 
 
-def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream: int = 100) -> list[tuple[str, str, int]]:
-    """(dump, index, pages) of the files written: pages in order of pos, ``per_stream`` in each bz2 stream.
+#: Pages in one file of a dump that is written here, about: a task writes a file, so its share does not grow with the dump.
+FILE_PAGES = 10_000
 
-    Each task attempt writes files under names of its own and reports them, and only reported ones are returned (one short row for each of ``files``).
+
+def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream: int = 100, per_file: int = FILE_PAGES) -> list[tuple[str, str, int]]:
+    """(dump, index, pages) of the files written: pages in order of pos, ``per_stream`` in each bz2 stream. files: at least, where pages are enough; more where there are more than ``per_file`` pages for each.
+
+    Each task attempt writes files under names of its own and reports them, and only reported ones are returned (one short row for each file).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -585,6 +589,7 @@ def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream:
         yield pd.DataFrame({"first": [first], "dump": [dump], "index": [index], "pages": [n]})
 
     rows = pages.where("id is not null and title is not null").select("pos", "id", "title", "ns", "redirect_to", "timestamp", "text")
+    files = max(files, -(-rows.select("pos").count() // per_file))
     done = rows.repartitionByRange(files, "pos").sortWithinPartitions("pos").mapInPandas(run, "first long, dump string, index string, pages long").collect()
     return [(r.dump, r["index"], r.pages) for r in sorted(done)]
 

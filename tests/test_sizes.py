@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from helpers import SMALL, rows
 from loomgraph.functions import text as T
 from loomgraph.operators import graph
-from loomgraph.plans import catalog
+from loomgraph.plans import catalog, program
+from loomgraph.sources import dump
 
 
 def shifted(spark, path, by):
@@ -41,3 +42,24 @@ def test_pages_arrive_in_as_many_files_as_their_tables_have_splits(spark, tmp_pa
     assert rows(got) == rows(catalog.QUERIES[plain](spark, SMALL))
     assert sorted(p.name for p in (tmp_path / "out" / state).glob("batch=*")) == ["batch=0", "batch=1", "batch=2"]
     assert len(list((tmp_path / "out/arriving").glob("*/*.parquet"))) >= 3 * 4
+
+
+def test_a_dump_of_more_pages_is_written_by_more_tasks(spark, tmp_path):
+    pages = catalog.pages(spark, SMALL)
+    files = dump.write_multistream(pages, f"{tmp_path}/dump", files=2, per_file=20)
+    assert len(files) >= 8
+    assert max(n for _, _, n in files) < 60
+    got = dump.read_multistream(spark, [f[0] for f in files], [f[1] for f in files])
+    assert [r.id for r in got.orderBy("pos").select("id").collect()] == [r.id for r in pages.orderBy("pos").select("id").collect()]
+
+
+def test_a_large_shard_of_blobs_is_written_by_several_tasks(spark, tmp_path):
+    dump.write_multistream(catalog.pages(spark, SMALL), f"{tmp_path}/dump", files=4)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "32k")
+    try:
+        done = program.extract(spark, program.Extract(f"{tmp_path}/dump", f"{tmp_path}/out", shards=1, blob_shards=1))
+    finally:
+        spark.conf.unset(name)
+    assert len(list((tmp_path / "out/blobs/shard=000").glob("*.parquet"))) > 1
+    assert spark.read.parquet(f"{tmp_path}/out/blobs").select("id").distinct().count() == done["blobs"] > 0
