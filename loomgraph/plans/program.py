@@ -147,7 +147,7 @@ def _written(spark: SparkSession, o: Extract, manifest: Manifest, parts: dict[st
     csv_tables.export(tables, o.output, o.shards, done=lambda b: manifest.done(parts[b], first[b]) is not None, commit=lambda b, counts: manifest.record(parts[b], counts))
     if manifest.done(parts["blobs"], f"blobs/{SUCCESS}") is None:
         seen, records = Observation("blobs"), E.blobs(arts)
-        rows = E.blob_json(records.withColumn("boxes", F.size("infoboxes")), "boxes").withColumn("shard", F.format_string("%03d", F.pmod("id", F.lit(o.blob_shards)))).repartition("shard")
+        rows = E.blob_json(records.withColumn("boxes", F.size("infoboxes")), "boxes").withColumn("shard", F.format_string("%03d", F.pmod("id", F.lit(o.blob_shards)))).hint("rebalance", "shard")  # a large shard is written by several tasks
         rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("boxes"), F.lit(0)).alias("infoboxes")).drop("boxes").write.mode("overwrite").partitionBy("shard").parquet(f"{o.output}/blobs")
         manifest.record(parts["blobs"], {k: v or 0 for k, v in seen.get.items()})
     told = {base: manifest.done(parts[base]) for base in (*config.TABLES, "blobs")}
