@@ -79,10 +79,12 @@ def links_before_see_also(text: Column) -> Column:
     """
     at = see_also_start(text)
     before, after = F.substring(text, F.lit(1), at - 1), F.substr(text, at)
-    open_end = F.regexp_extract(before, r"\[\[[^\]]*\z", 0)
+    last = F.substring_index(before, "]", -1)
+    open_end = F.when(last.contains("[["), F.substr(last, F.instr(last, "[["))).otherwise("")
     first = F.regexp_instr(F.concat(open_end, after), F.lit(LINK))
     straddles = (open_end != "") & (first >= 1) & (first <= F.length(open_end))
-    return F.when(at > 0, F.size(_all(before, LINK, 1)) + straddles.cast("int"))
+    # Without a link across the header, those after it are the ones of the rest alone, which is short as a rule.
+    return F.when(at > 0, F.when(straddles, F.size(_all(before, LINK, 1)) + 1).otherwise(F.size(links(text)) - F.size(links(after))))
 
 
 def categories(text: Column) -> Column:

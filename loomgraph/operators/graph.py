@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.config import LABEL_ROUNDS, PAGERANK_DAMPING, PAGERANK_EPSILON, PAGERANK_ITERATIONS
@@ -154,8 +154,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = PAGERANK
     for done in range(1, max_iterations + 1):  # noqa: B007
         sums = _spread(w, ranks, parts if cut else None)
         new = ranks.withColumnRenamed("rank", "old").join(sums, "id", "left").select("id", ((1 - damping) / n + damping * F.coalesce("s", F.lit(0.0))).alias("rank"), "old")
-        new = rounds.put(new)
-        change = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] if epsilon is not None else None
+        seen = Observation(f"ranks-{uuid.uuid4().hex}")
+        new = rounds.put(new.observe(seen, F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change")) if epsilon is not None else new)
+        change = seen.get["change"] if epsilon is not None else None
         ranks = new.select("id", "rank")
         if change is not None and change < epsilon:
             break
@@ -176,7 +177,8 @@ def communities(vertices: DataFrame, edges: DataFrame, *, max_rounds: int = LABE
     """id, community by label propagation over both directions with multiplicity; labels are vertex ids.
 
     ``rounds``: all vertices at once; the most frequent label among the neighbours wins, the own one on a tie, then the least.
-    Neighbours lie bucketed by the one whose label is sent, so a round moves labels and counted votes alone.
+    Neighbours lie bucketed by the one whose label is sent, so a round moves labels and counted votes alone. Labels depend on those of the round before alone, so once
+    they are what they were two rounds ago, what the last round leaves is known.
     ``in place``: one vertex after another, in order of its colour (``coloured``), then id, seeing labels set before it, with the same ties: so it settles
     where all at once may swing. Vertices of one colour have no edges between them and are updated together.
     """
@@ -185,22 +187,29 @@ def communities(vertices: DataFrame, edges: DataFrame, *, max_rounds: int = LABE
     if mode != "rounds":
         raise ValueError(f"no mode {mode!r}")
     rounds = Rounds(vertices.sparkSession)
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = edges.select(F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))).alias("e")).select("e.*")  # one pass over the edges
     counted = rounds.put(both.groupBy(F.col("src").alias("id"), F.col("dst").alias("near")).agg(F.count(F.lit(1)).alias("n")), "counted")
     parts = rounds.put(_parts(counted, "near"), "parts")
     cut = not parts.isEmpty()
     near = rounds.bucketed(_cut(counted, "near", "id", parts), "near", "near", "part") if cut else rounds.bucketed(counted, "near", "near")
-    labels = rounds.put(vertices.select("id", F.col("id").alias("community")).distinct())
-    for _ in range(max_rounds):
+    labels = rounds.put(vertices.select("id", F.col("id").alias("community"), F.lit(None).cast("long").alias("before")).distinct())
+    for turn in range(1, max_rounds + 1):
         votes = _votes(near, labels, parts if cut else None)
         own = labels.select("id", F.col("community").alias("own"))
         best = votes.join(own, "id").groupBy("id").agg(F.max(F.struct("n", (F.col("community") == F.col("own")).alias("same"), (-F.col("community")).alias("least"))).alias("best"))
-        new = rounds.put(labels.join(best, "id", "left").select("id", F.coalesce(-F.col("best.least"), "community").alias("community"), F.coalesce(-F.col("best.least") != F.col("community"), F.lit(False)).alias("moved")))
-        labels = new.select("id", "community")
-        if new.where("moved").isEmpty():
+        seen = Observation(f"labels-{uuid.uuid4().hex}")
+        new = labels.join(best, "id", "left").select("id", F.coalesce(-F.col("best.least"), "community").alias("community"), F.col("community").alias("before"), F.col("before").alias("last"))
+        differ = lambda c: F.count_if(~F.col("community").eqNullSafe(F.col(c)))
+        labels = rounds.put(new.observe(seen, differ("before").alias("moved"), differ("last").alias("swung")).drop("last"))
+        told = seen.get
+        if not told.get("moved"):
+            break
+        if not told.get("swung"):  # as two rounds ago: from here on labels only swing between these and those before
+            if (max_rounds - turn) % 2:
+                labels = labels.select("id", F.col("before").alias("community"))
             break
     rounds.settled()
-    return labels
+    return labels.select("id", "community")
 
 
 def _priority(col: str) -> F.Column:
@@ -248,18 +257,32 @@ def _in_place(vertices: DataFrame, edges: DataFrame, max_rounds: int) -> DataFra
     classes = [r.colour for r in colours.select("colour").distinct().orderBy("colour").collect()]  # colours are few
     at = {c: f"{rounds.folder}/labels/colour={c}" for c in classes}
     quiet = dict.fromkeys(classes, False)  # whether nothing moved since this class was last looked at
+    step, wrote, looked = 0, dict.fromkeys(classes, 0), dict.fromkeys(classes, 0)  # when a class was written, and looked at
     for turn in range(max_rounds):
         for c in classes:
             if quiet[c]:
                 continue
             own = spark.read.schema(row).parquet(at[c])
             labels = spark.read.schema(row).parquet(*(at[x] for x in classes if x != c)) if len(classes) > 1 else own.limit(0)
-            votes = near.where(F.col("colour") == c).join(labels.select(F.col("id").alias("near"), "community"), "near").select("id", "community", "n", F.lit(0).alias("own"), F.lit(0).cast("long").alias("loops"))
+            mine, still = near.where(F.col("colour") == c), None
+            if turn:  # a vertex without a neighbour that moved since would choose what it has
+                moved = spark.read.schema(row).parquet(*(at[x] for x in classes if wrote[x] > looked[c])).where("moved").select(F.col("id").alias("near"))
+                active = rounds.put(mine.join(moved, "near", "left_semi").select("id").distinct(), f"active-{turn}-{c}")
+                still = own.join(active, "id", "left_anti").withColumn("moved", F.lit(False))
+                mine, own = mine.join(active, "id", "left_semi"), own.join(active, "id", "left_semi")
+            else:
+                labels = labels.hint("merge")  # every edge is met once here: nothing of that goes through the driver
+            votes = mine.join(labels.select(F.col("id").alias("near"), "community"), "near").select("id", "community", "n", F.lit(0).alias("own"), F.lit(0).cast("long").alias("loops"))
             votes = votes.unionByName(own.select("id", "community", F.col("loops").alias("n"), F.lit(1).alias("own"), "loops"))
             counted = votes.groupBy("id", "community").agg(F.sum("n").alias("n"), F.max("own").alias("own"), F.max("loops").alias("loops"))
             best = counted.groupBy("id").agg(F.max(F.struct("n", "own", (-F.col("community")).alias("least"))).alias("best"), F.max("loops").alias("loops"))
             path = f"{rounds.folder}/moved-{turn}-{c}"
-            best.select("id", (-F.col("best.least")).alias("community"), "loops", (F.col("best.own") == 0).alias("moved")).write.parquet(path)
+            new = best.select("id", (-F.col("best.least")).alias("community"), "loops", (F.col("best.own") == 0).alias("moved"))
+            (new if still is None else new.unionByName(still.select("id", "community", "loops", "moved"))).write.parquet(path)
+            if turn:
+                rounds._delete(f"{rounds.folder}/{rounds.named.pop()}")
+            step += 1
+            wrote[c] = looked[c] = step
             rounds._delete(at[c])
             at[c] = path
             if not spark.read.schema(row).parquet(path).where("moved").isEmpty():

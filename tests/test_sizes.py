@@ -1,5 +1,7 @@
 """Queries on tables whose ids or sizes leave what the small ones reach."""
 
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -63,3 +65,21 @@ def test_a_large_shard_of_blobs_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset(name)
     assert len(list((tmp_path / "out/blobs/shard=000").glob("*.parquet"))) > 1
     assert spark.read.parquet(f"{tmp_path}/out/blobs").select("id").distinct().count() == done["blobs"] > 0
+
+
+def test_labels_that_swing_end_as_after_all_rounds(spark):
+    """A star, a pair and a triangle: the star and the pair swap labels in each round."""
+    edges = [(1, 2), (1, 3), (1, 4), (10, 11), (20, 21), (21, 22), (22, 20)]
+    ids = sorted({i for e in edges for i in e})
+    v, e = spark.createDataFrame([(i,) for i in ids], "id long"), spark.createDataFrame(edges, "src long, dst long")
+    for rounds in (1, 2, 3, 20, 21):
+        label = {i: i for i in ids}
+        for _ in range(rounds):
+            votes = {i: Counter(label[a if b == i else b] for a, b in edges if i in (a, b)) for i in ids}
+            label = {i: max(votes[i], key=lambda c: (votes[i][c], c == label[i], -c)) for i in ids}
+        jobs = []
+        put = graph.Rounds.put
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(graph.Rounds, "put", lambda self, df, name="": jobs.append(name) or put(self, df, name))
+            assert {r.id: r.community for r in graph.communities(v, e, max_rounds=rounds).collect()} == label
+        assert len(jobs) < 12  # tables that were written
