@@ -38,6 +38,8 @@ SHINGLE, M, MISS = 5, 224, 2e-5
 SLACK = 0.15
 #: Members and shingles in a block at most (a member with more shingles is a block of its own with each other).
 BLOCK, BLOCK_SHINGLES = 1024, 1_500_000
+#: Shared shingles in one product of incidence matrices at most.
+COLUMNS = 1024
 
 
 def shingle_sets(col: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -101,23 +103,27 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "k", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, k long, est double")
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
-    """Which of the edges (i, j) make a spanning forest of n nodes."""
-    root = list(range(n))
+class _Forest:
+    """A spanning forest of n nodes, grown by the links of one node after another: held are its edges and each node's root, never all links."""
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def __init__(self, n: int) -> None:
+        self.root, self.ends = np.arange(n), []
 
-    out = []
-    for e, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-        p, q = find(x), find(y)
-        if p != q:
-            root[q] = p
-            out.append(e)
-    return out
+    def link(self, x: int, to: np.ndarray) -> None:
+        """Of the links from x, keep those that join trees."""
+        roots, first = np.unique(self.root[to], return_index=True)
+        first = first[roots != self.root[x]]
+        if len(first):
+            self.ends += [(x, y) for y in to[first].tolist()]
+            joined = np.zeros(len(self.root), bool)
+            joined[roots] = True
+            self.root[joined[self.root]] = self.root[x]
+
+    def rows(self, ids: np.ndarray) -> pa.RecordBatch | None:
+        if not self.ends:
+            return None
+        i, j = np.array(self.ends).T
+        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["a", "b"])
 
 
 def _blocks(members: DataFrame, key: str, parts: str) -> DataFrame:
@@ -128,55 +134,57 @@ def _blocks(members: DataFrame, key: str, parts: str) -> DataFrame:
     return split.withColumn("block", F.concat_ws(":", F.col(key).cast("string"), lo.cast("string"), hi.cast("string")))
 
 
+def _alike(t: pa.Table, at_least: float) -> pa.RecordBatch | None:
+    """Links of one block by the estimates of its sketches, as a spanning forest."""
+    ids, n, regs = t.column("id").to_numpy(), t.column("n").to_numpy().astype(float), _matrix(t.column("sketch"))
+    forest = _Forest(len(ids))
+    for x in range(len(ids) - 1):
+        ratio = np.minimum(n[x + 1 :], n[x]) / np.maximum(n[x + 1 :], n[x])
+        y = x + 1 + np.flatnonzero(ratio >= at_least)
+        y = y[(regs[y] == regs[x]).mean(axis=1) >= at_least - 0.1]
+        if len(y):
+            est = jaccard(np.broadcast_to(regs[x], (len(y), M)), regs[y], np.full(len(y), n[x]), n[y])
+            forest.link(x, y[est >= at_least])
+    return forest.rows(ids)
+
+
 def _refined(bands: DataFrame, sizes: DataFrame, members: DataFrame, classes: DataFrame, at_least: float) -> DataFrame:
     """Ties between members of large clusters whose estimate is high enough: a spanning forest for each bucket."""
     rows = bands.join(sizes.where("k > 2"), "key").join(members.select("id"), "id")
     rows = _blocks(rows.join(classes.select("id", "n", "sketch"), "id"), "key", f"cast(ceil(k / {BLOCK}) as bigint)")
 
-    def run(t: pa.Table) -> pa.RecordBatch | None:
-        ids, n, regs = t.column("id").to_numpy(), t.column("n").to_numpy().astype(float), _matrix(t.column("sketch"))
-        found = []
-        for x in range(len(ids) - 1):
-            ratio = np.minimum(n[x + 1 :], n[x]) / np.maximum(n[x + 1 :], n[x])
-            y = x + 1 + np.flatnonzero(ratio >= at_least)
-            y = y[(regs[y] == regs[x]).mean(axis=1) >= at_least - 0.1]
-            if len(y):
-                est = jaccard(np.broadcast_to(regs[x], (len(y), M)), regs[y], np.full(len(y), n[x]), n[y])
-                found += [(x, z) for z in y[est >= at_least].tolist()]
-        if not found:
-            return None
-        i, j = np.array(found).T
-        keep = _forest(len(ids), i, j)
-        return pa.RecordBatch.from_arrays([pa.array(ids[i[keep]]), pa.array(ids[j[keep]])], ["a", "b"])
-
-    return map_groups(rows.select("block", "id", "n", "sketch"), "block", run, "a long, b long")
+    return map_groups(rows.select("block", "id", "n", "sketch"), "block", lambda t: _alike(t, at_least), "a long, b long")
 
 
 def _verify(t: pa.Table, percent: int) -> pa.RecordBatch | None:
     """Links of one block, as a spanning forest: sizes of all intersections from a product of incidence matrices."""
     ids = t.column("id").to_numpy()
-    parts = [shingle_sets(chunk) for chunk in t.column("text").chunks]
+    parts = [shingle_sets(b.column("text")) for b in pieces(t.select(["text"]).to_batches(), "text")]
     flat, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    owner = np.repeat(np.arange(len(n)), n)
-    token, first, code, count = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(count > 1)
-    column = np.full(len(token), -1)
-    column[shared] = np.arange(len(shared))
-    col, both = column[code], np.zeros((len(n), len(n)), np.float32)
-    own, col = owner[col >= 0], col[col >= 0]
-    order = np.argsort(col, kind="stable")
-    own, col = own[order], col[order]
-    for lo in range(0, len(shared), 4096):
-        a, b = np.searchsorted(col, [lo, lo + 4096])
-        grid = np.zeros((len(n), min(4096, len(shared) - lo)), np.float32)
+    del parts
+    order = np.argsort(flat, kind="stable")
+    owner, flat = np.repeat(np.arange(len(n), dtype=np.int32), n)[order], flat[order]
+    del order
+    # Shingles of several members, numbered in order.
+    again = flat[1:] == flat[:-1]
+    shared = np.zeros(len(flat), bool)
+    shared[1:] = again
+    shared[:-1] |= again
+    starts = shared.copy()
+    starts[1:] &= ~again
+    own, col = owner[shared], np.cumsum(starts[shared], dtype=np.int32) - 1
+    del flat, owner, again, shared, starts
+    width, both = int(col[-1]) + 1 if len(col) else 0, np.zeros((len(n), len(n)), np.float32)
+    for lo in range(0, width, COLUMNS):
+        a, b = np.searchsorted(col, [lo, lo + COLUMNS])
+        grid = np.zeros((len(n), min(COLUMNS, width - lo)), np.float32)
         grid[own[a:b], col[a:b] - lo] = 1
         both += grid @ grid.T
-    inter = both.astype(np.int64)
-    i, j = np.nonzero(np.triu(100 * inter >= percent * (n[:, None] + n[None, :] - inter), 1) & (inter > 0))
-    if not len(i):
-        return None
-    keep = _forest(len(ids), i, j)
-    return pa.RecordBatch.from_arrays([pa.array(ids[i[keep]]), pa.array(ids[j[keep]])], ["a", "b"])
+    forest = _Forest(len(ids))
+    for x in range(len(ids) - 1):
+        inter = both[x, x + 1 :].astype(np.int64)
+        forest.link(x, x + 1 + np.flatnonzero((inter > 0) & (100 * inter >= percent * (n[x] + n[x + 1 :] - inter))))
+    return forest.rows(ids)
 
 
 def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:

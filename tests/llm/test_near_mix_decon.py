@@ -1,9 +1,13 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_help import plain, same_as_sql
 from loomgraph.llm import decontaminate, mix, near
+from loomgraph.llm.sketch import registers
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
 ODD = [(900, None), (901, ""), (902, " \t\n"), (903, "one two"), (904, "ONE two"), (905, "one two three four five"), (None, "one two three four five"), (906, "a " * 3000), (907, "a " * 3000)]
@@ -39,6 +43,39 @@ def test_near_duplicates_in_blocks(make, corpus, monkeypatch):
     assert plain(near.near_duplicates(make(corpus))) == want
 
 
+def test_blocks_hold_no_list_of_their_links():
+    """Blocks of two parts whose members are all linked: memory follows the members, not their two million links."""
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 60)]
+    texts = []
+    for _ in range(2 * near.BLOCK):
+        w = list(base)
+        w[rng.integers(60)] = f"v{rng.integers(10**6)}"
+        texts.append(" ".join(w))
+    ids, text = pa.array(range(len(texts))), pa.array(texts)
+    flat, n = near.shingle_sets(text)
+    regs = registers(flat, np.repeat(np.arange(len(n)), n), n, near.M)
+    blocks = {
+        near._verify: (pa.table({"id": ids, "text": text}), 70),
+        near._alike: (pa.table({"id": ids, "n": n, "sketch": pa.array([r.tobytes() for r in regs], pa.binary())}), 0.5),
+    }
+    for f, (rows, threshold) in blocks.items():
+        tracemalloc.start()
+        out = f(rows, threshold)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60 << 20, (f.__name__, peak)
+        assert out.num_rows == len(texts) - 1  # one tree
+        root = list(range(len(texts)))
+        for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True):
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            assert a != b
+            root[a] = b
+
+
 def test_near_duplicates_edges(make):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near.near_duplicates(make(ODD)).collect()}
     assert got[900, 0] == (900, True)
