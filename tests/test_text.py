@@ -1,8 +1,11 @@
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
-from loomgraph.functions.templates import infoboxes, strip_templates
+from loomgraph.functions.templates import infoboxes, infoboxes_of, parts_of, strip_templates, strip_templates_of
 
 
 def one(spark, f, value, kind="string"):
@@ -124,3 +127,25 @@ def test_infoboxes(text, want):
 def test_lead(spark):
     assert one(spark, T.lead, " a \n\n b\n== H ==\nc") == "a\nb"
     assert one(spark, T.lead, "a") == "a"
+
+
+def test_templates_by_pieces_of_a_batch(spark):
+    """A batch of many texts gives the functions' own results, a piece at a time, with memory that does not follow the batch."""
+    texts = [None, "", "{{unclosed", "é{{Infobox a|k = {{n|1}}|v=}}" * 3 + "b", "x" * 1_500_000 + "{{t}}y"] + [f"{{{{Infobox d|n = {i}}}}}é" + "lead " * 600 for i in range(5000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").coalesce(1)
+    text = F.col("text")
+    got = df.select("id", strip_templates_of(text).alias("s"), infoboxes_of(text).alias("b"), parts_of(text).alias("p")).collect()
+    assert [r.id for r in got] == list(range(len(texts)))
+    for t, r in zip(texts, got, strict=True):
+        want = (None, None) if t is None else (strip_templates(t), infoboxes(t))
+        assert (r.s, None if r.b is None else [x.asDict(True) for x in r.b]) == want
+        assert (r.p.stripped, r.p.infoboxes) == (r.s, r.b)
+    batch = pa.array([texts[-1]] * 10_000)
+    for f in (parts_of, infoboxes_of, strip_templates_of):
+        rows = 0
+        tracemalloc.start()
+        for out in f.func(iter([batch])):
+            rows += len(out)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(batch) and peak < 8 << 20, peak
