@@ -32,8 +32,8 @@ from itertools import accumulate
 from urllib.parse import quote, unquote
 from xml.sax.saxutils import escape, quoteattr
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -530,17 +530,33 @@ def page_xml(page_id: int, title: str, ns: int | None, redirect_to: str | None,
     return f"<page>{''.join(parts)}<revision>{''.join(revision)}</revision></page>\n"
 
 
+#: Bytes of a batch's pages that are Python objects at a time; a longer page is taken alone and whole.
+PIECE_BYTES = 1 << 20
+
+
+def _row_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of batches whose column text is the last, PIECE_BYTES of text or one row at a time."""
+    for b in batches:
+        at, held = 0, 0
+        for i, n in enumerate([*pc.fill_null(pc.binary_length(b.column("text")), 0).to_pylist(), PIECE_BYTES]):
+            if i > at and held + n > PIECE_BYTES:
+                yield list(zip(*(c.to_pylist() for c in b.slice(at, i - at).columns), strict=True))
+                at, held = i, 0
+            held += n
+
+
 def write_xml(pages: DataFrame, folder: str, compression: str = "none") -> None:
     """Pages as XML in files of Spark's text sink, one root element each, plain or packed as a whole."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"value": ["<mediawiki>"]})
-        for b in batches:
-            yield pd.DataFrame({"value": [page_xml(int(r[0]), r[1], *(None if x is None or x != x else x for x in r[2:])).rstrip("\n") for r in b.itertuples(index=False)]})
-        yield pd.DataFrame({"value": ["</mediawiki>"]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = lambda x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["value"])
+        yield lines(["<mediawiki>"])
+        for piece in _row_pieces(batches):
+            yield lines([page_xml(*row).rstrip("\n") for row in piece])
+        yield lines(["</mediawiki>"])
 
     rows = pages.where("id is not null and title is not null").select("id", "title", F.col("ns").cast("string").alias("ns"), "redirect_to", "timestamp", "text")
-    rows.mapInPandas(run, "value string").write.option("maxRecordsPerFile", 0).option("compression", compression).text(folder)
+    rows.mapInArrow(run, "value string").write.option("maxRecordsPerFile", 0).option("compression", compression).text(folder)
 
 
 #: Pages in one file of a dump that is written here, about: a task writes a file, so its share does not grow with the dump.
@@ -553,7 +569,7 @@ def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream:
     Each task attempt writes files under names of its own and reports them, and only reported ones are returned (one short row for each file).
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dump = f"{folder}/part-{uuid.uuid4().hex}-multistream.xml.bz2"
         fs, at = _opened(dump)
         fs.create_dir(at.rpartition("/")[0], recursive=True)
@@ -568,13 +584,11 @@ def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream:
             offset += len(packed)
             held.clear()
 
-        none = lambda x: None if x is None or x != x else x
-        for b in batches:
-            for pos, page_id, title, ns, *rest in b.itertuples(index=False):
+        for piece in _row_pieces(batches):
+            for pos, page_id, title, *rest in piece:
                 if out is None:
                     out, first = fs.open_output_stream(at, compression=None), pos
-                ns = none(ns)
-                held.append((int(page_id), title.replace("\n", " "), page_xml(int(page_id), title, None if ns is None else int(ns), *map(none, rest))))
+                held.append((page_id, title.replace("\n", " "), page_xml(page_id, title, *rest)))
                 n += 1
                 if len(held) == per_stream:
                     flush()
@@ -586,11 +600,11 @@ def write_multistream(pages: DataFrame, folder: str, *, files: int, per_stream:
         index = dump.removesuffix(".xml.bz2") + "-index.txt.bz2"
         with fs.open_output_stream(_opened(index)[1], compression=None) as f:
             f.write(bz2.compress("".join(lines).encode()))
-        yield pd.DataFrame({"first": [first], "dump": [dump], "index": [index], "pages": [n]})
+        yield pa.RecordBatch.from_pylist([{"first": first, "dump": dump, "index": index, "pages": n}])
 
     rows = pages.where("id is not null and title is not null").select("pos", "id", "title", "ns", "redirect_to", "timestamp", "text")
     files = max(files, -(-rows.select("pos").count() // per_file))
-    done = rows.repartitionByRange(files, "pos").sortWithinPartitions("pos").mapInPandas(run, "first long, dump string, index string, pages long").collect()
+    done = rows.repartitionByRange(files, "pos").sortWithinPartitions("pos").mapInArrow(run, "first long, dump string, index string, pages long").collect()
     return [(r.dump, r["index"], r.pages) for r in sorted(done)]
 
 

@@ -3,8 +3,10 @@
 import bz2
 import os
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from loomgraph.sources import dump
@@ -169,3 +171,21 @@ def test_what_a_source_leaves_out_is_told(spark, tmp_path):
         assert sorted((r.id or 0, r.problem or "") for r in r.collect()) == [(0, "page"), (0, "page"), (1, ""), (4, "")]
     with pytest.raises(Exception, match="no columns"):
         spark.read.format("wikidump").schema("nothing long").load(str(tmp_path / "d.xml")).collect()
+
+
+def test_writers_take_a_batch_by_pieces(spark, tmp_path):
+    """All pages of a batch of many are written, whatever is null in them, and the rows that are Python objects at a time do not follow the batch."""
+    long = "long " * 300_000
+    pages = [(i, i, f"Title {i}", None if i % 3 == 0 else i % 5, "To" if i % 4 == 0 else None, None if i % 7 == 0 else "2024", None if i % 11 == 0 else long + "end" if i == 500 else f"{i} " + "é word " * 300) for i in range(1, 1500)]
+    df = spark.createDataFrame(pages, dump.PAGES).coalesce(1)
+    dump.write_xml(df, f"{tmp_path}/plain")
+    want = sorted((p[1:6] + (p[6] and p[6].strip(),) for p in pages), key=key)
+    assert sorted((tuple(r) for r in dump.read_split(spark, f"{tmp_path}/plain").drop("pos").collect()), key=key) == want
+    names = dump.write_multistream(df, f"{tmp_path}/multi", files=1, per_file=10**6)
+    assert sorted((tuple(r) for r in dump.read_multistream(spark, names[0][0], names[0][1]).drop("pos").collect()), key=key) == want
+    batch = pa.RecordBatch.from_pydict({"id": range(10_000), "text": ["x" * 3000 for _ in range(10_000)]})
+    tracemalloc.start()
+    n = sum(len(piece) for piece in dump._row_pieces(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 10_000 and peak < 8 << 20, peak
