@@ -1,7 +1,7 @@
 """Connected components of an edge table: contraction within tasks, and alternating stars over DataFrames between them.
 
 A round deals the edges to tasks of about ``ROWS`` each (16 MB); each task settles what it holds and leaves one edge a node, to the least node of its part. If that
-was one task, all is done. Else every node's neighbours are joined to the least one, twice (large and small star), and the next
+was one task, it tells every node's part and all is done, without a shuffle. Else every node's neighbours are joined to the least one, twice (large and small star), and the next
 round sees a table of stars that few nodes still leave. Nothing is collected; each step is written to the shared folder, which also cuts the lineage, by tasks that
 follow the number of edges; one job a round tells whether all is settled.
 """
@@ -44,14 +44,25 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """u, v: every node of the task's edges(u, v), but the least of each part, with that one."""
+def _parts(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of a task's edges(u, v), and the least of its part."""
     held = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches if b.num_rows]
-    if held:
-        ids, code = np.unique(np.concatenate([x for pair in zip(*held, strict=True) for x in pair]), return_inverse=True)
-        roots = _roots(len(ids), *np.split(code, 2))
-        rest = roots != np.arange(len(ids))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[rest]), pa.array(ids[roots[rest]])], ["u", "v"])
+    if not held:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids, code = np.unique(np.concatenate([x for pair in zip(*held, strict=True) for x in pair]), return_inverse=True)
+    return ids, ids[_roots(len(ids), *np.split(code, 2))]
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """u, v: every node of the task's edges, but the least of each part, with that one."""
+    ids, least = _parts(batches)
+    rest = ids != least
+    yield pa.RecordBatch.from_arrays([pa.array(ids[rest]), pa.array(least[rest])], ["u", "v"])
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, component of every node of the task's edges."""
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _parts(batches)], ["id", "component"])
 
 
 def _open(stars: DataFrame) -> tuple[int, int]:
@@ -65,15 +76,16 @@ def _open(stars: DataFrame) -> tuple[int, int]:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """id, component (least id) of every id in edges(a, b); loops and repeats are allowed."""
     pick = lambda x, y: F.struct(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
-    held = stored(edges.where("a <> b").select(pick("a", "b").alias("e")).select("e.*").distinct(), "edges")
+    held = stored(edges.where("a <> b").select(pick("a", "b").alias("e")).select("e.*"), "edges")
     rows = held.count()
     for _ in range(rounds if rows else 0):
         tasks = -(-rows // ROWS)
-        stars = stored((held.repartition(tasks) if tasks > 1 else held.coalesce(1)).mapInArrow(_contracted, "u long, v long"), "edges")
-        drop_stored(held)
-        held = stars
         if tasks == 1:
-            break
+            out = stored(held.coalesce(1).mapInArrow(_settled, "id long, component long"), "components")
+            drop_stored(held)
+            return out
+        stars = stored(held.repartition(tasks).mapInArrow(_contracted, "u long, v long"), "edges")
+        drop_stored(held)
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _written(_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), rows)
         small = _least(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()

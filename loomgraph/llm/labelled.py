@@ -2,7 +2,8 @@
 
 The sample's ids are the ``rows`` labelled ones of least hash; only those ids (a bounded table) are broadcast to find their texts, of which those
 of at most ``longest`` characters are learned from, whole, so one task can hold them and fit the model. Both bounds are parameters of the
-classifiers; scoring has none. A model is a pickled object of some MB whose size does not depend on the input.
+classifiers; scoring has none. A model holds arrays of millions of buckets, whatever the input, few of which are in use: it travels as those (``packed``),
+so that neither the driver nor a broadcast holds the rest.
 """
 
 from __future__ import annotations
@@ -35,29 +36,44 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int
     return texts.join(F.broadcast(picked), "doc_id").repartition(1)
 
 
-def fit(train: DataFrame, f: Callable[[pa.Array, np.ndarray], object]) -> object:
-    """f(texts, labels) in one task, in order of doc_id."""
+def packed(model: dict) -> dict:
+    """The model with each array as its type, length, places that are not zero, and their values."""
+    return {k: (v.dtype.str, len(v), at := np.flatnonzero(v).astype(np.int32), v[at]) if isinstance(v, np.ndarray) else v for k, v in model.items()}
+
+
+def unpacked(model: dict) -> dict:
+    out = dict(model)
+    for k, v in model.items():
+        if isinstance(v, tuple):
+            out[k] = np.zeros(v[1], v[0])
+            out[k][v[2]] = v[3]
+    return out
+
+
+def fit(train: DataFrame, f: Callable[[pa.Array, np.ndarray], dict]) -> dict:
+    """f(texts, labels), packed, from one task, in order of doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         t = pa.Table.from_batches(got).sort_by("doc_id").combine_chunks() if got else None
         text = t.column("text").chunk(0) if t is not None else pa.array([], pa.string())
         y = t.column("y").to_numpy() if t is not None else np.zeros(0, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(f(text, y))], pa.binary())], ["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(packed(f(text, y)))], pa.binary())], ["model"])
 
     made = train.select("doc_id", "y", "text").mapInArrow(run, "model binary").collect()  # one row; none if there is no task
-    return pickle.loads(made[0].model) if made else f(pa.array([], pa.string()), np.zeros(0, np.int32))
+    return pickle.loads(made[0].model) if made else packed(f(pa.array([], pa.string()), np.zeros(0, np.int32)))
 
 
-def scored(docs: DataFrame, model: object, f: Callable[[object, pa.Array], np.ndarray], threshold: float = 0.7, parts: int = 1, held: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document, and the columns named in carry."""
+def scored(docs: DataFrame, model: dict, f: Callable[[dict, pa.Array], np.ndarray], threshold: float = 0.7, parts: int = 1, held: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, and the columns named in carry, by a packed model."""
     attach(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept = {f"carried_{c}": docs.schema[c].dataType.simpleString() for c in carry}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = unpacked(sent.value)
         for b in pieces(batches, "text"):
-            s = f(sent.value, b.column("text"))
+            s = f(whole, b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(b.column(c) for c in kept)], ["doc_id", "held_out", "score", "predicted", *kept])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(part(parts) == held, F.lit(False)).alias("held_out"), "text", *(F.col(c).alias(k) for k, c in zip(kept, carry, strict=True)))

@@ -192,6 +192,11 @@ def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("shuffle_hash"), "id")
 
 
+def _totals(weighed: DataFrame) -> DataFrame:
+    """cluster, members, shingles of clusters(id, cluster, n)."""
+    return weighed.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     attach(docs.sparkSession)
@@ -206,18 +211,17 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:
     sizes = bands.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("k")).where("k > 1")
     ties = bands.join(sizes, "key").where("id <> least").groupBy(F.col("id").alias("a"), F.col("least").alias("b")).agg(F.max("k").alias("k"))
     ties = stored(_estimated(ties, classes), "ties").where(f"k > 2 or est >= {at_least}")
-    cluster = stored(components(ties).withColumnsRenamed({"component": "cluster"}), "clusters")
-    weighed = cluster.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
-    total = weighed.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
-    large = stored(cluster.join(total.where(f"members > {BLOCK} or shingles > {BLOCK_SHINGLES}"), "cluster"), "large")
+    cluster = components(ties).withColumnsRenamed({"component": "cluster"})
+    weighed = stored(cluster.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id"), "clusters")
+    total = _totals(weighed)
+    large = stored(weighed.join(total.where(f"members > {BLOCK} or shingles > {BLOCK_SHINGLES}"), "cluster"), "large")
     if not large.isEmpty():
         strong = ties.where(f"est >= {at_least}").join(large.select(F.col("id").alias("a")), "a", "left_semi").select("a", "b")
         finer = components(strong.unionByName(_refined(bands, sizes, large, classes, at_least))).withColumnsRenamed({"component": "cluster"})
-        cluster = stored(cluster.join(large.select("id"), "id", "left_anti").unionByName(finer.select("id", "cluster")), "clusters")
-        weighed = cluster.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
-        total = weighed.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+        weighed = stored(weighed.join(large.select("id"), "id", "left_anti").unionByName(finer.join(large.select("id", "n"), "id")), "clusters")
+        total = _totals(weighed)
     parts = F.expr(f"cast(greatest(ceil(members / {BLOCK}), ceil(shingles / {BLOCK_SHINGLES})) as bigint)").alias("parts")
-    members = cluster.join(total.select("cluster", parts), "cluster")
+    members = weighed.select("id", "cluster").join(total.select("cluster", parts), "cluster")
     blocks = _blocks(_texts(docs, members), "cluster", "parts")
     links = map_groups(blocks.select("block", "id", "text"), "block", lambda t: _verify(t, percent), "a long, b long")
     joined = components(links)

@@ -43,3 +43,21 @@ def test_jobs_of_a_table(spark, monkeypatch, rows_a_task, most):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= most
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_task_settles_without_a_shuffle(spark):
+    """Where one task holds all edges, repeated ones too, no job has as many tasks as there are shuffle partitions."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] * 2, "a long, b long").coalesce(2)
+    group, kept = f"components-{uuid.uuid4().hex}", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.sparkContext.setJobGroup(group, "components")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(rows(components(edges))) == [(i, 0) for i in range(201)]
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        assert sum(s.numTasks for s in stages if s) <= 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

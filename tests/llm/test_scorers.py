@@ -1,7 +1,9 @@
 """Scores of the classifiers against scorers written without arrays."""
 
 import math
+import pickle
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -202,3 +204,18 @@ def test_long_texts_and_clashing_columns(spark, make):
         got = {r.doc_id: r for r in f(docs, labels, carry=("items", "mark")).collect()}
         assert len(got) == 62 and (got[100].predicted, got[101].predicted) == (0, 1)
         assert (got[100].items, got[100].mark) == ("y", "z")
+
+
+@pytest.mark.parametrize("module, op, label", [(toxicity, "toxicity", "toxic"), (quality, "quality", "quality")])
+def test_models_travel_without_their_empty_buckets(spark, make, monkeypatch, module, op, label):
+    texts, y = labelled(80)
+    docs = make(list(enumerate(texts.to_pylist())))
+    labels = spark.createDataFrame([(i, int(k)) for i, k in enumerate(y)], f"doc_id long, {label} int")
+    sent, whole = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(len(pickle.dumps(value))) or whole(self, value))
+    got = {r.doc_id: r.score for r in getattr(module, op)(docs, labels).collect()}
+    assert len(sent) == 1 and sent[0] < 200_000
+    parts, held = (3, 1) if op == "toxicity" else (4, 2)
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % parts != held]
+    want = module.score(module.train(texts.take(pa.array(ids)), y[ids]), texts)
+    assert [got[i] for i in range(80)] == want.tolist()
